@@ -25,10 +25,13 @@ class Loaded(NamedTuple):
 
 
 def trimmed(feed: DataFrame) -> DataFrame:
-    """Cells without surrounding blanks, missing cells as ''; rows with no text at all are dropped."""
+    """Cells without surrounding blanks, missing cells as ''; rows whose cells are all empty are dropped.
+
+    A cell that holds only blanks is not empty: its row is used, and then fails a check.
+    """
     cells = [c for c in feed.columns if c != "RowNo"]
-    clean = feed.select("RowNo", *[F.coalesce(F.trim(c, F.lit(BLANKS)), F.lit("")).alias(c) for c in cells])
-    return clean.where(F.concat(*[F.col(c) for c in cells]) != "")
+    used = feed.where(F.concat_ws("", *cells) != "")
+    return used.select("RowNo", *[F.coalesce(F.trim(c, F.lit(BLANKS)), F.lit("")).alias(c) for c in cells])
 
 
 def _first_error(*checks: tuple[Column, str]) -> Column:

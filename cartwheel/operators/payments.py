@@ -32,7 +32,7 @@ def canonical_momo(params: Column, access_key: str) -> Column:
 
 def decode_vnpay(params: Column) -> dict[str, Column]:
     code, state = _param(params, "vnp_ResponseCode"), _param(params, "vnp_TransactionStatus")
-    cents = F.expr("0L") + F.coalesce(_param(params, "vnp_Amount").try_cast("bigint"), F.lit(0))
+    cents = F.coalesce(_param(params, "vnp_Amount").try_cast("bigint"), F.lit(0)).cast("decimal(20,0)")
     return {"Ref": _param(params, "vnp_TxnRef"), "Amount": (cents / 100).cast(S.MONEY), "ResponseCode": code,
             "Accepted": (code == "00") & (state == "00"), "Signature": _param(params, "vnp_SecureHash")}
 
@@ -135,9 +135,10 @@ def settle(callbacks: DataFrame, payments: DataFrame, earlier: DataFrame | None
 def payment_outcomes(settled: DataFrame, orders: DataFrame) -> DataFrame:
     """Business counters: payments that succeeded or failed, orders created."""
     said = F.col("Outcome")
-    kinds = (settled.agg(F.count_if(said == "Payment successful.").alias("s"),
-                         F.count_if(said.isin("Amount mismatch.", "Payment failed or cancelled.")).alias("f"))
-             .select(F.inline(F.array(F.struct(F.lit("payments succeeded").alias("Counter"), F.col("s").alias("Value")),
-                                      F.struct(F.lit("payments failed"), F.col("f"))))))
+    rows = [F.struct(F.lit(f"payments {name}").alias("Counter"), F.col(name).alias("Value"))
+            for name in ("succeeded", "failed")]
+    kinds = (settled.agg(F.count_if(said == "Payment successful.").alias("succeeded"),
+                         F.count_if(said.isin("Amount mismatch.", "Payment failed or cancelled.")).alias("failed"))
+             .select(F.inline(F.array(*rows))))
     return kinds.unionByName(orders.agg(F.count(F.lit(1)).alias("Value"))
                              .select(F.lit("orders created").alias("Counter"), "Value"))

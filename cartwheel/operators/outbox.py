@@ -87,13 +87,16 @@ def mark(messages: DataFrame, orders: DataFrame, deliveries: DataFrame, as_of: d
          error: str = "delivery failed") -> DataFrame:
     """Outbox rows after a dispatch round.
 
-    ``deliveries`` says per message how many tries still fail.  A message whose order is gone is done without a try.
+    ``deliveries`` says per message how many tries fail before one succeeds; ``Tried``, if the messages carry it,
+    counts the tries so far.  A message whose order is gone is done without a try.
     """
+    tried = F.col("Tried") if "Tried" in messages.columns else F.lit(0)
     here = orders.select("OrderId", F.lit(True).alias("_here"))
     rows = messages.join(here, "OrderId", "left").join(deliveries.select("OutboxId", "Failures"), "OutboxId", "left")
-    fails = F.coalesce("_here", F.lit(False)) & (F.coalesce("Failures", F.lit(0)) > 0)
+    fails = F.coalesce("_here", F.lit(False)) & (F.coalesce("Failures", F.lit(0)) > tried)
+    counter = [(tried + 1).alias("Tried")] if "Tried" in messages.columns else []
     return rows.select(
         "OutboxId", "OrderId", "EventType", "Payload",
         F.when(~fails, ts(as_of)).alias("ProcessedAt"),
         (F.col("Attempts") + F.when(fails, 1).otherwise(0)).cast("int").alias("Attempts"),
-        F.when(fails, F.lit(error)).otherwise(F.col("LastError")).alias("LastError"))
+        F.when(fails, F.lit(error)).otherwise(F.col("LastError")).alias("LastError"), *counter)

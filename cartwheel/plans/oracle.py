@@ -922,6 +922,48 @@ QUERIES = {
 }
 
 
+QUERIES |= {
+    # ---- jobs
+    "stream_etl_fact": "select * from fact",
+    "stream_settlement": "select * from settlement",
+    "stream_outbox": f"""
+        select OutboxId, OrderId, cast(least(Attempts + f, 5) as int) as Attempts,
+               case when Attempts + f < 5 then {AS_OF} end as ProcessedAt,
+               case when f > 0 then 'delivery failed' end as LastError
+        from (select d.*, case when d.OrderId < 0 then 0 else t.Failures end as f from due d join tries t
+              using (OutboxId))""",
+    "stream_dq": """
+        with f as (select r.*, r.LoadNr - 1 as b from resolved r
+                   where CustomerKey is not null and ProductKey is not null),
+        n as (
+            select b, 'fact_no_duplicate_orderitemid' as t, count(*) - count(distinct OrderItemId) as v from f group by b
+            union all select b, 'dim_customer_one_current_per_id', 0 from f group by b
+            union all select b, 'fact_customerkey_resolves', 0 from f group by b
+            union all select b, 'fact_productkey_resolves', 0 from f group by b
+            union all select b, 'fact_datekey_resolves', 0 from f group by b
+            union all select b, 'fact_freshness_24h', 1 from f group by b
+            union all select b, 'fact_row_count_nonzero', count(*) from f group by b
+            union all select 0, 'dim_customer_count_nonzero', (select count(*) from cust1)
+            union all select 1, 'dim_customer_count_nonzero', (select count(*) from dim_customer where IsCurrent)
+            union all select b, 'fact_no_negative_revenue', count(*) filter (LineTotal <= 0) from f group by b
+            union all select b, 'fact_no_zero_quantity', count(*) filter (Quantity <= 0) from f group by b
+            union all select b, 'fact_unitprice_lineTotal_consistency',
+                             count(*) filter (abs(Quantity * UnitPrice - LineTotal) > 0.01) from f group by b)
+        select cast(b as bigint) as BatchId, t as TestName, cast(v as varchar) as ActualValue,
+               case when (t in ('fact_freshness_24h', 'fact_row_count_nonzero', 'dim_customer_count_nonzero')) = (v > 0)
+                    then 'Pass' else 'Fail' end as Status from n""",
+    "run_log": f"""
+        select 'SalesOrderItem' as PipelineName, count(*) as RowsProcessed, max(wmk) as Watermark,
+               'Succeeded' as Status, max(moment) as CompletedAt
+        from (select LoadNr, case when LoadNr = 1 then (select id from wm_first)
+                                  else (select max(OrderItemId) from stg_items) end as wmk,
+                     case when LoadNr = 1 then {T1} else {T2} end as moment
+              from resolved where CustomerKey is not null and ProductKey is not null) group by LoadNr""",
+    "fact_compaction_stats": """
+        select count(*) as RowsBefore, count(*) as RowsAfter, true as FewerFiles from fact""",
+}
+
+
 def _needed(text: str) -> list[str]:
     """Blocks a text uses, each after the blocks it needs itself."""
     order: list[str] = []

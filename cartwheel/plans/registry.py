@@ -11,7 +11,7 @@ from cartwheel import schemas as S
 from cartwheel.functions.scalars import compact_label, row_hash, ts, vnd_label
 from cartwheel.operators import adhoc, dims, etl, feeds, gold, guard, lookups, orders, outbox, payments, quality
 from cartwheel.operators import validation
-from cartwheel.plans import reports
+from cartwheel.plans import registry_jobs, reports
 from cartwheel.session import tune
 from cartwheel.sources.retail import Retail
 
@@ -344,4 +344,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(build: Callable[[Retail], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, folder: build(Retail(tune(spark), folder))
 
-    return {name: bind(build) for name, build in FRAMES.items()}
+    return {name: bind(build) for name, build in (FRAMES | registry_jobs.FRAMES).items()}

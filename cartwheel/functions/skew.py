@@ -27,7 +27,7 @@ def running_total(df: DataFrame, key: Sequence[str], order: Sequence[str], chunk
     inside = F.sum(value).over(Window.partitionBy(*part).orderBy(*order)
                                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (cut.withColumn("_inside", inside).join(before, part)
-            .withColumn(out, F.col("_before") + F.col("_inside")).drop("_chunk", "_before", "_inside"))
+            .select(*df.columns, (F.col("_before") + F.col("_inside")).alias(out)))
 
 
 def previous_value(df: DataFrame, key: Sequence[str], order: Sequence[str], chunk: Column, value: str,
@@ -39,7 +39,7 @@ def previous_value(df: DataFrame, key: Sequence[str], order: Sequence[str], chun
             .withColumn("_carry", F.lag("_last").over(Window.partitionBy(*key).orderBy("_chunk"))).drop("_last"))
     inside = F.lag(F.struct(value)).over(Window.partitionBy(*part).orderBy(*order))
     return (cut.withColumn("_inside", inside).join(last, part)
-            .withColumn(out, F.coalesce("_inside", "_carry")[value]).drop("_chunk", "_carry", "_inside"))
+            .select(*df.columns, F.coalesce("_inside", "_carry")[value].alias(out)))
 
 
 def first_claims(rows: DataFrame, key: str, order: str, taken: DataFrame | None = None) -> DataFrame:

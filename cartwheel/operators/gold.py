@@ -28,14 +28,13 @@ def monthly_top_products(fact: DataFrame, dim_date: DataFrame, dim_product: Data
                          top: int = S.TOP_PER_MONTH) -> DataFrame:
     """Best products of each month by revenue.
 
-    The fact shrinks to (day, product version) before any dimension is joined, and Spark keeps only ``top`` rows per
-    month in each task before the months are shuffled.  Ties go to the smaller product id.
+    The fact shrinks to (month, product version) before the products are joined, and Spark keeps only ``top`` rows
+    per month in each task before the months are shuffled.  Ties go to the smaller product id.
     """
-    sold = (fact.groupBy("DateKey", "ProductKey")
-            .agg(F.sum("Quantity").alias("Quantity"), F.sum("LineTotal").alias("Revenue")))
-    months = sold.join(dim_date.select("DateKey", "Year", "Month"), "DateKey")
+    months = fact.select("DateKey", "ProductKey", "Quantity", "LineTotal").join(
+        dim_date.select("DateKey", "Year", "Month"), "DateKey")
     versions = months.groupBy("Year", "Month", "ProductKey").agg(F.sum("Quantity").alias("Quantity"),
-                                                                 F.sum("Revenue").alias("Revenue"))
+                                                                 F.sum("LineTotal").alias("Revenue"))
     named = versions.join(dim_product.select("ProductKey", "ProductId", "Sku", "Name", "Category"), "ProductKey")
     monthly = (named.groupBy("Year", "Month", "ProductId", "Sku", F.col("Name").alias("ProductName"), "Category")
                .agg(F.sum("Quantity").alias("TotalQuantity"), F.sum("Revenue").alias("TotalRevenue")))

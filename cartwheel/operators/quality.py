@@ -117,7 +117,7 @@ def _struct(test: DqTest, value: Column, status: Column, error: str | None, as_o
 
 def _failed(anchor: DataFrame, test: DqTest, as_of: datetime, error: Exception) -> DataFrame:
     one = anchor.sparkSession.range(1)
-    return one.select(F.inline(F.array(_result(one, test, as_of, str(error).splitlines()[0]))))
+    return one.select(F.inline(F.array(_result(one, test, as_of, str(error).strip().splitlines()[0]))))
 
 
 def run_suite(tables: Tables, tests: Sequence[DqTest], as_of: datetime) -> DataFrame:

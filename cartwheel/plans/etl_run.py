@@ -7,13 +7,12 @@ import uuid
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
 from cartwheel import schemas as S
 from cartwheel.functions.scalars import month_of, ts
 from cartwheel.operators import dims, etl, gold, quality
-from cartwheel.sources.warehouse import Staged, Warehouse
+from cartwheel.sources.warehouse import Staged, Warehouse, literal_rows
 
 RUN_LOG = T.StructType([
     T.StructField("RunId", T.StringType()), T.StructField("PipelineName", T.StringType()),
@@ -34,17 +33,15 @@ class Source:
 
 def refresh_dimensions(wh: Warehouse, source: Source, as_of: datetime) -> None:
     """New versions of the three dimensions, committed together."""
-    staged = []
+    frames = {}
     for table, dim, snapshot in (("dim_customer", dims.CUSTOMER, source.customers),
                                  ("dim_product", dims.PRODUCT, source.products)):
         current = wh.read(table)
-        frame = (dims.scd2_first_load(snapshot, dim, as_of) if current is None
-                 else dims.scd2_apply(current, snapshot, dim, as_of))
-        staged.append(wh.stage(table, frame, "replace"))
+        frames[table] = (dims.scd2_first_load(snapshot, dim, as_of) if current is None
+                         else dims.scd2_apply(current, snapshot, dim, as_of))
     calendar, known = dims.date_dim_between(source.orders, "OrderDate"), wh.read("dim_date")
-    days = calendar if known is None else dims.missing_days(calendar, known)
-    staged.append(wh.stage("dim_date", days.coalesce(1)))  # a calendar: some thousand rows
-    wh.commit(staged, f"dims-{uuid.uuid4().hex}", as_of)
+    frames["dim_date"] = calendar if known is None else known.unionByName(dims.missing_days(calendar, known))
+    wh.commit(wh.stage_all(frames, "replace"), f"dims-{uuid.uuid4().hex}", as_of)
 
 
 @dataclass(frozen=True)
@@ -80,40 +77,31 @@ def load_batch(wh: Warehouse, lines: DataFrame, source: Source, as_of: datetime,
     customer_keys = dims.current_keys(wh.read("dim_customer"), dims.CUSTOMER)
     product_keys = dims.current_keys(wh.read("dim_product"), dims.PRODUCT)
     resolved = (rows.join(customer_keys, "CustomerId", "left").join(product_keys, "ProductId", "left")
-                .withColumn("DateKey", etl.date_key(F.col("OrderDate"))).persist(StorageLevel.DISK_ONLY))
+                .withColumn("DateKey", etl.date_key(F.col("OrderDate"))))
     kept = Observation()
     fact = etl.silver_fact(resolved, as_of).withColumn("MonthKey", month_of(F.col("DateKey")))
-    silver = wh.stage("fact", fact.observe(kept, F.count(F.lit(1)).alias("n")), partition="MonthKey")
-    lost = wh.stage("quarantine", etl.fact_quarantine(resolved).coalesce(8))
-    resolved.unpersist()
-    wh.commit([bronze, silver, lost], token, as_of, {S.PIPELINE: mark})
+    staged = [bronze, wh.stage("fact", fact.observe(kept, F.count(F.lit(1)).alias("n")), partition="MonthKey")]
     loaded = kept.get["n"] or 0
-    return BatchResult(wh.open(silver) if loaded else None, loaded, mark)
+    if loaded < seen.get["n"]:  # the lookups run a second time only when they lost something
+        staged.append(wh.stage("quarantine", etl.fact_quarantine(resolved)))
+    wh.commit(staged, token, as_of, {S.PIPELINE: mark})
+    return BatchResult(wh.open(staged[1]) if loaded else None, loaded, mark)
 
 
-def refresh_gold(wh: Warehouse, as_of: datetime) -> None:
-    """Gold over the fact, rebuilt as a whole."""
+def refresh_gold(wh: Warehouse, source: Source, as_of: datetime, facts_changed: bool) -> None:
+    """Gold over the fact when it changed, and gold over the current orders and stock on every run."""
     fact, days = wh.read("fact"), wh.read("dim_date")
     customer, product = wh.read("dim_customer"), wh.read("dim_product")
-    frames = {"gold_daily": gold.daily_sales_by_category(fact, days, product),
-              "gold_monthly": gold.monthly_top_products(fact, days, product),
-              "gold_clv": gold.customer_lifetime_value(fact, days, customer, as_of)}
-    _replace(wh, frames, as_of)
-
-
-def refresh_business_gold(wh: Warehouse, source: Source, as_of: datetime) -> None:
-    """Gold over the current orders and stock, rebuilt on every run."""
     frames = {"gold_mix": gold.sales_by_payment_method(source.orders),
               "gold_funnel": gold.order_funnel(source.orders)}
-    fact = wh.read("fact")
     if fact is not None:
-        frames["gold_inventory"] = gold.product_inventory(fact, wh.read("dim_product"), source.products)
-    _replace(wh, frames, as_of)
-
-
-def _replace(wh: Warehouse, frames: dict[str, DataFrame], as_of: datetime) -> None:
-    staged = [wh.stage(name, frame.withColumn("RefreshedAt", ts(as_of)), "replace") for name, frame in frames.items()]
-    wh.commit(staged, f"gold-{uuid.uuid4().hex}", as_of)
+        frames["gold_inventory"] = gold.product_inventory(fact, product, source.products)
+    if fact is not None and facts_changed:
+        frames |= {"gold_daily": gold.daily_sales_by_category(fact, days, product),
+                   "gold_monthly": gold.monthly_top_products(fact, days, product),
+                   "gold_clv": gold.customer_lifetime_value(fact, days, customer, as_of)}
+    stamped = {name: frame.withColumn("RefreshedAt", ts(as_of)) for name, frame in frames.items()}
+    wh.commit(wh.stage_all(stamped, "replace"), f"gold-{uuid.uuid4().hex}", as_of)
 
 
 STAR_TABLES = ("fact", "dim_customer", "dim_product", "dim_date", "gold_daily", "gold_inventory", "gold_mix")
@@ -133,7 +121,7 @@ def write_run_log(wh: Warehouse, started: datetime, took_ms: int, rows: int, mar
                   error: str | None = None) -> None:
     row = [(uuid.uuid4().hex, S.PIPELINE, started, as_of, took_ms, rows, mark,
             "Failed" if error else "Succeeded", error)]
-    staged = wh.stage("run_log", wh.spark.createDataFrame(row, RUN_LOG).coalesce(1))
+    staged = wh.stage("run_log", literal_rows(wh.spark, row, RUN_LOG))
     wh.commit([staged], f"run-{uuid.uuid4().hex}", as_of)
 
 
@@ -153,9 +141,7 @@ def run_etl(wh: Warehouse, source: Source, as_of: datetime, with_quality: bool =
 
 def finish_run(wh: Warehouse, source: Source, as_of: datetime, result: BatchResult, clock: float,
                with_quality: bool = True) -> None:
-    if result.rows:
-        refresh_gold(wh, as_of)
-    refresh_business_gold(wh, source, as_of)
+    refresh_gold(wh, source, as_of, facts_changed=result.rows > 0)
     if with_quality:
         run_quality(wh, as_of)
     write_run_log(wh, as_of, int((time.monotonic() - clock) * 1000), result.rows, result.watermark, as_of)

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -33,10 +34,18 @@ class Staged:
     path: str | None
 
 
+def literal_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A few rows as literals of one task: written, they are one file and appear together or not at all."""
+    structs = [F.struct(*[(F.lit(str(v)) if isinstance(v, datetime) else F.lit(v)).cast(f.dataType).alias(f.name)
+                          for v, f in zip(row, schema.fields, strict=True)]) for row in rows]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         self._known: list | None = None
+        self._schemas: dict[str, T.StructType] = {}
 
     # ---- commits: a few rows per batch, the only thing that ever reaches the driver
     def commits(self) -> DataFrame:
@@ -71,8 +80,7 @@ class Warehouse:
         rows = [(number, token, s.table, s.mode, s.path, None, as_of) for s in staged]
         rows += [(number, token, f"watermark:{name}", "mark", None, mark, as_of)
                  for name, mark in (marks or {}).items()]
-        # one task, one file: all rows of the commit appear together or not at all
-        self.spark.createDataFrame(rows, COMMITS).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+        literal_rows(self.spark, rows, COMMITS).write.mode("append").parquet(f"{self.root}/commits")
         self._log().extend(T.Row(*COMMITS.fieldNames())(*row) for row in rows)
 
     # ---- data
@@ -81,19 +89,28 @@ class Warehouse:
         """Write a frame to a fresh folder.
 
         With a partition column, rebalancing gathers each value into few files and splits the large ones; rows may
-        also be sorted inside a file.
+        also be sorted inside a file.  A table that is replaced as a whole is rebalanced into even files.
         """
         path = f"{self.root}/{table}/part=p{uuid.uuid4().hex}"
+        self._schemas[table] = frame.schema
         if partition:
             even = frame.hint("rebalance", F.col(partition))
             even = even.sortWithinPartitions(partition, order) if order else even
             even.write.partitionBy(partition).parquet(path)
         else:
-            frame.write.parquet(path)
+            (frame.hint("rebalance") if mode == "replace" else frame).write.parquet(path)
         return Staged(table, mode, path)
 
+    def stage_all(self, frames: dict[str, DataFrame], mode: str = "append") -> list[Staged]:
+        """Write independent frames side by side, so that the last tasks of one leave no cores idle."""
+        with ThreadPoolExecutor(len(frames)) as pool:
+            return list(pool.map(lambda item: self.stage(*item, mode), frames.items()))
+
     def _open(self, table: str, folders: list[str]) -> DataFrame:
-        return self.spark.read.option("basePath", f"{self.root}/{table}").parquet(*folders).drop("part")
+        reader = self.spark.read.option("basePath", f"{self.root}/{table}")
+        if table not in self._schemas:
+            self._schemas[table] = reader.parquet(folders[-1]).drop("part").schema
+        return reader.schema(self._schemas[table]).parquet(*folders).drop("part")
 
     def open(self, staged: Staged) -> DataFrame:
         return self._open(staged.table, [staged.path])

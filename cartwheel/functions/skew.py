@@ -12,6 +12,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
+#: ids of one moment that stay in one chunk
+IDS_PER_CHUNK = 1_000_000_000
+_MINUTE = 60_000_000
+
+
+def time_chunk(moment: str, ident: str, ids: int = IDS_PER_CHUNK) -> Column:
+    """Chunk for rows ordered by (moment, id): the minute, and an id range for rows exactly on the minute.
+
+    Logs with a clock are cut by minute, which bounds the chunks of a key by the calendar; dates without a time of
+    day put all rows on one moment, where the order is that of the ids.
+    """
+    micros = F.unix_micros(F.col(moment).cast("timestamp"))
+    exact = micros % _MINUTE == 0
+    return F.struct(F.floor(micros / _MINUTE).alias("minute"), (~exact).alias("later"),
+                    F.when(exact, F.floor(F.col(ident) / ids)).otherwise(F.lit(0)).alias("ids"))
+
+
 def running_total(df: DataFrame, key: Sequence[str], order: Sequence[str], chunk: Column, value: str,
                   out: str) -> DataFrame:
     """Sum of ``value`` over the rows of the key up to and including this one.

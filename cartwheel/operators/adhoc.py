@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from datetime import date
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from cartwheel import schemas as S
 from cartwheel.functions.scalars import date_key, percent, percent_half_even
-from cartwheel.functions.skew import previous_value
+from cartwheel.functions.skew import previous_value, time_chunk
 from cartwheel.operators import dims
 
 # ---- fixed values: stores and products of the demo star ---------------------------------------------------------------
@@ -260,11 +262,48 @@ def repeat_questions(log: DataFrame, seconds: int = S.ANSWER_TTL_SECONDS) -> Dat
     """Marks a question asked before with the same text no more than ``seconds`` ago.
 
     Questions that ended in an error leave no answer behind and are not counted as a source.  The question before is
-    looked up hour by hour, so one text that everybody asks is cut into parts.
+    looked up minute by minute, so one text that everybody asks is cut into parts.
     """
     asked = log.withColumn("_key", F.lower(F.trim("Question")))
     seen = previous_value(asked.where("Status <> 'Error'"), ["_key"], ["AskedAt", "AskId"],
-                          F.date_trunc("HOUR", F.col("AskedAt").cast("timestamp")), "AskedAt", "Before")
+                          time_chunk("AskedAt", "AskId"), "AskedAt", "Before")
     repeats = F.coalesce(F.col("AskedAt") <= F.col("Before") + F.make_dt_interval(secs=F.lit(seconds)), F.lit(False))
     return seen.select("AskId", "_key", F.col("Before").isNotNull().alias("AskedBefore"), repeats.alias("Repeat")
                        ).withColumnRenamed("_key", "QuestionKey")
+
+
+def cache_hits(log: DataFrame, seconds: int = S.ANSWER_TTL_SECONDS) -> DataFrame:
+    """Which questions the answer cache would have served.
+
+    An answer is kept for ``seconds`` from the moment it was stored; a hit does not prolong it.  So each question
+    depends on the last one that was really answered, a chain along time.  Times count in whole seconds: all askings
+    of a text in one second fold to one row before the shuffle, and what one text can send to a task is bounded by
+    the seconds of the log and not by how often it is asked.  Errors store nothing and are left out.
+    """
+    asked = log.where("Status <> 'Error'").select(
+        "AskId", F.lower(F.trim("Question")).alias("QuestionKey"),
+        F.unix_seconds(F.col("AskedAt").cast("timestamp")).alias("Second"))
+    moments = asked.groupBy("QuestionKey", "Second").agg(F.min("AskId").alias("AskId"))
+    stored = (moments.repartition("QuestionKey").sortWithinPartitions("QuestionKey", "Second")
+              .mapInPandas(lambda batches: _stored(batches, seconds), "AskId long"))
+    return (asked.join(stored.withColumn("_stored", F.lit(True)), "AskId", "left")
+            .select("AskId", "QuestionKey", F.col("_stored").isNull().alias("CacheHit")))
+
+
+def _stored(batches: Iterator[pd.DataFrame], ttl: int) -> Iterator[pd.DataFrame]:
+    """Rows, in order of key and second, that find no live answer; only the last one is remembered."""
+    last_key, expires = None, 0
+    for batch in batches:
+        keys, seconds, ids = (batch[c].to_numpy() for c in ("QuestionKey", "Second", "AskId"))
+        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1), len(keys)] if len(keys) else [0]
+        found = []
+        for begin, end in zip(cuts, cuts[1:]):
+            if keys[begin] != last_key:
+                last_key, expires = keys[begin], seconds[begin]
+            part = seconds[begin:end]
+            at = np.searchsorted(part, expires)
+            while at < len(part):
+                found.append(begin + at)
+                expires = part[at] + ttl
+                at = np.searchsorted(part, expires)
+        yield pd.DataFrame({"AskId": ids[found]}, dtype="int64")

@@ -39,10 +39,14 @@ def _first_error(*checks: tuple[Column, str]) -> Column:
 
 
 def _unique(rows: DataFrame, column: str, taken: DataFrame) -> DataFrame:
-    """Adds the duplicate error: the first valid row owns the value, unless the table has it already."""
+    """Adds the duplicate error: the first valid row owns the value, unless the table has it already.
+
+    Rows that failed before claim nothing; they get a key of their own, not a shared null that would meet in one task.
+    """
     low = F.lower(F.col(column))
-    marked = rows.withColumn("_claim", F.when(F.col("Error").isNull(), low))
-    owners = first_claims(marked.where("_claim is not null"), "_claim", "RowNo",
+    apart = F.concat(F.lit("\u0000"), F.col("RowNo").cast("string"))
+    marked = rows.withColumn("_claim", F.when(F.col("Error").isNull(), low).otherwise(apart))
+    owners = first_claims(marked.where("Error is null"), "_claim", "RowNo",
                           taken.select(low.alias("_claim")).where("_claim is not null"))
     message = F.concat(F.lit(f"Duplicate {column}: "), F.col(column))
     return (marked.join(owners, "_claim", "left")

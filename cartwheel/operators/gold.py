@@ -103,10 +103,12 @@ def daily_sales_incremental(gold: DataFrame, new_rows: DataFrame, fact: DataFram
                             dim_product: DataFrame) -> DataFrame:
     """The daily table after a batch, recomputing only the days the batch touches.
 
-    ``new_rows`` and ``fact`` are the batch and the whole fact including it.  As a table job, the touched days are
-    the partitions to overwrite.
+    ``new_rows`` and ``fact`` are the batch and the whole fact including it.  The touched days are at most the days
+    of the calendar, so they are broadcast; on a fact table by month they also prune the months to read.
     """
-    touched = new_rows.select("DateKey").distinct()
-    redone = daily_sales_by_category(fact.join(touched, "DateKey", "left_semi"), dim_date, dim_product)
-    days = dim_date.join(touched, "DateKey", "left_semi").select("Date")
+    month = ["MonthKey"] if "MonthKey" in fact.columns and "MonthKey" in new_rows.columns else []
+    touched = dim_date.join(new_rows.select("DateKey", *month).distinct(), "DateKey").select("Date", "DateKey", *month)
+    wanted = F.broadcast(touched.drop("Date"))
+    redone = daily_sales_by_category(fact.join(wanted, ["DateKey", *month], "left_semi"), dim_date, dim_product)
+    days = F.broadcast(touched.select("Date"))
     return gold.join(days, "Date", "left_anti").select(redone.columns).unionByName(redone)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cartwheel import schemas as S
 from cartwheel.functions.scalars import label
-from cartwheel.functions.skew import previous_value, running_total
+from cartwheel.functions.skew import previous_value, running_total, time_chunk
 
 
 def order_demand(lines: DataFrame, products: DataFrame) -> DataFrame:
@@ -40,13 +40,13 @@ def oversell_flags(lines: DataFrame, orders: DataFrame, products: DataFrame) ->
     """Running demand per product in order sequence against the opening stock.
 
     The flag says "would oversell if every earlier order were accepted": an order refused for another product does
-    not hand its demand back here.  The running sum is cut by order day, so a product that sells in a third of all
-    orders is not gathered in one task.
+    not hand its demand back here.  The running sum is cut by time and id range, so a product that sells in a
+    third of all orders is not gathered in one task.
     """
     demand = lines.groupBy("OrderId", "ProductId").agg(F.sum("Quantity").alias("Quantity"))
     dated = demand.join(orders.select("OrderId", "OrderDate"), "OrderId")
-    totals = running_total(dated, ["ProductId"], ["OrderDate", "OrderId"], F.to_date("OrderDate"), "Quantity",
-                           "RunningDemand")
+    totals = running_total(dated, ["ProductId"], ["OrderDate", "OrderId"], time_chunk("OrderDate", "OrderId"),
+                           "Quantity", "RunningDemand")
     return (totals.join(products.select("ProductId", "StockQuantity"), "ProductId")
             .select("OrderId", "ProductId", "Quantity", "RunningDemand",
                     (F.col("RunningDemand") > F.col("StockQuantity")).alias("Oversold")))
@@ -84,10 +84,10 @@ def order_next_states(orders: DataFrame) -> DataFrame:
 def audit_transitions(events: DataFrame) -> DataFrame:
     """Verdict on every status event: does it start right, follow the event before it, and use an allowed step?
 
-    The event before is found day by day, so a single order with very many events is still cut into parts.
+    The event before is found minute by minute, so a single order with very many events is still cut into parts.
     """
-    moved = previous_value(events, ["OrderId"], ["CreatedAt", "EventId"], F.to_date("CreatedAt"), "ToStatus",
-                           "Previous")
+    moved = previous_value(events, ["OrderId"], ["CreatedAt", "EventId"], time_chunk("CreatedAt", "EventId"),
+                           "ToStatus", "Previous")
     source, target, previous = F.col("FromStatus"), F.col("ToStatus"), F.col("Previous")
     verdict = (F.when(previous.isNull() & source.isNull(),
                       F.when(target == S.PENDING, F.lit("ok")).otherwise(F.lit("does not start pending")))

@@ -914,6 +914,19 @@ QUERIES = {
                      count(*) filter (Status = 'CacheHit') as h,
                      sum(LatencyMs) filter (Status in ('Answered', 'Refused')) as s from ask_log)""",
     "ask_cache_hits": """
+        with recursive ev as (
+            select AskId, lower(trim(Question)) as QuestionKey, cast(floor(epoch(AskedAt)) as bigint) as s
+            from ask_log where Status <> 'Error'),
+        chain as (
+            select QuestionKey, min(s) as s from ev group by QuestionKey
+            union all
+            select c.QuestionKey, min(e.s) from chain c join ev e on e.QuestionKey = c.QuestionKey and e.s >= c.s + 600
+            group by c.QuestionKey)
+        select AskId, QuestionKey, AskId not in (
+            select min(e.AskId) from ev e join chain c on c.QuestionKey = e.QuestionKey and c.s = e.s
+            group by e.QuestionKey, e.s) as CacheHit
+        from ev""",
+    "ask_repeats": """
         select AskId, QuestionKey, Before is not null as AskedBefore,
                coalesce(AskedAt <= Before + interval 600 second, false) as Repeat
         from (select AskId, AskedAt, lower(trim(Question)) as QuestionKey,
@@ -983,6 +996,8 @@ def _compose(body: str) -> str:
     ctes = ",\n".join(f"{name} as ({BLOCKS[name].strip()})" for name in _needed(body))
     if not ctes:
         return body
+    if body.lower().startswith("with recursive "):
+        return f"with recursive {ctes},\n{body[15:]}"
     if body.lower().startswith("with "):
         return f"with {ctes},\n{body[5:]}"
     return f"with {ctes}\n{body}"

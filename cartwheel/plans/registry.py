@@ -336,7 +336,8 @@ FRAMES: dict[str, Callable[[Retail], DataFrame]] = {
     "eval_scoreboard": lambda r: adhoc.eval_scoreboard(r.eval_results),
     "safety_scoreboard": lambda r: adhoc.safety_scoreboard(r.safety_cases),
     "ask_metrics": lambda r: adhoc.ask_metrics(r.ask_log),
-    "ask_cache_hits": lambda r: adhoc.repeat_questions(r.ask_log),
+    "ask_repeats": lambda r: adhoc.repeat_questions(r.ask_log),
+    "ask_cache_hits": lambda r: adhoc.cache_hits(r.ask_log),
 }
 
 

@@ -372,3 +372,29 @@ def test_repeat_questions(spark):
     log = spark.createDataFrame(rows, "AskId long, AskedAt timestamp_ntz, Question string, Status string")
     got = {r.AskId: (r.AskedBefore, r.Repeat) for r in adhoc.repeat_questions(log).collect()}
     assert got == {1: (False, False), 2: (True, True), 3: (True, False), 4: (False, False)}
+
+
+def test_cache_hits_against_a_walk(spark):
+    """An answer lives 600 seconds from when it was stored; small Arrow batches make the memory cross them."""
+    import random
+    rng = random.Random(7)
+    rows, clock = [], 0
+    for i in range(3000):
+        clock += rng.choice([0, 1, 5, 60, 700 if rng.random() < 0.05 else 2])
+        text = "hot" if rng.random() < 0.4 else f"q{rng.randrange(20)}"
+        rows.append((i, NOW + timedelta(seconds=clock), rng.choice([text, text.upper(), f" {text}"]),
+                     "Error" if rng.random() < 0.1 else "Answered"))
+    stored, want = {}, {}
+    for i, at, text, status in rows:
+        if status != "Error":
+            key = text.strip().lower()
+            want[i] = key in stored and at < stored[key] + timedelta(seconds=600)
+            if not want[i]:
+                stored[key] = at
+    log = spark.createDataFrame(rows, "AskId long, AskedAt timestamp_ntz, Question string, Status string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        got = {r.AskId: r.CacheHit for r in adhoc.cache_hits(log).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == want and any(want.values())

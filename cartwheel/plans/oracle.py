@@ -62,7 +62,7 @@ BLOCKS = {
                          when OrderId % 4 = 3 and OrderId % 3 = 0 then 4 else 3 end as PaymentStatus
         from stg_orders0 o""",
     "stg_items": """
-        select (l_orderkey * 100 + l_linenumber) * 1000
+        select (l_orderkey * 10 + l_linenumber) * 1000003
                + row_number() over (partition by l_orderkey, l_linenumber
                                     order by l_partkey, l_suppkey, l_shipdate, l_quantity, l_extendedprice)
                  as OrderItemId,

@@ -73,10 +73,14 @@ class Retail:
 
     @cached_property
     def order_items(self) -> DataFrame:
-        """(order, line number) repeats in the test table, so copies of a line number get a rank of their own."""
+        """(order, line number) repeats in the test table, so copies of a line number get a rank of their own.
+
+        The id rises with the order key and leaves room for a million copies of a line; the factor is a prime, so
+        that rules on the id's remainders hit first copies too.
+        """
         twin = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
             "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice")
-        line = (F.col("l_orderkey") * 100 + F.col("l_linenumber")) * 1000 + F.row_number().over(twin)
+        line = (F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1000003 + F.row_number().over(twin)
         return self.table("lineitem").select(
             line.alias("OrderItemId"), F.col("l_orderkey").alias("OrderId"), F.col("l_partkey").alias("ProductId"),
             F.col("l_quantity").cast("int").alias("Quantity"),

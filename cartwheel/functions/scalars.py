@@ -37,8 +37,18 @@ def row_hash(columns: Sequence[str], charset: str | None = None) -> Column:
 
 
 def average(total: Column, count: Column) -> Column:
-    """total / count to two decimals, null on a zero count."""
-    return (total / F.nullif(count, F.lit(0))).cast("decimal(18,2)")
+    """total / count to two decimals, halves up, null on a zero count.
+
+    The width of the total decides how many digits Spark keeps in the quotient: from 24 digits it keeps 16 decimals,
+    so the second rounding never sees a value that the first one moved.
+    """
+    return (total.cast("decimal(24,2)") / F.nullif(count, F.lit(0))).cast("decimal(18,2)")
+
+
+def whole_average(total: Column, count: Column) -> Column:
+    """Sum of whole numbers / count with 18 decimals, 0 on a zero count."""
+    ratio = total.cast("decimal(20,0)") / F.nullif(count, F.lit(0)).cast("decimal(20,0)")
+    return F.coalesce(ratio, F.lit(0))
 
 
 def label(code: Column, names: Mapping[int, str], other: Column | None = None) -> Column:
@@ -80,13 +90,15 @@ def compact_label(amount: Column, currency: bool = False) -> Column:
             .otherwise(F.concat(plain, F.lit(suffix))))
 
 
+def _ratio(part: Column, whole: Column) -> Column:
+    return part.cast("decimal(24,2)") * 100 / F.nullif(whole, F.lit(0)).cast("decimal(24,2)")
+
+
 def percent_half_even(part: Column, whole: Column) -> Column:
     """part / whole in percent with one decimal, ties to the even digit, 0 for an empty whole."""
-    ratio = F.bround((part * 100).cast("decimal(28,0)") / F.nullif(whole, F.lit(0)).cast("decimal(20,0)"), 1)
-    return F.coalesce(ratio, F.lit(0)).cast("decimal(18,1)")
+    return F.coalesce(F.bround(_ratio(part, whole), 1), F.lit(0)).cast("decimal(18,1)")
 
 
 def percent(part: Column, whole: Column) -> Column:
     """part / whole in percent with one decimal, ties away from zero, 0 for an empty whole."""
-    ratio = F.round((part * 100).cast("decimal(28,0)") / F.nullif(whole, F.lit(0)).cast("decimal(20,0)"), 1)
-    return F.coalesce(ratio, F.lit(0)).cast("decimal(18,1)")
+    return F.coalesce(F.round(_ratio(part, whole), 1), F.lit(0)).cast("decimal(18,1)")

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from cartwheel import schemas as S
-from cartwheel.functions.scalars import date_key, percent, percent_half_even
+from cartwheel.functions.scalars import date_key, percent, percent_half_even, whole_average
 from cartwheel.functions.skew import previous_value, time_chunk
 from cartwheel.operators import dims
 
@@ -227,8 +227,7 @@ def eval_scoreboard(results: DataFrame) -> DataFrame:
         F.count_if("Passed").alias("Passed"), F.count(F.lit(1)).alias("Total"),
         F.sum("LatencyMs").alias("_sum"), F.count("LatencyMs").alias("_n"), F.grouping("Difficulty").alias("_all"))
     name = F.when(F.col("_all") == 1, F.lit("overall")).otherwise(F.col("Difficulty"))
-    mean = F.coalesce(F.round(F.col("_sum").cast("decimal(28,0)") / F.nullif("_n", F.lit(0)).cast("decimal(20,0)"), 0),
-                      F.lit(0)).cast("long")
+    mean = F.round(whole_average(F.col("_sum"), F.col("_n")), 0).cast("long")
     return rows.select(name.alias("Difficulty"), "Passed", "Total",
                        percent(F.col("Passed"), F.col("Total")).alias("AccuracyPct"), mean.alias("AvgLatencyMs"))
 
@@ -251,8 +250,7 @@ def ask_metrics(log: DataFrame) -> DataFrame:
                      F.count_if(status == "Refused").alias("Refused"), F.count_if(status == "Error").alias("Errors"),
                      F.count_if(status == "CacheHit").alias("CacheHits"),
                      F.sum(F.when(timed, F.col("LatencyMs"))).alias("_sum"), F.count_if(timed).alias("_n"))
-    mean = F.coalesce(F.floor(F.col("_sum").cast("decimal(28,0)") / F.nullif("_n", F.lit(0)).cast("decimal(20,0)")),
-                      F.lit(0)).cast("long")
+    mean = F.floor(whole_average(F.col("_sum"), F.col("_n"))).cast("long")
     return (counts.withColumn("RefusalRatePct", percent_half_even(F.col("Refused"), F.col("TotalQuestions")))
             .withColumn("CacheHitRatePct", percent_half_even(F.col("CacheHits"), F.col("TotalQuestions")))
             .withColumn("AvgLatencyMs", mean).drop("_sum", "_n"))

@@ -16,7 +16,7 @@ FACT_COLUMNS = ["DateKey", "CustomerKey", "ProductKey", "OrderId", "OrderItemId"
 def incremental_extract(items: DataFrame, orders: DataFrame, watermark) -> DataFrame:
     """Lines above the mark with the date and customer of their order.
 
-    The reference loops over small pages ordered by id; here one job takes all new lines, in no order.
+    One job takes all new lines, in no order; nothing is paged through.
     """
     return (items.where(F.col("OrderItemId") > watermark)
             .join(orders.select("OrderId", "CustomerId", "OrderDate"), "OrderId").select(BRONZE_COLUMNS))
@@ -58,7 +58,7 @@ def silver_fact(resolved: DataFrame, as_of: datetime) -> DataFrame:
 
 
 def fact_quarantine(resolved: DataFrame) -> DataFrame:
-    """The other lines, with the lookup that failed first.  The reference loses them."""
+    """The other lines, with the lookup that failed first: the mark passes them, so they would be lost."""
     reason = F.when(F.col("CustomerKey").isNull(), F.lit("unknown customer")).otherwise(F.lit("unknown product"))
     return (resolved.where(F.col("CustomerKey").isNull() | F.col("ProductKey").isNull())
             .select("OrderItemId", "OrderId", "CustomerId", "ProductId", "DateKey", "Quantity", "LineTotal",

@@ -18,6 +18,16 @@ from cartwheel.functions.skew import first_claims
 
 BLANKS = " \t\r\n\u00a0"
 
+# ---- fixed values: error texts ---------------------------------------------------------------------------------------
+REQUIRED = "{} is required"
+DUPLICATE = "Duplicate {}: "
+BAD_PRICE = "Price must be > 0"
+BAD_QUANTITY = "Quantity must be > 0"
+NO_CUSTOMER = "Customer not found by email: "
+NO_PRODUCT = "Product not found by SKU: "
+#: our own text for a cell that holds no number
+NOT_A_NUMBER = "{} is not a number"
+
 
 class Loaded(NamedTuple):
     accepted: DataFrame
@@ -48,7 +58,7 @@ def _unique(rows: DataFrame, column: str, taken: DataFrame) -> DataFrame:
     marked = rows.withColumn("_claim", F.when(F.col("Error").isNull(), low).otherwise(apart))
     owners = first_claims(marked.where("Error is null"), "_claim", "RowNo",
                           taken.select(low.alias("_claim")).where("_claim is not null"))
-    message = F.concat(F.lit(f"Duplicate {column}: "), F.col(column))
+    message = F.concat(F.lit(DUPLICATE.format(column)), F.col(column))
     return (marked.join(owners, "_claim", "left")
             .withColumn("Error", F.coalesce("Error", F.when(F.col("Owner") != F.col("RowNo"), message)))
             .drop("_claim", "Owner"))
@@ -60,8 +70,8 @@ def _errors(rows: DataFrame) -> DataFrame:
 
 def load_customers(feed: DataFrame, existing: DataFrame) -> Loaded:
     rows = trimmed(feed)
-    rows = rows.withColumn("Error", _first_error((F.col("FullName") == "", "FullName is required"),
-                                                 (F.col("Email") == "", "Email is required")))
+    rows = rows.withColumn("Error", _first_error((F.col("FullName") == "", REQUIRED.format("FullName")),
+                                                 (F.col("Email") == "", REQUIRED.format("Email"))))
     rows = _unique(rows, "Email", existing)
     accepted = rows.where("Error is null").select("RowNo", "FullName", "Email", blank_to_null(F.col("Phone"))
                                                   .alias("Phone"), blank_to_null(F.col("City")).alias("City"))
@@ -70,17 +80,17 @@ def load_customers(feed: DataFrame, existing: DataFrame) -> Loaded:
 
 def load_products(feed: DataFrame, existing: DataFrame) -> Loaded:
     """Numbers are read before any other check, so a bad number wins over a missing sku."""
-    rows = (trimmed(feed).withColumn("_price", F.expr("try_cast(Price as decimal(18,2))"))
+    rows = (trimmed(feed).withColumn("_price", F.expr("try_cast(Price as decimal(28,10))"))
             .withColumn("_stock", F.expr("try_cast(StockQuantity as int)")))
     rows = rows.withColumn("Error", _first_error(
-        (F.col("_price").isNull(), "Price is not a number"),
-        (F.col("_stock").isNull(), "StockQuantity is not a number"),
-        (F.col("Sku") == "", "Sku is required"), (F.col("Name") == "", "Name is required"),
-        (F.col("Category") == "", "Category is required"), (F.col("_price") <= 0, "Price must be > 0")))
+        (F.col("_price").isNull(), NOT_A_NUMBER.format("Price")),
+        (F.col("_stock").isNull(), NOT_A_NUMBER.format("StockQuantity")),
+        (F.col("Sku") == "", REQUIRED.format("Sku")), (F.col("Name") == "", REQUIRED.format("Name")),
+        (F.col("Category") == "", REQUIRED.format("Category")), (F.col("_price") <= 0, BAD_PRICE)))
     rows = _unique(rows, "Sku", existing)
     accepted = rows.where("Error is null").select(
         "RowNo", "Sku", "Name", "Category", blank_to_null(F.col("Brand")).alias("Brand"),
-        F.col("_price").alias("Price"), F.col("_stock").alias("StockQuantity"))
+        F.col("_price").cast(S.MONEY).alias("Price"), F.col("_stock").alias("StockQuantity"))
     return Loaded(accepted, _errors(rows))
 
 
@@ -93,9 +103,9 @@ def load_orders(feed: DataFrame, customers: DataFrame, products: DataFrame, as_o
     """
     rows = trimmed(feed).withColumn("_qty", F.expr("try_cast(Quantity as int)"))
     rows = rows.withColumn("Error", _first_error(
-        (F.col("_qty").isNull(), "Quantity is not a number"), (F.col("OrderRef") == "", "OrderRef is required"),
-        (F.col("CustomerEmail") == "", "CustomerEmail is required"), (F.col("Sku") == "", "Sku is required"),
-        (F.col("_qty") <= 0, "Quantity must be > 0")))
+        (F.col("_qty").isNull(), NOT_A_NUMBER.format("Quantity")), (F.col("OrderRef") == "", REQUIRED.format("OrderRef")),
+        (F.col("CustomerEmail") == "", REQUIRED.format("CustomerEmail")), (F.col("Sku") == "", REQUIRED.format("Sku")),
+        (F.col("_qty") <= 0, BAD_QUANTITY)))
     prices = products.select(F.lower("Sku").alias("_sku"), "ProductId", "Price")
     lines = (rows.where("Error is null").withColumn("_sku", F.lower("Sku")).join(prices, "_sku", "left")
              .withColumn("LineTotal", (F.col("Price") * F.col("_qty")).cast(S.MONEY)))
@@ -107,10 +117,10 @@ def load_orders(feed: DataFrame, customers: DataFrame, products: DataFrame, as_o
     people = customers.select(F.lower("Email").alias("_email"), "CustomerId")
     refs = refs.withColumn("_email", F.lower("Email")).join(people, "_email", "left")
     lost = refs.where("CustomerId is null").select(
-        F.col("FirstRow").alias("RowNo"), F.concat(F.lit("Customer not found by email: "), "Email").alias("Message"))
+        F.col("FirstRow").alias("RowNo"), F.concat(F.lit(NO_CUSTOMER), "Email").alias("Message"))
     bad = (lines.where(unknown).select("OrderRef", "RowNo", "Sku")
            .join(refs.where("CustomerId is not null").select("OrderRef"), "OrderRef", "left_semi")
-           .select("RowNo", F.concat(F.lit("Product not found by SKU: "), "Sku").alias("Message")))
+           .select("RowNo", F.concat(F.lit(NO_PRODUCT), "Sku").alias("Message")))
     stamp = as_of.strftime("%Y%m%d%H%M%S")
     accepted = refs.where("CustomerId is not null and Unknown = 0").select(
         "OrderRef", F.concat(F.lit(f"ORD-XLS-{stamp}-"), "OrderRef").alias("OrderNumber"), "CustomerId",

@@ -90,7 +90,7 @@ def product_inventory(fact: DataFrame, dim_product: DataFrame, products: DataFra
                       all_versions: bool = False) -> DataFrame:
     """Stock and units sold of every product.
 
-    Units booked under an old product version are left out, as in the reference; ``all_versions`` counts them.
+    Units booked under an old product version are left out, as published; ``all_versions`` counts them.
     """
     per_version = fact.groupBy("ProductKey").agg(F.sum("Quantity").alias("Units"))
     versions = dim_product if all_versions else dim_product.where("IsCurrent")

@@ -103,7 +103,11 @@ def order_documents(orders: DataFrame, customers: DataFrame, items: DataFrame, p
 
 def order_document(order_id: int, orders: DataFrame, customers: DataFrame, items: DataFrame, products: DataFrame,
                    events: DataFrame) -> DataFrame:
-    """One order as a nested row: header, list of items, list of events by time, next statuses."""
+    """One order as a nested row: header, list of items, list of events by time, next statuses.
+
+    For the page of a single order, which the order rules hold to 100 lines; whole tables go through
+    ``order_documents``.
+    """
     one = F.col("OrderId") == order_id
     sold = (items.where(one).join(products.select("ProductId", "Sku", "Name"), "ProductId").groupBy("OrderId")
             .agg(F.array_sort(F.collect_list(F.struct("OrderItemId", "ProductId", "Sku", "Name", "Quantity",

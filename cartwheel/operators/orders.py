@@ -9,6 +9,14 @@ from cartwheel.functions.scalars import label
 from cartwheel.functions.skew import previous_value, running_total, time_chunk
 
 
+# ---- fixed values: reasons against a request ------------------------------------------------------------------------
+NOT_YOURS_TO_CANCEL = "You can only cancel your own orders."
+ONLY_PENDING = "Only pending orders can be cancelled."
+NOT_YOURS_TO_PAY = "You can only pay for your own orders."
+PAID_ALREADY = "Order is already paid."
+CASH_ORDER = "COD orders do not require online payment."
+
+
 def order_demand(lines: DataFrame, products: DataFrame) -> DataFrame:
     """Wanted quantity per order and product, and whether the product exists."""
     demand = lines.groupBy("OrderId", "ProductId").agg(F.sum("Quantity").alias("Quantity"))
@@ -119,8 +127,8 @@ def cancel_eligibility(requests: DataFrame, orders: DataFrame) -> DataFrame:
     rows = _asked(requests, orders)
     reason = (F.when(F.col("Status").isNull(), F.concat(F.lit("Order "), F.col("OrderId").cast("string"),
                                                         F.lit(" not found.")))
-              .when(F.col("CustomerId") != F.col("RequesterId"), F.lit("You can only cancel your own orders."))
-              .when(F.col("Status") != S.PENDING, F.lit("Only pending orders can be cancelled.")))
+              .when(F.col("CustomerId") != F.col("RequesterId"), F.lit(NOT_YOURS_TO_CANCEL))
+              .when(F.col("Status") != S.PENDING, F.lit(ONLY_PENDING)))
     return _answer(rows, reason)
 
 
@@ -130,9 +138,9 @@ def payment_eligibility(requests: DataFrame, orders: DataFrame) -> DataFrame:
     status = F.col("Status")
     reason = (F.when(status.isNull(), F.concat(F.lit("Order "), F.col("OrderId").cast("string"),
                                                F.lit(" not found.")))
-              .when(F.col("CustomerId") != F.col("RequesterId"), F.lit("You can only pay for your own orders."))
+              .when(F.col("CustomerId") != F.col("RequesterId"), F.lit(NOT_YOURS_TO_PAY))
               .when(status.isin(S.CANCELLED, S.DELIVERED),
                     F.concat(F.lit("Order in status '"), label(status, S.ORDER_STATUS), F.lit("' cannot be paid.")))
-              .when(F.col("PaymentStatus") == S.PAY_PAID, F.lit("Order is already paid."))
-              .when(F.col("PaymentMethod") == S.COD, F.lit("COD orders do not require online payment.")))
+              .when(F.col("PaymentStatus") == S.PAY_PAID, F.lit(PAID_ALREADY))
+              .when(F.col("PaymentMethod") == S.COD, F.lit(CASH_ORDER)))
     return _answer(rows, reason)

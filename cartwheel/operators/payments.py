@@ -6,6 +6,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cartwheel import schemas as S
 
+# ---- fixed values: callback outcomes -------------------------------------------------------------------------------
+UNKNOWN_REF = "Unknown payment reference."
+ALREADY_PAID = "Already processed."
+BAD_SIGNATURE = "Invalid signature."
+MISMATCH = "Amount mismatch."
+SUCCEEDED = "Payment successful."
+FAILED = "Payment failed or cancelled."
+
 # ---- fixed values: parameter names of the two gateways -------------------------------------------------------------
 VNPAY_HASH_FIELDS = ("vnp_SecureHash", "vnp_SecureHashType")
 MOMO_SIGNED_FIELDS = ("amount", "extraData", "message", "orderId", "orderInfo", "orderType", "partnerCode", "payType",
@@ -116,17 +124,17 @@ def settle(callbacks: DataFrame, payments: DataFrame, earlier: DataFrame | None
     seq, paid = F.col("Seq"), F.col("PaidSeq")
     done = (F.col("Status") == S.PAY_PAID) | (seq > paid)
     standing = F.when(F.col("FailedSeq") < seq, F.lit(S.PAY_FAILED)).otherwise(F.col("Status"))
-    outcome = (F.when(F.col("OrderId").isNull(), F.lit("Unknown payment reference."))
-               .when(done, F.lit("Already processed."))
-               .when(~F.col("SignatureValid"), F.lit("Invalid signature."))
-               .when(F.col("Success") & (F.col("Amount") != F.col("_due")), F.lit("Amount mismatch."))
-               .when(F.col("Success"), F.lit("Payment successful."))
-               .otherwise(F.lit("Payment failed or cancelled.")))
+    outcome = (F.when(F.col("OrderId").isNull(), F.lit(UNKNOWN_REF))
+               .when(done, F.lit(ALREADY_PAID))
+               .when(~F.col("SignatureValid"), F.lit(BAD_SIGNATURE))
+               .when(F.col("Success") & (F.col("Amount") != F.col("_due")), F.lit(MISMATCH))
+               .when(F.col("Success"), F.lit(SUCCEEDED))
+               .otherwise(F.lit(FAILED)))
     rows = rows.withColumn("Outcome", outcome)
     said = F.col("Outcome")
-    good = said.isin("Already processed.", "Payment successful.")
-    status = F.when(good, F.lit(S.PAY_PAID)).when(said == "Invalid signature.", standing).otherwise(F.lit(S.PAY_FAILED))
-    won = said == "Payment successful."
+    good = said.isin(ALREADY_PAID, SUCCEEDED)
+    status = F.when(good, F.lit(S.PAY_PAID)).when(said == BAD_SIGNATURE, standing).otherwise(F.lit(S.PAY_FAILED))
+    won = said == SUCCEEDED
     return rows.select("Seq", "Ref", "OrderId", "OrderNumber", good.alias("Ok"), status.alias("PaymentStatus"),
                        "Outcome", (won & (F.col("OrderStatus") == S.PENDING)).alias("AutoConfirms"),
                        won.alias("Notifies"))
@@ -137,8 +145,8 @@ def payment_outcomes(settled: DataFrame, orders: DataFrame) -> DataFrame:
     said = F.col("Outcome")
     rows = [F.struct(F.lit(f"payments {name}").alias("Counter"), F.col(name).alias("Value"))
             for name in ("succeeded", "failed")]
-    kinds = (settled.agg(F.count_if(said == "Payment successful.").alias("succeeded"),
-                         F.count_if(said.isin("Amount mismatch.", "Payment failed or cancelled.")).alias("failed"))
+    kinds = (settled.agg(F.count_if(said == SUCCEEDED).alias("succeeded"),
+                         F.count_if(said.isin(MISMATCH, FAILED)).alias("failed"))
              .select(F.inline(F.array(*rows))))
     return kinds.unionByName(orders.agg(F.count(F.lit(1)).alias("Value"))
                              .select(F.lit("orders created").alias("Counter"), "Value"))

@@ -59,46 +59,59 @@ def _any_since(column: str, hours: int) -> Callable[[datetime], Column]:
         F.max(F.col(column)) > ts(as_of) - F.make_dt_interval(hours=F.lit(hours)), F.lit(1)).otherwise(F.lit(0))
 
 
+# ---- fixed values: name, category, severity and expectation of the tests -----------------------------------------------
+TESTS = [
+    ("fact_no_duplicate_orderitemid", "Uniqueness", "Critical", "0 duplicate OrderItemIds in fact"),
+    ("dim_customer_one_current_per_id", "Uniqueness", "Critical", "0 customers with >1 IsCurrent=1 row"),
+    ("fact_customerkey_resolves", "Integrity", "Critical", "0 fact rows with orphan CustomerKey"),
+    ("fact_productkey_resolves", "Integrity", "Critical", "0 fact rows with orphan ProductKey"),
+    ("fact_datekey_resolves", "Integrity", "Critical", "0 fact rows with orphan DateKey"),
+    ("fact_freshness_24h", "Freshness", "Warning", "ETL loaded fact in last 24h"),
+    ("gold_freshness_2h", "Freshness", "Warning", "Gold layer refreshed in last 2h"),
+    ("fact_row_count_nonzero", "Completeness", "Critical", ">0 rows in fact (sanity)"),
+    ("dim_customer_count_nonzero", "Completeness", "Critical", ">0 customers in dim"),
+    ("fact_no_negative_revenue", "Business", "Critical", "0 fact rows with LineTotal <= 0"),
+    ("fact_no_zero_quantity", "Business", "Critical", "0 fact rows with Quantity <= 0"),
+    ("fact_unitprice_lineTotal_consistency", "Business", "Warning",
+     "0 fact rows where Quantity*UnitPrice ≠ LineTotal (rounded)"),
+    ("inventory_no_negative_stock", "Business", "Critical", "0 products with CurrentStock < 0 (oversell guard)"),
+    ("inventory_low_stock_watch", "Business", "Warning",
+     "0 products below the low-stock threshold (informational)"),
+    ("payment_paid_not_exceed_total", "Business", "Critical", "0 payment methods where PaidRevenue > TotalRevenue"),
+]
+FACT_HOURS, GOLD_HOURS, CENT = 24, 2, "0.01"
+
+
 def suite() -> list[DqTest]:
-    """The fifteen tests of the shop."""
+    """The fifteen tests of the shop: what each one measures, and where."""
     c = F.col
-    return [
-        DqTest("fact_no_duplicate_orderitemid", "Uniqueness", "Critical", "0 duplicate OrderItemIds in fact",
-               _is_zero, frame=lambda t: _repeated(t["fact"], "OrderItemId")),
-        DqTest("dim_customer_one_current_per_id", "Uniqueness", "Critical", "0 customers with >1 IsCurrent=1 row",
-               _is_zero, frame=lambda t: _repeated(t["dim_customer"].where("IsCurrent"), "CustomerId")),
-        DqTest("fact_customerkey_resolves", "Integrity", "Critical", "0 fact rows with orphan CustomerKey",
-               _is_zero, frame=lambda t: _orphans(t["fact"], "CustomerKey", t["dim_customer"])),
-        DqTest("fact_productkey_resolves", "Integrity", "Critical", "0 fact rows with orphan ProductKey",
-               _is_zero, frame=lambda t: _orphans(t["fact"], "ProductKey", t["dim_product"])),
-        DqTest("fact_datekey_resolves", "Integrity", "Critical", "0 fact rows with orphan DateKey",
-               _is_zero, frame=lambda t: _orphans(t["fact"], "DateKey", t["dim_date"])),
-        DqTest("fact_freshness_24h", "Freshness", "Warning", "ETL loaded fact in last 24h",
-               _is_positive, table="fact", measure=_any_since("EtlLoadedAt", 24)),
-        DqTest("gold_freshness_2h", "Freshness", "Warning", "Gold layer refreshed in last 2h",
-               _is_positive, table="gold_daily", measure=_any_since("RefreshedAt", 2)),
-        DqTest("fact_row_count_nonzero", "Completeness", "Critical", ">0 rows in fact (sanity)",
-               _is_positive, table="fact", measure=lambda as_of: F.count(F.lit(1))),
-        DqTest("dim_customer_count_nonzero", "Completeness", "Critical", ">0 customers in dim",
-               _is_positive, table="dim_customer", measure=_counts(c("IsCurrent"))),
-        DqTest("fact_no_negative_revenue", "Business", "Critical", "0 fact rows with LineTotal <= 0",
-               _is_zero, table="fact", measure=_counts(c("LineTotal") <= 0)),
-        DqTest("fact_no_zero_quantity", "Business", "Critical", "0 fact rows with Quantity <= 0",
-               _is_zero, table="fact", measure=_counts(c("Quantity") <= 0)),
-        DqTest("fact_unitprice_lineTotal_consistency", "Business", "Warning",
-               "0 fact rows where Quantity*UnitPrice ≠ LineTotal (rounded)", _is_zero, table="fact",
-               measure=_counts(F.abs(c("Quantity") * c("UnitPrice") - c("LineTotal")) > F.lit("0.01").cast(
-                   "decimal(3,2)"))),
-        DqTest("inventory_no_negative_stock", "Business", "Critical",
-               "0 products with CurrentStock < 0 (oversell guard)", _is_zero, table="gold_inventory",
-               measure=_counts(c("CurrentStock") < 0)),
-        DqTest("inventory_low_stock_watch", "Business", "Warning",
-               "0 products below the low-stock threshold (informational)", _is_zero, table="gold_inventory",
-               measure=_counts(c("LowStock"))),
-        DqTest("payment_paid_not_exceed_total", "Business", "Critical",
-               "0 payment methods where PaidRevenue > TotalRevenue", _is_zero, table="gold_mix",
-               measure=_counts(c("PaidRevenue") > c("TotalRevenue"))),
-    ]
+    gap = F.abs(c("Quantity") * c("UnitPrice") - c("LineTotal"))
+    frames = {
+        "fact_no_duplicate_orderitemid": lambda t: _repeated(t["fact"], "OrderItemId"),
+        "dim_customer_one_current_per_id": lambda t: _repeated(t["dim_customer"].where("IsCurrent"), "CustomerId"),
+        "fact_customerkey_resolves": lambda t: _orphans(t["fact"], "CustomerKey", t["dim_customer"]),
+        "fact_productkey_resolves": lambda t: _orphans(t["fact"], "ProductKey", t["dim_product"]),
+        "fact_datekey_resolves": lambda t: _orphans(t["fact"], "DateKey", t["dim_date"]),
+    }
+    measures = {
+        "fact_freshness_24h": ("fact", _any_since("EtlLoadedAt", FACT_HOURS)),
+        "gold_freshness_2h": ("gold_daily", _any_since("RefreshedAt", GOLD_HOURS)),
+        "fact_row_count_nonzero": ("fact", lambda as_of: F.count(F.lit(1))),
+        "dim_customer_count_nonzero": ("dim_customer", _counts(c("IsCurrent"))),
+        "fact_no_negative_revenue": ("fact", _counts(c("LineTotal") <= 0)),
+        "fact_no_zero_quantity": ("fact", _counts(c("Quantity") <= 0)),
+        "fact_unitprice_lineTotal_consistency": ("fact", _counts(gap > F.lit(CENT).cast("decimal(3,2)"))),
+        "inventory_no_negative_stock": ("gold_inventory", _counts(c("CurrentStock") < 0)),
+        "inventory_low_stock_watch": ("gold_inventory", _counts(c("LowStock"))),
+        "payment_paid_not_exceed_total": ("gold_mix", _counts(c("PaidRevenue") > c("TotalRevenue"))),
+    }
+    wants_some = {"fact_freshness_24h", "gold_freshness_2h", "fact_row_count_nonzero", "dim_customer_count_nonzero"}
+    tests = []
+    for name, category, severity, expected in TESTS:
+        table, measure = measures.get(name, (None, None))
+        passes = _is_positive if name in wants_some else _is_zero
+        tests.append(DqTest(name, category, severity, expected, passes, table, measure, frames.get(name)))
+    return tests
 
 
 def _result(numbers: DataFrame, test: DqTest, as_of: datetime, error: str | None = None) -> Column:

@@ -42,19 +42,32 @@ ORDER_ITEMS = T.StructType([
     T.StructField("ProductId", T.LongType()), T.StructField("Quantity", T.IntegerType()),
     T.StructField("UnitPrice", MONEY), T.StructField("LineTotal", MONEY)])
 
-BRONZE = T.StructType([
-    T.StructField("OrderItemId", T.LongType()), T.StructField("OrderId", T.LongType()),
-    T.StructField("CustomerId", T.LongType()), T.StructField("ProductId", T.LongType()),
-    T.StructField("OrderDate", T.TimestampNTZType()), T.StructField("Quantity", T.IntegerType()),
-    T.StructField("UnitPrice", MONEY), T.StructField("LineTotal", MONEY),
-    T.StructField("IngestedAt", T.TimestampNTZType()), T.StructField("SourceSystem", T.StringType())])
+BRONZE = ("OrderItemId bigint, OrderId bigint, CustomerId bigint, ProductId bigint, OrderDate timestamp_ntz, Quantity int, "
+          "UnitPrice decimal(18,2), LineTotal decimal(18,2), IngestedAt timestamp_ntz, SourceSystem string")
 
-FACT = T.StructType([
-    T.StructField("DateKey", T.IntegerType()), T.StructField("CustomerKey", T.LongType()),
-    T.StructField("ProductKey", T.LongType()), T.StructField("OrderId", T.LongType()),
-    T.StructField("OrderItemId", T.LongType()), T.StructField("Quantity", T.IntegerType()),
-    T.StructField("UnitPrice", MONEY), T.StructField("LineTotal", MONEY),
-    T.StructField("EtlLoadedAt", T.TimestampNTZType())])
+#: columns of the star and gold tables.  Sums keep the wider type Spark gives them: a total over very many lines
+#: does not fit 18 digits.
+OLAP = {
+    "dim_date": "DateKey int, Date date, Year int, Quarter int, Month int, MonthName string, Day int, DayOfWeek int, "
+                "IsWeekend boolean",
+    "dim_customer": "CustomerKey bigint, CustomerId bigint, FullName string, Email string, City string, "
+                    "ValidFrom timestamp_ntz, ValidTo timestamp_ntz, IsCurrent boolean, Version int, RowHash string",
+    "dim_product": "ProductKey bigint, ProductId bigint, Sku string, Name string, Category string, Brand string, "
+                   "ValidFrom timestamp_ntz, ValidTo timestamp_ntz, IsCurrent boolean, Version int, RowHash string",
+    "fact": "DateKey int, CustomerKey bigint, ProductKey bigint, OrderId bigint, OrderItemId bigint, Quantity int, "
+            "UnitPrice decimal(18,2), LineTotal decimal(18,2), EtlLoadedAt timestamp_ntz",
+    "gold_daily": "Date date, Category string, OrderCount bigint, ItemCount bigint, TotalRevenue decimal(28,2), "
+                  "AvgOrderValue decimal(18,2)",
+    "gold_monthly": "Year int, Month int, ProductId bigint, Sku string, ProductName string, Category string, "
+                    "TotalQuantity bigint, TotalRevenue decimal(38,2), RankInMonth int",
+    "gold_clv": "CustomerId bigint, FirstOrderDate date, LastOrderDate date, TotalOrders bigint, "
+                "TotalRevenue decimal(38,2), AvgOrderValue decimal(18,2), DaysSinceLastOrder int",
+    "gold_mix": "PaymentMethod int, OrderCount bigint, PaidOrderCount bigint, TotalRevenue decimal(28,2), "
+                "PaidRevenue decimal(28,2), MethodName string",
+    "gold_funnel": "Stage string, StageOrder int, OrderCount bigint",
+    "gold_inventory": "ProductId bigint, Sku string, ProductName string, Category string, CurrentStock int, "
+                      "UnitsSold bigint, LowStock boolean",
+}
 
 CALLBACKS = T.StructType([
     T.StructField("Seq", T.LongType()), T.StructField("Ref", T.StringType()),

@@ -4,8 +4,7 @@ Plain parquet has no MERGE and no transactions.  So data always goes to a new fo
 appended row in the ``commits`` table.  A batch that writes bronze, fact and watermark is committed by a single file;
 a job that dies before that leaves nothing visible, and a retry carries the same token and is recognised.
 
-A commit row either appends a folder to a table or replaces all folders before it.  One writer at a time is assumed,
-as in the reference.
+A commit row either appends a folder to a table or replaces all folders before it.  One writer at a time is assumed.
 """
 
 from __future__ import annotations

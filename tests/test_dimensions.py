@@ -83,3 +83,24 @@ def test_calendar(spark):
     assert not monday[20240301].IsWeekend and monday[20240302].IsWeekend
     known = dims.date_dim(spark, date(2024, 2, 25), date(2024, 2, 28))
     assert dims.missing_days(dims.date_dim(spark, date(2024, 2, 25), date(2024, 3, 3)), known).count() == 4
+
+
+def test_tables_have_the_declared_columns(spark, retail):
+    from pyspark.sql import types as T
+    from cartwheel import schemas as S
+    from cartwheel.operators import etl, gold
+    r = retail
+    frames = {
+        "dim_date": r.dim_date, "dim_customer": r.dim_customer, "dim_product": r.dim_product, "fact": r.fact,
+        "gold_daily": gold.daily_sales_by_category(r.fact, r.dim_date, r.dim_product),
+        "gold_monthly": gold.monthly_top_products(r.fact, r.dim_date, r.dim_product),
+        "gold_clv": gold.customer_lifetime_value(r.fact, r.dim_date, r.dim_customer, S.AS_OF),
+        "gold_mix": gold.sales_by_payment_method(r.orders), "gold_funnel": gold.order_funnel(r.orders),
+        "gold_inventory": gold.product_inventory(r.fact, r.dim_product, r.products)}
+    assert set(frames) == set(S.OLAP)
+    for name, frame in frames.items():
+        want = T.StructType.fromDDL(S.OLAP[name])
+        assert [(f.name, f.dataType) for f in frame.schema] == [(f.name, f.dataType) for f in want], name
+    bronze = etl.landed(etl.incremental_extract(r.order_items, r.orders, 0), S.AS_OF)
+    want = T.StructType.fromDDL(S.BRONZE)
+    assert [(f.name, f.dataType) for f in bronze.schema] == [(f.name, f.dataType) for f in want]

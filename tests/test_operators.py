@@ -210,6 +210,27 @@ def test_labels(spark):
     assert rows.select(vnd_label(F.col("v"))).collect()[5][0] == "1.400.000 ₫"
 
 
+def test_average_and_percent_round_once(spark):
+    from fractions import Fraction
+
+    from cartwheel.functions.scalars import average, percent, percent_half_even
+    cases = [(Decimal("100.00"), 3), (Decimal("0.05"), 10), (Decimal("1.00"), 8), (Decimal("7.00"), 0),
+             (Decimal("99999999.99"), 7), (Decimal("1234567.89"), 20000003), (Decimal("500002.49"), 100000500)]
+    rows = spark.createDataFrame(cases, "t decimal(38,2), n long")
+
+    def up(value, digits):
+        scaled = value * 10**digits
+        return Decimal(int(scaled + Fraction(1, 2))) / 10**digits
+
+    got = rows.select(average(F.col("t"), F.col("n")), percent(F.col("n"), F.lit(400).cast("long"))).collect()
+    for (total, n), (mean, share) in zip(cases, got):
+        assert mean == (up(Fraction(total) / n, 2) if n else None)
+        assert share == up(Fraction(100 * n, 400), 1)
+    even = rows.select(percent_half_even(F.lit(1), F.lit(400)), percent_half_even(F.lit(3), F.lit(400)),
+                       percent_half_even(F.lit(1), F.lit(0))).first()
+    assert tuple(map(str, even)) == ("0.2", "0.8", "0.0")
+
+
 # ---------------------------------------------------------------- feeds and rules
 def test_customer_feed_claims(spark):
     feed = spark.createDataFrame([

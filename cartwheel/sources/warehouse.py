@@ -45,6 +45,7 @@ class Warehouse:
         self.spark, self.root = spark, root.rstrip("/")
         self._known: list | None = None
         self._schemas: dict[str, T.StructType] = {}
+        self._opened: dict[tuple, DataFrame] = {}
 
     # ---- commits: a few rows per batch, the only thing that ever reaches the driver
     def commits(self) -> DataFrame:
@@ -106,10 +107,14 @@ class Warehouse:
             return list(pool.map(lambda item: self.stage(*item, mode), frames.items()))
 
     def _open(self, table: str, folders: list[str]) -> DataFrame:
-        reader = self.spark.read.option("basePath", f"{self.root}/{table}")
-        if table not in self._schemas:
-            self._schemas[table] = reader.parquet(folders[-1]).drop("part").schema
-        return reader.schema(self._schemas[table]).parquet(*folders).drop("part")
+        """Folders never change once written, so their listing is kept for as long as this object lives."""
+        key = (table, *folders)
+        if key not in self._opened:
+            reader = self.spark.read.option("basePath", f"{self.root}/{table}")
+            if table not in self._schemas:
+                self._schemas[table] = reader.parquet(folders[-1]).drop("part").schema
+            self._opened[key] = reader.schema(self._schemas[table]).parquet(*folders).drop("part")
+        return self._opened[key]
 
     def open(self, staged: Staged) -> DataFrame:
         return self._open(staged.table, [staged.path])

@@ -61,7 +61,11 @@ class Warehouse:
         return self._known
 
     def done(self, token: str) -> bool:
-        return any(row.Token == token for row in self._log())
+        """Whether a commit carries the token; a reset starts over."""
+        seen = False
+        for row in self._log():
+            seen = (seen or row.Token == token) and not row.Token.startswith("reset-")
+        return seen
 
     def watermark(self, pipeline: str) -> int:
         marks = [row.Watermark for row in self._log() if row.TableName == f"watermark:{pipeline}"]

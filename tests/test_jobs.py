@@ -116,6 +116,33 @@ def test_compaction_and_reset(spark):
     maintenance.reset(wh, T2)
     assert wh.read("fact") is None and wh.watermark(S.PIPELINE) == 0
     assert wh.read("bronze").count() == 3 and wh.read("gold_daily").count() > 0
+    # new orders arrive under new ids
+    later = [(40, 1, 1, 2), (41, 2, 2, 2)]
+    assert etl_run.run_etl(wh, _source(spark, later), T2, with_quality=False).rows == 2
+    assert wh.read("fact").count() == 2 and wh.read("bronze").count() == 5
+
+
+def test_tokens_do_not_outlive_a_reset(spark):
+    wh = Warehouse(spark, work_dir(spark, "test-token"))
+    wh.commit([], "batch-0-9", T1, {"p": 9})
+    assert wh.done("batch-0-9")
+    maintenance.reset(wh, T1)
+    assert not wh.done("batch-0-9")
+    wh.commit([], "batch-0-9", T1, {"p": 9})
+    assert wh.done("batch-0-9") and Warehouse(spark, wh.root).done("batch-0-9")
+
+
+def test_watermark_table(spark):
+    from cartwheel.operators import etl
+    state = spark.createDataFrame([("a", 5, T1)], "PipelineName string, LastProcessedRowId long, "
+                                                  "LastProcessedAt timestamp_ntz")
+    assert etl.read_watermark(state, "a") == 5 and etl.read_watermark(state, "b") == 0
+    batch = spark.createDataFrame([(7,), (9,)], "OrderItemId long")
+    after = etl.advance_watermark(state, batch, "a", T2)
+    assert [tuple(r) for r in after.collect()] == [("a", 9, T2)]
+    assert etl.advance_watermark(state, batch.limit(0), "a", T2).collect() == state.collect()
+    both = etl.advance_watermark(state, batch, "b", T2)
+    assert sorted(tuple(r) for r in both.collect()) == [("a", 5, T1), ("b", 9, T2)]
 
 
 def test_feed_reader_numbers_rows(spark):

@@ -36,13 +36,18 @@ def row_hash(columns: Sequence[str], charset: str | None = None) -> Column:
     return F.sha2(F.encode(joined, charset) if charset else joined, 256)
 
 
-def average(total: Column, count: Column) -> Column:
-    """total / count to two decimals, halves up, null on a zero count.
+def narrow(amount: Column) -> Column:
+    """An amount about to be divided and rounded.
 
-    The width of the total decides how many digits Spark keeps in the quotient: from 24 digits it keeps 16 decimals,
-    so the second rounding never sees a value that the first one moved.
+    The width of the dividend decides how many digits Spark keeps in the quotient: from 38 digits only 6 decimals,
+    from 24 digits 16, so that rounding never sees a value which the division moved.
     """
-    return (total.cast("decimal(24,2)") / F.nullif(count, F.lit(0))).cast("decimal(18,2)")
+    return amount.cast("decimal(24,2)")
+
+
+def average(total: Column, count: Column) -> Column:
+    """total / count to two decimals, halves up, null on a zero count."""
+    return (narrow(total) / F.nullif(count, F.lit(0))).cast("decimal(18,2)")
 
 
 def whole_average(total: Column, count: Column) -> Column:
@@ -82,7 +87,8 @@ def compact_label(amount: Column, currency: bool = False) -> Column:
     suffix = " ₫" if currency else ""
 
     def scaled(unit: int, letter: str) -> Column:
-        return F.concat(F.round(amount / F.lit(unit), 1).cast("decimal(38,1)").cast("string"), F.lit(letter + suffix))
+        tenths = F.round(narrow(amount) / F.lit(unit), 1).cast("decimal(38,1)")
+        return F.concat(tenths.cast("string"), F.lit(letter + suffix))
 
     plain = F.regexp_replace(F.regexp_replace(amount.cast("decimal(18,2)").cast("string"), r"\.?0+$", ""), r"\.", ",")
     return (F.when(size >= 10**12, scaled(10**12, "T")).when(size >= 10**9, scaled(10**9, "B"))
@@ -91,7 +97,7 @@ def compact_label(amount: Column, currency: bool = False) -> Column:
 
 
 def _ratio(part: Column, whole: Column) -> Column:
-    return part.cast("decimal(24,2)") * 100 / F.nullif(whole, F.lit(0)).cast("decimal(24,2)")
+    return narrow(part) * 100 / narrow(F.nullif(whole, F.lit(0)))
 
 
 def percent_half_even(part: Column, whole: Column) -> Column:

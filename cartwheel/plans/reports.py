@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from cartwheel.functions.scalars import day, percent
+from cartwheel.functions.scalars import day, narrow, percent
 
 
 def _range(gold_daily: DataFrame, start: date, end: date) -> DataFrame:
@@ -69,7 +69,7 @@ def exact_orders(fact: DataFrame, start: date, end: date) -> DataFrame:
 
 def chart_by_day(by_day: DataFrame) -> DataFrame:
     """Revenue in whole millions, halves up, and orders."""
-    return by_day.select("Day", F.floor(F.col("TotalRevenue") / 1000000 + F.lit("0.5").cast("decimal(2,1)"))
+    return by_day.select("Day", F.floor(narrow(F.col("TotalRevenue")) / 1000000 + F.lit("0.5").cast("decimal(2,1)"))
                          .cast("long").alias("RevenueMillions"), F.col("OrderCount").alias("Orders"))
 
 

@@ -208,6 +208,11 @@ def test_labels(spark):
     got = [r[0] for r in rows.select(compact_label(F.col("v"))).collect()]
     assert got == ["0", "999,5", "999", "1.0K", "1.3K", "1.4M", "22.3T", "2.5B"]
     assert rows.select(vnd_label(F.col("v"))).collect()[5][0] == "1.400.000 ₫"
+    wide = spark.createDataFrame([(Decimal("60349999995.28"),)], "v decimal(38,2)")
+    assert wide.select(compact_label(F.col("v"), True)).first()[0] == "60.3B ₫"
+    from cartwheel.plans import reports
+    day = wide.selectExpr("date'2024-01-01' Day", "cast(499999.99 as decimal(38,2)) TotalRevenue", "1 OrderCount")
+    assert reports.chart_by_day(day).first().RevenueMillions == 0
 
 
 def test_average_and_percent_round_once(spark):

@@ -1,6 +1,8 @@
 import pytest
 
 from cartwheel.operators import adhoc, guard
+from cartwheel.plans import evaluation
+from cartwheel.sources import readers
 
 
 @pytest.fixture(scope="module")
@@ -66,14 +68,50 @@ def test_cap(star):
     assert edge.rows.count() == 18 and not edge.truncated.first()[0]
 
 
-def test_scoreboard_over_the_statements(spark, star):
-    rows = []
-    for expect, statements in (("reject", REFUSED), ("allow", ALLOWED)):
-        for sql in statements:
-            try:
-                guard.guarded_sql(star, sql)
-                rows.append((expect, False))
-            except guard.Refused:
-                rows.append((expect, True))
-    board = adhoc.safety_scoreboard(spark.createDataFrame(rows, "Expect string, Rejected boolean")).first()
-    assert board.Clean and board.FalseRefusals == 0 and float(board.BlockedPct) == 100.0
+def test_safety_scoreboard(spark, star):
+    cases = spark.createDataFrame([("", "reject", sql) for sql in REFUSED] + [("", "allow", sql) for sql in ALLOWED],
+                                  readers.SAFETY)
+    board = adhoc.safety_scoreboard(evaluation.run_statements(cases, star)).first()
+    assert board.Clean and board.FalseRefusals == 0 and board.Malicious == len(REFUSED)
+
+
+#: question, difficulty and a statement of the same meaning with other column names, order or joins
+QUESTIONS = [
+    (" What was total  revenue in 2024? ", "easy", "SELECT SUM(LineTotal) FROM FactOrderItem WHERE DateKey < 20250101"),
+    ("Top 5 best-selling products by quantity", "medium",
+     "SELECT ProductName, SUM(Quantity) n FROM FactOrderItem JOIN DimProduct USING (ProductKey) GROUP BY ProductName "
+     "ORDER BY n DESC, ProductName LIMIT 5"),
+    ("Doanh thu theo thành phố trong năm 2025", "medium",
+     "SELECT City, SUM(LineTotal) FROM FactOrderItem JOIN DimStore USING (StoreKey) WHERE DateKey >= 20250101 "
+     "GROUP BY City"),
+    ("How many orders were placed in 2025?", "easy", "SELECT COUNT(*) FROM (SELECT DISTINCT OrderId FROM FactOrderItem "
+                                                     "WHERE DateKey > 20250000)"),
+    ("Revenue by payment method", "easy", "SELECT PaymentMethod p, SUM(LineTotal) r FROM FactOrderItem GROUP BY 1"),
+    ("Revenue by membership tier in 2024", "medium",
+     "SELECT MembershipTier, SUM(LineTotal) FROM FactOrderItem JOIN DimCustomer USING (CustomerKey) "
+     "WHERE DateKey < 20250101 GROUP BY 1"),
+    ("Monthly revenue in 2025", "hard",
+     "SELECT Month, MonthName, SUM(LineTotal) FROM FactOrderItem JOIN DimDate USING (DateKey) WHERE Year = 2025 "
+     "GROUP BY ALL"),
+    ("Top 3 stores by revenue", "medium",
+     "SELECT StoreName, SUM(LineTotal) r FROM FactOrderItem JOIN DimStore USING (StoreKey) GROUP BY 1 "
+     "ORDER BY r DESC LIMIT 3"),
+]
+
+
+def test_question_scoreboard(spark, star):
+    def board(entries):
+        frame = spark.createDataFrame([("", "", level, question, sql) for question, level, sql in entries],
+                                      readers.QUESTIONS)
+        rows = adhoc.eval_scoreboard(evaluation.run_questions(frame, star)).collect()
+        return {r.Difficulty: (r.Passed, r.Total, float(r.AccuracyPct)) for r in rows}
+
+    assert board(QUESTIONS) == {"easy": (3, 3, 100.0), "medium": (4, 4, 100.0), "hard": (1, 1, 100.0),
+                                "overall": (8, 8, 100.0)}
+    unknown = ("Which shelf is empty?", "hard", "SELECT 1")
+    assert board([QUESTIONS[0], unknown])["overall"] == (1, 2, 50.0)
+
+
+def test_unknown_question_gets_the_fallback(star):
+    rows = evaluation.ask("Which shelf is empty?", star).rows.collect()
+    assert len(rows) == 10 and rows[0].ProductName == "Brown Sugar Boba" and rows[0].BasePrice == 65000

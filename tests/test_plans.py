@@ -106,3 +106,29 @@ def test_first_claims(rows):
 
 def test_entry_contract():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_a_hot_product_is_split_when_the_products_cannot_be_broadcast(spark):
+    """A third of the facts name one product; the join partition that gets them is read in pieces."""
+    from cartwheel.operators import gold
+    fact = spark.range(0, 600000, 1, 8).select(
+        F.lit(20240101).alias("DateKey"), F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 5000).alias(
+            "ProductKey"), F.col("id").alias("OrderId"), (F.col("id") % 97).cast("decimal(18,2)").alias("LineTotal"))
+    product = spark.range(5000).select(F.col("id").alias("ProductKey"), (F.col("id") % 7).cast("string")
+                                       .alias("Category"))
+    days = spark.sql("select 20240101 DateKey, date'2024-01-01' Date")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        daily = gold.daily_sales_by_category(fact, F.broadcast(days), product)
+        rows = daily.collect()
+        text = plan(daily)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert sum(r.ItemCount for r in rows) == 600000 and sum(r.OrderCount for r in rows) == 600000
+    assert "skew=true" in text

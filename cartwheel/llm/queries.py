@@ -6,19 +6,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cartwheel.llm import jaccard_join
+from cartwheel.llm import decontaminate, exact_dedup, jaccard_join
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.find(_documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"), n=10)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.exact_groups(_documents(spark, folder), keep="max")
+
+
 def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     found = jaccard_join.jaccard_components(_documents(spark, folder), words=3, num=90, den=100)
     return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontaminate": op1_decontaminate,
+    "op7_exact_dedup": op7_exact_dedup,
     "op8_jaccard_join": op8_jaccard_join,
 }
 
@@ -45,3 +58,33 @@ reach(doc_id, other) AS (
 SELECT d.doc_id, coalesce(any_value(s.n), 0)::BIGINT AS n_shingles, min(r.other) AS component_id
 FROM documents d JOIN reach r ON r.doc_id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id GROUP BY d.doc_id
 """
+
+SQL["op1_decontaminate"] = rf"""
+WITH listed AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+grams AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n,
+         unnest(list_transform(range(1, len(w) - least(len(w), 10) + 2), lambda i: w[i:i + least(len(w), 10) - 1])) AS g
+  FROM items WHERE len(w) > 0),
+wins AS (
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, w FROM listed, (SELECT DISTINCT n FROM grams) WHERE len(w) >= n),
+hits AS (
+  SELECT DISTINCT x.doc_id, x.i, x.n, g.item_id FROM (SELECT doc_id, i, n, w[i:i + n - 1] AS g FROM wins) x
+  JOIN grams g ON g.g = x.g AND g.n = x.n),
+hit_words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+SELECT l.doc_id, len(l.w)::BIGINT AS n_words, coalesce(h.n_hit, 0)::BIGINT AS n_hit, coalesce(i.n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(i.ids, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM listed l LEFT JOIN hit_words h USING (doc_id) LEFT JOIN hit_items i USING (doc_id)
+"""
+
+SQL["op7_exact_dedup"] = """
+SELECT doc_id, max(doc_id) OVER t AS keep_id, count(*) OVER t AS group_size, doc_id = max(doc_id) OVER t AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW t AS (PARTITION BY coalesce(text, ''))
+"""

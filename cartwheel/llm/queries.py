@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cartwheel.llm import decontaminate, exact_dedup, jaccard_join
+from cartwheel.llm import decontaminate, exact_dedup, jaccard_join, packing
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -29,10 +29,20 @@ def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"))
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(_documents(spark, folder), tokenizer_path(), capacity=1024, end_id=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_jaccard_join": op8_jaccard_join,
+    "op10_packing": op10_packing,
 }
 
 # ---- SQL -------------------------------------------------------------------------------------------------------------

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cartwheel.llm import decontaminate, exact_dedup, jaccard_join, packing
+from cartwheel.llm import decontaminate, exact_dedup, jaccard_join, labelled, langid, packing, pii, quality, tool_calls, toxicity, warc
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -20,6 +20,70 @@ def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def _classified(module, label: str, folds: int, fold: int, spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet")
+    model = module.train(docs, labels, ~labelled.held_out("id", folds, fold), label)
+    scored = module.score(docs, model)
+    return scored.select("doc_id", labelled.held_out("doc_id", folds, fold).alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return _classified(toxicity, "toxic", 4, 2, spark, folder)
+
+
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.round_trip(spark.read.parquet(f"{folder}/pages.parquet"))
+    return found.select("page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")
+
+
+#: the tools the derived calls may use: name, parameter, kind, required
+TOOLS = [("measure", "unit", "string", True), ("measure", "value", "integer", True), ("search", "query", "string", True),
+         ("search", "top_k", "integer", False), ("translate", "text", "string", True), ("translate", "to", "string", True)]
+
+
+def op4_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
+    """Every assistant turn read as a call of a tool on its text, every later user turn as the result of the turn before.
+
+    The tool and the faults in its arguments follow from the text's length and the turn.  Chains of calls are up to four
+    long: a call needs the one two turns earlier, but for the first two turns of every eight.
+    """
+    turns = spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    listed = F.to_json(F.array(F.coalesce("text", F.lit(""))))
+    turns = turns.withColumn("n", F.coalesce(F.length("text"), F.lit(0))).withColumn(
+        "q", listed.substr(F.lit(2), F.length(listed) - 2))
+    called = turns.where("role = 'assistant'").select(
+        "conv_id", "turn", F.expr("concat('call_', conv_id, '_', turn)").alias("call_id"),
+        F.expr("element_at(array('search', 'translate', 'measure', 'browse'), n % 4 + 1)").alias("name"),
+        F.expr("""CASE n % 4 WHEN 0 THEN concat('{"top_k": ', n % 7, ', "query": ', q, '}')
+                  WHEN 1 THEN concat('{', if(n % 5 = 0, '', '"to": "en", '), '"text": ', q, '}')
+                  WHEN 2 THEN concat('{ "value": ', if(turn % 3 = 0, concat('"', n, '"'), string(n)), ', "unit": "sign"',
+                                     if(n % 11 = 0, ', "note": true', ''), '}')
+                  ELSE concat('[', q, ']') END""").alias("arguments"),
+        F.expr("if(turn % 8 >= 2, array(concat('call_', conv_id, '_', turn - 2)), cast(array() as array<string>))")
+        .alias("needs"))
+    answered = turns.where("role = 'user' and turn > 0").select(
+        "conv_id", "turn", F.expr("concat('call_', conv_id, '_', turn - 1)").alias("call_id"), F.col("text").alias("content"))
+    schemas = spark.createDataFrame(TOOLS, "name string, param string, kind string, required boolean")
+    found = tool_calls.link(called, answered, schemas)
+    return found.select("conv_id", "turn", "call_id", "name", "step", "status",
+                        F.array_join("problems", "; ").alias("problems"), "json")
+
+
+def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(_documents(spark, folder))
+    counts = [F.expr(f"cast(size(filter(found, s -> s.base and s.kind = '{k}')) as long)").alias(f"n_{k}")
+              for k in ("email", "ip", "card", "phone")]
+    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _documents(spark, folder)
+    held = labelled.held_out("doc_id", 5, 0)
+    found = langid.identify(docs, langid.train(docs, ~labelled.held_out("id", 5, 0)))
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(_documents(spark, folder), keep="max")
 
@@ -29,6 +93,10 @@ def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"))
 
 
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return _classified(quality, "quality", 5, 0, spark, folder)
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.json")
@@ -40,8 +108,14 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_toxicity": op2_toxicity,
+    "op3_warc": op3_warc,
+    "op4_tool_calls": op4_tool_calls,
+    "op5_pii": op5_pii,
+    "op6_language": op6_language,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_quality": op9_quality,
     "op10_packing": op10_packing,
 }
 
@@ -98,3 +172,50 @@ SELECT doc_id, max(doc_id) OVER t AS keep_id, count(*) OVER t AS group_size, doc
        sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW t AS (PARTITION BY coalesce(text, ''))
 """
+
+SQL["op3_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+hashed AS (SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS x, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+         (('0x' || substr(x, 1 + 5 * (i // 4)::INT, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31), 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM hashed
+"""
+
+SQL["op4_tool_calls"] = r"""
+WITH RECURSIVE turns AS (SELECT conv_id, turn, role, coalesce(text, '') AS text, coalesce(length(text), 0) AS n,
+                                to_json(coalesce(text, ''))::VARCHAR AS q FROM conversations),
+calls AS (
+  SELECT conv_id, turn, n, 'call_' || conv_id || '_' || turn AS call_id,
+         ['search', 'translate', 'measure', 'browse'][n % 4 + 1] AS name,
+         CASE n % 4 WHEN 0 THEN '{"query":' || q || ',"top_k":' || (n % 7) || '}'
+              WHEN 1 THEN '{"text":' || q || CASE WHEN n % 5 = 0 THEN '' ELSE ',"to":"en"' END || '}'
+              WHEN 2 THEN '{' || CASE WHEN n % 11 = 0 THEN '"note":true,' ELSE '' END || '"unit":"sign","value":' ||
+                          CASE WHEN turn % 3 = 0 THEN '"' || n || '"' ELSE n::VARCHAR END || '}'
+              ELSE '[' || q || ']' END AS arguments,
+         CASE n % 4 WHEN 0 THEN '' WHEN 1 THEN CASE WHEN n % 5 = 0 THEN 'missing to' ELSE '' END
+              WHEN 2 THEN concat_ws('; ', CASE WHEN turn % 3 = 0 THEN 'type of value' END,
+                                    CASE WHEN n % 11 = 0 THEN 'unknown note' END)
+              ELSE 'unknown tool' END AS problems,
+         CASE WHEN turn % 8 >= 2 THEN 'call_' || conv_id || '_' || (turn - 2) END AS need
+  FROM turns WHERE role = 'assistant'),
+answers AS (SELECT conv_id, turn, 'call_' || conv_id || '_' || (turn - 1) AS call_id, text, q FROM turns
+            WHERE role = 'user' AND turn > 0),
+steps(conv_id, call_id, step) AS (
+  SELECT conv_id, call_id, 0 FROM calls c WHERE NOT EXISTS (SELECT 1 FROM calls d WHERE d.call_id = c.need)
+  UNION ALL SELECT c.conv_id, c.call_id, s.step + 1 FROM steps s JOIN calls c ON c.need = s.call_id),
+linked AS (
+  SELECT c.conv_id, c.turn, c.call_id, c.name, s.step, c.problems, c.arguments, a.q,
+         CASE WHEN c.problems <> '' THEN 'invalid' WHEN a.call_id IS NULL THEN 'unanswered' ELSE 'ok' END AS status
+  FROM calls c JOIN steps s USING (call_id) LEFT JOIN answers a USING (call_id))
+SELECT conv_id, turn, call_id, name, step, status, problems,
+       '{"arguments":' || arguments || ',"id":"' || call_id || '","name":"' || name || '"' ||
+       CASE WHEN q IS NULL THEN '' ELSE ',"result":' || q END || ',"status":"' || status || '","step":' || step || '}' AS json
+FROM linked
+UNION ALL
+SELECT conv_id, turn, call_id, NULL, NULL, 'orphan', '',
+       '{"id":"' || call_id || '","result":' || q || ',"status":"orphan"}'
+FROM answers WHERE call_id NOT IN (SELECT call_id FROM calls)
+"""

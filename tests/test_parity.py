@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry
+from cartwheel.plans import oracle, registry
 from parity import difference
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = registry.queries(), oracle.oracle_sql()
 
 
 def test_every_query_has_a_twin():

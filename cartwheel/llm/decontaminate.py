@@ -71,7 +71,7 @@ _SPAN = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 def _scan(rows: DataFrame, block: list[tuple[str, str | None]], n: int, keep_text: bool) -> DataFrame:
     """Adds the block's hits to those in ``spans`` (ranges of words, merged) and ``items``."""
     grams = rows.sparkSession.sparkContext.broadcast(Grams(block, n))
-    names = [c for c in rows.columns if c not in ("text", "spans", "items")]
+    names = [c for c in rows.columns if c not in ("text", "n_words", "spans", "items")]
     names += ["text"] * keep_text + ["n_words", "spans", "items"]
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:

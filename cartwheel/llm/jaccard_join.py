@@ -359,14 +359,14 @@ def _search(docs: DataFrame, signed: DataFrame, words: int, num: int, den: int,
         return None, None
     sets = written(spark, _sets(docs, signed.select("id", "fp"), held.select("fp").distinct(), words, seed), "sets")
     links = roots = None
-    for turn in range(ROUNDS + 1):
-        holders = _mixed(held, roots)
-        if turn < ROUNDS:
-            pairs = _screened(_to_pivots(holders, turn), sets, num, den)
-        else:
-            pairs = _in_blocks(holders, sets, num, den)
+    for turn in range(ROUNDS):
+        pairs = _screened(_to_pivots(_mixed(held, roots), turn), sets, num, den)
         found = written(spark, _linked(pairs, sets, num, den), "links")
         links = found if links is None else links.unionByName(found)
-        if turn < ROUNDS:
-            roots = _near_roots(links)
-    return links, components(links)
+        # before the blocks the components are followed to their ends, so that settled signatures emit nothing
+        roots = _near_roots(links) if turn < ROUNDS - 1 else components(links)
+    found = written(spark, _linked(_in_blocks(_mixed(held, roots), sets, num, den), sets, num, den), "links")
+    if found.isEmpty():
+        return links, roots
+    known = roots.select(F.col("fp").alias("a"), F.col("root").alias("b"))
+    return links.unionByName(found), components(known.unionByName(found))

@@ -41,6 +41,8 @@ def _bound(codes: np.ndarray) -> np.ndarray:
 
 def runs(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct runs of three signs, then which one stands where and in which text."""
+    if not texts:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     texts = [t.lower() for t in texts]
     points = np.frombuffer("".join(f" {t} " for t in texts).encode("utf-32-le"), np.uint32)
     doc = np.repeat(np.arange(len(texts)), [len(t) + 2 for t in texts])

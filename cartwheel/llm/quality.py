@@ -27,10 +27,9 @@ AT_ONCE = 1 << 14
 
 def padded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All texts in one array, each followed by zeros up to whole half chunks, and the first half chunk of each (one entry
-    more than texts).  Filters near a text's end see zeros, never the next text."""
+    more than texts)."""
     size = np.diff(offsets)
-    halves = np.maximum(1, -(-(size + WIDTH - 1) // HALF))
-    first = np.append(0, np.cumsum(halves))
+    first = np.append(0, np.cumsum(np.maximum(1, -(-size // HALF))))
     out = np.zeros(first[-1] * HALF + WIDTH - 1, np.uint8)
     shift = np.repeat(first[:-1] * HALF - offsets[:-1], size)
     out[np.arange(len(data)) + shift] = data
@@ -46,20 +45,23 @@ class Network:
                   "shift": np.zeros(FILTERS, np.float32), "dense": start(FILTERS, DENSE),
                   "dshift": np.zeros(DENSE, np.float32), "out": start(DENSE), "bias": np.zeros(1, np.float32)}
 
-    def _answers(self, data: np.ndarray) -> np.ndarray:
-        """Filter answers at every position but the last WIDTH - 1."""
-        seen = self.w["embed"][data].ravel()
-        views = np.lib.stride_tricks.sliding_window_view(seen, WIDTH * EMBED)[::EMBED]
+    def _answers(self, rows: np.ndarray) -> np.ndarray:
+        """Filter answers at every position but the last WIDTH - 1 of each row of bytes."""
+        seen = self.w["embed"][rows].reshape(len(rows), -1)
+        views = np.lib.stride_tricks.sliding_window_view(seen, WIDTH * EMBED, axis=1)[:, ::EMBED]
         return np.ascontiguousarray(views) @ self.w["conv"]
 
-    def halves(self, data: np.ndarray) -> np.ndarray:
-        """The largest answer of every filter in every half chunk."""
-        n = (len(data) - WIDTH + 1) // HALF
-        out = np.empty((n, FILTERS), np.float32)
+    def halves(self, data: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """The largest answer of every filter in every half chunk; beyond a text's last one filters see zeros."""
+        rows = np.lib.stride_tricks.sliding_window_view(data, HALF + WIDTH - 1)[::HALF]
+        out = np.empty((first[-1], FILTERS), np.float32)
+        last = np.zeros(first[-1], bool)
+        last[first[1:] - 1] = True
         step = AT_ONCE // HALF
-        for i in range(0, n, step):
-            upto = min(n, i + step)
-            out[i:upto] = self._answers(data[i * HALF:upto * HALF + WIDTH - 1]).reshape(-1, HALF, FILTERS).max(axis=1)
+        for i in range(0, len(out), step):
+            some = rows[i:i + step].copy()
+            some[last[i:i + step], HALF:] = 0
+            out[i:i + step] = self._answers(some).max(axis=1)
         return out
 
     def doubt(self, largest: np.ndarray) -> np.ndarray:
@@ -69,7 +71,7 @@ class Network:
     def gradients(self, chunks: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
         """For chunks of CHUNK + WIDTH - 1 bytes; only the positions with the largest answers have a part in it."""
         w, size = self.w, len(y)
-        answers = np.stack([self._answers(c) for c in chunks])
+        answers = self._answers(chunks)
         at = answers.argmax(axis=1)
         raw = np.take_along_axis(answers, at[:, None, :], axis=1)[:, 0] + w["shift"]
         top = np.maximum(raw, 0)
@@ -113,18 +115,18 @@ class Model:
         adam = Adam(self.network.w, 0.01)
         for turn in range(turns):
             adam.rate = 0.01 * (1 - turn / turns)
-            score = self._doubts(data, one, two) if turn else rng.random(len(doc)).astype(np.float32)
+            score = self._doubts(data, first, one, two) if turn else rng.random(len(doc)).astype(np.float32)
             order = np.lexsort((-score, doc))
             place = np.arange(len(order)) - np.searchsorted(doc, doc)
             high = order[place < np.where(y[doc[order]] > 0, 2, 1)]
             classes = [high[y[doc[high]] == k] for k in (0, 1)]
             for _ in range(steps):
                 rows = np.concatenate([rng.choice(c, batch // 2) for c in classes])
-                starts = np.minimum(one[rows] * HALF, len(data) - CHUNK - WIDTH + 1).clip(0)
-                ends = two[rows] * HALF + HALF + WIDTH - 1
-                at = np.minimum(starts[:, None] + np.arange(CHUNK + WIDTH - 1), ends[:, None] - 1).clip(0, len(data) - 1)
-                adam.step(self.network.gradients(data[at], 1 - y[doc[rows]]))
-        most, mean = self._pooled(self._doubts(data, one, two), doc, len(texts))
+                at = one[rows][:, None] * HALF + np.arange(CHUNK + WIDTH - 1)
+                beyond = at >= first[doc[rows] + 1][:, None] * HALF
+                chunks = np.where(beyond, 0, data[np.minimum(at, len(data) - 1)])
+                adam.step(self.network.gradients(chunks, 1 - y[doc[rows]]))
+        most, mean = self._pooled(self._doubts(data, first, one, two), doc, len(texts))
         # how much the mean adds to the largest doubt: the share that parts the sample best
         def loss(part: float) -> float:
             raw = -(most + part * mean)
@@ -134,8 +136,8 @@ class Model:
         self.mean_part = min((0.0, 0.25, 0.5, 1.0), key=loss)
         self.scale, self.shift = calibrate(-(most + self.mean_part * mean), y, weight)
 
-    def _doubts(self, data: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        halves = self.network.halves(data)
+    def _doubts(self, data: np.ndarray, first: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        halves = self.network.halves(data, first)
         return self.network.doubt(np.maximum(halves[one], halves[two]))
 
     @staticmethod
@@ -150,7 +152,7 @@ class Model:
             return np.full(len(column), self.constant or 0.0)
         data, first = padded(*T.utf8(column))
         one, two, doc = _chunks(first)
-        most, mean = self._pooled(self._doubts(data, one, two), doc, len(column))
+        most, mean = self._pooled(self._doubts(data, first, one, two), doc, len(column))
         return 1 / (1 + np.exp(-np.clip(self.scale * -(most + self.mean_part * mean) + self.shift, -40, 40)))
 
 

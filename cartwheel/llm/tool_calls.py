@@ -55,28 +55,26 @@ def ordered(calls: DataFrame) -> DataFrame:
     ``unknown``.  One round per step of the longest chain; every round is a table in the shared folder.
     """
     spark = calls.sparkSession
-    ids = calls.select("conv_id", "call_id").distinct()
-    asked = calls.select("conv_id", "call_id", F.explode(F.array_distinct("needs")).alias("need"))
-    asked = asked.join(ids.select("conv_id", F.col("call_id").alias("need"), F.lit(True).alias("known")),
-                       ["conv_id", "need"], "left")
+    ids = calls.where("key is not null").select("key").distinct()
+    asked = calls.select("conv_id", "key", F.explode(F.array_distinct("needs")).alias("call_id"))
+    asked = asked.select("key", F.col("call_id").alias("id"), _key().alias("need")).where("need is not null")
+    asked = asked.join(ids.select(F.col("key").alias("need"), F.lit(True).alias("known")), "need", "left")
     asked = written(spark, asked.distinct(), "needs")
-    unknown = asked.where("known is null").groupBy("conv_id", "call_id").agg(
-        F.array_sort(F.collect_list("need")).alias("unknown"))
-    open_ = asked.where("known").select("conv_id", "call_id", "need")
-    done = written(spark, ids.join(open_, ["conv_id", "call_id"], "left_anti").withColumn("step", F.lit(0)), "steps")
+    unknown = asked.where("known is null").groupBy("key").agg(F.array_sort(F.collect_list("id")).alias("unknown"))
+    open_ = asked.where("known").select("key", "need")
+    done = written(spark, ids.join(open_, "key", "left_anti").withColumn("step", F.lit(0)), "steps")
     parts, step = [done], 0
     while not open_.isEmpty():
         step += 1
-        met = parts[-1].select("conv_id", F.col("call_id").alias("need"))
-        before = open_.select("conv_id", "call_id").distinct()
-        open_ = written(spark, open_.join(met, ["conv_id", "need"], "left_anti"), "open")
-        free = before.join(open_, ["conv_id", "call_id"], "left_anti").withColumn("step", F.lit(step))
-        free = written(spark, free, "steps")
+        met = parts[-1].select(F.col("key").alias("need"))
+        before = open_.select("key").distinct()
+        open_ = written(spark, open_.join(met, "need", "left_anti"), "open")
+        free = written(spark, before.join(open_, "key", "left_anti").withColumn("step", F.lit(step)), "steps")
         if free.isEmpty():
             break
         parts.append(free)
     steps = reduce(DataFrame.unionByName, parts)
-    return calls.join(steps, ["conv_id", "call_id"], "left").join(unknown, ["conv_id", "call_id"], "left")
+    return calls.join(steps, "key", "left").join(unknown, "key", "left")
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:

@@ -11,7 +11,8 @@ From signatures to components:
 
 1. One scan turns every text into its set's size, two fingerprints and its signatures.  Equal sets become one node, named
    by the smallest document.
-2. Signatures held by two nodes or more are kept.  In rounds, every holder is compared with one pivot of each signature;
+2. Signatures given more than once are kept: their count is combined before its shuffle, and a map of fixed size keeps
+   most other rows from moving; the join after it is exact.  In rounds, every holder is compared with one pivot of each signature;
    holders found to be linked join one component.
 3. A signature whose holders all lie in one component is settled.  Of the others, holders in different components are
    compared in blocks: parity sketches (their differing bits never exceed the number of differing elements) discard pairs
@@ -29,15 +30,18 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import pyarrow.compute
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cartwheel.llm import text as T
 from cartwheel.llm.spread import join_key, written
 
 #: separators are blank and 0x09-0x0D
 WORD = ~T.byte_class((0x20, 0x20), (0x09, 0x0D))
-BAND = 1.25
-COVER = 6
+BAND = 1.5
+COVER = 2.5
+#: bits of the maps that spare rows a shuffle before an exact join
+BITS = 1 << 24
 
 
 @lru_cache(maxsize=None)
@@ -148,16 +152,38 @@ def _signed(docs: DataFrame, words: int, num: int, den: int, seed: int) -> DataF
     return docs.mapInArrow(run, _SCAN)
 
 
-def _membership(nodes: DataFrame, bits: int) -> np.ndarray:
-    """A bitmap of hashed node names of at most ``bits`` bits, whatever the number of nodes."""
-    slot = F.pmod(F.xxhash64("fp"), F.lit(bits))
-    words = (nodes.select(slot.alias("b")).groupBy(F.shiftright("b", 5).alias("w"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(b % 32 as int))")).alias("v"))).toArrow()
-    out = np.zeros(bits // 32, np.uint32)
+def _membership(slots: DataFrame) -> np.ndarray:
+    """A map of the slots (column b, below BITS) that occur; its size is fixed, whatever the number of rows."""
+    words = slots.groupBy(F.shiftright("b", 5).alias("w")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(b % 32 as int))")).alias("v")).toArrow()
+    out = np.zeros(BITS // 32, np.uint32)
     out[words.column("w").to_numpy()] = words.column("v").to_numpy().astype(np.uint32)
     return out
 
 
+def _held(signed: DataFrame) -> DataFrame:
+    """(sig, fp, n) of signatures that more than one task or node has given; a map of those drops most others early."""
+    spark = signed.sparkSession
+    shared = signed.select(F.explode("sigs").alias("sig")).groupBy("sig").count().where("count > 1").select("sig")
+    shared = written(spark, shared, "shared")
+    bitmap = spark.sparkContext.broadcast(_membership(shared.select(F.pmod("sig", F.lit(BITS)).alias("b"))))
+
+    def run(batches):
+        for part in batches:
+            sig = part.column("sigs").flatten()
+            slot = sig.to_numpy().astype(np.int64) & (BITS - 1)
+            keep = (bitmap.value[slot >> 5] >> (slot & 31).astype(np.uint32)) & 1 > 0
+            row = pa.compute.list_parent_indices(part.column("sigs")).to_numpy()[keep]
+            yield pa.RecordBatch.from_arrays([sig.filter(pa.array(keep)), *(part.column(c).take(pa.array(row))
+                                                                            for c in ("fp", "n"))], ["sig", "fp", "n"])
+    near = signed.select("fp", "n", "sigs").where("size(sigs) > 0").mapInArrow(run, "sig long, fp long, n long")
+    return written(spark, near.join(shared, "sig").distinct(), "held")
+
+
+def _slot() -> Column:
+    return F.pmod(F.xxhash64("id"), F.lit(BITS))
+
+
 def _sets(docs: DataFrame, signed: DataFrame, nodes: DataFrame, words: int, seed: int) -> DataFrame:
     """The shingles and parity sketch of the given nodes, from a second scan of the texts.
 
@@ -165,8 +191,7 @@ def _sets(docs: DataFrame, signed: DataFrame, nodes: DataFrame, words: int, seed
     """
     spark = docs.sparkSession
     wanted = signed.join(nodes, "fp").groupBy("fp").agg(F.min("id").alias("id"))
-    bits = 1 << 23
-    bitmap = spark.sparkContext.broadcast(_membership(wanted.select(F.col("id").alias("fp")), bits))
+    bitmap = spark.sparkContext.broadcast(_membership(wanted.select(_slot().alias("b"))))
 
     def run(batches):
         seen: set[int] = set()
@@ -186,8 +211,7 @@ def _sets(docs: DataFrame, signed: DataFrame, nodes: DataFrame, words: int, seed
                 [pa.array([r[i] for r in rows], kind) for i, kind in
                  enumerate((pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())))],
                 ["fp", "n", "shingles", "sketch"])
-    slot = F.pmod(F.xxhash64("id"), F.lit(bits))
-    found = docs.withColumn("slot", slot).mapInArrow(run, _SETS)
+    found = docs.withColumn("slot", _slot()).mapInArrow(run, _SETS)
     return found.join(nodes, "fp", "left_semi")
 
 
@@ -352,9 +376,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def _search(docs: DataFrame, signed: DataFrame, words: int, num: int, den: int, seed: int):
     """The links found between different sets, and the components they form (None where there are no candidates)."""
     spark = docs.sparkSession
-    sigs = signed.select("fp", "n", F.explode("sigs").alias("sig"))
-    shared = sigs.groupBy("sig").agg(F.min("fp").alias("x"), F.max("fp").alias("y")).where("x < y").select("sig")
-    held = written(spark, sigs.join(shared, "sig").select("sig", "fp", "n").distinct(), "held")
+    held = _held(signed)
     if held.isEmpty():
         return None, None
     sets = written(spark, _sets(docs, signed.select("id", "fp"), held.select("fp").distinct(), words, seed), "sets")

@@ -29,6 +29,14 @@ def time_chunk(moment: str, ident: str, ids: int = IDS_PER_CHUNK) -> Column:
                     F.when(exact, F.floor(F.col(ident) / ids)).otherwise(F.lit(0)).alias("ids"))
 
 
+def _join_pieces(rows: DataFrame, pieces: DataFrame, part: list[str]) -> DataFrame:
+    """Rows with the one row of their piece; a null key is a key like others."""
+    named = pieces.select(*[F.col(c).alias(f"_of_{i}") for i, c in enumerate(part)],
+                          *[c for c in pieces.columns if c not in part])
+    on = [F.col(c).eqNullSafe(F.col(f"_of_{i}")) for i, c in enumerate(part)]
+    return rows.join(named, on).drop(*[f"_of_{i}" for i in range(len(part))])
+
+
 def running_total(df: DataFrame, key: Sequence[str], order: Sequence[str], chunk: Column, value: str,
                   out: str) -> DataFrame:
     """Sum of ``value`` over the rows of the key up to and including this one.
@@ -43,7 +51,7 @@ def running_total(df: DataFrame, key: Sequence[str], order: Sequence[str], chunk
               .drop("_sum"))
     inside = F.sum(value).over(Window.partitionBy(*part).orderBy(*order)
                                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (cut.withColumn("_inside", inside).join(before, part)
+    return (_join_pieces(cut.withColumn("_inside", inside), before, part)
             .select(*df.columns, (F.col("_before") + F.col("_inside")).alias(out)))
 
 
@@ -55,7 +63,7 @@ def previous_value(df: DataFrame, key: Sequence[str], order: Sequence[str], chun
     last = (cut.groupBy(*part).agg(F.max_by(F.struct(value), F.struct(*order)).alias("_last"))
             .withColumn("_carry", F.lag("_last").over(Window.partitionBy(*key).orderBy("_chunk"))).drop("_last"))
     inside = F.lag(F.struct(value)).over(Window.partitionBy(*part).orderBy(*order))
-    return (cut.withColumn("_inside", inside).join(last, part)
+    return (_join_pieces(cut.withColumn("_inside", inside), last, part)
             .select(*df.columns, F.coalesce("_inside", "_carry")[value].alias(out)))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cartwheel.functions.scalars import date_key, day, row_hash, ts
 
@@ -25,17 +25,24 @@ class Scd2:
 CUSTOMER = Scd2("CustomerId", "CustomerKey", ("FullName", "Email", "City"))
 PRODUCT = Scd2("ProductId", "ProductKey", ("Sku", "Name", "Category", "Brand"))
 
-#: versions a key can have before its surrogate keys would touch those of the next key
-VERSIONS_PER_KEY = 1000
+#: surrogate keys: the first versions of a key are ``key * SHORT + version``; later ones are negative, so that no two
+#: (key, version) pairs share one below LONG versions, where the load stops
+SHORT, LONG = 1000, 1 << 24
 
 
 def _hashed(snapshot: DataFrame, dim: Scd2) -> DataFrame:
     return snapshot.select(dim.key, *dim.tracked, row_hash(dim.tracked).alias("RowHash"))
 
 
+def surrogate(key: Column, version: Column) -> Column:
+    key, version = key.cast("long"), version.cast("long")
+    return (F.when(version < SHORT, key * SHORT + version).when(version < LONG, -(key * LONG + version))
+            .otherwise(F.raise_error(F.lit("too many versions of one key"))))
+
+
 def _opened(rows: DataFrame, dim: Scd2, as_of: datetime) -> DataFrame:
     """New current versions; ``rows`` carries the version number."""
-    return (rows.withColumn(dim.surrogate, F.col(dim.key) * VERSIONS_PER_KEY + F.col("Version"))
+    return (rows.withColumn(dim.surrogate, surrogate(F.col(dim.key), F.col("Version")))
             .withColumn("ValidFrom", ts(as_of)).withColumn("ValidTo", F.lit(None).cast("timestamp_ntz"))
             .withColumn("IsCurrent", F.lit(True)).select(dim.columns))
 

@@ -14,12 +14,12 @@ FACT_COLUMNS = ["DateKey", "CustomerKey", "ProductKey", "OrderId", "OrderItemId"
 
 
 def incremental_extract(items: DataFrame, orders: DataFrame, watermark) -> DataFrame:
-    """Lines above the mark with the date and customer of their order.
+    """Lines above the mark with the date and customer of their order, null where there is no such order.
 
     One job takes all new lines, in no order; nothing is paged through.
     """
     return (items.where(F.col("OrderItemId") > watermark)
-            .join(orders.select("OrderId", "CustomerId", "OrderDate"), "OrderId").select(BRONZE_COLUMNS))
+            .join(orders.select("OrderId", "CustomerId", "OrderDate"), "OrderId", "left").select(BRONZE_COLUMNS))
 
 
 def bronze_new_rows(batch: DataFrame, bronze: DataFrame, key: str) -> DataFrame:
@@ -47,20 +47,25 @@ def resolve_keys(items: DataFrame, orders: DataFrame, customer_keys: DataFrame,
     """
     also = also or []
     known = orders.join(customer_keys, ["CustomerId", *also], "left")
-    lines = items.join(known, "OrderId").join(product_keys, ["ProductId", *also], "left")
+    lines = items.join(known, ["OrderId"], "left").join(product_keys, ["ProductId", *also], "left")
     return lines.withColumn("DateKey", date_key(F.col("OrderDate")))
 
 
+def _complete():
+    return F.col("DateKey").isNotNull() & F.col("CustomerKey").isNotNull() & F.col("ProductKey").isNotNull()
+
+
 def silver_fact(resolved: DataFrame, as_of: datetime) -> DataFrame:
-    """Lines whose two lookups succeeded."""
-    return (resolved.where(F.col("CustomerKey").isNotNull() & F.col("ProductKey").isNotNull())
+    """Lines whose order and two lookups were found."""
+    return (resolved.where(_complete())
             .select(*FACT_COLUMNS, ts(as_of).alias("EtlLoadedAt")))
 
 
 def fact_quarantine(resolved: DataFrame) -> DataFrame:
     """The other lines, with the lookup that failed first: the mark passes them, so they would be lost."""
-    reason = F.when(F.col("CustomerKey").isNull(), F.lit("unknown customer")).otherwise(F.lit("unknown product"))
-    return (resolved.where(F.col("CustomerKey").isNull() | F.col("ProductKey").isNull())
+    reason = (F.when(F.col("DateKey").isNull(), F.lit("unknown order"))
+              .when(F.col("CustomerKey").isNull(), F.lit("unknown customer")).otherwise(F.lit("unknown product")))
+    return (resolved.where(~_complete())
             .select("OrderItemId", "OrderId", "CustomerId", "ProductId", "DateKey", "Quantity", "LineTotal",
                     reason.alias("Reason")))
 

@@ -1,8 +1,10 @@
 """Guarded SQL: one query over whitelisted views, with a row cap.
 
 Spark itself parses and resolves the text.  It is placed in a subquery, where only a query is grammatical: a command,
-a second statement or SELECT INTO does not parse.  The relations it names are read from the parsed plan that EXPLAIN
-prints, the columns are resolved by the analyser, and the cap is a limit on the result.
+a second statement or SELECT INTO does not parse.  It is resolved, not yet planned, in a session of its own that holds
+nothing but the views, and the resolved tree is walked: every leaf must lie below one of these views (or be the single
+empty row, or a reference to a common table of the query, whose definition is walked too), and every expression must be
+a built-in one that stays inside the query.  The cap is a limit on the result.
 """
 
 from __future__ import annotations
@@ -11,13 +13,19 @@ import re
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cartwheel import schemas as S
+from cartwheel.session import tune
 
-#: functions that reach outside the query
-BANNED_FUNCTIONS = ("reflect", "java_method", "try_reflect")
+#: expressions that reach outside the query, by their class
+OUTSIDE = {"CallMethodViaReflection": "reflect", "TryReflect": "try_reflect", "InputFileName": "input_file_name",
+           "PythonUDF": "user function", "ScalaUDF": "user function"}
+BUILT_IN = "org.apache.spark.sql.catalyst.expressions."
+SUBQUERIES = ("ScalarSubquery", "Exists", "ListQuery", "LateralSubquery")
+#: leaves that hold no data of anybody's
+HARMLESS = ("OneRowRelation", "OneRowRelation$", "CTERelationRef")
 
 
 class Refused(ValueError):
@@ -36,54 +44,111 @@ class Guarded:
     relations: tuple[str, ...]
 
 
-def _parsed_plan(spark: SparkSession, query: str) -> str:
-    text = spark.sql(f"EXPLAIN EXTENDED {query}").first()[0]
-    if "== Parsed Logical Plan ==" not in text or text.startswith("Error"):
-        raise Refused([text.splitlines()[0][:200]])
-    return text.split("== Analyzed Logical Plan ==")[0]
+class _Walk:
+    """What a resolved tree reads and what speaks against it."""
+
+    def __init__(self, names: set[str]):
+        self.names, self.read, self.reasons = names, set(), set()
+
+    def plan(self, node) -> None:
+        kind = _kind(node)
+        if kind == "View" and node.isTempView() and not node.desc().identifier().database().isDefined():
+            name = node.desc().identifier().table().lower()
+            if name in self.names:
+                self.read.add(name)
+                return
+        below = _items(node.children())
+        if not below and kind not in HARMLESS:
+            self.reasons.add("Table-valued function calls are not allowed." if kind in ("Range", "LocalRelation")
+                             else f"Table not allowed or unknown: {node.simpleString(3).split(' ')[-1].lower()}")
+        for expression in _items(node.expressions()):
+            self.expression(expression)
+        for child in below:
+            self.plan(child)
+
+    def expression(self, node) -> None:
+        kind, whole = _kind(node), node.getClass().getName()
+        if kind in OUTSIDE or not whole.startswith(BUILT_IN):
+            self.reasons.add(f"Function not allowed: {OUTSIDE.get(kind, kind)}")
+        if kind in SUBQUERIES:
+            self.plan(node.plan())
+        for child in _items(node.children()):
+            self.expression(child)
+
+
+def _asked(plan) -> set[str]:
+    """What speaks against a plan as parsed: names of several parts (views have one) and computed names."""
+    kind, found = _kind(plan), set()
+    if kind == "UnresolvedRelation" and plan.multipartIdentifier().size() > 1:
+        found.add("Table not allowed or unknown: " + ".".join(_items(plan.multipartIdentifier())).lower())
+    if "WithUnresolvedIdentifier" in kind:
+        found.add("Computed table names are not allowed.")
+    for child in _items(plan.children()) + (_items(plan.innerChildren()) if kind == "UnresolvedWith" else []):
+        found |= _asked(child)
+    for expression in _items(plan.expressions()):
+        found |= _asked_within(expression)
+    return found
+
+
+def _asked_within(expression) -> set[str]:
+    kind = _kind(expression)
+    found = {"Computed table names are not allowed."} if "WithUnresolvedIdentifier" in kind else set()
+    if kind in SUBQUERIES:
+        found |= _asked(expression.plan())
+    for child in _items(expression.children()):
+        found |= _asked_within(child)
+    return found
+
+
+def _kind(node) -> str:
+    return node.getClass().getName().rsplit(".", 1)[-1]
+
+
+def _items(sequence) -> list:
+    return [sequence.apply(i) for i in range(sequence.size())]
+
+
+def _refusal(error: PySparkException) -> Refused:
+    """A missing relation by its name, any other error by its whole message."""
+    if isinstance(error, AnalysisException) and error.getCondition() == "TABLE_OR_VIEW_NOT_FOUND":
+        name = error.getMessageParameters()["relationName"].replace("`", "").lower()
+        return Refused([f"Table not allowed or unknown: {name}"])
+    if isinstance(error, AnalysisException) and error.getCondition() == "UNRESOLVABLE_TABLE_VALUED_FUNCTION":
+        return Refused(["Table-valued function calls are not allowed."])
+    return Refused([str(error).strip()])
+
+
+def _own_session(spark: SparkSession, views: Mapping[str, DataFrame]) -> SparkSession:
+    """A session that knows the views by name and no other temporary view."""
+    own = tune(spark.newSession())
+    dataset = spark.sparkContext._jvm.org.apache.spark.sql.classic.Dataset
+    for name, frame in views.items():
+        plan = frame._jdf.queryExecution().analyzed()
+        dataset.ofRows(own._jsparkSession, plan).createOrReplaceTempView(name)
+    return own
 
 
 def guarded_sql(views: Mapping[str, DataFrame], sql: str, cap: int = S.ROW_CAP, schema: str = "gold") -> Guarded:
     """Run one SELECT (Spark SQL) over ``views`` or raise :class:`Refused`.
 
-    The views are registered under their names as temporary views of the session; the text may write them with the
-    ``schema`` in front.
+    The text may write the views' names with the ``schema`` in front.  The caller's session stays as it is.
     """
     body = sql.strip().rstrip(";").strip()
     if not body:
         raise Refused(["Empty SQL."])
-    called = [name for name in BANNED_FUNCTIONS if re.search(rf"\b{name}\b\s*\(", body, re.IGNORECASE)]
-    if called:  # asked of the text, before Spark gets to plan it
-        raise Refused([f"Function not allowed: {name}" for name in called])
     body = re.sub(rf"\b{schema}\.(?=({'|'.join(views)})\b)", "", body, flags=re.IGNORECASE)
-    spark = next(iter(views.values())).sparkSession
+    own = _own_session(next(iter(views.values())).sparkSession, views)
     query = f"SELECT * FROM (\n{body}\n)"
     try:
-        plan = _parsed_plan(spark, query)
-    except Refused:
-        raise
-    except PySparkException as error:
-        raise Refused([str(error).strip().splitlines()[0]]) from None
-    relations = {name.replace(" ", "").replace(",", ".").lower()
-                 for name in re.findall(r"UnresolvedRelation \[([^\]]*)\]", plan)}
-    common = {name.lower() for names in re.findall(r"CTE \[([^\]]*)\]", plan) for name in re.split(r",\s*", names)}
-    known = {name.lower() for name in views}
-    reasons = [f"Table not allowed or unknown: {name}" for name in sorted(relations - common - known)]
-    if "UnresolvedTableValuedFunction" in plan:
-        reasons.append("Table-valued function calls are not allowed.")
-    if "UnresolvedIdentifier" in plan:
-        reasons.append("Computed table names are not allowed.")
-    if reasons:
-        raise Refused(reasons)
-    try:
-        result = _with_views(spark, views, query)
+        asked = _asked(own._jsparkSession.sessionState().sqlParser().parsePlan(query))
+        result = None if asked else own.sql(query)
     except PySparkException as error:
-        raise Refused([str(error).strip().splitlines()[0]]) from None
+        raise _refusal(error) from None
+    if asked:
+        raise Refused(sorted(asked))
+    walk = _Walk({name.lower() for name in views})
+    walk.plan(result._jdf.queryExecution().analyzed())
+    if walk.reasons:
+        raise Refused(sorted(walk.reasons))
     over = result.limit(cap + 1).agg((F.count(F.lit(1)) > cap).alias("Truncated"))
-    return Guarded(result.limit(cap), over, tuple(sorted(relations - common)))
-
-
-def _with_views(spark: SparkSession, views: Mapping[str, DataFrame], query: str) -> DataFrame:
-    for name, frame in views.items():
-        frame.createOrReplaceTempView(name)
-    return spark.sql(query)
+    return Guarded(result.limit(cap), over, tuple(sorted(walk.read)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cartwheel import schemas as S
@@ -25,7 +27,15 @@ def canonical_vnpay(params: Column) -> Column:
     signed = F.filter(F.map_entries(params), lambda e: F.startswith(e["key"], F.lit("vnp_"))
                       & ~e["key"].isin(*VNPAY_HASH_FIELDS) & (F.coalesce(e["value"], F.lit("")) != ""))
     return F.array_join(F.transform(F.array_sort(signed), lambda e: F.concat(
-        F.url_encode(e["key"]), F.lit("="), F.url_encode(e["value"]))), "&")
+        _encoded(e["key"]), F.lit("="), _encoded(e["value"]))), "&")
+
+
+def _encoded(text: Column) -> Column:
+    """URL encoding as the gateway signs it: the three signs ``! ( )`` stay as they are."""
+    out = F.url_encode(text)
+    for code, sign in (("%21", "!"), ("%28", "("), ("%29", ")")):
+        out = F.replace(out, F.lit(code), F.lit(sign))
+    return out
 
 
 def _param(params: Column, name: str) -> Column:
@@ -56,8 +66,8 @@ def hmac_hex(message: Column, secret: str, bits: int) -> Column:
     """HMAC-SHA2 as lower-case hex, written with the built-in hash: H(key^opad + H(key^ipad + message))."""
     block = 64 if bits == 256 else 128
     key = secret.encode()
-    if len(key) > block:
-        raise ValueError("secrets longer than one hash block are not supported")
+    if len(key) > block:  # the rule for long secrets: their hash is the key
+        key = hashlib.new(f"sha{bits}", key).digest()
     padded = key.ljust(block, b"\0")
     inner, outer = (bytearray(b ^ pad for b in padded) for pad in (0x36, 0x5C))
     digest = F.sha2(F.concat(F.lit(inner), F.encode(message, "UTF-8")), bits)

@@ -55,16 +55,17 @@ def load_batch(wh: Warehouse, lines: DataFrame, source: Source, as_of: datetime,
                low: int | None = None, high: int | None = None) -> BatchResult:
     """Land extracted lines and turn them into facts; bronze, fact, quarantine and mark commit together.
 
-    ``low`` / ``high`` bound the ids of the batch: only that id range of bronze is read to find lines that were
-    landed before.  A token that was committed before makes this a no-op.
+    ``low`` / ``high`` bound the ids of the batch: only that id range of bronze and fact is read to find lines that were
+    landed or loaded before.  A line that bronze holds and the fact lacks (after a reset, or because a lookup failed
+    before) becomes a fact now.  A token that was committed before makes this a no-op.
     """
     if wh.done(token):
         return BatchResult(None, 0, wh.watermark(S.PIPELINE))
-    known = wh.read("bronze")
-    if known is None:
-        landed_keys = lines.select("OrderItemId").where(F.lit(False))
-    else:
-        landed_keys = known.where(F.col("OrderItemId").between(low, high)) if high is not None else known
+    def in_range(frame: DataFrame) -> DataFrame:
+        return frame.where(F.col("OrderItemId").between(low, high)) if high is not None else frame
+
+    known, held = wh.read("bronze"), wh.read("fact")
+    landed_keys = lines.select("OrderItemId").where(F.lit(False)) if known is None else in_range(known)
     fresh = etl.bronze_new_rows(lines, landed_keys, "OrderItemId")
     bronze = wh.stage("bronze", etl.landed(fresh, as_of).sortWithinPartitions("OrderItemId"))
     # what follows reads the landed folder: a lost executor costs a re-read, not a re-extract.  Rows are counted in
@@ -73,27 +74,74 @@ def load_batch(wh: Warehouse, lines: DataFrame, source: Source, as_of: datetime,
     landed = rows.count()
     top = high if high is not None else rows.agg(F.max("OrderItemId")).first()[0]
     mark = max(wh.watermark(S.PIPELINE), top or 0)
+    if known is not None:
+        again = in_range(known).join(lines.select("OrderItemId"), "OrderItemId", "left_semi")
+        if held is not None:
+            again = again.join(in_range(held).select("OrderItemId"), "OrderItemId", "left_anti")
+        if not again.isEmpty():
+            rows = rows.unionByName(_with_orders(again, source.orders))
+            landed = rows.count()
     if not landed:
+        if mark > wh.watermark(S.PIPELINE):
+            wh.commit([], token, as_of, {S.PIPELINE: mark})
         return BatchResult(None, 0, mark)
+    staged = [bronze, *_facts(wh, rows, as_of)]
+    fact = wh.open(staged[1])
+    loaded = fact.count()
+    wh.commit(staged, token, as_of, {S.PIPELINE: mark})
+    return BatchResult(fact if loaded else None, loaded, mark)
+
+
+def _with_orders(rows: DataFrame, orders: DataFrame) -> DataFrame:
+    """Landed lines with what their order says now, for those that had no order when they landed."""
+    now = orders.select("OrderId", F.col("CustomerId").alias("_customer"), F.col("OrderDate").alias("_date"))
+    found = rows.join(now, "OrderId", "left")
+    return found.withColumn("CustomerId", F.coalesce("CustomerId", "_customer")).withColumn(
+        "OrderDate", F.coalesce("OrderDate", "_date")).select(rows.columns)
+
+
+def _facts(wh: Warehouse, rows: DataFrame, as_of: datetime) -> list[Staged]:
+    """Staged facts of landed lines, and the lines that are not in quarantine yet and still lack something."""
     customer_keys = dims.current_keys(wh.read("dim_customer"), dims.CUSTOMER)
     product_keys = dims.current_keys(wh.read("dim_product"), dims.PRODUCT)
     resolved = (rows.join(customer_keys, "CustomerId", "left").join(product_keys, "ProductId", "left")
                 .withColumn("DateKey", etl.date_key(F.col("OrderDate"))))
     fact = etl.silver_fact(resolved, as_of).withColumn("MonthKey", month_of(F.col("DateKey")))
-    staged = [bronze, wh.stage("fact", fact, partition="MonthKey")]
-    loaded = wh.open(staged[1]).count()
-    if loaded < landed:  # the lookups run a second time only when they lost something
-        staged.append(wh.stage("quarantine", etl.fact_quarantine(resolved)))
-    wh.commit(staged, token, as_of, {S.PIPELINE: mark})
-    return BatchResult(wh.open(staged[1]) if loaded else None, loaded, mark)
+    staged = [wh.stage("fact", fact, partition="MonthKey")]
+    if wh.open(staged[0]).count() < rows.count():  # the lookups run a second time only when they lost something
+        lost, before = etl.fact_quarantine(resolved), wh.read("quarantine")
+        if before is not None:
+            lost = lost.join(before.select("OrderItemId", "Reason"), ["OrderItemId", "Reason"], "left_anti").select(
+                lost.columns)
+        staged.append(wh.stage("quarantine", lost))
+    return staged
 
 
-def refresh_gold(wh: Warehouse, source: Source, as_of: datetime, facts_changed: bool,
-                 new_facts: DataFrame | None = None) -> None:
+def redrive(wh: Warehouse, source: Source, as_of: datetime) -> BatchResult:
+    """Facts for quarantined lines whose order and dimension rows have arrived since; the rest stays where it is."""
+    waiting, held, mark = wh.read("quarantine"), wh.read("fact"), wh.watermark(S.PIPELINE)
+    if waiting is None:
+        return BatchResult(None, 0, mark)
+    rows = wh.read("bronze").join(waiting.select("OrderItemId"), "OrderItemId", "left_semi")
+    if held is not None:
+        rows = rows.join(held.select("OrderItemId"), "OrderItemId", "left_anti")
+    staged = _facts(wh, _with_orders(rows, source.orders), as_of)
+    fact = wh.open(staged[0])
+    loaded = fact.count()
+    if loaded:
+        wh.commit(staged, f"redrive-{uuid.uuid4().hex}", as_of)
+    return BatchResult(fact if loaded else None, loaded, mark)
+
+
+def refresh_gold(wh: Warehouse, source: Source, as_of: datetime, incremental: bool = False) -> None:
     """Gold over the fact when it changed, and gold over the current orders and stock on every run.
 
-    With ``new_facts`` the daily table recomputes only the days these rows touch.
+    Each gold commit tells the last fact commit it covers, so a run that died between the two is made up for by the next
+    one.  With ``incremental`` the daily table recomputes only the days that facts committed since then touch.
     """
+    upto, covered = wh.last_commit("fact"), wh.covered("gold")
+    facts_changed = upto > covered
+    new_facts = wh.since("fact", covered) if incremental and facts_changed else None
     fact, days = wh.read("fact"), wh.read("dim_date")
     customer, product = wh.read("dim_customer"), wh.read("dim_product")
     frames = {"gold_mix": gold.sales_by_payment_method(source.orders),
@@ -108,7 +156,7 @@ def refresh_gold(wh: Warehouse, source: Source, as_of: datetime, facts_changed:
         if new_facts is not None and daily is not None:
             frames["gold_daily"] = gold.daily_sales_incremental(daily, new_facts, fact, days, product)
     stamped = {name: frame.withColumn("RefreshedAt", ts(as_of)) for name, frame in frames.items()}
-    wh.commit(wh.stage_all(stamped, "replace"), f"gold-{uuid.uuid4().hex}", as_of)
+    wh.commit(wh.stage_all(stamped, "replace"), f"gold-{uuid.uuid4().hex}", as_of, covers={"gold": upto})
 
 
 STAR_TABLES = ("fact", "dim_customer", "dim_product", "dim_date", "gold_daily", "gold_inventory", "gold_mix")
@@ -149,7 +197,7 @@ def run_etl(wh: Warehouse, source: Source, as_of: datetime, with_quality: bool =
 
 def finish_run(wh: Warehouse, source: Source, as_of: datetime, result: BatchResult, clock: float,
                with_quality: bool = True, incremental_gold: bool = False) -> None:
-    refresh_gold(wh, source, as_of, result.rows > 0, result.fact if incremental_gold else None)
+    refresh_gold(wh, source, as_of, incremental_gold)
     if with_quality:
         run_quality(wh, as_of)
     write_run_log(wh, as_of, int((time.monotonic() - clock) * 1000), result.rows, result.watermark, as_of)

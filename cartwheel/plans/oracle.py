@@ -654,8 +654,9 @@ QUERIES = {
                      as Address, CustomerId % 5 = 0 or (nr = 1 and CustomerId % 3 <> 0) as Claims
               from stg_customers, (values (1), (2)) v(nr))""",
     "products_unreferenced": """
-        select ProductId, Sku, ProductId not in (select l_partkey from lineitem where cast(l_quantity as int) > 49)
-                 as Deletable from stg_products""",
+        select ProductId, Sku, ProductId not in (select l_partkey from lineitem) as Deletable
+        from (select ProductId, Sku from stg_products
+              union all select -ProductId, Sku || '-NEW' from stg_products where ProductId % 10 = 0)""",
     # ---- feeds and rules
     "feed_customers_ok": """
         select RowNo, FullName, Email, nullif(Phone, '') as Phone, nullif(City, '') as City from cust_checked

@@ -267,8 +267,7 @@ FRAMES: dict[str, Callable[[Retail], DataFrame]] = {
                                                          r.order_events),
     "related_products": lambda r: lookups.related_products(r.products),
     "address_default": lambda r: lookups.address_book(r.addresses),
-    "products_unreferenced": lambda r: lookups.products_unreferenced(
-        r.products, r.order_items.where(F.col("Quantity") > 49)),
+    "products_unreferenced": lambda r: lookups.products_unreferenced(r.products_with_new, r.order_items),
     # feeds and rules
     "feed_customers_ok": lambda r: _customers_feed(r).accepted,
     "feed_customers_err": lambda r: _customers_feed(r).errors,

@@ -91,6 +91,12 @@ class Retail:
             (F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity")) / 100).cast(S.MONEY).alias("UnitPrice"),
             F.col("l_extendedprice").cast(S.MONEY).alias("LineTotal"))
 
+    @cached_property
+    def products_with_new(self) -> DataFrame:
+        """The products and, for every tenth, a successor that nobody has ordered yet."""
+        new = self.products.where(F.col("ProductId") % 10 == 0).withColumn("ProductId", -F.col("ProductId"))
+        return self.products.unionByName(new.withColumn("Sku", F.concat("Sku", F.lit("-NEW"))))
+
     # ---------------------------------------------------------------- dimensions over two loads
     def customer_snapshot(self, load: int) -> DataFrame:
         if load == 1:

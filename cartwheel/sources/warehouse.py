@@ -25,6 +25,10 @@ COMMITS = T.StructType([
     T.StructField("At", T.TimestampNTZType())])
 
 
+#: how the tokens of the load begin
+LOAD_TOKENS = ("batch-", "etl-stream-")
+
+
 @dataclass(frozen=True)
 class Staged:
     """A written folder that no commit names yet.  Without a path, a replace empties the table."""
@@ -56,17 +60,35 @@ class Warehouse:
         if self._known is None:
             try:
                 self._known = self.commits().orderBy("CommitId").collect()
-            except AnalysisException:  # nothing committed yet
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_NOT_FOUND":  # anything else is a broken log, not an empty one
+                    raise
                 self._known = []
         return self._known
 
     def done(self, token: str) -> bool:
-        """Whether a commit carries the token; a reset starts over."""
+        """Whether a commit carries the token; a reset forgets the tokens of the load it resets, no others."""
         seen = False
         for row in self._log():
-            seen = (seen or row.Token == token) and not row.Token.startswith("reset-")
+            forgets = row.Token.startswith("reset-") and token.startswith(LOAD_TOKENS)
+            seen = (seen or row.Token == token) and not forgets
         return seen
 
+    def last_commit(self, table: str) -> int:
+        """The number of the last commit that names the table, 0 for none."""
+        return max((row.CommitId for row in self._log() if row.TableName == table), default=0)
+
+    def covered(self, name: str) -> int:
+        """The last commit that a derived table has told to cover, 0 for none."""
+        return next((row.Watermark for row in reversed(self._log()) if row.TableName == f"covers:{name}"), 0)
+
+    def since(self, table: str, commit: int) -> DataFrame | None:
+        """The rows appended after a commit; None if none were, or if the table was replaced since."""
+        rows = [r for r in self._log() if r.TableName == table and r.CommitId > commit]
+        if not rows or any(r.Mode == "replace" for r in rows):
+            return None
+        return self._open(table, [r.Path for r in rows])
+
     def watermark(self, pipeline: str) -> int:
         marks = [row.Watermark for row in self._log() if row.TableName == f"watermark:{pipeline}"]
         return marks[-1] if marks else 0
@@ -79,11 +101,12 @@ class Warehouse:
                            F.col("m.Watermark").alias("LastProcessedRowId"), F.col("m.At").alias("LastProcessedAt"))
 
     def commit(self, staged: Iterable[Staged], token: str, as_of: datetime,
-               marks: dict[str, int] | None = None) -> None:
+               marks: dict[str, int] | None = None, covers: dict[str, int] | None = None) -> None:
         number = max((row.CommitId for row in self._log()), default=0) + 1
         rows = [(number, token, s.table, s.mode, s.path, None, as_of) for s in staged]
         rows += [(number, token, f"watermark:{name}", "mark", None, mark, as_of)
                  for name, mark in (marks or {}).items()]
+        rows += [(number, token, f"covers:{name}", "mark", None, upto, as_of) for name, upto in (covers or {}).items()]
         literal_rows(self.spark, rows, COMMITS).write.mode("append").parquet(f"{self.root}/commits")
         self._log().extend(T.Row(*COMMITS.fieldNames())(*row) for row in rows)
 

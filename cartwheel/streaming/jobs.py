@@ -22,12 +22,23 @@ from cartwheel.sources.warehouse import Warehouse
 
 
 def _drain(spark: SparkSession, folder: str, schema: T.StructType, checkpoint: str,
-           handle: Callable[[DataFrame, int], None], files_per_batch: int | None = None) -> StreamingQuery:
-    """Run ``handle`` over everything that is new in the folder, then stop."""
+           handle: Callable[[DataFrame, int, str], None], files_per_batch: int | None = None) -> StreamingQuery:
+    """Run ``handle`` over everything that is new in the folder, then stop.
+
+    It gets the batch, its number, and a name of the batch for tokens: the number alone starts over with every new
+    checkpoint, so the name begins with the id that the checkpoint keeps.
+    """
+    kept: list[str] = []
+
+    def named(batch: DataFrame, number: int) -> None:
+        if not kept:
+            kept.append(spark.read.json(f"{checkpoint}/metadata").first()["id"])
+        handle(batch, number, f"{kept[0]}-{number}")
+
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    query = (reader.parquet(folder).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    query = (reader.parquet(folder).writeStream.foreachBatch(named).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
     return query
@@ -44,13 +55,13 @@ def run_etl_stream(wh: Warehouse, items_folder: str, source: etl_run.Source, as_
     clock, loaded, mark = time.monotonic(), 0, 0
     etl_run.refresh_dimensions(wh, source, as_of)
 
-    def handle(batch: DataFrame, number: int) -> None:
+    def handle(batch: DataFrame, number: int, name: str) -> None:
         nonlocal loaded, mark
         ends = batch.agg(F.min("OrderItemId"), F.max("OrderItemId")).first()
         if ends[0] is None:
             return
         lines = etl.incremental_extract(batch, source.orders, ends[0] - 1)
-        result = etl_run.load_batch(wh, lines, source, as_of, f"etl-stream-{number}", ends[0], ends[1])
+        result = etl_run.load_batch(wh, lines, source, as_of, f"etl-stream-{name}", ends[0], ends[1])
         loaded, mark = loaded + result.rows, max(mark, result.watermark)
         if check_batches and result.fact is not None:
             check_batch(wh, result.fact, as_of, number)
@@ -74,8 +85,8 @@ def run_settlement_stream(wh: Warehouse, callbacks_folder: str, payments_: DataF
 
     The memory between batches is one small row per ref and batch: when it was first paid and first failed.
     """
-    def handle(batch: DataFrame, number: int) -> None:
-        token = f"settle-{number}"
+    def handle(batch: DataFrame, number: int, name: str) -> None:
+        token = f"settle-{name}"
         if wh.done(token):
             return
         marks = wh.read("settle_marks")
@@ -115,10 +126,10 @@ def run_outbox_stream(wh: Warehouse, outbox_folder: str, orders: DataFrame, deli
             return fresh if waiting is None else waiting
         return fresh.unionByName(waiting)
 
-    def handle(batch: DataFrame, number: int) -> None:
-        if not wh.done(f"outbox-{number}"):
+    def handle(batch: DataFrame, number: int, name: str) -> None:
+        if not wh.done(f"outbox-{name}"):
             fresh = outbox.pending(batch).withColumn("Tried", F.lit(0)).select(_RETRY)
-            _dispatch(wh, with_retries(fresh), orders, deliveries, as_of, f"outbox-{number}")
+            _dispatch(wh, with_retries(fresh), orders, deliveries, as_of, f"outbox-{name}")
 
     _drain(wh.spark, outbox_folder, S.OUTBOX, checkpoint, handle)
     for _ in range(S.OUTBOX_MAX_ATTEMPTS):

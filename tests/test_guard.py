@@ -12,6 +12,13 @@ def star(spark):
 
 # statements to refuse, with the word the first reason must hold
 REFUSED = {
+    # a name in a literal, a common table outside its scope, a file, functions that leave the query, computed names
+    "SELECT id, 'CTE [hidden]' AS t FROM hidden": "unknown: hidden",
+    "SELECT *, 'CTE [secret]' AS t FROM parquet.`/root/testdata/sf0.001/nation.parquet`": "not allowed",
+    "SELECT 1 FROM (WITH hidden AS (SELECT 1 AS x) SELECT * FROM hidden) a JOIN hidden b ON true": "unknown: hidden",
+    "SELECT `reflect`('java.lang.System', 'getProperty', 'user.home') FROM DimStore": "Function not allowed: reflect",
+    "SELECT reflect/**/('java.lang.System', 'getProperty', 'user.home')": "Function not allowed: reflect",
+    "SELECT (SELECT try_reflect('java.lang.System', 'nanoTime')) FROM DimStore": "Function not allowed: ",
     "DROP TABLE gold.DimStore;": "SYNTAX",
     "DELETE FROM gold.FactOrderItem;": "SYNTAX",
     "UPDATE gold.DimProduct SET BasePrice = 0;": "SYNTAX",
@@ -37,6 +44,7 @@ REFUSED = {
     "": "Empty",
 }
 ALLOWED = [
+    "SELECT 'reflect (x)' AS t, City FROM DimStore",
     "SELECT p.ProductName FROM gold.DimProduct p LIMIT 10;",
     "SELECT s.City, COUNT(*) AS n FROM gold.FactOrderItem f JOIN gold.DimStore s ON s.StoreKey = f.StoreKey "
     "GROUP BY s.City;",

@@ -250,7 +250,7 @@ class Model:
         own = np.concatenate([np.flatnonzero(half == k) for k in (0, 1)])
         self.scale, self.shift = calibrate(np.concatenate(raw), y[own], weight[own])
 
-    def _logits(self, inputs: np.ndarray, windows: np.ndarray, at_once: int = 4096) -> np.ndarray:
+    def _logits(self, inputs: np.ndarray, windows: np.ndarray, at_once: int = 2048) -> np.ndarray:
         return np.concatenate([self.network.forward(inputs, windows[i:i + at_once])
                                for i in range(0, len(windows), at_once)] or [np.zeros(0, np.float32)])
 
@@ -274,7 +274,7 @@ def _worst(logits: np.ndarray, doc: np.ndarray, texts: int) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, may_learn: Column, label: str = "toxic", per_class: int = 1000,
-          most_chars: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> Model:
+          most_chars: int = 8_000, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """A model from a bounded sample of the labelled rows that ``may_learn`` (a condition on ``id``) admits."""
     return Model(*sample(docs, labels, label, may_learn, per_class, most_chars, id_col, text_col))
 

@@ -51,7 +51,7 @@ def variants(seed, n=160):
     return rows
 
 
-@pytest.mark.parametrize("k, num, den", [(3, 90, 100), (5, 80, 100), (1, 50, 100)])
+@pytest.mark.parametrize("k, num, den", [(3, 90, 100), (5, 80, 100)])
 def test_components_equal_brute_force(frame, k, num, den):
     rows = variants(k)
     got = J.jaccard_components(frame(rows), words=k, num=num, den=den).collect()

@@ -38,6 +38,7 @@ from cartwheel.llm.spread import join_key, written
 
 #: separators are blank and 0x09-0x0D
 WORD = ~T.byte_class((0x20, 0x20), (0x09, 0x0D))
+SKETCH = 8
 BAND = 1.5
 COVER = 2.5
 #: bits of the maps that spare rows a shuffle before an exact join
@@ -115,6 +116,12 @@ def shingle_sets(column: pa.Array, words: int):
             yield np.zeros(0, np.uint64)
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """The parity of the number of elements in each of 64 * SKETCH slots, as signed numbers."""
+    slots = (shingles >> np.uint64(7)).astype(np.int64) & (64 * SKETCH - 1)
+    return np.packbits((np.bincount(slots, minlength=64 * SKETCH) & 1).astype(np.uint8)).view(np.int64)
+
+
 def fingerprints(shingles: np.ndarray) -> tuple[int, int]:
     """Two independent 64-bit hashes of a set, as signed numbers."""
     one = T.mix(shingles ^ np.uint64(0x2545F4914F6CDD1D)).sum(dtype=np.uint64)
@@ -123,32 +130,36 @@ def fingerprints(shingles: np.ndarray) -> tuple[int, int]:
 
 
 # ---- Spark -----------------------------------------------------------------------------------------------------------
-SKETCH = 8
 #: turns with pivots before the rest is compared in blocks
 ROUNDS = 2
 BLOCK = 512
-_SCAN = "id long, n long, fp long, fp2 long, sigs array<long>"
-_SETS = "fp long, n long, shingles binary, sketch array<long>"
+_BITS = [f"s{i}" for i in range(SKETCH)]
+_SCAN = ("id long, n long, fp long, fp2 long, sigs array<long>, "
+         + ", ".join(f"{c} long" for c in _BITS))
+_SETS = "fp long, shingles binary"
 
 
 def _signed(docs: DataFrame, words: int, num: int, den: int, seed: int) -> DataFrame:
-    """Per document the size, fingerprints and signatures of its set; a copy seen before in the same task has none."""
+    """Per document the size, fingerprints, signatures and parity sketch of its set; a copy seen before in the same task
+    has no signatures."""
     def run(batches):
         seen: set[int] = set()
         for part in T.slices(batches, "text"):
-            n, one, two, sigs = [], [], [], []
+            n, one, two, sigs, odd = [], [], [], [], []
             for x in shingle_sets(part.column("text"), words):
                 a, b = fingerprints(x ^ np.uint64(seed))
                 fresh = len(x) > 0 and a not in seen
                 if fresh:
                     seen.add(a)
-                n.append(len(x)), one.append(a), two.append(b)
+                n.append(len(x)), one.append(a), two.append(b), odd.append(sketch(x))
                 sigs.append(signatures(x, num, den).view(np.int64) if fresh else np.zeros(0, np.int64))
             ends = np.cumsum([0, *map(len, sigs)]).astype(np.int32)
+            odd = np.array(odd, np.int64).reshape(-1, SKETCH)
             yield pa.RecordBatch.from_arrays(
                 [part.column("id"), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sigs)))],
-                ["id", "n", "fp", "fp2", "sigs"])
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sigs))),
+                 *(pa.array(odd[:, i]) for i in range(SKETCH))],
+                ["id", "n", "fp", "fp2", "sigs", *_BITS])
     return docs.mapInArrow(run, _SCAN)
 
 
@@ -185,7 +196,7 @@ def _slot() -> Column:
 
 
 def _sets(docs: DataFrame, signed: DataFrame, nodes: DataFrame, words: int, seed: int) -> DataFrame:
-    """The shingles and parity sketch of the given nodes, from a second scan of the texts.
+    """The shingles of the given nodes, from a second scan of the texts.
 
     A bitmap of bounded size spares most other documents the trip; the join after it is exact.
     """
@@ -204,22 +215,18 @@ def _sets(docs: DataFrame, signed: DataFrame, nodes: DataFrame, words: int, seed
                 if fp in seen or not len(x):
                     continue
                 seen.add(fp)
-                odd = np.bincount((x >> np.uint64(7)).astype(np.int64) & (64 * SKETCH - 1), minlength=64 * SKETCH) & 1
-                rows.append((fp, len(x), x.tobytes(),
-                             np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], kind) for i, kind in
-                 enumerate((pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())))],
-                ["fp", "n", "shingles", "sketch"])
+                rows.append((fp, x.tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in
+                                              enumerate((pa.int64(), pa.binary()))], ["fp", "shingles"])
     found = docs.withColumn("slot", _slot()).mapInArrow(run, _SETS)
     return found.join(nodes, "fp", "left_semi")
 
 
-def _screened(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _screened(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (a, b) that sizes and parity sketches allow to link."""
-    small = sets.select("fp", "n", *[F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH)])
     for side in "ab":
-        pairs = pairs.join(small.select(*[F.col(c).alias(side if c == "fp" else side + c) for c in small.columns]), side)
+        pairs = pairs.join(sketches.select(*[F.col(c).alias(side if c == "fp" else side + c) for c in sketches.columns]),
+                           side)
     return pairs.where(_possible(num, den)).select("a", "b")
 
 
@@ -229,9 +236,15 @@ def _possible(num: int, den: int) -> str:
             f"and ({apart}) * {den + num} <= {den - num} * (an + bn)")
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets reach the threshold."""
-    full = sets.select("fp", "shingles")
+def _linked(docs: DataFrame, signed: DataFrame, pairs: DataFrame, words: int, num: int, den: int,
+            seed: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets reach the threshold, as a table."""
+    spark = docs.sparkSession
+    pairs = written(spark, pairs, "pairs")
+    if pairs.isEmpty():
+        return pairs
+    nodes = pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).distinct()
+    full = written(spark, _sets(docs, signed.select("id", "fp"), nodes, words, seed), "sets")
     both = (pairs.join(full.select(F.col("fp").alias("a"), F.col("shingles").alias("x")), "a")
             .join(full.select(F.col("fp").alias("b"), F.col("shingles").alias("y")), "b"))
 
@@ -243,7 +256,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
                 inter = len(np.intersect1d(one, two, assume_unique=True))
                 keep.append(den * inter >= num * (len(one) + len(two) - inter))
             yield part.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
-    return both.mapInArrow(run, "a long, b long")
+    return written(spark, both.mapInArrow(run, "a long, b long"), "links")
 
 
 def _starred(edges: DataFrame, small: bool) -> DataFrame:
@@ -315,7 +328,7 @@ def _to_pivots(holders: DataFrame, turn: int) -> DataFrame:
     return pairs.distinct().join(other, "b").where("root != broot").select("a", "b")
 
 
-def _in_blocks(holders: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _in_blocks(holders: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs of holders of a signature in different components that sizes and sketches allow to link.
 
     A signature's holders are dealt to blocks of about BLOCK rows, and blocks meet two at a time, so no task or buffer
@@ -325,11 +338,10 @@ def _in_blocks(holders: DataFrame, sets: DataFrame, num: int, den: int) -> DataF
     blocks = written(spark, holders.groupBy("sig").agg(F.count(F.lit(1)).alias("copies")), "blocks")
     rows = join_key(holders, blocks, "sig", "copies").withColumn("blocks", F.ceil(F.col("copies") / BLOCK))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")))
-    rows = rows.join(sets.select("fp", "sketch"), "fp")
+    rows = rows.join(sketches.drop("n"), "fp")
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = written(spark, rows.select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                                      "own", "fp", "n", "root", *[F.col("sketch")[i].alias(f"s{i}")
-                                                                  for i in range(SKETCH)]), "blocked")
+                                      "own", "fp", "n", "root", *_BITS), "blocked")
     a, b = (rows.select("sig", "i", "j", *[F.col(c).alias(side + c) for c in rows.columns[3:]]).alias(side)
             for side in "ab")
     test = f"aroot != broot and afp < bfp and (a.i = a.j or aown != bown) and {_possible(num, den)}"
@@ -379,15 +391,17 @@ def _search(docs: DataFrame, signed: DataFrame, words: int, num: int, den: int,
     held = _held(signed)
     if held.isEmpty():
         return None, None
-    sets = written(spark, _sets(docs, signed.select("id", "fp"), held.select("fp").distinct(), words, seed), "sets")
+    sketches = written(spark, signed.where("n > 0").join(held.select("fp").distinct(), "fp", "left_semi").groupBy("fp")
+                       .agg(F.min("n").alias("n"), *[F.min(c).alias(c) for c in _BITS]), "sketches")
     links = roots = None
     for turn in range(ROUNDS):
-        pairs = _screened(_to_pivots(_mixed(held, roots), turn), sets, num, den)
-        found = written(spark, _linked(pairs, sets, num, den), "links")
+        pairs = _screened(_to_pivots(_mixed(held, roots), turn), sketches, num, den)
+        found = _linked(docs, signed, pairs, words, num, den, seed)
         links = found if links is None else links.unionByName(found)
         # before the blocks the components are followed to their ends, so that settled signatures emit nothing
         roots = _near_roots(links) if turn < ROUNDS - 1 else components(links)
-    found = written(spark, _linked(_in_blocks(_mixed(held, roots), sets, num, den), sets, num, den), "links")
+    pairs = _in_blocks(_mixed(held, roots), sketches, num, den)
+    found = _linked(docs, signed, pairs, words, num, den, seed)
     if found.isEmpty():
         return links, roots
     known = roots.select(F.col("fp").alias("a"), F.col("root").alias("b"))

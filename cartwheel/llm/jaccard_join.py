@@ -116,10 +116,22 @@ def shingle_sets(column: pa.Array, words: int):
             yield np.zeros(0, np.uint64)
 
 
-def sketch(shingles: np.ndarray) -> np.ndarray:
-    """The parity of the number of elements in each of 64 * SKETCH slots, as signed numbers."""
-    slots = (shingles >> np.uint64(7)).astype(np.int64) & (64 * SKETCH - 1)
-    return np.packbits((np.bincount(slots, minlength=64 * SKETCH) & 1).astype(np.uint8)).view(np.int64)
+def sketch(shingles: np.ndarray, bits: int = 64 * SKETCH) -> np.ndarray:
+    """The parity of the number of elements in each of so many slots (a power of two), packed to bytes."""
+    slots = (shingles >> np.uint64(7)).astype(np.int64) & (bits - 1)
+    return np.packbits((np.bincount(slots, minlength=bits) & 1).astype(np.uint8))
+
+
+def wide_sketch(shingles: np.ndarray) -> bytes:
+    """A sketch with at least as many slots as there are elements."""
+    return sketch(shingles, max(64 * SKETCH, 1 << (len(shingles) - 1).bit_length())).tobytes()
+
+
+def least_apart(one: bytes, two: bytes) -> int:
+    """At least so many elements are in one of two sets only; the longer sketch is folded to the shorter."""
+    a, b = sorted((np.frombuffer(x, np.uint8) for x in (one, two)), key=len)
+    b = np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)
+    return int(np.bitwise_count(a ^ b).sum())
 
 
 def fingerprints(shingles: np.ndarray) -> tuple[int, int]:
@@ -135,7 +147,7 @@ ROUNDS = 2
 BLOCK = 512
 _BITS = [f"s{i}" for i in range(SKETCH)]
 _SCAN = ("id long, n long, fp long, fp2 long, sigs array<long>, "
-         + ", ".join(f"{c} long" for c in _BITS))
+         + ", ".join(f"{c} long" for c in _BITS) + ", wide binary")
 _SETS = "fp long, shingles binary"
 
 
@@ -145,21 +157,22 @@ def _signed(docs: DataFrame, words: int, num: int, den: int, seed: int) -> DataF
     def run(batches):
         seen: set[int] = set()
         for part in T.slices(batches, "text"):
-            n, one, two, sigs, odd = [], [], [], [], []
+            n, one, two, sigs, odd, wide = [], [], [], [], [], []
             for x in shingle_sets(part.column("text"), words):
                 a, b = fingerprints(x ^ np.uint64(seed))
                 fresh = len(x) > 0 and a not in seen
                 if fresh:
                     seen.add(a)
-                n.append(len(x)), one.append(a), two.append(b), odd.append(sketch(x))
+                n.append(len(x)), one.append(a), two.append(b), odd.append(sketch(x).view(np.int64))
+                wide.append(wide_sketch(x) if fresh else None)
                 sigs.append(signatures(x, num, den).view(np.int64) if fresh else np.zeros(0, np.int64))
             ends = np.cumsum([0, *map(len, sigs)]).astype(np.int32)
             odd = np.array(odd, np.int64).reshape(-1, SKETCH)
             yield pa.RecordBatch.from_arrays(
                 [part.column("id"), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sigs))),
-                 *(pa.array(odd[:, i]) for i in range(SKETCH))],
-                ["id", "n", "fp", "fp2", "sigs", *_BITS])
+                 *(pa.array(odd[:, i]) for i in range(SKETCH)), pa.array(wide, pa.binary())],
+                ["id", "n", "fp", "fp2", "sigs", *_BITS, "wide"])
     return docs.mapInArrow(run, _SCAN)
 
 
@@ -223,11 +236,20 @@ def _sets(docs: DataFrame, signed: DataFrame, nodes: DataFrame, words: int, seed
 
 
 def _screened(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) that sizes and parity sketches allow to link."""
+    """The pairs (a, b) that sizes and sketches allow to link: first the short sketches, then the wide ones."""
     for side in "ab":
-        pairs = pairs.join(sketches.select(*[F.col(c).alias(side if c == "fp" else side + c) for c in sketches.columns]),
-                           side)
-    return pairs.where(_possible(num, den)).select("a", "b")
+        pairs = pairs.join(sketches.drop("wide").select(*[F.col(c).alias(side if c == "fp" else side + c)
+                                                          for c in ("fp", "n", *_BITS)]), side)
+    pairs = pairs.where(_possible(num, den)).select("a", "b", "an", "bn")
+    for side in "ab":
+        pairs = pairs.join(sketches.select(F.col("fp").alias(side), F.col("wide").alias(f"{side}wide")), side)
+
+    def run(batches):
+        for part in batches:
+            near = [(den + num) * least_apart(x.as_py(), y.as_py()) <= (den - num) * n for x, y, n in
+                    zip(part.column("awide"), part.column("bwide"), part.column("size").to_pylist())]
+            yield part.filter(pa.array(near, pa.bool_())).select(["a", "b"])
+    return pairs.select("a", "b", F.expr("an + bn").alias("size"), "awide", "bwide").mapInArrow(run, "a long, b long")
 
 
 def _possible(num: int, den: int) -> str:
@@ -338,7 +360,7 @@ def _in_blocks(holders: DataFrame, sketches: DataFrame, num: int, den: int) -> D
     blocks = written(spark, holders.groupBy("sig").agg(F.count(F.lit(1)).alias("copies")), "blocks")
     rows = join_key(holders, blocks, "sig", "copies").withColumn("blocks", F.ceil(F.col("copies") / BLOCK))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")))
-    rows = rows.join(sketches.drop("n"), "fp")
+    rows = rows.join(sketches.drop("n", "wide"), "fp")
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = written(spark, rows.select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                                       "own", "fp", "n", "root", *_BITS), "blocked")
@@ -392,7 +414,8 @@ def _search(docs: DataFrame, signed: DataFrame, words: int, num: int, den: int,
     if held.isEmpty():
         return None, None
     sketches = written(spark, signed.where("n > 0").join(held.select("fp").distinct(), "fp", "left_semi").groupBy("fp")
-                       .agg(F.min("n").alias("n"), *[F.min(c).alias(c) for c in _BITS]), "sketches")
+                       .agg(F.min("n").alias("n"), *[F.min(c).alias(c) for c in _BITS], F.min("wide").alias("wide")),
+                       "sketches")
     links = roots = None
     for turn in range(ROUNDS):
         pairs = _screened(_to_pivots(_mixed(held, roots), turn), sketches, num, den)
@@ -400,7 +423,7 @@ def _search(docs: DataFrame, signed: DataFrame, words: int, num: int, den: int,
         links = found if links is None else links.unionByName(found)
         # before the blocks the components are followed to their ends, so that settled signatures emit nothing
         roots = _near_roots(links) if turn < ROUNDS - 1 else components(links)
-    pairs = _in_blocks(_mixed(held, roots), sketches, num, den)
+    pairs = _screened(_in_blocks(_mixed(held, roots), sketches, num, den), sketches, num, den)
     found = _linked(docs, signed, pairs, words, num, den, seed)
     if found.isEmpty():
         return links, roots

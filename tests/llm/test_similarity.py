@@ -80,6 +80,14 @@ def test_similar_sets_share_a_signature():
                 assert set(J.signatures(a, num, den)) & set(J.signatures(b, num, den)), (n, num)
 
 
+def test_sketches_never_tell_too_much():
+    rng = np.random.default_rng(6)
+    for n, m in ((1, 1), (5, 700), (600, 500), (3000, 2900), (4096, 4097)):
+        a, b = (np.unique(rng.integers(0, 5000, k).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for k in (n, m))
+        assert J.least_apart(J.wide_sketch(a), J.wide_sketch(b)) <= len(np.setxor1d(a, b))
+        assert J.least_apart(J.wide_sketch(a), J.wide_sketch(a)) == 0
+
+
 def test_components_of_odd_rows(odd, frame):
     got = J.jaccard_components(odd, words=3, num=80, den=100)
     rows = [(r["doc_id"], r["text"]) for r in odd.collect()]

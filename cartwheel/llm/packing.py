@@ -7,9 +7,10 @@ length, however many pieces there are.  Every piece finds its sequence by its ra
 come from counts of (length, slot) groups of bounded size, so no length is ever gathered.
 
 The search is branch and bound over completions of the largest piece left: the fillings of the room beside it are
-enumerated by increasing waste, those that another one dominates are left out, a branch ends when its waste rules out a
-better packing, and the best packing so far (best fit decreasing, to begin with) is the incumbent.  A filling is repeated as
-often as its lengths last, so a node stands for a whole run of equal sequences.
+enumerated by increasing waste, those that another one dominates by an exchange are left out, a branch ends when its waste
+rules out a better packing, and the best packing so far (best fit decreasing, to begin with) is the incumbent.  A node stands
+for a whole run of equal sequences: a filling is repeated as often as its lengths last, and any fewer times in branches of
+their own.  Only ``NODES`` stops the search early; a packing is called proven when it meets the bound or the tree is complete.
 """
 
 from __future__ import annotations
@@ -26,10 +27,8 @@ from cartwheel.llm.spread import written
 from cartwheel.llm.tokens import encoder
 
 Run = tuple[tuple[int, ...], int]
-#: nodes the search may open before the incumbent is final
+#: branches and left-out fillings the search may look at before the incumbent is final
 NODES = 20_000
-#: fillings tried at a node
-WIDTH = 4
 SLOT_ROWS = 50_000
 
 
@@ -63,16 +62,15 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[Run]:
     return [(filled, n) for bins in open_.values() for filled, n in bins.items()]
 
 
-def fillings(counts: dict[int, int], room: int, most: int, width: int = WIDTH) -> list[tuple[int, ...]]:
-    """Fillings of the room by lengths up to ``most``, least waste first, for different largest members.
+def undominated(counts: dict[int, int], room: int, allowed=lambda waste: True):
+    """All fillings of the room that no other one dominates, least waste first; None for every dominated one met.
 
-    Sums that the lengths can reach are kept as bits of one number, smaller lengths first, so the fullest filling below
-    every largest member is read off.  A filling is dominated, and left out, when one with a larger largest member wastes
-    no more.
+    A filling is dominated when some of its members, or none, can be replaced by one length left over that is at least
+    their sum and still fits: the exchange never needs another bin.  One member must be replaced by a larger one.
+    Sums that the lengths can reach are kept as bits of one number, smaller lengths first, so there are no dead ends.
+    It ends at the first waste that is not ``allowed``.
     """
-    sizes = sorted(s for s, n in counts.items() if n > 0 and s <= min(room, most))
-    if not sizes:
-        return [()]
+    sizes = sorted(s for s, n in counts.items() if n > 0 and s <= room)
     mask, reach, table = (1 << (room + 1)) - 1, 1, [1]
     for s in sizes:
         times, step = min(counts[s], room // s), 1
@@ -82,40 +80,81 @@ def fillings(counts: dict[int, int], room: int, most: int, width: int = WIDTH) -
             times -= take
             step *= 2
         table.append(reach)
-    out, least = [], room + 1
-    for i in range(len(sizes) - 1, -1, -1):
-        # the fullest sum with sizes[i] as the largest member
-        sums = _with(table[i], sizes[i], counts[sizes[i]], room)
-        waste = room - (sums.bit_length() - 1)
-        if waste < least:
-            out.append((waste, _read(table, sizes, counts, i, room - waste)))
-            least = waste
-        if not least or len(out) >= 4 * width:
-            break
-    out.sort(key=lambda x: x[0])
-    return [f for _, f in out[:width]]
-
-
-def _with(below: int, size: int, count: int, room: int) -> int:
-    """The sums up to ``room`` that use ``size`` at least once, on top of those in ``below``."""
-    mask, sums = (1 << (room + 1)) - 1, 0
-    for k in range(1, min(count, room // size) + 1):
-        sums |= (below << (size * k)) & mask
-    return sums
-
-
-def _read(table: list[int], sizes: list[int], counts: dict[int, int], top: int, total: int) -> tuple[int, ...]:
-    """Members with the given sum, the largest first; ``sizes[top]`` is one of them."""
-    out: list[int] = []
-    for i in range(top, -1, -1):
-        for k in range(min(counts[sizes[i]], total // sizes[i]), (1 if i == top else 0) - 1, -1):
-            if table[i] >> (total - k * sizes[i]) & 1:
-                out += [sizes[i]] * k
-                total -= k * sizes[i]
-                break
-        if not total:
-            break
-    return tuple(out)
+    spare, small, i = sum(1 << s for s in sizes), 0, 0
+    for waste in range(room + 1):
+        # lengths that fit into the waste must all be used up
+        while i < len(sizes) and sizes[i] <= waste:
+            small += sizes[i] * counts[sizes[i]]
+            i += 1
+        if small > room - waste or not allowed(waste):
+            return
+        for filling in _read(table, sizes, counts, len(sizes) - 1, room - waste):
+            yield None if _dominated(filling, counts, spare, waste) else filling
+
+
+def _read(table: list[int], sizes: list[int], counts: dict[int, int], top: int, total: int):
+    """All fillings with the given sum from ``sizes[:top + 1]``, larger members first."""
+    if not total:
+        yield ()
+        return
+    while top >= 0 and table[top + 1] >> total & 1:
+        size = sizes[top]
+        for k in range(min(counts[size], total // size), 0, -1):
+            if table[top] >> (total - k * size) & 1:
+                for rest in _read(table, sizes, counts, top - 1, total - k * size):
+                    yield (size,) * k + rest
+        top -= 1
+
+
+def _dominated(filling: tuple[int, ...], counts: dict[int, int], spare: int, waste: int) -> bool:
+    """Whether a length left over, a bit of ``spare``, can replace members with no larger sum within the waste."""
+    one = more = 0
+    for s in filling:
+        more |= (more | one) << s
+        one |= 1 << s
+    for s in set(filling):
+        if counts[s] == filling.count(s):
+            spare ^= 1 << s
+    # everything above a sum by 1 to waste
+    above, covered = (more | one | 1) << 1 if waste else 0, 1
+    while covered < waste:
+        step = min(covered, waste - covered)
+        above |= above << step
+        covered += step
+    return bool(spare & (more | above))
+
+
+def _branches(left: dict[int, int], capacity: int, barred: frozenset, allowed):
+    """(members, repeats, fillings barred below) for the bins of the largest length; None where a filling is left out.
+
+    Every undominated filling comes with every number of repeats: first each with halvings of the most, then the others.
+    A branch holds all bins of its filling, so below it, while the largest length is the same, its filling is barred, and
+    so are those before it, which have branches of their own.
+    """
+    largest = max(left)
+    rest = left | {largest: left[largest] - 1}
+    tried: list[tuple[tuple[int, ...], int]] = []
+
+    def branch(i: int, n: int):
+        members = (largest, *tried[i][0])
+        last = n * members.count(largest) == left[largest]
+        return members, n, frozenset() if last else barred.union(f for f, _ in tried[:i + 1])
+
+    for filling in undominated(rest, capacity - largest, allowed):
+        if filling is None or filling in barred:
+            yield None
+            continue
+        members = (largest, *filling)
+        most = n = min(left[s] // members.count(s) for s in set(members))
+        tried.append((filling, most))
+        while n:
+            yield branch(len(tried) - 1, n)
+            n //= 2
+    for i, (_, most) in enumerate(tried):
+        halving = {most >> k for k in range(most.bit_length())}
+        for n in range(most - 1, 0, -1):
+            if n not in halving:
+                yield branch(i, n)
 
 
 def pack(counts: dict[int, int], capacity: int, nodes: int = NODES) -> tuple[list[Run], bool]:
@@ -132,36 +171,33 @@ def pack(counts: dict[int, int], capacity: int, nodes: int = NODES) -> tuple[lis
         """Whether a packing that wastes this much may still have fewer bins than the incumbent."""
         return total + waste <= (bins - 1) * capacity
 
-    # one entry for each level: the counts left, the runs so far, the waste so far, the fillings still to try
-    def level(left: dict[int, int], waste: int):
-        largest = max(left)
-        rest = left | {largest: left[largest] - 1}
-        return left, waste, largest, iter(fillings(rest, capacity - largest, largest))
+    # one entry for each level: the counts left, the waste so far, the branches still to try
+    def level(left: dict[int, int], waste: int, barred: frozenset):
+        return left, waste, _branches(left, capacity, barred, lambda more: better(waste + more))
 
-    stack, runs = ([level(counts, 0)] if counts else []), []
+    stack, runs = ([level(counts, 0, frozenset())] if counts else []), []
     while stack and bins > bound and opened < nodes:
-        left, waste, largest, choices = stack[-1]
-        filling = next(choices, None)
-        if filling is None:
+        left, waste, branches = stack[-1]
+        # nothing below a level is better once its own waste is too much
+        branch = next(branches, ()) if better(waste) else ()
+        if branch == ():
             stack.pop()
             if runs:
                 runs.pop()
             continue
         opened += 1
-        members = (largest, *filling)
-        need = {s: members.count(s) for s in set(members)}
-        times = min(left[s] // n for s, n in need.items())
+        if branch is None:
+            continue
+        members, times, barred = branch
         lost = waste + (capacity - sum(members)) * times
-        after = {s: n for s, n in ((s, n - need.get(s, 0) * times) for s, n in left.items()) if n}
-        # the last sequence may stay partly empty
-        if not better(lost - (capacity - sum(members)) * (not after)):
+        if not better(lost):
             continue
+        after = {s: n for s, n in ((s, n - members.count(s) * times) for s, n in left.items()) if n}
         runs.append((members, times))
         if after:
-            stack.append(level(after, lost))
+            stack.append(level(after, lost, barred))
             continue
-        if sum(n for _, n in runs) < bins:
-            best, bins = list(runs), sum(n for _, n in runs)
+        best, bins = list(runs), sum(n for _, n in runs)
         runs.pop()
     return best, bins == bound or not stack
 

@@ -5,7 +5,8 @@ import io
 import json
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
+from itertools import combinations
 
 import pyarrow as pa
 import pytest
@@ -151,6 +152,34 @@ def test_search_is_whole_and_near_the_least():
         assert used <= sum(n for _, n in packing.best_fit(dict(counts), 20))
 
 
+def test_a_proven_packing_is_the_least():
+    # 9 + 8 + 3 and 9 + 7 + 4 are no best fits
+    runs, proven = packing.pack({10: 1, 9: 2, 8: 1, 7: 1, 5: 2, 4: 1, 3: 1}, 20)
+    assert proven and sum(n for _, n in runs) == 3
+    rng = random.Random(5)
+    for _ in range(300):
+        lengths = rng.choice((range(1, 21), (3, 4, 5, 7, 8, 9, 10, 11)))
+        counts = Counter(rng.choice(lengths) for _ in range(rng.randint(1, 12)))
+        runs, proven = packing.pack(dict(counts), 20)
+        assert proven and filled(runs) == dict(counts) and sum(n for _, n in runs) == fewest(counts, 20)
+    # too few nodes for a whole tree
+    assert not packing.pack({10: 1, 9: 2, 8: 1, 7: 1, 5: 2, 4: 1, 3: 1}, 20, nodes=1)[1]
+
+
+def test_undominated_fillings_equal_brute_force():
+    rng = random.Random(6)
+    for _ in range(60):
+        counts, room = Counter(rng.randint(1, 12) for _ in range(rng.randint(1, 8))), rng.randint(1, 20)
+        every = {tuple(sorted(c, reverse=True)) for k in range(9) for c in combinations(counts.elements(), k)
+                 if sum(c) <= room}
+        def dominated(f):
+            spare = counts - Counter(f)
+            parts = [p for k in range(len(f) + 1) for p in combinations(f, k)]
+            return any(x >= sum(p) and x not in p and sum(f) - sum(p) + x <= room for x in spare for p in parts)
+        got = [f for f in packing.undominated(dict(counts), room) if f is not None]
+        assert len(got) == len(set(got)) and set(got) == {f for f in every if not dominated(f)}
+
+
 def test_search_over_large_counts():
     rng = random.Random(9)
     counts = {s: rng.randint(1, 10 ** 9) for s in range(1, 1025)}

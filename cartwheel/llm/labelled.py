@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cartwheel.llm.spread import written
+
 
 def held_out(id_col: str, folds: int, fold: int) -> Column:
     """Whether crc32 of the id as text has this remainder; a null id counts as the empty text."""
@@ -13,23 +15,28 @@ def held_out(id_col: str, folds: int, fold: int) -> Column:
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, may_learn: Column, per_class: int, most_chars: int,
            id_col: str = "doc_id", text_col: str = "text") -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Texts, labels (0 or 1) and weights of at most ``per_class`` learnable rows of each class, up to ``most_chars`` long.
+    """Texts, labels (0 or 1) and weights of at most ``per_class`` learnable rows of each class.
 
-    Rows are taken in the order of a hash of their id.  The weights bring the classes back to their shares among all
-    learnable rows.  Rows without text, id or label are passed over.
+    Rows are taken whole in the order of a hash of their id, long ones too, until the next one would bring the class above
+    ``per_class * most_chars`` signs; only a text longer than that by itself is passed over.  The weights bring the classes
+    back to their shares among all learnable rows: those that ``may_learn`` admits and that have text, id and label.
     """
     rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
             .where(may_learn).where(F.col("text").isNotNull()))
     marked = labels.where(F.col(label).isin(0, 1)).groupBy(F.col(id_col).alias("id")).agg(F.max(label).alias("y"))
-    marked = marked.where(F.col("id").isNotNull())
-    totals = {r["y"]: r["n"] for r in marked.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    texts, y, weight = [], [], []
+    marked = marked.where(F.col("id").isNotNull()).where(may_learn)
+    known = written(docs.sparkSession, rows.select("id", F.length("text").alias("chars")).join(marked, "id"), "labelled")
+    totals = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    texts, y, weight, room = [], [], [], per_class * most_chars
     for value in (0, 1):
-        # twice as many ids as rows wanted: some are held out, too long or without text
         order = F.xxhash64("id")
-        some = marked.where(F.col("y") == value).where(may_learn).orderBy(order, "id").limit(2 * per_class).select("id")
-        found = (rows.where(F.length("text") <= most_chars).join(F.broadcast(some), "id")
-                 .orderBy(order, "id", "text").limit(per_class).select("text").toArrow().column("text").to_pylist())
+        first = (known.where((F.col("y") == value) & (F.col("chars") <= room)).orderBy(order, "id", "chars")
+                 .limit(per_class).select("id", "chars").toArrow())
+        taken = int((np.cumsum(first.column("chars").to_numpy().astype(np.int64)) <= room).sum())
+        some = docs.sparkSession.createDataFrame(first.slice(0, taken).select(["id"])).distinct()
+        found = (rows.where(F.length("text") <= room).join(F.broadcast(some), "id")
+                 .orderBy(order, "id", F.length("text"), "text").limit(taken).select("text").toArrow()
+                 .column("text").to_pylist())
         texts += found
         y += [value] * len(found)
         weight += [totals.get(value, 0) / max(1, len(found))] * len(found)

@@ -7,7 +7,8 @@ not tell them their own label.  The rest is random.  Texts are cut into windows
 them are scored, and a text's score is that of its worst window, on a fitted logistic curve.  Training is multiple-instance:
 a text is judged by its highest windows.
 
-The sample is bounded (``per_class`` rows of each label, of at most ``most_chars`` signs); every text is scored whole.
+The sample is bounded (``per_class`` rows of each label, together of at most ``per_class * most_chars`` signs); its texts
+are whole, and every text is scored whole.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from cartwheel.llm.labelled import Adam, calibrate, sample
 WINDOW, STRIDE = 64, 52
 HIDDEN, ATTEND, RANDOM = 8, 8, 3
 WORD_BITS, GRAM_BITS, GRAMS = 16, 17, (3, 5)
+#: words counted at once for the tables
+AT_ONCE = 50_000
 #: letters, digits and everything beyond ASCII
 WORD = T.byte_class((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
 
@@ -96,17 +99,17 @@ INPUT = 2 * (RANDOM + 1) + 1
 def tables(batches: list[Words], labels: list[np.ndarray], seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
     """Embeddings of words and n-grams; the first number is the damped log odds of the label over texts."""
     out = []
-    for bits, buckets in ((WORD_BITS, lambda w: (w.word[w.which], np.repeat(np.arange(len(w.bounds) - 1),
-                                                                          np.diff(w.bounds)))),
-                          (GRAM_BITS, _gram_texts)):
+    for bits, buckets in ((WORD_BITS, _word_texts), (GRAM_BITS, _gram_texts)):
         with_, without = np.zeros(1 << bits), np.zeros(1 << bits)
         n1 = n0 = 1.0
         for w, y in zip(batches, labels):
-            bucket, doc = buckets(w)
-            pairs = np.unique(doc << bits | bucket)
-            doc, bucket = pairs >> bits, pairs & ((1 << bits) - 1)
-            with_ += np.bincount(bucket[y[doc] > 0], minlength=1 << bits)
-            without += np.bincount(bucket[y[doc] == 0], minlength=1 << bits)
+            # whole texts of some words at a time: their counts add up
+            for a, b in _stretches(w.bounds, AT_ONCE):
+                bucket, doc = buckets(w, a, b)
+                pairs = np.unique(doc << bits | bucket)
+                doc, bucket = pairs >> bits, pairs & ((1 << bits) - 1)
+                with_ += np.bincount(bucket[y[doc] > 0], minlength=1 << bits)
+                without += np.bincount(bucket[y[doc] == 0], minlength=1 << bits)
             n1, n0 = n1 + (y > 0).sum(), n0 + (y == 0).sum()
         odds = np.log((with_ / n1 + 1 / (n1 + n0)) / (without / n0 + 1 / (n1 + n0)))
         seen = with_ + without
@@ -115,11 +118,22 @@ def tables(batches: list[Words], labels: list[np.ndarray], seed: int = 7) -> tup
     return out[0], out[1]
 
 
-def _gram_texts(w: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Every n-gram of every occurrence of a word, and its text."""
-    texts = np.repeat(np.arange(len(w.bounds) - 1), np.diff(w.bounds))
+def _stretches(bounds: np.ndarray, words: int) -> list[tuple[int, int]]:
+    """Stretches of rows with about that many words each; a longer row is one by itself or ends one."""
+    cuts = np.unique(np.append(np.searchsorted(bounds[:-1], np.arange(0, bounds[-1], words)), [0, len(bounds) - 1]))
+    return list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
+
+
+def _word_texts(w: Words, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+    """The bucket of every word of the texts from ``a`` to ``b``, and its text."""
+    return w.word[w.which[w.bounds[a]:w.bounds[b]]], np.repeat(np.arange(a, b), np.diff(w.bounds[a:b + 1]))
+
+
+def _gram_texts(w: Words, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+    """Every n-gram of every distinct word of each of those texts, and its text."""
+    texts = np.repeat(np.arange(a, b), np.diff(w.bounds[a:b + 1]))
     size = len(w.word) or 1
-    seen = np.unique(texts * size + w.which)
+    seen = np.unique(texts * size + w.which[w.bounds[a]:w.bounds[b]])
     texts, words = seen // size, seen % size
     count = np.diff(np.append(w.gram_at, len(w.gram)))[words]
     total = np.cumsum(count)

@@ -5,6 +5,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from cartwheel.llm import labelled, langid, pii, quality, queries, toxicity
 
@@ -67,6 +68,32 @@ def test_recurrent_gradients_are_right():
         assert grads[name][at] == pytest.approx(numeric_gradient(network, inputs, windows, y, name, at), abs=1e-4)
 
 
+def test_sample_has_long_texts_and_counts_the_learnable(frame):
+    spark = frame([]).sparkSession
+    docs = frame([(i, f"t{i} " * (1000 if i % 10 == 9 else 1)) for i in range(60)] + [(60, None)])
+    # ids from 30 on are held out, those from 100 on have no text
+    labels = spark.createDataFrame([(i, int(i % 3 == 0 or 30 <= i < 60)) for i in [*range(61), *range(100, 140)]],
+                                   "doc_id long, toxic int")
+    texts, y, weight = labelled.sample(docs, labels, "toxic", F.col("id") < 30, 40, 500)
+    assert sorted(texts) == sorted(f"t{i} " * (1000 if i % 10 == 9 else 1) for i in range(30))
+    assert np.isclose(weight[y > 0].sum(), 1 / 3)
+    # together at most 10 times 450 signs of a label, whole texts in one order
+    some, y, weight = labelled.sample(docs, labels, "toxic", F.col("id") < 30, 10, 450)
+    assert 0 < len(some) <= 20 and set(some) <= set(texts) and np.isclose(weight[y > 0].sum(), 1 / 3)
+    assert all(sum(len(t) for t, k in zip(some, y) if k == v) <= 4500 for v in (0, 1))
+
+
+def test_tables_do_not_depend_on_the_stretches(monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = [" ".join(rng.choice(["a", "bad", "word", "é"], n)) for n in (0, 3, 40, 0, 1, 7, 100, 0)]
+    words = toxicity.Words(*toxicity.T.utf8(pa.array(texts, pa.string())))
+    y = (np.arange(len(texts)) % 2).astype(np.float32)
+    whole = toxicity.tables([words], [y])
+    for size in (1, 5, 60):
+        monkeypatch.setattr(toxicity, "AT_ONCE", size)
+        assert all((a == b).all() for a, b in zip(whole, toxicity.tables([words], [y])))
+
+
 def test_every_word_lies_in_a_window():
     texts = [" ".join(f"w{i}" for i in range(n)) for n in (0, 1, 63, 64, 65, 300)]
     w = toxicity.Words(*toxicity.T.utf8(pa.array(texts)))

@@ -153,7 +153,9 @@ _SETS = "fp long, shingles binary"
 
 def _signed(docs: DataFrame, words: int, num: int, den: int, seed: int) -> DataFrame:
     """Per document the size, fingerprints, signatures and parity sketch of its set; a copy seen before in the same task
-    has no signatures."""
+    has no signatures.  A column ``sha`` goes along where there is one."""
+    more = [c for c in docs.columns if c == "sha"]
+
     def run(batches):
         seen: set[int] = set()
         for part in T.slices(batches, "text"):
@@ -171,9 +173,9 @@ def _signed(docs: DataFrame, words: int, num: int, den: int, seed: int) -> DataF
             yield pa.RecordBatch.from_arrays(
                 [part.column("id"), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sigs))),
-                 *(pa.array(odd[:, i]) for i in range(SKETCH)), pa.array(wide, pa.binary())],
-                ["id", "n", "fp", "fp2", "sigs", *_BITS, "wide"])
-    return docs.mapInArrow(run, _SCAN)
+                 *(pa.array(odd[:, i]) for i in range(SKETCH)), pa.array(wide, pa.binary()), *(part.column(c) for c in more)],
+                ["id", "n", "fp", "fp2", "sigs", *_BITS, "wide", *more])
+    return docs.mapInArrow(run, _SCAN + "".join(f", {c} binary" for c in more))
 
 
 def _membership(slots: DataFrame) -> np.ndarray:
@@ -372,9 +374,12 @@ def _in_blocks(holders: DataFrame, sketches: DataFrame, num: int, den: int) -> D
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
-                       num: int = 80, den: int = 100) -> DataFrame:
+                       num: int = 80, den: int = 100, grouped: bool = False) -> DataFrame:
     """One row per input row: id, n_shingles, component (the smallest id reachable by links), copies (rows of equal set).
 
+    ``grouped`` adds two columns: group, which tells components apart even if they share a name (null without shingles),
+    and sha, the digest of the row's text.
+
     Two rows link when the Jaccard overlap of their distinct ``words``-word shingles is at least ``num / den``.  Null and
     blank texts have no shingles, link with nothing and are their own component.  A text with fewer words is one shingle.
     Repeated rows each get a row; a null id is never the name of a component unless all its members lack one.  Other
@@ -382,8 +387,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    more = ["group", "sha"] if grouped else []
+    signable = docs.withColumn("sha", text_digest()) if grouped else docs
     for seed in (0x0, 0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179):
-        signed = written(spark, _signed(docs, words, num, den, seed), "signed")
+        signed = written(spark, _signed(signable, words, num, den, seed), "signed")
         nodes = written(spark, signed.where("n > 0").groupBy("fp").agg(
             F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.min("fp2").alias("x"), F.max("fp2").alias("y")),
             "nodes")
@@ -398,13 +405,19 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         top = named.groupBy("root").agg(F.min("id").alias("component"), F.count(F.lit(1)).alias("weight"))
         named = join_key(named, written(spark, top, "components"), "root", "weight")
     else:
-        named = named.withColumn("component", F.col("id"))
-    named = written(spark, named.select("fp", "component", "copies"), "named")
-    rows = signed.select("id", "n", "fp")
+        named = named.withColumn("component", F.col("id")).withColumn("root", F.col("fp"))
+    named = written(spark, named.select("fp", "component", "copies", F.col("root").alias("group")), "named")
+    rows = signed.select("id", "n", "fp", *more[1:])
     with_words = join_key(rows.where("n > 0"), named, "fp", "copies")
-    without = rows.where("n = 0").withColumn("component", F.col("id")).withColumn("copies", F.lit(1).cast("long"))
+    without = rows.where("n = 0").withColumn("component", F.col("id")).withColumn("copies", F.lit(1).cast("long")).withColumn(
+        "group", F.lit(None).cast("long"))
     return with_words.unionByName(without).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component",
-                                                  "copies")
+                                                  "copies", *more)
+
+
+def text_digest(text_col: str = "text"):
+    """What tells texts apart; a null text is empty."""
+    return F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
 
 
 def _search(docs: DataFrame, signed: DataFrame, words: int, num: int, den: int, seed: int):

@@ -19,17 +19,14 @@ TOXIC = 0.3
 SEQUENCE, END_ID = 1024, 2
 
 
-def _kept(docs: DataFrame, keys: DataFrame, text: Column | None = None) -> DataFrame:
-    """The rows whose id (and text digest, where one is given) is among the keys; of equal ones a single row then."""
+def _kept(docs: DataFrame, keys: DataFrame, text: Column) -> DataFrame:
+    """The rows whose id and text digest are among the keys; of equal ones a single row."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"),
-                       *([] if text is None else [text.alias("sha")]))
-    names = rows.columns[1:]
-    on = [F.col(f"d.{c}").eqNullSafe(F.col(f"k.{c}")) for c in names]
+                       text.alias("sha"))
+    on = [F.col(f"d.{c}").eqNullSafe(F.col(f"k.{c}")) for c in ("id", "sha")]
     found = rows.alias("d").join(keys.alias("k"), on, "left_semi")
-    if text is not None:
-        nth = F.row_number().over(Window.partitionBy(*names).orderBy(F.lit(1)))
-        found = found.withColumn("nth", nth).where("nth = 1")
-    return found.select("row.*")
+    nth = F.row_number().over(Window.partitionBy("id", "sha").orderBy(F.lit(1)))
+    return found.withColumn("nth", nth).where("nth = 1").select("row.*")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,9 +46,15 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: of every component of five-word shingle sets at 0.8 the row with the smallest id stays."""
-    found = jaccard_join.jaccard_components(docs)
-    return _kept(docs, found.where("component <=> doc_id").select(F.col("doc_id").alias("id")))
+    """Operator 8: of every component of five-word shingle sets at 0.8 the row with the smallest id stays.
+
+    Of rows with that id the smallest text digest decides; a null id comes after all others.  Texts without shingles stay.
+    """
+    found = jaccard_join.jaccard_components(docs, grouped=True).withColumnRenamed("doc_id", "id")
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "sha")).alias("first")
+    keys = (found.where(F.col("group").isNotNull()).groupBy("group").agg(first).select("first.id", "first.sha")
+            .unionByName(found.where(F.col("group").isNull()).select("id", "sha")).distinct())
+    return _kept(docs, written(spark, keys, "kept"), jaccard_join.text_digest())
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,10 +1,15 @@
 """The stages of the pipeline against brute force."""
 
 import hashlib
-from collections import defaultdict
+import zlib
+from collections import Counter, defaultdict
+
+import pyarrow as pa
 
 import corpus_pipeline
-from test_similarity import brute_components, shingles, variants
+from cartwheel.llm import labelled, toxicity
+from test_records import reference_ids
+from test_similarity import brute_components, brute_hits, shingles, variants
 
 
 def sha(text):
@@ -31,3 +36,56 @@ def test_one_row_of_every_group_of_near_copies_stays(spark, frame):
     rows += [(d % 9 or None, t) for d, t in variants(3, 60)]
     kept = corpus_pipeline.drop_near_copies(spark, frame(rows), "")
     assert sorted((r["doc_id"] or -1, r["text"] or "") for r in kept.collect()) == brute_firsts(rows)
+
+
+def listed(frame):
+    return Counter((r["doc_id"], r["text"]) for r in frame.collect())
+
+
+def test_copies_keep_the_largest_id(spark, frame):
+    rows = [(3, "a"), (9, "a"), (None, "a"), (9, "a"), (9, "b"), (None, "c"), (None, "c"), (4, None), (6, ""), (5, " ")]
+    assert listed(corpus_pipeline.drop_copies(spark, frame(rows), "")) == Counter(
+        [(9, "a"), (9, "b"), (None, "c"), (6, ""), (5, " ")])
+
+
+def test_toxicity_rejects_by_the_score_of_the_whole_text(spark, frame, tmp_path):
+    rows = [(i, f"you {'awful vile' if i % 4 == 0 else 'kind calm'} thing {i}") for i in range(240)]
+    rows += [(500, "calm words " * 900 + "awful vile"), (501, "calm words " * 900), (None, "awful vile"), (502, None)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(240)], "doc_id long, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    docs = frame(rows)
+    model = toxicity.train(docs, labels, ~labelled.held_out("id", 4, 2))
+    scores = model.score(pa.array([t for _, t in rows]))
+    kept = listed(corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)))
+    assert kept == Counter(r for r, s in zip(rows, scores) if s < corpus_pipeline.TOXIC)
+    assert sum((d, t) in kept for d, t in rows[:240] if d % 4 == 0) <= 3
+    assert sum((d, t) in kept for d, t in rows[:240] if d % 4) >= 177
+
+
+def test_contaminated_documents_go(spark, frame, tmp_path):
+    item = " ".join(f"w{i}" for i in range(14))
+    rows = [(1, f"x {item} y"), (1, "clean"), (None, " ".join(item.split()[3:13])), (None, " ".join(item.split()[:9])),
+            (2, "Short, ITEM here"), (3, None), (3, None), (4, item.replace(" ", "-"))]
+    bench = [(1, item), (2, "short item"), (3, None)]
+    spark.createDataFrame(bench, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    kept = listed(corpus_pipeline.drop_contaminated(spark, frame(rows), str(tmp_path)))
+    assert kept == Counter((d, t) for d, t in rows if not brute_hits(t, bench)[1])
+    assert sum(kept.values()) == 4
+
+
+def test_all_pieces_of_what_is_left_are_packed(spark, odd):
+    got = corpus_pipeline.pack(spark, odd, "").collect()
+    rows = [(r["doc_id"], r["text"] or "") for r in odd.collect()]
+    ids = reference_ids([t for _, t in rows])
+    want = Counter()
+    for (d, _), own in zip(rows, ids):
+        own = [*own, corpus_pipeline.END_ID]
+        at = [0, *range(len(own) % 1024 or 1024, len(own) + 1, 1024)]
+        for k, (a, b) in enumerate(zip(at, at[1:])):
+            want[d, k, a, b - a, zlib.crc32(b"".join(i.to_bytes(4, "little") for i in own[a:b]))] += 1
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got) == want
+    ends = defaultdict(int)
+    for r in sorted(got, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == ends[r["sequence_id"]]
+        ends[r["sequence_id"]] += r["length"]
+    assert max(ends.values()) <= 1024

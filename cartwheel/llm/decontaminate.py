@@ -1,8 +1,9 @@
 """Benchmark decontamination by a broadcast set of word n-grams (operator 1).
 
-The items of the benchmark become windows of ``n`` normalised words.  Their hashes are broadcast in blocks of items of a
-bounded size (``block_bytes`` of text); every document word window is looked up, first in a bitmap, then in the hash set,
-and each hit is verified by comparing the words themselves.  A larger benchmark takes several blocks, one pass after the
+The distinct items of the benchmark become windows of ``n`` normalised words.  Their hashes are broadcast in blocks of items
+of about a bounded size (``block_bytes`` of text and ``block_windows`` windows, some 50 bytes each); every document word
+window is looked up, first in a bitmap, then among the sorted hashes, and each hit is verified by comparing the words with
+those of the item's text.  Only an item larger than a block is a block of more.  A larger benchmark takes several blocks, one pass after the
 other over a written table, so what is broadcast at once never grows with the benchmark.
 """
 
@@ -27,26 +28,45 @@ class Grams:
         data, offsets = T.utf8(pa.array([text for _, text in items], pa.string()))
         data = T.LOWER[data]
         starts, ends, bounds = T.words(data, offsets, WORD)
-        raw, hashes = data.tobytes(), T.range_hashes(data, starts, ends)
-        self.owners: dict[bytes, set[str]] = {}
-        by_length: dict[int, list[int]] = {}
-        for (name, _), first, last in zip(items, bounds[:-1].tolist(), bounds[1:].tolist()):
-            length = min(n, last - first)
-            if not length:
-                continue
-            for at, h in enumerate(T.windows(hashes[first:last], length).tolist(), first):
-                self.owners.setdefault(_words(raw, starts, ends, at, length), set()).add(name)
-                by_length.setdefault(length, []).append(h)
+        hashes = T.range_hashes(data, starts, ends)
+        self.raw, self.starts, self.ends = data.tobytes(), starts, ends
+        names, name = np.unique(np.array([name for name, _ in items], object), return_inverse=True)
+        self.names = names.tolist()
+        #: owners of windows that share the hash of others, by their words
+        self.others: dict[bytes, set[str]] = {}
+        size = np.minimum(n, np.diff(bounds))
+        item = np.repeat(np.arange(len(size)), np.diff(bounds))
         self.lengths = {}
-        for length, found in by_length.items():
-            known = np.unique(np.array(found, np.uint64))
+        for length in np.unique(size[size > 0]).tolist():
+            at = np.arange(len(starts) - length + 1)
+            at = at[(size[item[at]] == length) & (at + length <= bounds[item[at] + 1])]
+            own, owner = T.windows(hashes, length)[at], name[item[at]].astype(np.int32)
+            order = np.lexsort((owner, own))
+            at, own, owner = at[order], own[order], owner[order]
+            fresh = np.append(True, own[1:] != own[:-1])
+            group = np.cumsum(fresh) - 1
+            first = at[fresh]
+            # windows of one hash nearly always have the same words; the few others are kept by their words
+            same = fresh.copy()
+            for i in np.flatnonzero(~fresh).tolist():
+                words = self._words(int(at[i]), length)
+                same[i] = words == self._words(int(first[group[i]]), length)
+                if not same[i]:
+                    self.others.setdefault(words, set()).add(self.names[owner[i]])
+            own, owner, group = own[same], owner[same], group[same]
+            once = np.append(True, (group[1:] != group[:-1]) | (owner[1:] != owner[:-1]))
+            own, owner = own[once], owner[once]
+            known, begin = np.unique(own, return_index=True)
             bitmap = np.zeros(1 << BITS, bool)
             bitmap[known >> np.uint64(64 - BITS)] = True
-            self.lengths[length] = known, bitmap
+            self.lengths[length] = known, bitmap, first, np.append(begin, len(own)), owner
+
+    def _words(self, first: int, n: int) -> bytes:
+        return _words(self.raw, self.starts, self.ends, first, n)
 
     def hits(self, raw: bytes, starts, ends, bounds, hashes):
         """(document, first word, length, owners) of every verified window of a batch."""
-        for length, (known, bitmap) in self.lengths.items():
+        for length, (known, bitmap, window, begin, owner) in self.lengths.items():
             own = T.windows(hashes, length)
             at = np.flatnonzero(bitmap[own >> np.uint64(64 - BITS)])
             doc = np.searchsorted(bounds, at, side="right") - 1
@@ -54,8 +74,12 @@ class Grams:
             at, doc = at[inside], doc[inside]
             near = np.minimum(np.searchsorted(known, own[at]), len(known) - 1)
             same = known[near] == own[at]
-            for first, row in zip(at[same].tolist(), doc[same].tolist()):
-                owners = self.owners.get(_words(raw, starts, ends, first, length))
+            for first, row, i in zip(at[same].tolist(), doc[same].tolist(), near[same].tolist()):
+                words = _words(raw, starts, ends, first, length)
+                if words == self._words(int(window[i]), length):
+                    owners = {self.names[k] for k in owner[begin[i]:begin[i + 1]].tolist()}
+                else:
+                    owners = self.others.get(words)
                 if owners:
                     yield row, first, length, owners
 
@@ -110,7 +134,7 @@ def merged(spans: list[tuple[int, int]]) -> list[dict[str, int]]:
 
 def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          item_col: str = "item_id", item_text: str = "text", n: int = 10, block_bytes: int = 32 << 20,
-         keep_text: bool = False) -> DataFrame:
+         block_windows: int = 1 << 20, keep_text: bool = False) -> DataFrame:
     """Per input row: id, (text,) n_words, n_hit, spans (merged ranges of hit words), items (sorted ids as strings).
 
     A null or empty text has no words.  Items without words have no window; an item shorter than ``n`` words is one
@@ -120,8 +144,11 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     spark = docs.sparkSession
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"),
                              F.col(item_text).cast("string").alias("text")).where("text is not null")
-    size = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    blocks = max(1, -(-int(size) // block_bytes))
+    items = written(spark, items.distinct(), "items")
+    # between any two words there is a sign that is none of theirs, so this is no less than the words
+    words = F.size(F.split("text", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
+    size = items.agg(F.sum(F.octet_length("text") + 64).alias("bytes"), F.sum(words).alias("words")).first()
+    blocks = max(1, -(-int(size["bytes"] or 0) // block_bytes), -(-int(size["words"] or 0) // block_windows))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
                        F.expr("cast(array() as array<struct<start: int, end: int>>)").alias("spans"),
                        F.expr("cast(array() as array<string>)").alias("items"))

@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cartwheel.llm import decontaminate, exact_dedup, jaccard_join as J
@@ -162,6 +163,33 @@ def test_decontamination_equals_brute_force(spark, odd, frame, block_bytes):
     assert {r["n_hit"] for r in decontaminate.find(odd, bench.limit(0)).collect()} == {0}
 
 
+def test_blocks_of_the_benchmark_are_bounded(spark, frame, monkeypatch):
+    blocks, real = [], decontaminate._scan
+    def kept(rows, block, *more):
+        blocks.append(block)
+        return real(rows, block, *more)
+    monkeypatch.setattr(decontaminate, "_scan", kept)
+    items = [(i, f"item number {i} of the benchmark") for i in range(40)] + [(99, "alpha beta gamma delta")] * 60
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = frame([(1, "an alpha beta gamma delta"), (2, "item number 7 of the benchmark"), (3, "nothing")])
+    got = decontaminate.find(docs, bench, block_windows=60).collect()
+    assert {r["doc_id"]: r["items"] for r in got} == {1: ["99"], 2: ["7"], 3: []}
+    assert len(blocks) > 1 and sum(map(len, blocks)) == 41
+    assert max(sum(len(words(t)) for _, t in b) for b in blocks) <= 120
+
+
+def test_windows_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(decontaminate.T, "windows", lambda h, n: np.zeros(max(0, len(h) - n + 1), np.uint64))
+    items = [("1", "a b c d"), ("2", "x a b c"), ("2", "a b c"), ("3", "q"), ("4", ""), ("5", "b c d")]
+    grams, text = decontaminate.Grams(items, 3), "a b c d q x"
+    T = decontaminate.T
+    data, offsets = T.utf8(pa.array([text], pa.string()))
+    starts, ends, bounds = T.words(data, offsets, decontaminate.WORD)
+    hits = list(grams.hits(data.tobytes(), starts, ends, bounds, T.range_hashes(data, starts, ends)))
+    assert {(first, n): set(names) for _, first, n, names in hits} == {
+        (0, 3): {"1", "2"}, (1, 3): {"1", "5"}, (4, 1): {"3"}}
+
+
 def test_decontamination_removes_documents_or_spans(spark, frame):
     bench = spark.createDataFrame([(1, "alpha beta gamma delta")], "item_id long, text string")
     docs = frame([(1, "start alpha, BETA gamma-delta end"), (2, "alpha beta gamma"), (3, None)])

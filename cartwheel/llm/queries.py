@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cartwheel.llm import decontaminate, exact_dedup, jaccard_join, labelled, langid, packing, pii, quality, tool_calls, toxicity, warc
+from cartwheel.llm import (decontaminate, exact_dedup, jaccard_join, labelled, langid, packing, periodic_runs, pii, quality,
+                           tool_calls, toxicity, warc)
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -106,6 +107,28 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, folder), tokenizer_path(), capacity=1024, end_id=2)
 
 
+#: the text with its words from a on repeated with period p, for a tenth of the ids (h % 10 = 0).  One-element arrays keep
+#: what is used in a lambda from being worked out anew for every word
+_REPEATED = r"""
+if(pmod(crc32(cast(cast(doc_id as string) as binary)), 10) = 0 and text rlike '[^\\x20\\x09-\\x0D]',
+   transform(array(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)), w ->
+     transform(array(named_struct('n', cast(size(w) as long), 'g', crc32(cast(cast(doc_id as string) as binary)) div 10)), s ->
+       transform(array(named_struct('a', s.g % s.n, 'p', 1 + (s.n - s.g % s.n) div (3 + s.g % 8))), t ->
+         array_join(transform(w, (x, i) -> if(i < t.a, x, w[cast(t.a + (i - t.a) % t.p as int)])), ' '))[0])[0])[0],
+   text)"""
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _documents(spark, folder).select("doc_id", F.expr(_REPEATED).alias("text"))
+    found = periodic_runs.find(docs, least=24, times=3)
+    first = F.expr("aggregate(runs, runs[0], (b, r) -> if(r.length * b.period > b.length * r.period, r, b))")
+    listed = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    best = found.select("*", F.when(F.size("runs") > 0, first).alias("best"))
+    return best.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                       F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                       F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_toxicity": op2_toxicity,
@@ -117,6 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 # ---- SQL -------------------------------------------------------------------------------------------------------------
@@ -143,6 +167,37 @@ SELECT d.doc_id, coalesce(any_value(s.n), 0)::BIGINT AS n_shingles, min(r.other)
 FROM documents d JOIN reach r ON r.doc_id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id GROUP BY d.doc_id
 """
 
+SQL["op11_periodic_runs"] = r"""
+WITH ids AS (SELECT doc_id, coalesce(text, '') AS text, doc_id::VARCHAR AS d FROM documents),
+crc AS (SELECT doc_id, text, xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(range(1, len(d) + 1),
+               lambda i: list_concat([ord(d[i])], list_transform(range(8), lambda k: -1))))),
+               lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS h
+        FROM ids),
+listed AS (SELECT doc_id, coalesce(h, 1) AS h, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM crc),
+cut AS (SELECT *, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM listed),
+docs AS (SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_concat(w[1:a], list_transform(range(a, n),
+           lambda i: w[1 + a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8))])) END AS w FROM cut),
+wins AS (SELECT doc_id, i, md5(array_to_string(w[i + 1:i + 8], ' ')) AS g
+         FROM (SELECT doc_id, w, unnest(range(n - 7)) AS i FROM docs WHERE n >= 24)),
+-- windows that stand q words apart, in stretches without a gap
+same AS (SELECT y.doc_id, y.i - x.i AS q, x.i, x.i - row_number() OVER (PARTITION BY y.doc_id, y.i - x.i ORDER BY x.i) AS part
+         FROM wins x JOIN wins y ON x.doc_id = y.doc_id AND x.g = y.g AND x.i < y.i),
+found AS (SELECT doc_id, min(i) AS start, count(*) + 7 + q AS length, q AS period FROM same GROUP BY doc_id, q, part
+          HAVING count(*) + 7 + q >= greatest(24, 3 * q)),
+runs AS (SELECT * FROM found QUALIFY row_number() OVER (PARTITION BY doc_id, start, length ORDER BY period) = 1),
+best AS (SELECT * FROM runs
+         QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length / period DESC, start, period) = 1),
+listing AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), ''
+                                                         ORDER BY start, period) AS t FROM runs GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS t FROM (SELECT doc_id, unnest(w) AS x, unnest(range(n)) AS i FROM docs) p
+         WHERE NOT EXISTS (SELECT 1 FROM runs r WHERE r.doc_id = p.doc_id AND p.i >= r.start + r.period AND p.i < r.start + r.length)
+         GROUP BY doc_id)
+SELECT d.doc_id, coalesce(l.n_runs, 0)::BIGINT AS n_runs, b.start::BIGINT AS start, b.length::BIGINT AS length,
+       b.period::BIGINT AS period, (1000 * b.length // b.period)::BIGINT AS exponent_milli,
+       sha256(coalesce(l.t, '')) AS runs_sha256, sha256(coalesce(k.t, '')) AS collapsed_sha256
+FROM docs d LEFT JOIN listing l USING (doc_id) LEFT JOIN best b USING (doc_id) LEFT JOIN kept k USING (doc_id)
+"""
+
 SQL["op1_decontaminate"] = rf"""
 WITH listed AS (
   SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cartwheel.llm import (decontaminate, exact_dedup, jaccard_join, labelled, langid, packing, periodic_runs, pii, quality,
-                           tool_calls, toxicity, warc)
+from cartwheel.llm import (centroids, decontaminate, exact_dedup, jaccard_join, labelled, langid, matrix_join, packing,
+                           periodic_runs, pii, quality, tool_calls, toxicity, warc)
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -129,6 +129,17 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
                        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op12_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    found = centroids.cluster(spark.read.parquet(f"{folder}/embeddings.parquet"), k=8, rounds=10, scale=1024, salt="3:")
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                        F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256).alias("centroid_sha256"))
+
+
+def op13_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet")
+    return matrix_join.nearest(rows, F.col("vec_id") % 20 == 0, k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_toxicity": op2_toxicity,
@@ -141,6 +152,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_centroid_clusters": op12_centroid_clusters,
+    "op13_nearest": op13_nearest,
 }
 
 # ---- SQL -------------------------------------------------------------------------------------------------------------
@@ -274,3 +287,39 @@ SELECT conv_id, turn, call_id, NULL, NULL, 'orphan', '',
        '{"id":"' || call_id || '","result":' || q || ',"status":"orphan"}'
 FROM answers WHERE call_id NOT IN (SELECT call_id FROM calls)
 """
+
+SQL["op13_nearest"] = """
+WITH sound AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+met AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+        FROM sound q JOIN sound c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, (row_number() OVER t)::INT AS rank, vec_id, score FROM met
+WINDOW t AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank <= 20
+"""
+
+
+def _lloyd(rounds: int, k: int, width: int, scale: int, salt: str) -> str:
+    """Each round as two tables: every vector with its cluster, and the centroids that follow from it."""
+    far = "list_sum(list_transform(range(1, {w} + 1), lambda i: (v[i] - c[i]) * (v[i] - c[i])))".format(w=width)
+    assigned = f"""SELECT vec_id, v, n, far::BIGINT AS distance FROM (SELECT vec_id, v, n, {far} AS far FROM kept, c{{r}})
+      QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY far, n) = 1"""
+    parts = [f"""kept AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v
+      FROM embeddings WHERE len(embedding) = {width} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+             f"""c0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY sha256('{salt}' || vec_id)) - 1)::INT AS n, v AS c FROM kept
+      QUALIFY n < {k})"""]
+    for r in range(rounds):
+        parts += [f"a{r} AS MATERIALIZED ({assigned.format(r=r)})", f"""m{r} AS (
+      SELECT n, list((s - ((s % k) + k) % k) // k ORDER BY i) AS c FROM (
+        SELECT n, i, sum(x)::BIGINT AS s, count(*) AS k FROM (SELECT n, unnest(v) AS x, unnest(range({width})) AS i FROM a{r})
+        GROUP BY n, i) GROUP BY n)""",
+                  f"""c{r + 1} AS MATERIALIZED (SELECT o.n, coalesce(m.c, o.c) AS c FROM c{r} o LEFT JOIN m{r} m USING (n))"""]
+    parts.append(f"last AS MATERIALIZED ({assigned.format(r=rounds)})")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, n AS cluster, distance, (sum(distance) OVER (PARTITION BY n))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM last JOIN c{rounds} USING (n)"""
+
+
+SQL["op12_centroid_clusters"] = _lloyd(10, 8, 64, 1024, "3:")

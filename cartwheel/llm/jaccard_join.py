@@ -2,11 +2,18 @@
 
 Two sets of sizes a and b with ``den * |A and B| >= num * |A or B|`` differ in at most
 ``(den - num) * (a + b) / (den + num)`` elements.  Sizes are cut into bands.  For a band whose largest size is r that
-gives one bound k.  The domain of shingle hashes is cut into n1 ranges, each into n2 smaller ones, with
-``n1 * (k2 + 1) > k``: two similar sets differ by at most k2 in one of the n1 ranges, so they agree on all of some
+gives one bound k.  The domain of shingle hashes is cut into n1 ranges, each into n2 smaller ones.  Two similar sets differ
+by more than k2 elements in at most ``g = k // (k2 + 1)`` of the n1 ranges; in every other one they agree on all of some
 ``n2 - k2`` of its smaller ranges.  Each choice of ``n2 - k2`` smaller ranges gives a signature (a hash of the elements in
 them), and similar sets share one.  A set signs in its own band and in those above it that a partner may lie in.
 
+Signatures of few elements say little, and those of none are shared by every set that happens to have none there.  If more
+than g ranges of a set have at least t elements in each of their choices, then one of those ranges is among those that it
+agrees on with a given partner.  So a set leaves out all signatures of fewer elements than t, for the largest such t.  Its
+partner has a t of its own; the range found from the larger of the two is signed by both, so no link is lost.  A set
+without such a t keeps every signature.  ``scheme`` picks n1, n2 and k2 by the signatures and the holder pairs that they
+are expected to give.
+
 From signatures to components:
 
 1. One scan turns every text into its set's size, two fingerprints and its signatures.  Equal sets become one node, named
@@ -26,7 +33,7 @@ from __future__ import annotations
 
 from functools import lru_cache
 from itertools import combinations
-from math import comb
+from math import ceil, comb, erf, exp, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -34,13 +41,14 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cartwheel.llm import text as T
-from cartwheel.llm.spread import join_key, written
+from cartwheel.llm.spread import dropped, join_key, written
 
 #: separators are blank and 0x09-0x0D
 WORD = ~T.byte_class((0x20, 0x20), (0x09, 0x0D))
 SKETCH = 8
 BAND = 1.5
-COVER = 2.5
+#: what ``scheme`` reckons with: sets that share a fourth of a set's elements, and sets of a band at 100 TB
+SHARING, SHARED, PEERS = 30, 0.25, 1_000_000
 #: bits of the maps that spare rows a shuffle before an exact join
 BITS = 1 << 24
 
@@ -60,18 +68,31 @@ def differing(num: int, den: int, a: int, b: int) -> int:
     return (den - num) * (a + b) // (den + num)
 
 
+def _at_most(n: int, p: float, most: int) -> float:
+    """The chance that at most so many of n ranges are of a kind that has chance p."""
+    if n <= 60:
+        return sum(comb(n, j) * p ** j * (1 - p) ** (n - j) for j in range(most + 1))
+    return (1 + erf((most + 0.5 - n * p) / sqrt(2 * n * p * (1 - p) + 1e-12))) / 2
+
+
 @lru_cache(maxsize=None)
-def scheme(num: int, den: int, low: int, high: int) -> tuple[int, int, tuple[tuple[int, ...], ...]]:
-    """n1, n2 and the chosen subsets of the n2 ranges: the fewest signatures that cover ``COVER`` elements each."""
+def scheme(num: int, den: int, low: int, high: int) -> tuple[int, int, int, tuple[tuple[int, ...], ...]]:
+    """n1, n2, g and the chosen subsets of the n2 ranges: the least signatures and expected chance holders together."""
     k = differing(num, den, high, high)
     best = None
     for k2 in range(3):
-        n1 = -(-(k + 1) // (k2 + 1))
-        for n2 in range(k2 + 1, k2 + 5):
-            covered = low / n1 * (n2 - k2) / n2
-            rank = (covered < COVER, n1 * comb(n2, k2) if covered >= COVER else -covered)
-            if best is None or rank < best[0]:
-                best = rank, n1, n2, tuple(combinations(range(n2), n2 - k2))
+        g = k // (k2 + 1)
+        for n1 in sorted({ceil((g + 1) * more) for more in (1, 1.25, 1.5)}):
+            for n2 in range(k2 + 1, k2 + 5) if k2 else (1,):
+                held = low / n1 * (n2 - k2) / n2                   # elements of a signature
+                none = exp(-low / n1 / n2)
+                full = sum(comb(n2, j) * none ** j * (1 - none) ** (n2 - j) for j in range(n2 - k2))
+                # two sets meet by chance where neither has an element of its own; where a set keeps empty signatures, it
+                # meets all that have none there either
+                chance = SHARING * exp(-2 * held * (1 - SHARED)) + PEERS * _at_most(n1, full, g) * exp(-2 * held)
+                rank = n1 * comb(n2, k2) * (1 + chance)
+                if best is None or rank < best[0]:
+                    best = rank, n1, n2, g, tuple(combinations(range(n2), n2 - k2))
     return best[1:]
 
 
@@ -91,12 +112,16 @@ def signatures(shingles: np.ndarray, num: int, den: int) -> np.ndarray:
     for index, (low, high) in enumerate(bands(num, den, reach)):
         if high < n or low > reach or differing(num, den, high, high) == 0:
             continue
-        n1, n2, subsets = scheme(num, den, low, high)
+        n1, n2, g, subsets = scheme(num, den, low, high)
         at = np.append(np.searchsorted(shingles, _limits(n1 * n2)), n)
         sums = (total[at[1:]] - total[at[:-1]]).reshape(n1, n2)
+        counts = np.diff(at).reshape(n1, n2)
         place = T.mix(np.arange(n1 * len(subsets), dtype=np.uint64) + np.uint64((index + 1) << 40))
         chosen = np.stack([sums[:, list(s)].sum(axis=1, dtype=np.uint64) for s in subsets], axis=1)
-        out.append(T.mix(chosen.ravel() + place))
+        held = np.stack([counts[:, list(s)].sum(axis=1) for s in subsets], axis=1)
+        # more than g ranges have at least so many elements in each of their choices
+        least = np.partition(held.min(axis=1), n1 - 1 - g)[n1 - 1 - g]
+        out.append(T.mix(chosen.ravel() + place)[(held >= least).ravel()])
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -203,7 +228,9 @@ def _held(signed: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([sig.filter(pa.array(keep)), *(part.column(c).take(pa.array(row))
                                                                             for c in ("fp", "n"))], ["sig", "fp", "n"])
     near = signed.select("fp", "n", "sigs").where("size(sigs) > 0").mapInArrow(run, "sig long, fp long, n long")
-    return written(spark, near.join(shared, "sig").distinct(), "held")
+    held = written(spark, near.join(shared, "sig").distinct(), "held")
+    dropped(spark, shared)
+    return held
 
 
 def _slot() -> Column:
@@ -260,11 +287,12 @@ def _possible(num: int, den: int) -> str:
             f"and ({apart}) * {den + num} <= {den - num} * (an + bn)")
 
 
-def _linked(docs: DataFrame, signed: DataFrame, pairs: DataFrame, words: int, num: int, den: int,
+def _linked(docs: DataFrame, signed: DataFrame, pairs: DataFrame, used: list[DataFrame], words: int, num: int, den: int,
             seed: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets reach the threshold, as a table."""
+    """The pairs (a, b) whose whole sets reach the threshold, as a table; ``used`` goes once the pairs are written."""
     spark = docs.sparkSession
     pairs = written(spark, pairs, "pairs")
+    dropped(spark, *used)
     if pairs.isEmpty():
         return pairs
     nodes = pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).distinct()
@@ -280,12 +308,14 @@ def _linked(docs: DataFrame, signed: DataFrame, pairs: DataFrame, words: int, nu
                 inter = len(np.intersect1d(one, two, assume_unique=True))
                 keep.append(den * inter >= num * (len(one) + len(two) - inter))
             yield part.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
-    return written(spark, both.mapInArrow(run, "a long, b long"), "links")
+    links = written(spark, both.mapInArrow(run, "a long, b long"), "links")
+    dropped(spark, pairs, full)
+    return links
 
 
 def _starred(edges: DataFrame, small: bool) -> DataFrame:
     """One star step on edges (u, v), u > v: around every node, its larger neighbours (or, in the small step, its
-    smaller ones and itself) move to the smallest of them all."""
+    smaller ones and itself) move to the smallest of them all.  The table of the edges before is removed."""
     spark = edges.sparkSession
     around = edges if small else edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = written(spark, around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"),
@@ -296,7 +326,9 @@ def _starred(edges: DataFrame, small: bool) -> DataFrame:
     else:
         moved = moved.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     own = least.where("m < u").select("u", F.col("m").alias("v"))
-    return written(spark, moved.unionByName(own).where("u != v").distinct(), "edges")
+    after = written(spark, moved.unionByName(own).where("u != v").distinct(), "edges")
+    dropped(spark, least, edges)
+    return after
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -312,39 +344,48 @@ def components(links: DataFrame) -> DataFrame:
         loose = edges.groupBy("u").count().where("count > 1").select("u").unionByName(edges.join(tops, "u", "left_semi")
                                                                                      .select("u"))
         if loose.isEmpty():
-            return edges.select(F.col("u").alias("fp"), F.col("v").alias("root"))
+            roots = written(edges.sparkSession, edges.select(F.col("u").alias("fp"), F.col("v").alias("root")), "roots")
+            dropped(edges.sparkSession, edges)
+            return roots
 
 
 def _near_roots(links: DataFrame) -> DataFrame:
     """A cheap finer split than the components, enough to skip settled signatures: the smallest direct neighbour, and
-    the smallest of that one."""
+    the smallest of that one; a table."""
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     one = written(links.sparkSession, both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("r"),
                                                             F.count(F.lit(1)).alias("copies")), "near")
     top = one.select(F.col("a").alias("r"), F.col("r").alias("root"))
     heads = written(links.sparkSession, one.groupBy("r").agg(F.count(F.lit(1)).alias("copies")).join(top, "r"), "heads")
-    return join_key(one.select("a", "r"), heads, "r", "copies").select(F.col("a").alias("fp"), "root")
+    roots = written(links.sparkSession, join_key(one.select("a", "r"), heads, "r", "copies")
+                    .select(F.col("a").alias("fp"), "root"), "roots")
+    dropped(links.sparkSession, one, heads)
+    return roots
 
 
 def _mixed(held: DataFrame, roots: DataFrame | None) -> DataFrame:
     """The holders, with their component, of signatures whose holders lie in more than one."""
     if roots is None:
-        return held.withColumn("root", F.col("fp"))
+        return held.withColumn("root", F.col("fp"))      # no table of its own
     spark = held.sparkSession
     named = written(spark, held.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "named")
     per = named.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("copies"))
     per = written(spark, per.where("x < y").select("sig", "copies"), "open")
-    return written(spark, join_key(named, per, "sig", "copies").drop("copies"), "mixed")
+    mixed = written(spark, join_key(named, per, "sig", "copies").drop("copies"), "mixed")
+    dropped(spark, named, per)
+    return mixed
 
 
-def _to_pivots(holders: DataFrame, turn: int) -> DataFrame:
+def _to_pivots(holders: DataFrame, turn: int, used: list[DataFrame]) -> DataFrame:
     """Each holder of a signature with the signature's pivot, if they lie in different components.
 
-    Every turn has its own order of nodes, the same for all signatures, so that pivots recur and pairs stay few.
+    Every turn has its own order of nodes, the same for all signatures, so that pivots recur and pairs stay few.  Tables
+    that the pairs are made from are added to ``used``.
     """
     order = F.lit((0x2545F4914F6CDD1D * turn) & (2 ** 63 - 1)).cast("long")
     pivot = written(holders.sparkSession, holders.groupBy("sig").agg(
         F.min(F.col("fp").bitwiseXOR(order)).bitwiseXOR(order).alias("b"), F.count(F.lit(1)).alias("copies")), "pivots")
+    used.append(pivot)
     pairs = join_key(holders, pivot, "sig", "copies").where("fp != b").select(F.col("fp").alias("a"), "b", "root")
     if not turn:
         return pairs.select("a", "b").distinct()
@@ -352,7 +393,7 @@ def _to_pivots(holders: DataFrame, turn: int) -> DataFrame:
     return pairs.distinct().join(other, "b").where("root != broot").select("a", "b")
 
 
-def _in_blocks(holders: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
+def _in_blocks(holders: DataFrame, sketches: DataFrame, num: int, den: int, used: list[DataFrame]) -> DataFrame:
     """Pairs of holders of a signature in different components that sizes and sketches allow to link.
 
     A signature's holders are dealt to blocks of about BLOCK rows, and blocks meet two at a time, so no task or buffer
@@ -366,6 +407,8 @@ def _in_blocks(holders: DataFrame, sketches: DataFrame, num: int, den: int) -> D
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = written(spark, rows.select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                                       "own", "fp", "n", "root", *_BITS), "blocked")
+    dropped(spark, blocks)
+    used.append(rows)
     a, b = (rows.select("sig", "i", "j", *[F.col(c).alias(side + c) for c in rows.columns[3:]]).alias(side)
             for side in "ab")
     test = f"aroot != broot and afp < bfp and (a.i = a.j or aown != bown) and {_possible(num, den)}"
@@ -396,12 +439,19 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             "nodes")
         if nodes.where("x != y").isEmpty():      # else two sets share a 64-bit name: take other hashes
             break
+        dropped(spark, signed, nodes)
     else:
         raise RuntimeError("fingerprints of different sets collide under every seed")
-    links, roots = _search(docs, signed, words, num, den, seed)
+    held = _held(signed)
+    # the signatures take most of the space and are not read again
+    slim = written(spark, signed.drop("sigs"), "rows")
+    dropped(spark, signed)
+    signed = slim
+    roots = _search(docs, signed, held, words, num, den, seed)
     named = nodes.select("fp", "id", "copies")
     if roots is not None:
         named = written(spark, named.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
+        dropped(spark, nodes, roots)
         top = named.groupBy("root").agg(F.min("id").alias("component"), F.count(F.lit(1)).alias("weight"))
         named = join_key(named, written(spark, top, "components"), "root", "weight")
     else:
@@ -420,25 +470,30 @@ def text_digest(text_col: str = "text"):
     return F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
 
 
-def _search(docs: DataFrame, signed: DataFrame, words: int, num: int, den: int, seed: int):
-    """The links found between different sets, and the components they form (None where there are no candidates)."""
+def _search(docs: DataFrame, signed: DataFrame, held: DataFrame, words: int, num: int, den: int,
+            seed: int) -> DataFrame | None:
+    """The components of the links between different sets (None where there are no candidates)."""
     spark = docs.sparkSession
-    held = _held(signed)
     if held.isEmpty():
-        return None, None
+        return None
     sketches = written(spark, signed.where("n > 0").join(held.select("fp").distinct(), "fp", "left_semi").groupBy("fp")
                        .agg(F.min("n").alias("n"), *[F.min(c).alias(c) for c in _BITS], F.min("wide").alias("wide")),
                        "sketches")
     links = roots = None
-    for turn in range(ROUNDS):
-        pairs = _screened(_to_pivots(_mixed(held, roots), turn), sketches, num, den)
-        found = _linked(docs, signed, pairs, words, num, den, seed)
+    for turn in range(ROUNDS + 1):
+        mixed = _mixed(held, roots)
+        used = [mixed]
+        pairs = (_to_pivots(mixed, turn, used) if turn < ROUNDS else _in_blocks(mixed, sketches, num, den, used))
+        found = _linked(docs, signed, _screened(pairs, sketches, num, den), used, words, num, den, seed)
+        if turn == ROUNDS:
+            break
         links = found if links is None else links.unionByName(found)
         # before the blocks the components are followed to their ends, so that settled signatures emit nothing
-        roots = _near_roots(links) if turn < ROUNDS - 1 else components(links)
-    pairs = _screened(_in_blocks(_mixed(held, roots), sketches, num, den), sketches, num, den)
-    found = _linked(docs, signed, pairs, words, num, den, seed)
-    if found.isEmpty():
-        return links, roots
-    known = roots.select(F.col("fp").alias("a"), F.col("root").alias("b"))
-    return links.unionByName(found), components(known.unionByName(found))
+        before, roots = roots, _near_roots(links) if turn < ROUNDS - 1 else components(links)
+        dropped(spark, before)
+    if not found.isEmpty():
+        known = roots.select(F.col("fp").alias("a"), F.col("root").alias("b"))
+        before, roots = roots, components(known.unionByName(found))
+        dropped(spark, before)
+    dropped(spark, held, sketches)
+    return roots

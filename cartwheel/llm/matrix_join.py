@@ -7,7 +7,8 @@ upper and a lower bound.  Tiles are multiplied as single-precision matrices, whi
 Queries are dealt to blocks of about ``query_block`` rows and all rows to groups of about ``block``; a tile is one block
 met with one group, and tiles are what Spark shuffles.  In a task a tile's queries come first, its candidates then pass in
 batches.  A pair whose upper bound is below the query's k-th best so far is out; the others are multiplied again in
-double precision, component after component, and enter the query's heap.  At the end the heaps of a query's tiles merge.
+double precision, component after component, and enter the query's heap.  Of many candidates with one vector only as many
+as a heap can hold are met.  At the end the heaps of a query's tiles merge.
 Bounds hold for every pair, so the result is exact: recall is 1 by construction.
 """
 
@@ -100,6 +101,20 @@ def _arrays(part: pa.RecordBatch, width: int) -> dict[str, np.ndarray]:
     return out
 
 
+def _few_copies(rows: dict[str, np.ndarray], k: int) -> dict[str, np.ndarray]:
+    """Of candidates with one vector the k + 1 that win ties: no query takes more of them, its own row left out."""
+    vectors = rows["vector"]
+    whole = np.ascontiguousarray(vectors).view(np.dtype((np.void, vectors.shape[1] * 8))).ravel()
+    _, group, copies = np.unique(whole, return_inverse=True, return_counts=True)
+    if copies.max() <= k + 1:
+        return rows
+    keep = (copies <= k + 1)[group]
+    for g in np.flatnonzero(copies > k + 1):
+        own = np.flatnonzero(group == g)
+        keep[sorted(own.tolist(), key=lambda i: rows["key"][i], reverse=True)[:k + 1]] = True
+    return {c: v[keep] for c, v in rows.items()}
+
+
 def _tiles(k: int):
     """For ``mapInArrow`` over rows sorted by tile and kind: the k best candidates of every query within its tile."""
     def finished(blocks: dict[int, Block]):
@@ -133,7 +148,7 @@ def _tiles(k: int):
                     own = parts.pop(width)
                     blocks[width] = Block({c: np.concatenate([x[c] for x in own]) for c in own[0]}, k)
                 if width in blocks:
-                    blocks[width].meet(rows)
+                    blocks[width].meet(_few_copies(rows, k))
         yield from finished(blocks)
     return run
 

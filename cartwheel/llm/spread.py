@@ -2,19 +2,32 @@
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cartwheel.session import work_dir
 
 #: a key is hot from this share of the rows on, so there are at most 1 / HOT_SHARE hot keys to broadcast
 HOT_SHARE = 0.001
+_folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def written(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
     """The frame as a Parquet table below ``spark.checkpoint.dir``, read again: its lineage ends at shared files."""
     path = work_dir(spark, name)
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    table = spark.read.schema(frame.schema).parquet(path)
+    _folders[table] = path
+    return table
+
+
+def dropped(spark: SparkSession, *tables: DataFrame | None) -> None:
+    """Removes tables made by ``written`` whose every reader has been written itself."""
+    for table in tables:
+        if table is not None and table in _folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(_folders.pop(table))
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def join_key(rows: DataFrame, per_key: DataFrame, key: str, copies: str) -> DataFrame:

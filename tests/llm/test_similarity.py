@@ -81,6 +81,37 @@ def test_similar_sets_share_a_signature():
                 assert set(J.signatures(a, num, den)) & set(J.signatures(b, num, den)), (n, num)
 
 
+def test_schemes_enumerate_subsets_where_that_is_cheaper():
+    for num, least in ((80, 5), (90, 1)):
+        used = [len(J.scheme(num, 100, low, high)[3]) for low, high in J.bands(num, 100, 100_000)
+                if J.differing(num, 100, high, high)]
+        assert sum(n > 1 for n in used) >= least and used[-1] == 1
+
+
+def test_few_signatures_are_empty_and_no_similar_sets_are_lost():
+    """Sets on a small domain, so that ranges are uneven, against all pairs."""
+    rng = np.random.default_rng(8)
+    for num, size, domain in ((80, 12, 2 ** 64 - 1), (80, 40, 2 ** 64 - 1), (80, 150, 2 ** 64 - 1), (90, 30, 2 ** 64 - 1),
+                              (70, 60, 2 ** 58)):
+        base = [np.unique(rng.integers(0, domain, size, np.uint64)) for _ in range(30)]
+        sets = list(base)
+        for x in base:
+            for apart in range(1, size // 4, max(1, size // 12)):
+                sets.append(np.unique(np.concatenate([rng.permutation(x)[apart // 2:],
+                                                      rng.integers(0, domain, apart // 2 + 1, np.uint64)])))
+        signed = [set(J.signatures(x, num, 100).tolist()) for x in sets]
+        linked = chance = 0
+        for i in range(len(sets)):
+            for j in range(i):
+                both = len(np.intersect1d(sets[i], sets[j]))
+                if 100 * both >= num * (len(sets[i]) + len(sets[j]) - both):
+                    linked += 1
+                    assert signed[i] & signed[j], (num, size, len(sets[i]), len(sets[j]), both)
+                elif not both and domain > 2 ** 63:
+                    chance += bool(signed[i] & signed[j])
+        assert linked >= 30 and chance < len(sets) ** 2 * 0.004, (linked, chance, len(sets))
+
+
 def test_sketches_never_tell_too_much():
     rng = np.random.default_rng(6)
     for n, m in ((1, 1), (5, 700), (600, 500), (3000, 2900), (4096, 4097)):

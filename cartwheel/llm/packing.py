@@ -3,8 +3,9 @@
 Documents are tokenised and cut once, on Spark.  What has to be packed is then only a count for each length from 1 to
 ``capacity``: pieces of equal length are interchangeable.  That table has at most ``capacity`` rows at any input size, and
 the search runs over it.  Its result, a plan, says which ranks of each length share a sequence; it has a few rows for each
-length, however many pieces there are.  Every piece finds its sequence by its rank among the pieces of its length, and ranks
-come from counts of (length, slot) groups of bounded size, so no length is ever gathered.
+length, however many pieces there are.  Every piece finds its sequence by its rank among the pieces of its length.  Ranks
+come from counts of (length, slot) groups; a slot is a stretch of ``SLOT_ROWS`` rows of one file of the written pieces, so
+no length is ever gathered, and a row that makes up a third of the table stays spread over the files it was written to.
 
 The search is branch and bound over completions of the largest piece left: the fillings of the room beside it are
 enumerated by increasing waste, those that another one dominates by an exchange are left out, a branch ends when its waste
@@ -261,17 +262,20 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id
     """Per piece: id, piece, start, length, ids_crc32, sequence_id, offset (and its ids).
 
     Every sequence is filled from 0 without gaps to at most ``capacity``.  Null and empty texts are the single end id.
-    Repeated rows and null ids are packed like others.  Other columns are not read.  An empty table gives no rows.
+    Repeated rows and null ids are packed like others; ids are whole numbers, others end in Spark's cast error.  Texts of
+    any length are tokenised whole, by one task each.  Other columns are not read.  An empty table gives no rows.
     """
     spark = docs.sparkSession
     cut = written(spark, pieces(docs, tokenizer, end_id, capacity, id_col, text_col, keep_ids), "pieces")
-    slots = max(1, cut.count() // SLOT_ROWS * 4)
-    cut = cut.withColumn("slot", F.pmod(F.xxhash64("id", "piece"), F.lit(slots)))
+    # the table is fixed, so every task sees a row at the same place
+    place = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    cut = cut.select("*", place[0].alias("file"), place[1].alias("at")).withColumn(
+        "slot", F.xxhash64("file", F.expr(f"at div {SLOT_ROWS}")))
     groups = written(spark, cut.groupBy("length", "slot").agg(F.count(F.lit(1)).alias("n")), "groups")
     counts = {r["length"]: r["n"] for r in groups.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     plan = spark.sparkContext.broadcast(Plan(pack(counts, capacity, nodes)[0]))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("slot")) - F.col("n")
-    nth = F.row_number().over(Window.partitionBy("length", "slot").orderBy("id", "piece", "start", "ids_crc32"))
+    nth = F.row_number().over(Window.partitionBy("length", "slot").orderBy("file", "at"))
     names = ["id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids
     ranked = (cut.withColumn("nth", nth).join(groups.withColumn("base", before).drop("n"), ["length", "slot"])
               .select(*names, (F.col("base") + F.col("nth") - 1).alias("rank")))

@@ -293,8 +293,9 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, label: str = "t
     return Model(*sample(docs, labels, label, may_learn, per_class, most_chars, id_col, text_col))
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per input row: id and score (0 to 1).  Null and empty texts are scored like a text without words.
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
+          keep_text: bool = False) -> DataFrame:
+    """Per input row: id, (the text,) and score (0 to 1).  Null and empty texts are scored like a text without words.
 
     Repeated rows each get a row; other columns are not read.  An empty table gives no rows; a model without labels of
     both classes gives every text the share of label 1.
@@ -303,7 +304,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([part.column("id"), pa.array(shared.value.score(part.column("text")))],
-                                          ["id", "score"])
-    kind = dict(rows.dtypes)["id"]
-    return rows.mapInArrow(T.per_slice(work, "text"), f"id {kind}, score double").withColumnRenamed("id", id_col)
+        names = ["id"] + ["text"] * keep_text
+        return pa.RecordBatch.from_arrays([*map(part.column, names), pa.array(shared.value.score(part.column("text")))],
+                                          [*names, "score"])
+    schema = f"id {dict(rows.dtypes)['id']}, " + "text string, " * keep_text + "score double"
+    found = rows.mapInArrow(T.per_slice(work, "text"), schema)
+    return found.select(F.col("id").alias(id_col), *[F.col("text").alias(text_col)] * keep_text, "score")

@@ -192,7 +192,6 @@ def test_search_over_large_counts():
 
 def reference_ids(texts):
     t = Tokenizer.from_file(queries.tokenizer_path())
-    t.encode_special_tokens = True
     return [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -200,7 +199,7 @@ def test_ids_equal_the_library():
     rng = random.Random(1)
     signs = list("a's't're've'll'm'dS'  \n\t 　é1²½٣,.!\u0085\u001c​中日\U0001d4b3́") + ["<|endoftext|>", "don't", "\r\n"]
     texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 40))) for _ in range(4000)]
-    texts += ["", " ", "it's", "'re", " 's", "''s", "x'", "'"]
+    texts += ["", " ", "it's", "'re", " 's", "''s", "x'", "'", "x <|endoftext|> y", "<|endoftext|><|endoftext|>", "a<|endoftext|"]
     ids, at = Encoder(queries.tokenizer_path())(texts)
     assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == reference_ids(texts)
 
@@ -227,6 +226,18 @@ def test_packed_documents(odd, frame):
     assert packing.pack_documents(frame([]), queries.tokenizer_path()).count() == 0
 
 
+def test_a_row_that_repeats_is_ranked_in_slots_of_its_place(spark, frame, monkeypatch):
+    monkeypatch.setattr(packing, "SLOT_ROWS", 50)
+    rows = spark.range(0, 4000, 1, 6).selectExpr("7 AS doc_id", "if(id % 3 = 0, 'one <|endoftext|> two', 'one') AS text")
+    got = packing.pack_documents(rows, queries.tokenizer_path(), 64, 2).collect()
+    assert len(got) == 4000 and len({(r["sequence_id"], r["offset"]) for r in got}) == 4000
+    ends = defaultdict(int)
+    for r in sorted(got, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == ends[r["sequence_id"]]
+        ends[r["sequence_id"]] += r["length"]
+    assert max(ends.values()) <= 64 and len(ends) == -(-sum(ends.values()) // 64)
+
+
 # ---- pipeline --------------------------------------------------------------------------------------------------------
 def test_stages_keep_the_columns_and_what_is_clean(spark, odd):
     folder = "/root/testdata/sf0.001"

@@ -33,9 +33,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: rejects documents that score at least TOXIC; learns from the labels outside the held-out quarter."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(docs, labels, ~labelled.held_out("id", 4, 2))
-    # the row travels with its text, so no join is needed
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text"))
-    return toxicity.score(packed, model, "row").where(F.col("score") < TOXIC).select("row.*")
+    # the rest of the row travels with its text, so no join is needed; the names of its parts are their places
+    rest = [F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(docs.columns) if c != "text"]
+    packed = docs.select(F.struct(*rest).alias("row"), F.col("text"))
+    kept = toxicity.score(packed, model, "row", keep_text=True).where(F.col("score") < TOXIC)
+    return kept.select(*[F.col("text") if c == "text" else F.col(f"row._{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

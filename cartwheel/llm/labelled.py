@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -44,6 +48,14 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, may_learn: Column, pe
     return texts, np.array(y, np.float32), weights / weights.sum() if len(weights) else weights
 
 
+def give_back() -> None:
+    """Hands freed memory back to the system (on Linux), since the driver goes on to plan jobs for long after training."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
+    if trim:
+        trim(0)
+
+
 def calibrate(raw: np.ndarray, y: np.ndarray, weight: np.ndarray, cut: float = 0.3,
               steps: int = 400) -> tuple[float, float]:
     """Scale and shift of a logistic curve over raw scores.

@@ -13,6 +13,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE = 1 << 20
+#: bytes hashed at a time, so that the arrays for it stay small
+CHUNK = 1 << 17
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _STEP = np.uint64(0xD6E8FEB86659FD93 | 1)
 #: bytes with A-Z turned to a-z
@@ -76,7 +78,7 @@ _powers: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1
 def _weights(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2^64."""
     if len(_powers["up"]) < n:
-        size = max(n, 2 * SLICE)
+        size = max(n, 2 * CHUNK)
         inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
         for name, factor in (("up", _BASE), ("down", inverse)):
             steps = np.full(size, factor, np.uint64)
@@ -86,7 +88,18 @@ def _weights(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every byte range; equal bytes get equal hashes wherever they stand."""
+    """A 64-bit hash of every byte range; equal bytes get equal hashes wherever they stand.  Starts are in order."""
+    out = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        low = starts[at]
+        upto = max(at + 1, int(np.searchsorted(starts, low + CHUNK)))
+        out[at:upto] = _hashes(data[low:ends[at:upto].max()], starts[at:upto] - low, ends[at:upto] - low)
+        at = upto
+    return out
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     up, down = _weights(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=total[1:])

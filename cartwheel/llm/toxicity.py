@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cartwheel.llm import text as T
-from cartwheel.llm.labelled import Adam, calibrate, sample
+from cartwheel.llm.labelled import Adam, calibrate, give_back, sample
 
 WINDOW, STRIDE = 64, 52
 HIDDEN, ATTEND, RANDOM = 8, 8, 3
@@ -51,7 +51,7 @@ class Words:
         body[begin], body[self.end - 1] = False, False
         chars[body] = data[inner[body]]
         codes = chars.astype(np.uint64)
-        own = np.repeat(np.arange(len(size)), size)
+        own = np.repeat(np.arange(len(size), dtype=np.int32), size)
         grams, owner = [], []
         for n in GRAMS:
             if len(codes) < n:
@@ -60,9 +60,9 @@ class Words:
             for i in range(1, n):
                 code = code << np.uint64(8) | codes[i:len(codes) - n + 1 + i]
             whole = own[:len(code)] == own[n - 1:]
-            grams.append((T.mix(code[whole] + np.uint64(n << 50)) >> np.uint64(64 - GRAM_BITS)).astype(np.int64))
+            grams.append((T.mix(code[whole] + np.uint64(n << 50)) >> np.uint64(64 - GRAM_BITS)).astype(np.int32))
             owner.append(own[:len(code)][whole])
-        grams, owner = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (grams, owner))
+        grams, owner = (np.concatenate(x) if x else np.zeros(0, np.int32) for x in (grams, owner))
         order = np.argsort(owner, kind="stable")
         self.gram, self.owner = grams[order], owner[order]
         # every word has at least one n-gram: a letter between two blanks
@@ -290,7 +290,9 @@ def _worst(logits: np.ndarray, doc: np.ndarray, texts: int) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, may_learn: Column, label: str = "toxic", per_class: int = 1000,
           most_chars: int = 8_000, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """A model from a bounded sample of the labelled rows that ``may_learn`` (a condition on ``id``) admits."""
-    return Model(*sample(docs, labels, label, may_learn, per_class, most_chars, id_col, text_col))
+    model = Model(*sample(docs, labels, label, may_learn, per_class, most_chars, id_col, text_col))
+    give_back()
+    return model
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",

@@ -1,29 +1,37 @@
 """Exact duplicates through an extendible-hash index on shared files (operator 7); DataFrame functions only.
 
-The index has one entry per distinct text: its 64-bit key, the bucket that owns the key, its place in the chain of
-different texts under one key, a digest, the row that stays and the number of copies.
-
-* A text is folded under (key, text): two rows meet in an entry only when all their bytes are equal.  The fold is combined
-  before its shuffle, so a text that a third of the rows repeat leaves each task once.
-* The directory maps the leading bits of a key to a bucket.  It starts with one bucket and doubles: every bucket that holds
-  more than ``capacity`` entries is split on its next bit, until none is overfull.  Only counts are moved for that.
-* Owner tasks take ranges of buckets: entries are dealt by bucket range, sorted by key within it, chained where different
-  texts share a key, and written below ``spark.checkpoint.dir``.  Lookups then join rows with entries by digest, with the
-  few hottest entries broadcast.
+The index has entries (bucket, key, chain, sha, keep_id, copies) for every key that more than one row has; the key is a
+64-bit hash of the text.  A row whose key no other row has is equal to none, and its text is never moved.
+
+* Keys are counted first, combined before their shuffle.  The directory maps the leading bits of a key to a bucket.  It
+  starts with one bucket and doubles: every bucket that holds more than ``capacity`` keys is split on its next bit, until
+  none is overfull.  Only counts are moved for that.
+* Texts of repeated keys are routed to the owners of their buckets and compared byte by byte with the head of the key's
+  chain, its least text.  Those that are equal form the entry; texts that collide go on to the next link of the chain, whose
+  head is the least text left, until none is left.  Rows of a hot key don't move: its head is broadcast to them (at most
+  1 / HOT_SHARE heads, by their counts), and their entry is combined before its shuffle.
+* A map of fixed size tells which rows may have a repeated key; the join after it is exact.
+* Entries are dealt to files by ranges of buckets and keys below ``spark.checkpoint.dir``.  Each row then looks its key up
+  and takes the entry of its chain with the same SHA-256.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from cartwheel.llm.spread import join_key, written
+from cartwheel.llm.spread import dropped, join_key, written
 
 CAPACITY = 100_000
 #: bits by which the directory is deepened at once while it doubles
 STEP = 6
 DEEPEST = 60
+#: places of the map of repeated keys: 64 of them in each of at most 2^18 rows of it
+PLACES = 1 << 24
+#: copies of one row that are dealt out again at a time
+AT_ONCE = 1000
 
 
 def _slot(depth: int) -> Column:
@@ -34,8 +42,8 @@ def _slot(depth: int) -> Column:
 def directory(entries: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame, int]:
     """(slot, bucket, depth) for every used slot, and the directory's global depth.
 
-    ``entries`` holds one row per distinct text with its ``key``.  A bucket is named by its depth and leading bits.  Texts
-    that share a whole key cannot be split; their bucket stays overfull and its chain is as long as it must be.
+    ``entries`` holds one row per ``key``.  A bucket is named by its depth and leading bits.  Equal keys cannot be split;
+    their bucket stays overfull.
     """
     top = STEP
     while True:
@@ -54,20 +62,50 @@ def directory(entries: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame,
     return local.select("slot", bucket.alias("bucket"), "depth"), top
 
 
+def _repeated(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows whose key may be among the keys, by a broadcast map of at most PLACES / 64 numbers."""
+    place = F.pmod(F.col("key"), F.lit(PLACES))
+    word, bit = F.shiftrightunsigned(place, 6), (place % 64).cast("int")
+    held = keys.groupBy(word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
+    near = rows.withColumn("word", word).join(F.broadcast(held), "word")
+    return near.where(F.call_function("getbit", F.col("bits"), bit) == 1).drop("word", "bits")
+
+
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "max",
-                normalise: Callable[[Column], Column] | None = None, capacity: int = CAPACITY) -> DataFrame:
+                normalise: Callable[[Column], Column] | None = None, capacity: int = CAPACITY,
+                hashed: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
     """The index, read again from its files: bucket, key, chain, sha, keep_id, copies."""
     spark = docs.sparkSession
     pick = F.max if keep == "max" else F.min
     rows = docs.select(F.col(id_col).alias("id"), _text(text_col, normalise).alias("text"))
-    folded = (rows.withColumn("key", F.xxhash64("text")).groupBy("key", "text")
-              .agg(pick("id").alias("keep_id"), F.count(F.lit(1)).alias("copies")))
-    entries = written(spark, folded.select("key", F.sha2("text", 256).alias("sha"), "keep_id", "copies"), "entries")
-    slots, depth = directory(entries, capacity)
-    owned = entries.withColumn("slot", _slot(depth)).join(slots, "slot")
-    owned = owned.withColumn("chain", F.row_number().over(Window.partitionBy("bucket", "key").orderBy("sha")))
-    owned = owned.repartitionByRange("bucket", "key").sortWithinPartitions("bucket", "key", "chain")
-    return written(spark, owned.select("bucket", "key", "chain", "sha", "keep_id", "copies"), "index")
+    rows = rows.withColumn("key", hashed(F.col("text")))
+    keys = written(spark, rows.groupBy("key").agg(F.count(F.lit(1)).alias("copies")), "keys")
+    slots, depth = directory(keys, capacity)
+    # the directory as a table: a row for each used slot, far fewer than keys
+    slots = written(spark, slots.drop("depth"), "directory")
+    open_ = _repeated(rows, keys.where("copies > 1")).withColumn("slot", _slot(depth)).join(slots, "slot").drop("slot")
+    links, chain, parts = [], 0, []
+    while True:
+        chain += 1
+        heads = written(spark, open_.groupBy("bucket", "key").agg(F.min("text").alias("head"), F.count(F.lit(1)).alias("copies"))
+                        .where("copies > 1 or " + ("true" if chain > 1 else "false")).drop("bucket"), "heads")
+        met = join_key(open_, heads, "key", "copies")
+        same = F.col("text") == F.col("head")
+        met = met.select("bucket", "key", "id", F.when(~same, F.col("text")).alias("text"),
+                         F.when(same, F.sha2("head", 256)).alias("sha"))
+        # a text is written only where it collides
+        met = written(spark, met, "met")
+        parts += [heads, met]
+        links.append(met.where("text is null").groupBy("bucket", "key").agg(
+            F.min("sha").alias("sha"), pick("id").alias("keep_id"), F.count(F.lit(1)).alias("copies"))
+            .withColumn("chain", F.lit(chain)))
+        open_ = met.where("text is not null").drop("sha")
+        if open_.isEmpty():
+            break
+    entries = reduce(DataFrame.unionByName, links).repartitionByRange("bucket", "key").sortWithinPartitions("bucket", "key", "chain")
+    index = written(spark, entries.select("bucket", "key", "chain", "sha", "keep_id", "copies"), "index")
+    dropped(spark, keys, slots, *parts)
+    return index
 
 
 def _text(text_col: str, normalise: Callable[[Column], Column] | None) -> Column:
@@ -76,21 +114,40 @@ def _text(text_col: str, normalise: Callable[[Column], Column] | None) -> Column
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "max",
-                 normalise: Callable[[Column], Column] | None = None, capacity: int = CAPACITY) -> DataFrame:
+                 normalise: Callable[[Column], Column] | None = None, capacity: int = CAPACITY,
+                 hashed: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
     """One row per input row: id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical after ``normalise`` (default: no change); a null text counts as empty.  The row with
     the largest (``keep="min"``: smallest) id of a group stays; null ids come last, and only a group without any id has a
-    null ``keep_id``.  Of repeated rows (same id and text) one is marked kept.  Other columns are not read.  An empty table
-    gives no rows.
+    null ``keep_id``.  Of repeated rows (same id and text) one is marked kept.  Texts of any length are hashed and compared
+    whole.  Other columns are not read.  An empty table gives no rows.
     """
     spark = docs.sparkSession
-    index = build_index(docs, id_col, text_col, keep, normalise, capacity)
-    rows = docs.select(F.col(id_col).alias("id"), F.sha2(_text(text_col, normalise), 256).alias("sha"))
+    index = build_index(docs, id_col, text_col, keep, normalise, capacity, hashed)
+    text = _text(text_col, normalise)
+    rows = docs.select(F.col(id_col).alias("id"), hashed(text).alias("key"), F.sha2(text, 256).alias("sha"))
     # equal rows are interchangeable: count them, and number them when they are dealt out again
-    rows = written(spark, rows.groupBy("id", "sha").agg(F.count(F.lit(1)).alias("times")), "rows")
-    found = join_key(rows, index.select("sha", "keep_id", "copies"), "sha", "copies")
-    found = found.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
+    rows = written(spark, rows.groupBy("id", "key", "sha").agg(F.count(F.lit(1)).alias("times")), "rows")
+    entries = index.select("key", F.col("sha").alias("entry"), "keep_id", "copies")
+    found = join_key(rows, entries, "key", "copies").where("sha = entry").drop("entry")
+    alone = rows.join(entries.select("key"), "key", "left_anti").withColumn("keep_id", F.col("id")).withColumn("copies", F.col("times"))
+    found = _dealt_out(found.unionByName(alone))
     return found.select(F.col("id").alias(id_col), "keep_id", F.col("copies").alias("group_size"),
                         (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)).alias("kept"),
                         F.col("sha").alias("text_sha256"))
+
+
+def _dealt_out(rows: DataFrame) -> DataFrame:
+    """Each row as often as ``times`` says, numbered by ``nth``: many copies first as parts, which are dealt to all tasks."""
+    few = rows.where(F.col("times") <= AT_ONCE).withColumn("first", F.lit(0).cast("long"))
+    many = rows.where(F.col("times") > AT_ONCE).withColumn("part", F.explode(F.expr(
+        f"sequence(0L, (times - 1) div {AT_ONCE * AT_ONCE})")))
+    # twice, so that no array has more than a thousand places or as many as times is millions
+    size = F.expr(f"least({AT_ONCE * AT_ONCE}, times - part * {AT_ONCE * AT_ONCE})")
+    many = many.withColumn("size", size).withColumn("piece", F.explode(F.expr(f"sequence(0L, (size - 1) div {AT_ONCE})")))
+    many = many.withColumn("first", F.expr(f"part * {AT_ONCE * AT_ONCE} + piece * {AT_ONCE}")).withColumn(
+        "times", F.expr(f"least({AT_ONCE}, size - piece * {AT_ONCE})")).drop("part", "size", "piece").repartition("sha", "first")
+    every = few.unionByName(many)
+    every = every.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
+    return every.withColumn("nth", F.col("first") + F.col("nth"))

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from cartwheel.llm import decontaminate, exact_dedup, jaccard_join as J
 
@@ -150,6 +151,35 @@ def test_exact_groups(odd, frame):
     assert exact_dedup.exact_groups(frame([])).count() == 0
 
 
+def brute_groups(rows):
+    groups = defaultdict(list)
+    for d, t in rows:
+        groups[t or ""].append(d)
+    return Counter((d, max((x for x in groups[t or ""] if x is not None), default=None), len(groups[t or ""]),
+                    hashlib.sha256((t or "").encode()).hexdigest()) for d, t in rows)
+
+
+def test_colliding_keys_are_chained_and_compared(odd, frame):
+    rng = random.Random(9)
+    rows = [(rng.randint(0, 80) or None, rng.choice("abcdefgh") * rng.randint(0, 2)) for _ in range(300)] + [(5, "hot")] * 400
+    docs = frame(rows)
+    for weak in (lambda t: (F.length(t) % 2).cast("long"), lambda t: F.shiftleft(F.length(t).cast("long"), 61)):
+        got = exact_dedup.exact_groups(docs, capacity=3, hashed=weak).collect()
+        assert Counter((r["doc_id"], r["keep_id"], r["group_size"], r["text_sha256"]) for r in got) == brute_groups(rows)
+        index = exact_dedup.build_index(docs, capacity=3, hashed=weak).collect()
+        chains = defaultdict(list)
+        for r in index:
+            chains[r["key"]].append(r["chain"])
+        assert max(map(len, chains.values())) > 4
+        assert all(sorted(c) == list(range(1, len(c) + 1)) for c in chains.values())
+
+
+def test_a_row_repeated_many_times_is_dealt_out_in_parts(spark):
+    rows = spark.range(2_500_001).selectExpr("3 AS doc_id", "'same' AS text")
+    got = exact_dedup.exact_groups(rows).groupBy("doc_id", "keep_id", "group_size", "kept").count().collect()
+    assert sorted((*r,) for r in got) == [(3, 3, 2_500_001, False, 2_500_000), (3, 3, 2_500_001, True, 1)]
+
+
 def test_directory_splits_overfull_buckets(spark):
     keys = spark.range(3000).selectExpr("xxhash64(id) AS key").union(spark.range(5).selectExpr("shiftleft(id, 2) AS key"))
     slots, depth = exact_dedup.directory(keys, 40)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import pickle
 import sys
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cartwheel.llm.spread import written
@@ -17,13 +19,13 @@ def held_out(id_col: str, folds: int, fold: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % folds == fold
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, may_learn: Column, per_class: int, most_chars: int,
-           id_col: str = "doc_id", text_col: str = "text") -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Texts, labels (0 or 1) and weights of at most ``per_class`` learnable rows of each class.
+def sample_rows(docs: DataFrame, labels: DataFrame, label: str, may_learn: Column, per_class: int, most_chars: int,
+                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(y, n, place, text) of at most ``per_class`` learnable rows of each class; n: how many learnable rows it has.
 
     Rows are taken whole in the order of a hash of their id, long ones too, until the next one would bring the class above
-    ``per_class * most_chars`` signs; only a text longer than that by itself is passed over.  The weights bring the classes
-    back to their shares among all learnable rows: those that ``may_learn`` admits and that have text, id and label.
+    ``per_class * most_chars`` signs; only a text longer than that by itself is passed over.  Learnable are rows that
+    ``may_learn`` admits and that have text, id and label.
     """
     rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
             .where(may_learn).where(F.col("text").isNotNull()))
@@ -31,25 +33,47 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, may_learn: Column, pe
     marked = marked.where(F.col("id").isNotNull()).where(may_learn)
     known = written(docs.sparkSession, rows.select("id", F.length("text").alias("chars")).join(marked, "id"), "labelled")
     totals = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    texts, y, weight, room = [], [], [], per_class * most_chars
+    parts, room = [], per_class * most_chars
     for value in (0, 1):
         order = F.xxhash64("id")
         first = (known.where((F.col("y") == value) & (F.col("chars") <= room)).orderBy(order, "id", "chars")
                  .limit(per_class).select("id", "chars").toArrow())
         taken = int((np.cumsum(first.column("chars").to_numpy().astype(np.int64)) <= room).sum())
         some = docs.sparkSession.createDataFrame(first.slice(0, taken).select(["id"])).distinct()
-        found = (rows.where(F.length("text") <= room).join(F.broadcast(some), "id")
-                 .orderBy(order, "id", F.length("text"), "text").limit(taken).select("text").toArrow()
-                 .column("text").to_pylist())
-        texts += found
-        y += [value] * len(found)
-        weight += [totals.get(value, 0) / max(1, len(found))] * len(found)
-    weights = np.array(weight)
-    return texts, np.array(y, np.float32), weights / weights.sum() if len(weights) else weights
+        place = F.struct(order.alias("h"), F.col("id"), F.length("text").alias("chars")).alias("place")
+        parts.append(rows.where(F.length("text") <= room).join(F.broadcast(some), "id").select(place, "text")
+                     .orderBy("place", "text").limit(taken)
+                     .select(F.lit(value).alias("y"), F.lit(totals.get(value, 0)).cast("long").alias("n"), "place", "text"))
+    return parts[0].unionByName(parts[1])
+
+
+def weighted(y: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Weights that bring the classes of a sample back to their shares ``n`` among all learnable rows."""
+    if not len(y):
+        return np.zeros(0)
+    weights = n / np.where(y > 0, (y > 0).sum(), (y == 0).sum())
+    return weights / weights.sum()
+
+
+def trained(rows: DataFrame, model: type):
+    """``model(texts, labels, weights)`` for a sample, fitted by one task: the texts do not come to the driver."""
+    def run(batches):
+        parts = list(batches)
+        if not parts:
+            return
+        table = pa.Table.from_batches(parts)
+        y, n = (table.column(c).to_numpy() for c in ("y", "n"))
+        fitted = model(table.column("text").to_pylist(), y.astype(np.float32), weighted(y, n))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fitted)], pa.binary())], ["model"])
+        give_back()
+    one = rows.repartition(1).sortWithinPartitions("y", "place", "text").select("y", "n", "text")
+    found = one.mapInArrow(run, "model binary").collect()
+    # no row, no batch
+    return pickle.loads(found[0]["model"]) if found else model([], np.zeros(0, np.float32), np.zeros(0))
 
 
 def give_back() -> None:
-    """Hands freed memory back to the system (on Linux), since the driver goes on to plan jobs for long after training."""
+    """Hands freed memory back to the system (on Linux), since a worker that has trained goes on to score."""
     gc.collect()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
     if trim:

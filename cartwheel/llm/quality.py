@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cartwheel.llm import text as T
-from cartwheel.llm.labelled import Adam, calibrate, give_back, sample
+from cartwheel.llm.labelled import Adam, calibrate, sample_rows, trained
 
 EMBED, WIDTH, FILTERS, DENSE = 4, 8, 16, 8
 HALF = 128
@@ -159,9 +159,7 @@ class Model:
 def train(docs: DataFrame, labels: DataFrame, may_learn: Column, label: str = "quality", per_class: int = 1000,
           most_chars: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """A model from a bounded sample of the labelled rows that ``may_learn`` (a condition on ``id``) admits."""
-    model = Model(*sample(docs, labels, label, may_learn, per_class, most_chars, id_col, text_col))
-    give_back()
-    return model
+    return trained(sample_rows(docs, labels, label, may_learn, per_class, most_chars, id_col, text_col), Model)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

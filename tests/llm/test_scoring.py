@@ -74,11 +74,16 @@ def test_sample_has_long_texts_and_counts_the_learnable(frame):
     # ids from 30 on are held out, those from 100 on have no text
     labels = spark.createDataFrame([(i, int(i % 3 == 0 or 30 <= i < 60)) for i in [*range(61), *range(100, 140)]],
                                    "doc_id long, toxic int")
-    texts, y, weight = labelled.sample(docs, labels, "toxic", F.col("id") < 30, 40, 500)
+
+    def sample(*limits):
+        rows = labelled.sample_rows(docs, labels, "toxic", F.col("id") < 30, *limits).orderBy("y", "place", "text").collect()
+        y, n = (np.array([r[c] for r in rows]) for c in ("y", "n"))
+        return [r["text"] for r in rows], y, labelled.weighted(y, n)
+    texts, y, weight = sample(40, 500)
     assert sorted(texts) == sorted(f"t{i} " * (1000 if i % 10 == 9 else 1) for i in range(30))
     assert np.isclose(weight[y > 0].sum(), 1 / 3)
     # together at most 10 times 450 signs of a label, whole texts in one order
-    some, y, weight = labelled.sample(docs, labels, "toxic", F.col("id") < 30, 10, 450)
+    some, y, weight = sample(10, 450)
     assert 0 < len(some) <= 20 and set(some) <= set(texts) and np.isclose(weight[y > 0].sum(), 1 / 3)
     assert all(sum(len(t) for t, k in zip(some, y) if k == v) <= 4500 for v in (0, 1))
 

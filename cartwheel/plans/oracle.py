@@ -732,6 +732,34 @@ QUERIES = {
         from (select d.*, cast(sum(Quantity) over (partition by ProductId order by OrderDate, OrderId
                                rows unbounded preceding) as bigint) as RunningDemand
               from demand d join stg_orders using (OrderId)) join stg_products using (ProductId)""",
+    "order_acceptance": """
+        with recursive dated as (select d.*, OrderDate from demand d join stg_orders using (OrderId)),
+        heads as (select OrderId, bool_and(ProductId in (select ProductId from stg_products)) as Known
+                  from dated group by OrderId),
+        rounds as (
+          select 0 as round, OrderId, ProductId, Quantity as q, OrderDate as dt, StockQuantity as stock,
+                 cast(null as boolean) as taken
+          from dated join stg_products using (ProductId)
+          where OrderId in (select OrderId from heads where Known)
+          union all
+          select round + 1, OrderId, ProductId, q, dt, stock,
+                 case when taken is not null then taken
+                      when bool_or(sure + q > stock) over (partition by OrderId) then false
+                      when bool_and(most <= stock) over (partition by OrderId) then true end
+          from (select *, sum(case when taken then q else 0 end) over t - case when taken then q else 0 end as sure,
+                       sum(case when taken is null or taken then q else 0 end) over t as most,
+                       count(*) filter (taken is null) over () as left_over
+                from rounds window t as (partition by ProductId order by dt, OrderId rows unbounded preceding)) x
+          where left_over > 0),
+        final as (select *, sum(case when taken then q else 0 end) over (partition by ProductId order by dt, OrderId
+                                                                       rows unbounded preceding) as upto
+                  from rounds where round = (select max(round) from rounds)),
+        refused as (select OrderId, min(ProductId) filter (upto + q > stock) as ShortProductId
+                    from final where not taken group by OrderId)
+        select OrderId, Known and r.OrderId is null as Accepted,
+               case when not Known then 'One or more products not found.'
+                    when r.OrderId is not null then 'Insufficient stock.' end as Reason, ShortProductId
+        from heads left join refused r using (OrderId)""",
     "stock_position": """
         select p.ProductId, StockQuantity as Opening, coalesce(a, 0) as Ordered, coalesce(b, 0) as Restocked,
                StockQuantity - coalesce(a, 0) + coalesce(b, 0) as Position

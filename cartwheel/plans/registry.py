@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cartwheel import schemas as S
 from cartwheel.functions.scalars import compact_label, row_hash, ts, vnd_label
-from cartwheel.operators import adhoc, dims, etl, feeds, gold, guard, lookups, orders, outbox, payments, quality
-from cartwheel.operators import validation
+from cartwheel.operators import acceptance, adhoc, dims, etl, feeds, gold, guard, lookups, orders, outbox, payments
+from cartwheel.operators import quality, validation
 from cartwheel.plans import registry_jobs, reports
 from cartwheel.session import tune
 from cartwheel.sources.retail import Retail
@@ -283,6 +283,7 @@ FRAMES: dict[str, Callable[[Retail], DataFrame]] = {
     "order_pricing": lambda r: orders.price_orders(r.order_requests, r.products),
     "order_demand": lambda r: orders.order_demand(r.order_requests, r.products),
     "oversell_flags": lambda r: orders.oversell_flags(r.order_requests, r.orders, r.products),
+    "order_acceptance": lambda r: acceptance.accept_orders(r.order_requests, r.orders, r.products),
     "stock_position": lambda r: orders.stock_position(r.order_items, r.orders, r.products),
     "transition_audit": lambda r: orders.audit_transitions(r.order_events),
     "order_next_states": lambda r: orders.order_next_states(r.orders),

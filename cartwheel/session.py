@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Runtime settings every job relies on.  The broadcast threshold is left as the cluster sets it: Spark compares it
 #: with the measured size of a side, and falls back to a shuffled join above it.
@@ -52,3 +52,10 @@ def work_dir(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         base = os.path.join(tempfile.gettempdir(), "cartwheel")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
+    """The frame as a Parquet table in the work folder, read again: its lineage ends at shared files."""
+    path = work_dir(spark, name)
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)

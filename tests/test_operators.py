@@ -2,6 +2,8 @@
 
 import hashlib
 import hmac
+import random
+from collections import Counter, defaultdict
 from datetime import datetime, timedelta
 from decimal import Decimal
 from urllib.parse import quote_plus
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cartwheel import schemas as S
 from cartwheel.functions.scalars import compact_label, vnd_label
-from cartwheel.operators import adhoc, feeds, gold, lookups, orders, outbox, payments, quality, validation
+from cartwheel.operators import acceptance, adhoc, feeds, gold, lookups, orders, outbox, payments, quality, validation
 
 NOW = datetime(2024, 5, 1)
 
@@ -49,6 +51,47 @@ def test_oversell(spark, products):
     assert rows == {1: (11, False), 2: (21, False), 3: (31, False), 4: (41, False), 5: (51, True), 6: (61, True)}
 
 
+def replayed(lines, dates, stock):
+    """Orders one after the other, as the shop takes them."""
+    wanted, left, out = defaultdict(Counter), dict(stock), {}
+    for order, product, quantity in lines:
+        wanted[order][product] += quantity or 0
+    for order in sorted((o for o in wanted if o in dates), key=lambda o: (dates[o], o)):
+        if any(p not in stock for p in wanted[order]):
+            out[order] = (False, None)
+            continue
+        short = [p for p, n in wanted[order].items() if n > left[p]]
+        out[order] = (not short, min(short, default=None))
+        if not short:
+            left.update({p: left[p] - n for p, n in wanted[order].items()})
+    return out
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_orders_are_taken_or_refused_as_a_whole(spark, hot):
+    rng = random.Random(3)
+    stock = {p: rng.randint(0, 60) for p in range(1, 13)}
+    lines = [(o, rng.choice((1, 1, 1, 2)) if hot and rng.random() < 0.5 else rng.randint(1, 12), rng.randint(0, 9))
+             for o in range(1, 220) for _ in range(rng.randint(1, 4))] + [(7, 99, 1), (300, 2, 1), (8, 3, None)]
+    dates = {o: NOW + timedelta(minutes=rng.randint(0, 40)) for o in range(1, 230)}
+    got = acceptance.accept_orders(
+        _lines(spark, *lines), spark.createDataFrame(list(dates.items()), "OrderId long, OrderDate timestamp_ntz"),
+        spark.createDataFrame(list(stock.items()), "ProductId long, StockQuantity int")).collect()
+    want = replayed(lines, dates, stock)
+    assert {r.OrderId: (r.Accepted, r.ShortProductId) for r in got} == want and len(got) == len(want)
+    assert {r.OrderId for r in got if r.Reason == acceptance.UNKNOWN_PRODUCT} == {7}
+    assert 20 < sum(a for a, _ in want.values()) < 200
+
+
+def test_a_refused_order_leaves_its_demand_to_later_ones(spark, products):
+    heads = spark.createDataFrame([(i, NOW + timedelta(days=i)) for i in range(1, 5)], "OrderId long, OrderDate timestamp_ntz")
+    # product 1 has 100, product 2 has 50
+    lines = _lines(spark, (1, 2, 20), (2, 1, 101), (2, 2, 30), (3, 2, 30), (4, 2, 1))
+    rows = {r.OrderId: r.Accepted for r in acceptance.accept_orders(lines, heads, products).collect()}
+    assert rows == {1: True, 2: False, 3: True, 4: False}
+    assert acceptance.accept_orders(lines.limit(0), heads, products).collect() == []
+
+
 def test_stock_after_sale_and_cancel(spark, products):
     heads = spark.createDataFrame([(1, 1), (2, 5)], "OrderId long, Status int")
     rows = {r.ProductId: r.Position

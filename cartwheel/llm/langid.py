@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cartwheel.llm import text as T
+from cartwheel.llm.spread import written
 from cartwheel.llm.tokens import LETTER, _classes
 
 DIMENSIONS = 1024
@@ -111,18 +112,35 @@ class Prototypes:
 
 
 def train(docs: DataFrame, may_learn: Column, per_language: int = 500, most_chars: int = 20_000, id_col: str = "doc_id",
-          text_col: str = "text", lang_col: str = "lang") -> Prototypes:
-    """Prototypes from at most ``per_language`` documents of each language that ``may_learn`` (a condition on ``id``)
-    admits, in the order of a hash of their id, of at most ``most_chars`` signs."""
+          text_col: str = "text", lang_col: str = "lang", most_rows: int = 20_000) -> Prototypes:
+    """Prototypes from at most ``per_language`` documents of each language that ``may_learn`` (a condition on ``id``) admits.
+
+    Documents are taken whole, long ones too, in the order of a hash of their id, as long as those of a language together
+    have at most ``per_language * most_chars`` signs.  With so many languages that this would be more than ``most_rows``
+    documents, each gives fewer.
+    """
     rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
                         F.col(lang_col).cast("string").alias("lang"))
-            .where(may_learn).where("text is not null and lang is not null").where(F.length("text") <= most_chars))
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    few = rows.select("id", "lang").withColumn("nth", nth).where(F.col("nth") <= per_language).select("id", "lang")
-    taken = rows.join(few.dropDuplicates(), ["id", "lang"]).select("text", "lang").toArrow()
-    texts, languages = taken.column("text").to_pylist(), taken.column("lang").to_pylist()
-    order = sorted(range(len(texts)), key=lambda i: (languages[i], texts[i]))
-    return Prototypes([texts[i] for i in order], [languages[i] for i in order])
+            .where(may_learn).where("text is not null and lang is not null"))
+    languages = rows.select("lang").distinct().count()
+    each = max(1, min(per_language, most_rows // max(1, languages)))
+    room = each * most_chars
+    order = F.xxhash64("id"), F.col("id"), F.col("chars"), F.col("digest")
+    few = rows.select("id", "lang", F.length("text").alias("chars"), F.xxhash64("text").alias("digest")).where(F.col("chars") <= room)
+    # first within 64 parts of a language, so that no task gets more rows the more tasks there are
+    few = few.withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(64)))
+    for key in (["lang", "part"], ["lang"]):
+        nth = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
+        few = few.withColumn("nth", nth).where(F.col("nth") <= each)
+    before = F.sum("chars").over(Window.partitionBy("lang").orderBy("nth"))
+    few = written(docs.sparkSession, few.withColumn("upto", before).where(F.col("upto") <= room).select("id", "lang", "digest")
+                  .distinct(), "few")
+    # at most ``most_rows`` rows of three short columns: the texts of all others stay where they are
+    found = rows.withColumn("digest", F.xxhash64("text")).join(F.broadcast(few), ["id", "lang", "digest"])
+    taken = found.select("text", "lang").distinct().toArrow()
+    texts, names = taken.column("text").to_pylist(), taken.column("lang").to_pylist()
+    order = sorted(range(len(texts)), key=lambda i: (names[i], texts[i]))
+    return Prototypes([texts[i] for i in order], [names[i] for i in order])
 
 
 def identify(docs: DataFrame, prototypes: Prototypes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

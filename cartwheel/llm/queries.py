@@ -46,8 +46,8 @@ TOOLS = [("measure", "unit", "string", True), ("measure", "value", "integer", Tr
 def op4_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
     """Every assistant turn read as a call of a tool on its text, every later user turn as the result of the turn before.
 
-    The tool and the faults in its arguments follow from the text's length and the turn.  Chains of calls are up to four
-    long: a call needs the one two turns earlier, but for the first two turns of every eight.
+    The tool and the faults in its arguments follow from the text's length and the turn.  A call needs the one two turns
+    earlier, so chains are as long as conversations.
     """
     turns = spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text")
     listed = F.to_json(F.array(F.coalesce("text", F.lit(""))))
@@ -61,7 +61,7 @@ def op4_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
                   WHEN 2 THEN concat('{ "value": ', if(turn % 3 = 0, concat('"', n, '"'), string(n)), ', "unit": "sign"',
                                      if(n % 11 = 0, ', "note": true', ''), '}')
                   ELSE concat('[', q, ']') END""").alias("arguments"),
-        F.expr("if(turn % 8 >= 2, array(concat('call_', conv_id, '_', turn - 2)), cast(array() as array<string>))")
+        F.expr("if(turn >= 2, array(concat('call_', conv_id, '_', turn - 2)), cast(array() as array<string>))")
         .alias("needs"))
     answered = turns.where("role = 'user' and turn > 0").select(
         "conv_id", "turn", F.expr("concat('call_', conv_id, '_', turn - 1)").alias("call_id"), F.col("text").alias("content"))
@@ -267,7 +267,7 @@ calls AS (
               WHEN 2 THEN concat_ws('; ', CASE WHEN turn % 3 = 0 THEN 'type of value' END,
                                     CASE WHEN n % 11 = 0 THEN 'unknown note' END)
               ELSE 'unknown tool' END AS problems,
-         CASE WHEN turn % 8 >= 2 THEN 'call_' || conv_id || '_' || (turn - 2) END AS need
+         CASE WHEN turn >= 2 THEN 'call_' || conv_id || '_' || (turn - 2) END AS need
   FROM turns WHERE role = 'assistant'),
 answers AS (SELECT conv_id, turn, 'call_' || conv_id || '_' || (turn - 1) AS call_id, text, q FROM turns
             WHERE role = 'user' AND turn > 0),

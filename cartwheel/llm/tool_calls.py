@@ -1,9 +1,10 @@
 """Tool calls of chats linked to their results, ordered, validated and written as canonical JSON (operator 4).
 
 DataFrame functions only.  Calls and results meet in a hash join on (conversation, call id); where one id is used many
-times, uses are first folded to the earliest one, and rows of hot ids meet it by a broadcast of the few hot keys.  The
-topological order is found in rounds: a call without open dependencies gets the next step, until no call can be placed; what
-is left waits for itself in a circle.  Arguments are parsed to variants, whose types are compared with the schema of the
+times, uses are first folded to the earliest one, and rows of hot ids meet it by a broadcast of the few hot keys.  For
+the topological order, chains of calls that need one call each are jumped over by doubling, so a chain of any length takes a
+logarithmic number of rounds; calls that need several are placed in rounds, once all of those are placed.  What can't be
+placed waits for itself in a circle.  Arguments are parsed to variants, whose types are compared with the schema of the
 tool, and written again with sorted keys and without blanks.
 """
 
@@ -11,9 +12,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cartwheel.llm.spread import join_key, written
+from cartwheel.llm.spread import dropped, join_key, written
 
 #: JSON types as schemas name them, and how the type of a variant shows
 KINDS = {"string": "STRING", "integer": "BIGINT", "number": "(BIGINT|DOUBLE|FLOAT|DECIMAL.*)", "boolean": "BOOLEAN",
@@ -52,7 +53,7 @@ def ordered(calls: DataFrame) -> DataFrame:
     """The calls with ``step``: 0 without dependencies, else one more than the latest of them; null inside a circle.
 
     ``needs`` lists call ids of the same conversation.  Ids that no call has are not waited for; they are told in
-    ``unknown``.  One round per step of the longest chain; every round is a table in the shared folder.
+    ``unknown``.  Every round is a table of short rows in the shared folder, removed once the next one is written.
     """
     spark = calls.sparkSession
     ids = calls.where("key is not null").select("key").distinct()
@@ -61,20 +62,52 @@ def ordered(calls: DataFrame) -> DataFrame:
     asked = asked.join(ids.select(F.col("key").alias("need"), F.lit(True).alias("known")), "need", "left")
     asked = written(spark, asked.distinct(), "needs")
     unknown = asked.where("known is null").groupBy("key").agg(F.array_sort(F.collect_list("id")).alias("unknown"))
-    open_ = asked.where("known").select("key", "need")
-    done = written(spark, ids.join(open_, "key", "left_anti").withColumn("step", F.lit(0)), "steps")
-    parts, step = [done], 0
-    while not open_.isEmpty():
-        step += 1
-        met = parts[-1].select(F.col("key").alias("need"))
-        before = open_.select("key").distinct()
-        open_ = written(spark, open_.join(met, "need", "left_anti"), "open")
-        free = written(spark, before.join(open_, "key", "left_anti").withColumn("step", F.lit(step)), "steps")
-        if free.isEmpty():
+    edges = asked.where("known").select("key", "need")
+    counts = edges.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("need").alias("only"))
+    jumps = _jumped(spark, counts.where("n = 1").select("key", F.col("only").alias("to")))
+    # anchors need no call or several; each call that one needs stands some steps above an anchor, or in a circle
+    heads = ids.join(edges.select("key").distinct(), "key", "left_anti").select("key", F.lit(0).alias("step"))
+    several = edges.join(counts.where("n > 1").select("key"), "key", "left_semi")
+    above = several.join(jumps.select(F.col("key").alias("need"), "to", "far", "done"), "need", "left").select(
+        "key", F.coalesce("to", "need").alias("to"), F.coalesce("far", F.lit(0)).alias("far"),
+        F.coalesce("done", F.lit(True)).alias("done"))
+    waiting = written(spark, above.withColumn("met", F.lit(None).cast("int")), "waiting")
+    parts = [written(spark, heads, "placed")]
+    while not waiting.isEmpty():
+        reached = waiting.join(parts[-1].select(F.col("key").alias("to"), "step"), "to", "left").select(
+            "key", "to", "far", "done", F.coalesce("met", F.when(F.col("done"), F.col("step") + F.col("far"))).alias("met"))
+        before, waiting = waiting, written(spark, reached, "waiting")
+        ready = waiting.groupBy("key").agg(F.max("met").alias("most"), F.count_if(F.col("met").isNull()).alias("open"))
+        placed = written(spark, ready.where("open = 0").select("key", (F.col("most") + 1).alias("step")), "placed")
+        dropped(spark, before)
+        if placed.isEmpty():
             break
-        parts.append(free)
-    steps = reduce(DataFrame.unionByName, parts)
-    return calls.join(steps, "key", "left").join(unknown, "key", "left")
+        parts.append(placed)
+        before, waiting = waiting, written(spark, waiting.join(placed.select("key"), "key", "left_anti"), "waiting")
+        dropped(spark, before)
+    anchors = reduce(DataFrame.unionByName, parts)
+    chained = jumps.where("done").join(anchors.select(F.col("key").alias("to"), "step"), "to").select(
+        "key", (F.col("step") + F.col("far")).alias("step"))
+    return calls.join(anchors.unionByName(chained), "key", "left").join(unknown, "key", "left")
+
+
+def _jumped(spark: SparkSession, single: DataFrame) -> DataFrame:
+    """(key, to, far, done) for calls that need one call each: the first call up the chain that is not such a call, and how
+    far it is; not done are those whose chain never ends."""
+    names = written(spark, single, "single")
+    jumps = written(spark, names.join(names.select(F.col("key").alias("to"), F.lit(False).alias("ends")), "to", "left").select(
+        "key", "to", F.lit(1).alias("far"), F.coalesce("ends", F.lit(True)).alias("done")), "jumps")
+    dropped(spark, names)
+    # after r rounds a jump is done or spans 2^r calls: once that is more than there are, it runs in a circle
+    calls, span = jumps.count(), 1
+    while span <= calls and not jumps.where(~F.col("done")).isEmpty():
+        longer = jumps.where(~F.col("done")).select("key", "to", "far").join(
+            jumps.select(F.col("key").alias("to"), F.col("to").alias("on"), F.col("far").alias("more"), "done"), "to").select(
+            "key", F.col("on").alias("to"), (F.col("far") + F.col("more")).alias("far"), "done")
+        before, jumps = jumps, written(spark, jumps.where("done").unionByName(longer), "jumps")
+        dropped(spark, before)
+        span *= 2
+    return jumps
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
@@ -99,7 +132,8 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     chosen, again = _split(calls, first_call)
     answer, late = _split(results, first_result)
     chosen = written(spark, validated(ordered(chosen), schemas), "checked")
-    answer = written(spark, answer, "answers")
+    answer, again, late = (written(spark, t, name) for t, name in ((answer, "answers"), (again, "again"), (late, "late")))
+    dropped(spark, calls, results, first_call, first_result)
     both = chosen.join(answer.select("key", F.col("content").alias("result"), F.lit(True).alias("answered")).hint(
         "shuffle_hash"), "key", "left")
     status = (F.when(F.col("step").isNull() & F.col("call_id").isNotNull(), "circular")
@@ -123,9 +157,14 @@ def _key() -> Column:
 
 
 def _order(*more: str) -> Column:
-    """A text that sorts by turn (null last), then by a digest of the rest of the row."""
-    return F.concat_ws("|", F.coalesce(F.lpad(F.col("turn").cast("string"), 20, "0"), F.lit("~")),
-                       F.sha2(F.to_json(F.struct(*more)), 256))
+    """A number of fixed width that sorts by turn (null last), then by 60 bits of a hash of the rest of the row.
+
+    Two different uses of one id in one turn that share those bits would both count as the first one; among a million such
+    uses the chance is below 10^-6.
+    """
+    turn = F.coalesce("turn", F.lit((1 << 63) - 1)).cast("decimal(19,0)")
+    rest = F.shiftrightunsigned(F.xxhash64(F.to_json(F.struct(*more))), 4).cast("decimal(19,0)")
+    return (turn * F.lit(1 << 60).cast("decimal(19,0)") + rest).cast("decimal(38,0)")
 
 
 def _split(rows: DataFrame, first: DataFrame) -> tuple[DataFrame, DataFrame]:

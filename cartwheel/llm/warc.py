@@ -5,8 +5,9 @@ carries the payload, the others are revisits that name it.  Every task writes it
 about ``FILE_BYTES`` in a shared folder, under names of its own; only the files it reports are read, so what a lost task
 leaves behind has no effect.
 
-Reading.  A file is read in pieces, never whole.  A member or record that fails a check (its gzip sums, its version line, its
-length, its end mark, its payload digest) is not trusted: from the byte after its start the reader looks for the next valid
+Reading.  A file is read in pieces, never whole.  Archives of others are read too: field names in any case, record ids of any
+form, blocks that are HTTP messages, whose payload is what follows their head.  A member or record that fails a check (its gzip sums, its version line, its
+length, its end mark, its block or payload digest) is not trusted: from the byte after its start the reader looks for the next valid
 member, or the next version line in an archive without compression, recovers the records from there on and reports the bytes
 between as a quarantined gap.
 """
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -30,6 +32,9 @@ FILE_BYTES = 16 << 20
 PIECE = 1 << 18
 VERSION, MAGIC, END = b"WARC/1.1\r\n", b"\x1f\x8b\x08", b"\r\n\r\n"
 HEAD_BYTES = 1 << 16
+#: tasks that read; files are dealt out to them evenly
+READERS = 20_000
+_LENGTH, _PAGE = re.compile(r"[0-9]{1,18}"), re.compile(r"<urn:page:(-?[0-9]{1,18})>")
 
 
 def digest(payload: bytes) -> str:
@@ -57,8 +62,9 @@ def _name(page: int | None) -> str:
 
 
 def _number(name: str | None) -> int | None:
-    inner = (name or "")[len("<urn:page:"):-1]
-    return int(inner) if inner else None
+    """The page id in a record id of our own form; null in any other."""
+    found = _PAGE.fullmatch(name or "")
+    return int(found[1]) if found else None
 
 
 def roles(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
@@ -84,7 +90,8 @@ def write(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataFrame:
     """Writes one record per row of pages (page_id, url, html) and returns the files' paths, read from a table.
 
     A null html is an empty payload, a null url an empty one.  Of rows without a page id, and of repeated rows, each gets a
-    record; rows with the smallest id of a payload are all responses.  An empty table gives no files.
+    record; rows with the smallest id of a payload are all responses.  A payload of any length is one record.  Other columns
+    are not read, whatever their names.  An empty table gives no files.
     """
     spark = pages.sparkSession
     again = written(spark, roles(pages, least_bytes), "revisits")
@@ -158,17 +165,38 @@ def _member(source: _Bytes, at: int) -> tuple[bytes, int] | str:
 
 
 def _parsed(head: bytes) -> dict[str, str] | None:
+    """The fields by their names in lower case, or None without a version line or a sound length."""
     lines = head.decode("utf-8", "replace").split("\r\n")
     if not lines[0].startswith("WARC/"):
         return None
-    fields = dict(line.split(": ", 1) for line in lines[1:] if ": " in line)
-    return fields if fields.get("Content-Length", "").isdigit() else None
+    pairs = (line.partition(":") for line in lines[1:])
+    fields = {name.strip().lower(): value.strip() for name, mark, value in pairs if mark}
+    return fields if _LENGTH.fullmatch(fields.get("content-length", "")) else None
 
 
-def _checked(fields: dict[str, str], body: bytes) -> str | None:
+def payload(fields: dict[str, str], block: bytes) -> bytes:
+    """The block, or what follows the head of an HTTP message in it."""
+    if not fields.get("content-type", "").lower().startswith("application/http"):
+        return block
+    _, mark, rest = block.partition(END)
+    return rest if mark else block
+
+
+def _differs(told: str | None, data: bytes) -> bool:
+    """Whether a SHA-1 in base 32 or 16 is not that of the data; other digests are not judged."""
+    kind, mark, value = (told or "").rpartition(":")
+    if not value or (mark and kind.lower() != "sha1") or len(value) not in (32, 40):
+        return False
+    found = hashlib.sha1(data)
+    return value.upper() != base64.b32encode(found.digest()).decode() and value.lower() != found.hexdigest()
+
+
+def _checked(fields: dict[str, str], block: bytes) -> str | None:
     """What is wrong with a record, or None."""
-    told = fields.get("WARC-Payload-Digest")
-    if fields.get("WARC-Type") == "response" and told and told.removeprefix("sha1:") != digest(body):
+    if _differs(fields.get("warc-block-digest"), block):
+        return "block digest differs"
+    # the payload of a revisit, or of a part of one, is elsewhere
+    if fields.get("warc-type") == "response" and _differs(fields.get("warc-payload-digest"), payload(fields, block)):
         return "payload digest differs"
     return None
 
@@ -182,8 +210,9 @@ def _packed_record(source: _Bytes, at: int):
     fields = _parsed(content[:cut]) if cut >= 0 else None
     if fields is None:
         return "bad header"
-    body = content[cut + 4:cut + 4 + int(fields["Content-Length"])]
-    if content[cut + 4:] != body + END or len(body) != int(fields["Content-Length"]):
+    size = int(fields["content-length"])
+    body = content[cut + 4:cut + 4 + size]
+    if content[cut + 4:] != body + END or len(body) != size:
         return "length differs"
     return _checked(fields, body) or (fields, body, end)
 
@@ -194,7 +223,7 @@ def _plain_record(source: _Bytes, at: int):
     fields = _parsed(head[:cut]) if cut >= 0 and head.startswith(b"WARC/") else None
     if fields is None:
         return "bad header"
-    size = int(fields["Content-Length"])
+    size = int(fields["content-length"])
     if at + cut + 4 + size + 4 > source.size:
         return "truncated record"
     body = source.read(at + cut + 4, size)
@@ -205,7 +234,10 @@ def _plain_record(source: _Bytes, at: int):
 
 
 def salvage(file) -> Iterator[tuple[int, int, str | None, dict[str, str], bytes]]:
-    """(start, end, reason, fields, payload) of every record, and of every gap (with its reason, without fields)."""
+    """(start, end, reason, fields, block) of every record, and of every gap (with its reason, without fields).
+
+    Records and gaps together cover every byte of the file, whatever it holds.
+    """
     source = _Bytes(file)
     packed = source.read(0, min(3, source.size)) == MAGIC
     if not packed and source.find(b"WARC/", 0) > source.find(MAGIC, 0):
@@ -226,15 +258,17 @@ def salvage(file) -> Iterator[tuple[int, int, str | None, dict[str, str], bytes]
         at = after
 
 
-_READ = ("path string, start long, end long, reason string, type string, page_id long, refers_to long, url string, "
-         "payload_digest string, payload_bytes long")
+_READ = ("path string, start long, end long, reason string, type string, record_id string, page_id long, refers_to_id string, "
+         "refers_to long, url string, payload_digest string, payload_bytes long")
 
 
 def read(archives: DataFrame, keep_payload: bool = False) -> DataFrame:
     """Per record or gap of the archives (column path): its place, and either a reason (a gap) or the record's fields.
 
     ``payload_bytes`` and ``payload_digest`` of a response are counted from the payload itself; a revisit tells the digest
-    and gets the size of the response with that digest in ``resolved``.
+    and gets the size of the response with that digest in ``resolved``.  ``record_id`` and ``refers_to_id`` are the names as
+    they stand in the archive; ``page_id`` and ``refers_to`` are null where those are not of the form that ``write`` gives.
+    No damage to a file makes the reader fail.  An empty file has neither records nor gaps.
     """
     names = [f.split()[0] for f in _READ.split(", ")] + ["payload"] * keep_payload
 
@@ -246,11 +280,11 @@ def read(archives: DataFrame, keep_payload: bool = False) -> DataFrame:
                 held = 0
                 with store.open_input_file(inner) as file:
                     for start, end, reason, fields, body in salvage(file):
-                        response = fields.get("WARC-Type") == "response"
-                        refers = fields.get("WARC-Refers-To")
-                        rows.append((path, start, end, reason, fields.get("WARC-Type"), _number(fields.get("WARC-Record-ID")),
-                                     _number(refers), fields.get("WARC-Target-URI"),
-                                     digest(body) if response else fields.get("WARC-Payload-Digest"),
+                        response, body = fields.get("warc-type") == "response", payload(fields, body)
+                        name, refers = fields.get("warc-record-id"), fields.get("warc-refers-to")
+                        rows.append((path, start, end, reason, fields.get("warc-type"), name, _number(name), refers,
+                                     _number(refers), fields.get("warc-target-uri"),
+                                     digest(body) if response else fields.get("warc-payload-digest"),
                                      len(body) if response else None, body)[:len(names)])
                         held += len(body) * keep_payload + 200
                         if held > PIECE * 16:
@@ -258,8 +292,8 @@ def read(archives: DataFrame, keep_payload: bool = False) -> DataFrame:
                             rows, held = [], 0
                 if rows:
                     yield _batch(rows, names)
-    # every file is a task's own
-    spread = archives.select("path").repartition(max(1, archives.count()), "path")
+    # dealt one after the other, so no task gets two files before each has one
+    spread = archives.select("path").repartition(max(1, min(archives.count(), READERS)))
     return spread.mapInArrow(run, _READ + ", payload binary" * keep_payload)
 
 

@@ -63,12 +63,66 @@ def test_salvage_recovers_what_is_whole(packed):
         data, found = b"".join(damaged), salvaged(b"".join(damaged))
         # every byte is in a record or in a gap, in order
         assert [r[0] for r in found] == [0, *(r[1] for r in found[:-1])] and found[-1][1] == len(data)
-        names = {r[3].get("WARC-Target-URI"): r[4] for r in found if r[2] is None}
+        names = {r[3].get("warc-target-uri"): r[4] for r in found if r[2] is None}
         for i, text in enumerate(texts):
             if i not in bad:
                 assert names[f"u{i}"] == text
 
 
+@pytest.mark.parametrize("packed", [True, False])
+def test_salvage_survives_any_damage_to_headers(packed, tmp_path, spark):
+    rng = random.Random(11)
+    parts = [warc.record(i, f"u{i}", b"text %d" % i, i - 1, i % 3 == 2) for i in range(6)]
+    signs = ["\u00b2".encode(), b"9" * 5000, b"-1", b"\r\n", b":", b"\xff", b"\x00", b" ", b"WARC/", b"<urn:uuid:1>", b""]
+    paths = []
+    for turn in range(300):
+        damaged = [*parts]
+        b = rng.randrange(6)
+        at = (damaged[b].find(b"Content-Length: ") + 16 if turn % 4 == 0 else
+              damaged[b].find(b"urn:page") + 9 if turn % 4 == 1 else rng.randrange(damaged[b].find(warc.END)))
+        damaged[b] = damaged[b][:at] + rng.choice(signs) + damaged[b][at + rng.randrange(3):]
+        data = b"".join(gzip.compress(r) if packed else r for r in damaged)
+        found = salvaged(data)
+        assert [r[0] for r in found] == [0, *(r[1] for r in found[:-1])] and found[-1][1] == len(data)
+        names = {r[3].get("warc-target-uri") for r in found if r[2] is None}
+        assert {f"u{i}" for i in range(6) if i != b and (packed or i != b + 1)} <= names
+        if turn % 10 == 0:
+            paths.append(str(tmp_path / f"{turn}.warc"))
+            (tmp_path / f"{turn}.warc").write_bytes(data)
+    got = warc.read(spark.createDataFrame([(x,) for x in paths], "path string"), keep_payload=True).collect()
+    assert {r["path"] for r in got} == set(paths)
+
+
+def test_archives_of_others(tmp_path, spark):
+    page = b"<html>\r\n\r\nbody</html>"
+    block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + page
+    sha1 = warc.digest(block)
+    def one(kind, name, content, **fields):
+        told = "".join(f"{k.replace('_', '-')}: {v}\r\n" for k, v in fields.items())
+        return (f"WARC/1.0\r\nwarc-type: {kind}\r\nWARC-RECORD-ID: {name}\r\n{told}content-length:{len(content)}\r\n"
+                "\r\n").encode() + content + warc.END
+    records = [one("warcinfo", "<urn:uuid:0>", b"software: x\r\n"),
+               one("response", "<urn:uuid:1>", block, content_type="application/http; msgtype=response",
+                   WARC_Payload_Digest="sha1:" + warc.digest(page), warc_block_digest="SHA1:" + sha1),
+               one("response", "<urn:uuid:2>", block, warc_block_digest="sha1:" + warc.digest(page)),
+               one("resource", "<urn:page:7>", b"plain", warc_block_digest="md5:0123")]
+    for name, data in (("plain", b"".join(records)), ("packed", b"".join(map(gzip.compress, records)))):
+        (tmp_path / name).write_bytes(data)
+        got = sorted(warc.read(spark.createDataFrame([(str(tmp_path / name),)], "path string"), keep_payload=True).collect(),
+                     key=lambda r: r["start"])
+        assert [(r["type"], r["record_id"], r["page_id"], r["reason"]) for r in got] == [
+            ("warcinfo", "<urn:uuid:0>", None, None), ("response", "<urn:uuid:1>", None, None),
+            (None, None, None, "block digest differs"), ("resource", "<urn:page:7>", 7, None)]
+        assert bytes(got[1]["payload"]) == page and got[1]["payload_bytes"] == len(page)
+
+
+def test_pages_with_long_payloads_and_clashing_names(spark):
+    rows = [(1, "u", "x" * 3_000_000, "p", "s"), (2, "u", "x" * 3_000_000, "p", "s"), (3, "v", "short", "p", "s")]
+    got = warc.round_trip(spark.createDataFrame(rows, "page_id long, url string, html string, path string, sha string")).collect()
+    assert {r["page_id"]: (r["type"], r["payload_bytes"], r["refers_to"]) for r in got} == {
+        1: ("response", 3_000_000, None), 2: ("revisit", 3_000_000, 1), 3: ("response", 5, None)}
+
+
 def test_salvage_of_nothing_and_of_junk():
     assert salvaged(b"") == []
     assert [r[:2] for r in salvaged(b"junk" * 1000)] == [(0, 4000)]
@@ -111,6 +165,39 @@ def test_calls(spark):
     assert linked(spark, [], []) == []
 
 
+def brute_steps(needs):
+    """The step of every call, by names; None in or above a circle."""
+    step = {}
+    while True:
+        free = [c for c in needs if c not in step and all(n in step for n in needs[c] if n in needs)]
+        if not free:
+            return {c: step.get(c) for c in needs}
+        step |= {c: 1 + max((step[n] for n in needs[c] if n in needs), default=-1) for c in free}
+
+
+def test_steps_of_long_chains_and_meshes_equal_brute_force(spark):
+    rng = random.Random(2)
+    needs = {f"c{i}": [f"c{i - 1}"] if i else [] for i in range(300)}                         # one long chain
+    needs |= {f"m{i}": [f"m{rng.randrange(i)}" for _ in range(rng.choice((0, 1, 1, 1, 2, 3)))] if i else [] for i in range(150)}
+    needs |= {"o0": ["o2"], "o1": ["o0"], "o2": ["o1"], "o3": ["o2"], "o4": ["o3", "c5"], "o5": ["o4"], "s": ["s"], "g": ["gone"]}
+    calls = [(1, rng.randrange(50), c, "search", '{"query": "x"}', n) for c, n in needs.items()]
+    got = {r["call_id"]: r["step"] for r in linked(spark, calls, [])}
+    assert got == brute_steps(needs) and got["c299"] == 299 and got["o5"] is None and got["g"] == 0
+
+
+def test_calls_with_long_arguments_clashing_names_and_one_side_only(spark):
+    long = '{"query": "' + "y" * 2_000_000 + '"}'
+    calls = spark.createDataFrame([(1, 1, "a", "search", long, [], 5, "k")], "conv_id long, turn long, call_id string, "
+                                  "name string, arguments string, needs array<string>, step int, key string")
+    results = spark.createDataFrame([(1, 2, "a", "z", 7)], "conv_id long, turn long, call_id string, content string, step int")
+    schemas = spark.createDataFrame(TOOLS, "name string, param string, kind string, required boolean")
+    both = tool_calls.link(calls, results, schemas).collect()
+    assert [(r["status"], r["step"], len(r["json"]) > 2_000_000) for r in both] == [("ok", 0, True)]
+    assert [r["status"] for r in tool_calls.link(calls, results.limit(0), schemas).collect()] == ["unanswered"]
+    assert [r["status"] for r in tool_calls.link(calls.limit(0), results, schemas).collect()] == ["orphan"]
+    assert [r["status"] for r in tool_calls.link(calls, results, schemas.limit(0)).collect()] == ["invalid"]
+
+
 # ---- packing ---------------------------------------------------------------------------------------------------------
 def filled(runs):
     got = defaultdict(int)

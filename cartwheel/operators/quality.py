@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
-from functools import reduce
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cartwheel.functions.scalars import ts
@@ -114,55 +113,55 @@ def suite() -> list[DqTest]:
     return tests
 
 
-def _result(numbers: DataFrame, test: DqTest, as_of: datetime, error: str | None = None) -> Column:
-    value = F.lit(0).cast("long") if error else F.col(numbers.columns[0]).cast("long")
-    status = F.lit("Fail") if error else F.when(test.passes(value), F.lit("Pass")).otherwise(F.lit("Fail"))
-    return _struct(test, value, status, error, as_of)
-
-
-def _struct(test: DqTest, value: Column, status: Column, error: str | None, as_of: datetime) -> Column:
+def _told(test: DqTest, value: int | None, error: str | None, as_of: datetime) -> Column:
+    number = F.lit(value).cast("long")
+    status = F.lit("Fail") if error else F.when(test.passes(number), F.lit("Pass")).otherwise(F.lit("Fail"))
     return F.struct(
         F.lit(test.name).alias("TestName"), F.lit(test.category).alias("Category"),
-        F.lit(test.severity).alias("Severity"), status.alias("Status"), value.cast("string").alias("ActualValue"),
+        F.lit(test.severity).alias("Severity"), status.alias("Status"), number.cast("string").alias("ActualValue"),
         F.lit(test.expected).alias("ExpectedValue"), F.lit(error).cast("string").alias("Message"),
         ts(as_of).alias("RunAt"))
 
 
-def _failed(anchor: DataFrame, test: DqTest, as_of: datetime, error: Exception) -> DataFrame:
-    one = anchor.sparkSession.range(1)
-    return one.select(F.inline(F.array(_result(one, test, as_of, str(error).strip().splitlines()[0]))))
+def _measured(tables: Tables, table: str, group: list[DqTest], as_of: datetime) -> dict[str, tuple[int | None, str | None]]:
+    """The numbers of a table's tests from one scan; if one of them fails, each from a scan of its own."""
+    try:
+        row = tables[table].agg(*[t.measure(as_of).cast("long").alias(f"m{i}") for i, t in enumerate(group)]).first()
+        return {t.name: (row[i], None) for i, t in enumerate(group)}
+    except (KeyError, PySparkException) as error:
+        if len(group) > 1:
+            alone = [_measured(tables, table, [t], as_of) for t in group]
+            return {name: found for part in alone for name, found in part.items()}
+        return {group[0].name: (0, _message(error))}
+
+
+def _framed(tables: Tables, test: DqTest) -> tuple[int | None, str | None]:
+    try:
+        numbers = test.frame(tables)
+        return numbers.select(F.col(numbers.columns[0]).cast("long")).first()[0], None
+    except (KeyError, PySparkException) as error:
+        return 0, _message(error)
+
+
+def _message(error: Exception) -> str:
+    """The whole message of an error, without Spark's stack."""
+    lines = str(error).strip().splitlines()
+    return "\n".join(line for line in lines if not line.startswith(("\tat ", "JVM stacktrace"))).strip()
 
 
 def run_suite(tables: Tables, tests: Sequence[DqTest], as_of: datetime) -> DataFrame:
-    """One result row per test.  A test that cannot even be planned (missing table or column) counts as failed."""
+    """One result row per test, each a single number that the run fetches.
+
+    An error inside a test, in planning (a missing table or column) or at run time (a division by zero), is that test's
+    failure with the error's message; the others go on.
+    """
     anchor = next(iter(tables.values()))
-    frames: list[DataFrame] = []
+    found: dict[str, tuple[int | None, str | None]] = {}
     for name in dict.fromkeys(t.table for t in tests if t.table):
-        group = [t for t in tests if t.table == name]
-        try:
-            numbers = tables[name].agg(*[t.measure(as_of).cast("long").alias(f"m{i}") for i, t in enumerate(group)])
-        except (KeyError, AnalysisException):
-            frames.extend(_measured_alone(tables, t, anchor, as_of) for t in group)
-            continue
-        rows = [_struct(t, F.col(f"m{i}"), F.when(t.passes(F.col(f"m{i}")), F.lit("Pass")).otherwise(F.lit("Fail")),
-                        None, as_of) for i, t in enumerate(group)]
-        frames.append(numbers.select(F.inline(F.array(*rows))))
-    for test in tests:
-        if test.frame:
-            try:
-                numbers = test.frame(tables)
-                frames.append(numbers.select(F.inline(F.array(_result(numbers, test, as_of)))))
-            except (KeyError, AnalysisException) as error:
-                frames.append(_failed(anchor, test, as_of, error))
-    return reduce(DataFrame.unionByName, frames)
-
-
-def _measured_alone(tables: Tables, test: DqTest, anchor: DataFrame, as_of: datetime) -> DataFrame:
-    try:
-        numbers = tables[test.table].agg(test.measure(as_of).cast("long").alias("m"))
-        return numbers.select(F.inline(F.array(_result(numbers, test, as_of))))
-    except (KeyError, AnalysisException) as error:
-        return _failed(anchor, test, as_of, error)
+        found |= _measured(tables, name, [t for t in tests if t.table == name], as_of)
+    found |= {t.name: _framed(tables, t) for t in tests if t.frame}
+    order = [t for t in tests if t.table] + [t for t in tests if t.frame]
+    return anchor.sparkSession.range(1).select(F.inline(F.array(*[_told(t, *found[t.name], as_of) for t in order])))
 
 
 def summary(results: DataFrame) -> DataFrame:

@@ -92,6 +92,22 @@ def test_a_refused_order_leaves_its_demand_to_later_ones(spark, products):
     assert acceptance.accept_orders(lines.limit(0), heads, products).collect() == []
 
 
+def test_an_error_in_one_quality_test_is_its_failure_alone(spark):
+    table = spark.createDataFrame([(1, 0), (2, 1)], "a int, z int")
+    zero, some = (lambda v: v == 0), (lambda v: v > 0)
+    tests = [quality.DqTest("divides", "C", "Critical", "x", zero, "t", lambda _: F.sum(F.col("a") / F.col("z"))),
+             quality.DqTest("counts", "C", "Low", "x", some, "t", lambda _: F.count(F.lit(1))),
+             quality.DqTest("no column", "C", "Low", "x", zero, "t", lambda _: F.sum("gone")),
+             quality.DqTest("no table", "C", "Low", "x", zero, "gone", lambda _: F.count(F.lit(1))),
+             quality.DqTest("frame", "C", "Low", "x", zero, frame=lambda t: t["t"].select(F.raise_error(F.lit("late")))),
+             quality.DqTest("fine", "C", "Low", "x", zero, frame=lambda t: t["t"].where("a > 5").agg(F.count(F.lit(1))))]
+    rows = {r.TestName: r for r in quality.run_suite({"t": table}, tests, NOW).collect()}
+    assert {n: r.Status for n, r in rows.items()} == {"divides": "Fail", "counts": "Pass", "no column": "Fail", "no table": "Fail",
+                                                      "frame": "Fail", "fine": "Pass"}
+    assert "DIVIDE_BY_ZERO" in rows["divides"].Message and "late" in rows["frame"].Message and rows["counts"].Message is None
+    assert quality.summary(quality.run_suite({"t": table}, tests, NOW)).first().Critical == 1
+
+
 def test_stock_after_sale_and_cancel(spark, products):
     heads = spark.createDataFrame([(1, 1), (2, 5)], "OrderId long, Status int")
     rows = {r.ProductId: r.Position

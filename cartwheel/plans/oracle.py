@@ -405,45 +405,27 @@ BLOCKS = {
         select case user_id % 3 when 0 then 'easy' when 1 then 'medium' else 'hard' end as Difficulty,
                event_type <> 'error' as Passed, cast(cast(value as decimal(18,2)) * 100 as bigint) as LatencyMs
         from events""",
-    # ---- milk-tea star
+    # ---- sales star over the given tables
     "fnb_product": """
-        select * from (values
-            (1, 'Classic Milk Tea', 45000), (2, 'Classic Milk Tea', 55000), (3, 'Brown Sugar Boba', 55000),
-            (4, 'Brown Sugar Boba', 65000), (5, 'Taro Milk Tea', 50000), (6, 'Matcha Milk Tea', 52000),
-            (7, 'Peach Tea', 48000), (8, 'Peach Tea', 58000), (9, 'Lychee Tea', 48000),
-            (10, 'Passion Fruit Tea', 50000), (11, 'Milk Coffee', 40000), (12, 'Americano', 42000),
-            (13, 'Latte', 50000), (14, 'Mango Smoothie', 55000), (15, 'Strawberry Smoothie', 55000),
-            (16, 'Pearl (Boba) Topping', 8000), (17, 'Cheese Foam Topping', 12000), (18, 'Pudding Topping', 10000))
-        v(ProductKey, ProductName, BasePrice)""",
+        select p_partkey as ProductKey, p_name as ProductName from part""",
     "fnb_store": """
-        select * from (values
-            (1, 'Bubble House Hoan Kiem', 'Hà Nội'), (2, 'Bubble House Cau Giay', 'Hà Nội'),
-            (3, 'Bubble House District 1', 'Hồ Chí Minh'), (4, 'Bubble House Thu Duc', 'Hồ Chí Minh'),
-            (5, 'Bubble House Hai Chau', 'Đà Nẵng'), (6, 'Bubble House Le Chan', 'Hải Phòng'))
-        v(StoreKey, StoreName, City)""",
+        select s_suppkey as StoreKey, s_name as StoreName, n_name as City
+        from supplier left join nation on s_nationkey = n_nationkey""",
     "fnb_customer": """
-        select cast(c_custkey as int) as CustomerKey, 'Customer ' || cast(c_custkey as varchar) as CustomerName,
-               case when c_custkey % 2 = 0 then 'Female' else 'Male' end as Gender,
-               case when c_custkey % 10 = 0 then 'Gold' when c_custkey % 10 in (1, 2, 3) then 'Silver'
-                    else 'Bronze' end as MembershipTier,
-               case c_custkey % 4 when 0 then 'Hà Nội' when 1 then 'Hồ Chí Minh' when 2 then 'Đà Nẵng'
-                    else 'Hải Phòng' end as City,
-               cast(date '2023-01-01' + to_days(cast((c_custkey * 7) % 900 as int)) as date) as JoinedDate
-        from customer""",
+        select c_custkey as CustomerKey, c_name as CustomerName,
+               case when c_acctbal >= 7500 then 'Gold' when c_acctbal >= 2500 then 'Silver' else 'Bronze' end
+                 as MembershipTier, n_name as City
+        from customer left join nation on c_nationkey = n_nationkey""",
     "fnb_fact": """
-        select n as OrderItemKey, OrderId, cast(strftime(d, '%Y%m%d') as int) as DateKey, StoreKey, ProductKey,
-               CustomerKey, Quantity, cast(BasePrice as decimal(10,2)) as UnitPrice,
-               cast(disc as decimal(12,2)) as DiscountAmount,
-               cast(BasePrice * Quantity - disc as decimal(12,2)) as LineTotal,
-               case OrderId % 3 when 0 then 'Cash' when 1 then 'Card' else 'EWallet' end as PaymentMethod, d
-        from (select x.*, p.BasePrice, date '2024-01-01' + to_days(cast((OrderId * 11) % 731 as int)) as d,
-                     case when OrderId % 7 = 0 then (p.BasePrice * x.Quantity + 5) // 10 else 0 end as disc
-              from (select l_orderkey * 7 + l_linenumber as n, l_orderkey as OrderId,
-                           cast(o_custkey as int) as CustomerKey, cast(1 + (l_orderkey * 5) % 6 as int) as StoreKey,
-                           cast(1 + ((l_orderkey * 7 + l_linenumber) * 7) % 18 as int) as ProductKey,
-                           cast(1 + (l_orderkey * 7 + l_linenumber) % 3 as int) as Quantity
-                    from lineitem join orders on l_orderkey = o_orderkey) x
-              join fnb_product p using (ProductKey))""",
+        select OrderId, l_linenumber as LineNumber, l_suppkey as StoreKey, l_partkey as ProductKey,
+               cast(l_quantity as int) as Quantity, gross as GrossAmount, disc as DiscountAmount,
+               cast(gross - disc as decimal(18,2)) as LineTotal, CustomerId as CustomerKey,
+               cast(strftime(d, '%Y%m%d') as int) as DateKey,
+               case PaymentMethod when 1 then 'Cash' when 2 then 'Card' when 3 then 'EWallet' end as PaymentMethod, d
+        from (select *, cast(round(gross * cast(l_discount as decimal(4,2)), 2) as decimal(18,2)) as disc,
+                     cast(OrderDate + interval 24 year as date) as d
+              from (select *, cast(l_extendedprice as decimal(18,2)) as gross from lineitem) l
+              join stg_orders o on o.OrderId = l.l_orderkey)""",
 }
 
 _DQ = {

@@ -12,9 +12,14 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cartwheel import schemas as S
-from cartwheel.functions.scalars import ts
+from cartwheel.functions.scalars import date_key, ts
 from cartwheel.operators import dims, etl
 
+#: the sales star: years by which orders are moved on, account balances of the tiers, names of the payment methods
+YEARS_ON = 24
+GOLD_FROM, SILVER_FROM = 7500, 2500
+METHODS = {1: "Cash", 2: "Card", 3: "EWallet"}
+
 
 def _when(*pairs, otherwise=None) -> Column:
     chain = F
@@ -401,17 +406,34 @@ class Retail:
 
     @cached_property
     def star(self) -> dict[str, DataFrame]:
-        """The milk-tea star with one sales line per line item and the given customers."""
+        """A sales star over the given tables: suppliers as stores, parts as products, line items as sales.
+
+        Orders are moved on by YEARS_ON years, so that they reach into the calendar of the demo's questions.
+        """
         from cartwheel.operators import adhoc
-        buyers = self.table("orders").select(F.col("o_orderkey").alias("OrderId"),
-                                             F.col("o_custkey").alias("CustomerKey"))
-        lines = self.table("lineitem").select(F.col("l_orderkey").alias("OrderId"),
-                                              (F.col("l_orderkey") * 7 + F.col("l_linenumber")).alias("n"))
-        products = adhoc.star_products(self.spark)
-        keys = self.table("customer").select(F.col("c_custkey").alias("k"))
-        return {"DimStore": adhoc.star_stores(self.spark), "DimProduct": products,
-                "DimCustomer": adhoc.star_customers(keys), "DimDate": adhoc.star_dates(self.spark),
-                "FactOrderItem": adhoc.star_fact(lines.join(buyers, "OrderId"), products, customers=None)}
+        nation = self.table("nation").select("n_nationkey", F.col("n_name").alias("City"))
+        money = lambda name: F.col(name).cast(S.MONEY)
+        stores = (self.table("supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
+                  .select(F.col("s_suppkey").alias("StoreKey"), F.col("s_name").alias("StoreName"), "City"))
+        products = self.table("part").select(
+            F.col("p_partkey").alias("ProductKey"), F.col("p_name").alias("ProductName"), F.col("p_brand").alias("Category"),
+            F.col("p_size").alias("Size"), money("p_retailprice").alias("BasePrice"))
+        balance = F.col("c_acctbal")
+        tier = F.when(balance >= GOLD_FROM, F.lit("Gold")).when(balance >= SILVER_FROM, F.lit("Silver")).otherwise(F.lit("Bronze"))
+        customers = (self.table("customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+                     .select(F.col("c_custkey").alias("CustomerKey"), F.col("c_name").alias("CustomerName"),
+                             tier.alias("MembershipTier"), "City"))
+        method = F.element_at(F.create_map(*[F.lit(x) for pair in METHODS.items() for x in pair]), F.col("PaymentMethod"))
+        heads = self.orders.select("OrderId", F.col("CustomerId").alias("CustomerKey"), date_key(F.add_months(
+            F.col("OrderDate").cast("date"), 12 * YEARS_ON)).alias("DateKey"), method.alias("PaymentMethod"))
+        gross, share = money("l_extendedprice"), F.col("l_discount").cast("decimal(4,2)")
+        lines = self.table("lineitem").select(
+            F.col("l_orderkey").alias("OrderId"), F.col("l_linenumber").alias("LineNumber"), F.col("l_suppkey").alias("StoreKey"),
+            F.col("l_partkey").alias("ProductKey"), F.col("l_quantity").cast("int").alias("Quantity"), gross.alias("GrossAmount"),
+            F.round(gross * share, 2).cast(S.MONEY).alias("DiscountAmount"))
+        fact = lines.withColumn("LineTotal", (F.col("GrossAmount") - F.col("DiscountAmount")).cast(S.MONEY)).join(heads, "OrderId")
+        return {"DimStore": stores, "DimProduct": products, "DimCustomer": customers,
+                "DimDate": adhoc.star_dates(self.spark), "FactOrderItem": fact}
 
     # ---------------------------------------------------------------- broken star for the quality tests
     @cached_property

@@ -3,11 +3,12 @@ import pytest
 from cartwheel.operators import adhoc, guard
 from cartwheel.plans import evaluation
 from cartwheel.sources import readers
+from demo_star import star_from_range
 
 
 @pytest.fixture(scope="module")
 def star(spark):
-    return adhoc.star_from_range(spark)
+    return star_from_range(spark)
 
 
 # statements to refuse, with the word the first reason must hold
@@ -121,5 +122,12 @@ def test_question_scoreboard(spark, star):
 
 
 def test_unknown_question_gets_the_fallback(star):
-    rows = evaluation.ask("Which shelf is empty?", star).rows.collect()
+    rows = evaluation.ask("Which shelf is empty?", star).collect()
     assert len(rows) == 10 and rows[0].ProductName == "Brown Sugar Boba" and rows[0].BasePrice == 65000
+
+
+def test_a_loaded_statement_goes_before_the_registered_answer(star):
+    statements = {"which shelf is empty?": "SELECT COUNT(*) AS n FROM DimStore", "revenue by payment method": "DROP TABLE x"}
+    assert evaluation.ask(" Which  shelf is empty? ", star, statements).collect()[0].n == 6
+    with pytest.raises(guard.Refused):
+        evaluation.ask("Revenue by payment method", star, statements)

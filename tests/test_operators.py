@@ -15,6 +15,8 @@ from cartwheel import schemas as S
 from cartwheel.functions.scalars import compact_label, vnd_label
 from cartwheel.operators import acceptance, adhoc, feeds, gold, lookups, orders, outbox, payments, quality, validation
 
+from demo_star import star_from_range
+
 NOW = datetime(2024, 5, 1)
 
 
@@ -428,7 +430,7 @@ STAR_ANSWERS = {
 
 
 def test_star_golden_numbers(spark):
-    star = adhoc.star_from_range(spark)
+    star = star_from_range(spark)
     want = STAR_ANSWERS
     assert star["FactOrderItem"].count() == 12000 and star["DimDate"].count() == 731
     assert adhoc.star_revenue(star, 2024).first()[0] == want["rev"]

@@ -10,7 +10,7 @@ import re
 import time
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from cartwheel.operators import adhoc, guard
 
@@ -50,8 +50,19 @@ def run_questions(questions: DataFrame, views: Star, statements: Mapping[str, st
             passed = adhoc.result_difference(answer, wanted).isEmpty()
         except guard.Refused:
             pass
-        rows.append((entry.difficulty, passed, int((time.monotonic() - began) * 1000)))
-    return questions.sparkSession.createDataFrame(rows, "Difficulty string, Passed boolean, LatencyMs long")
+        rows.append((entry.question, entry.difficulty, passed, int((time.monotonic() - began) * 1000)))
+    return questions.sparkSession.createDataFrame(rows, "Question string, Difficulty string, Passed boolean, LatencyMs long")
+
+
+def score_asked(log: DataFrame, questions: DataFrame, views: Star, statements: Mapping[str, str] | None = None) -> DataFrame:
+    """The log (Question, LatencyMs) with Difficulty and Passed, for questions of the set; each is answered once.
+
+    The set is a small document, so its outcomes are broadcast and the log stays where it is.
+    """
+    told = run_questions(questions, views, statements).select(
+        adhoc.normal_question(F.col("Question")).alias("_normal"), "Difficulty", "Passed").dropDuplicates(["_normal"])
+    return (log.withColumn("_normal", adhoc.normal_question(F.col("Question"))).join(F.broadcast(told), "_normal")
+            .select("Difficulty", "Passed", "LatencyMs"))
 
 
 def run_statements(cases: DataFrame, views: Mapping[str, DataFrame]) -> DataFrame:
@@ -60,7 +71,13 @@ def run_statements(cases: DataFrame, views: Mapping[str, DataFrame]) -> DataFram
     for case in cases.collect():
         try:
             guard.guarded_sql(views, case.sql)
-            rows.append((case.expect, False))
+            rows.append((case.sql, case.expect, False))
         except guard.Refused:
-            rows.append((case.expect, True))
-    return cases.sparkSession.createDataFrame(rows, "Expect string, Rejected boolean")
+            rows.append((case.sql, case.expect, True))
+    return cases.sparkSession.createDataFrame(rows, "Statement string, Expect string, Rejected boolean")
+
+
+def score_statements(log: DataFrame, cases: DataFrame, views: Star) -> DataFrame:
+    """The log (Statement) with what was expected of each statement of the set and what the guard did; each is put once."""
+    told = run_statements(cases, views).dropDuplicates(["Statement"])
+    return log.join(F.broadcast(told), "Statement").select("Expect", "Rejected")

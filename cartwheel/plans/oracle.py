@@ -401,10 +401,11 @@ BLOCKS = {
                     when event_type = 'error' then 'Error' else 'CacheHit' end as Status,
                cast(cast(value as decimal(18,2)) * 100 as bigint) as LatencyMs
         from events""",
-    "evals": """
-        select case user_id % 3 when 0 then 'easy' when 1 then 'medium' else 'hard' end as Difficulty,
-               event_type <> 'error' as Passed, cast(cast(value as decimal(18,2)) * 100 as bigint) as LatencyMs
-        from events""",
+    "evals": r"""
+        select case k when 0 then 'easy' when 1 then 'easy' when 2 then 'medium' else 'hard' end as Difficulty,
+               k < 3 as Passed, LatencyMs
+        from (select cast(regexp_extract(props, '\d+') as int) % 5 as k,
+                     cast(cast(value as decimal(18,2)) * 100 as bigint) as LatencyMs from events) where k < 4""",
     # ---- sales star over the given tables
     "fnb_product": """
         select p_partkey as ProductKey, p_name as ProductName from part""",
@@ -909,8 +910,8 @@ QUERIES = {
         from (select Difficulty, count(*) filter (Passed) as p, count(*) as n, sum(LatencyMs) as s
               from evals group by rollup (Difficulty))""",
     "safety_scoreboard": f"""
-        with c as (select event_type in ('click', 'error') as bad,
-                          (event_type in ('click', 'error')) <> (event_id % 97 = 0) as rejected from events),
+        with c as (select event_type in ('click', 'error') as bad, event_type in ('click', 'error') as rejected
+                   from events),
         t as (select count(*) filter (bad) as Malicious, count(*) filter (bad and rejected) as Blocked,
                      count(*) filter (not bad) as Benign, count(*) filter (not bad and not rejected) as Allowed,
                      count(*) filter (not bad and rejected) as FalseRefusals from c)

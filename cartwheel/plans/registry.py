@@ -11,9 +11,10 @@ from cartwheel import schemas as S
 from cartwheel.functions.scalars import compact_label, row_hash, ts, vnd_label
 from cartwheel.operators import acceptance, adhoc, dims, etl, feeds, gold, guard, lookups, orders, outbox, payments
 from cartwheel.operators import quality, validation
-from cartwheel.plans import registry_jobs, reports
+from cartwheel.plans import evaluation, registry_jobs, reports
 from cartwheel.session import tune
-from cartwheel.sources.retail import Retail
+from cartwheel.sources import readers
+from cartwheel.sources.retail import STATEMENTS, Retail
 
 START, END = date(1997, 1, 15), date(1999, 3, 20)
 LAST_DAY = date(2001, 8, 1)
@@ -177,6 +178,32 @@ def _guarded(r: Retail) -> DataFrame:
     return guard.guarded_sql({"DailySalesByCategory": _daily(r)}, GUARDED).rows
 
 
+#: the question set of the scoreboard: question, difficulty and a statement that tells the right answer
+QUESTION_SET = [
+    ("What was total revenue in 2024?", "easy",
+     "SELECT SUM(GrossAmount - DiscountAmount) FROM FactOrderItem WHERE DateKey DIV 10000 = 2024"),
+    ("Revenue by payment method", "easy",
+     "SELECT PaymentMethod AS m, SUM(GrossAmount) - SUM(DiscountAmount) AS r FROM FactOrderItem GROUP BY PaymentMethod"),
+    ("Top 3 stores by revenue", "medium",
+     "SELECT s.StoreName, t.r FROM (SELECT StoreKey, SUM(LineTotal) AS r FROM FactOrderItem GROUP BY StoreKey) t "
+     "JOIN DimStore s ON s.StoreKey = t.StoreKey ORDER BY t.r DESC, s.StoreName LIMIT 3"),
+    # nobody prepared an answer to this one
+    ("Which shelf is empty?", "hard", "SELECT ProductName FROM DimProduct WHERE BasePrice < 0"),
+]
+
+
+def _asked(r: Retail) -> DataFrame:
+    questions = r.spark.createDataFrame([("", "", level, question, sql) for question, level, sql in QUESTION_SET],
+                                        readers.QUESTIONS)
+    return adhoc.eval_scoreboard(evaluation.score_asked(r.questions, questions, r.star))
+
+
+def _guarded_statements(r: Retail) -> DataFrame:
+    cases = r.spark.createDataFrame([("", "reject" if kind in ("click", "error") else "allow", sql)
+                                     for kind, sql in STATEMENTS.items()], readers.SAFETY)
+    return adhoc.safety_scoreboard(evaluation.score_statements(r.statements, cases, {"DailySalesByCategory": _daily(r)}))
+
+
 def _rendered(r: Retail) -> DataFrame:
     return outbox.render(outbox.pending(r.outbox), r.orders, _with_gaps(r.customers))
 
@@ -333,8 +360,8 @@ FRAMES: dict[str, Callable[[Retail], DataFrame]] = {
     "guarded_sql": _guarded,
     "canned_match": lambda r: adhoc.canned_match(r.questions, adhoc.CANNED, adhoc.FALLBACK),
     "result_equivalence": _equivalence,
-    "eval_scoreboard": lambda r: adhoc.eval_scoreboard(r.eval_results),
-    "safety_scoreboard": lambda r: adhoc.safety_scoreboard(r.safety_cases),
+    "eval_scoreboard": _asked,
+    "safety_scoreboard": _guarded_statements,
     "ask_metrics": lambda r: adhoc.ask_metrics(r.ask_log),
     "ask_repeats": lambda r: adhoc.repeat_questions(r.ask_log),
     "ask_cache_hits": lambda r: adhoc.cache_hits(r.ask_log),

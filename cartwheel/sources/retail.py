@@ -19,6 +19,14 @@ from cartwheel.operators import dims, etl
 YEARS_ON = 24
 GOLD_FROM, SILVER_FROM = 7500, 2500
 METHODS = {1: "Cash", 2: "Card", 3: "EWallet"}
+#: what is asked of the guard, by the kind of event
+STATEMENTS = {
+    "click": "DROP TABLE DailySalesByCategory",
+    "error": "SELECT Category FROM DailySalesByCategory UNION ALL SELECT Secret FROM hidden",
+    "view": "SELECT Category, SUM(TotalRevenue) FROM DailySalesByCategory GROUP BY Category",
+    "signup": "SELECT MAX(Date) FROM DailySalesByCategory",
+    "purchase": "SELECT * FROM DailySalesByCategory ORDER BY TotalRevenue DESC LIMIT 5",
+}
 
 
 def _when(*pairs, otherwise=None) -> Column:
@@ -387,22 +395,14 @@ class Retail:
         text = _when((k % 5 == 0, F.lit("  What WAS total   revenue in 2024? ")),
                      (k % 5 == 1, F.lit("REVENUE by payment method")), (k % 5 == 2, F.lit("top 3 stores\tby revenue")),
                      (k % 5 == 3, F.lit("Which shelf is empty?")), otherwise=F.col("props"))
-        return self.table("events").select(F.col("event_id").alias("AskId"), text.alias("Question"))
+        return self.table("events").select(F.col("event_id").alias("AskId"), text.alias("Question"),
+                                           (F.col("value").cast(S.MONEY) * 100).cast("bigint").alias("LatencyMs"))
 
     @cached_property
-    def eval_results(self) -> DataFrame:
-        who = F.col("user_id")
-        return self.table("events").select(
-            _when((who % 3 == 0, F.lit("easy")), (who % 3 == 1, F.lit("medium")), otherwise=F.lit("hard"))
-            .alias("Difficulty"), (F.col("event_type") != "error").alias("Passed"),
-            (F.col("value").cast(S.MONEY) * 100).cast("bigint").alias("LatencyMs"))
-
-    @cached_property
-    def safety_cases(self) -> DataFrame:
-        bad = F.col("event_type").isin("click", "error")
-        return self.table("events").select(
-            _when((bad, F.lit("reject")), otherwise=F.lit("allow")).alias("Expect"),
-            _when((F.col("event_id") % 97 == 0, ~bad), otherwise=bad).alias("Rejected"))
+    def statements(self) -> DataFrame:
+        """Statements put to the guard, one for each kind of event."""
+        return self.table("events").select(F.element_at(F.create_map(*[F.lit(x) for pair in STATEMENTS.items() for x in pair]),
+                                                        F.col("event_type")).alias("Statement"))
 
     @cached_property
     def star(self) -> dict[str, DataFrame]:

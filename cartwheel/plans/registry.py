@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cartwheel import schemas as S
 from cartwheel.functions.scalars import compact_label, row_hash, ts, vnd_label
-from cartwheel.operators import acceptance, adhoc, dims, etl, feeds, gold, guard, lookups, orders, outbox, payments
-from cartwheel.operators import quality, validation
+from cartwheel.operators import acceptance, adhoc, answer_cache, dims, etl, feeds, gold, guard, lookups, orders, outbox
+from cartwheel.operators import payments, quality, validation
 from cartwheel.plans import evaluation, registry_jobs, reports
 from cartwheel.session import tune
 from cartwheel.sources import readers
@@ -364,7 +364,7 @@ FRAMES: dict[str, Callable[[Retail], DataFrame]] = {
     "safety_scoreboard": _guarded_statements,
     "ask_metrics": lambda r: adhoc.ask_metrics(r.ask_log),
     "ask_repeats": lambda r: adhoc.repeat_questions(r.ask_log),
-    "ask_cache_hits": lambda r: adhoc.cache_hits(r.ask_log),
+    "ask_cache_hits": lambda r: answer_cache.cache_hits(r.ask_log),
 }
 
 

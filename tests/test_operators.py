@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from cartwheel import schemas as S
 from cartwheel.functions.scalars import compact_label, vnd_label
-from cartwheel.operators import acceptance, adhoc, feeds, gold, lookups, orders, outbox, payments, quality, validation
+from cartwheel.operators import acceptance, adhoc, answer_cache, feeds, gold, lookups, orders, outbox, payments
+from cartwheel.operators import quality, validation
 
 from demo_star import star_from_range
 
@@ -461,27 +462,36 @@ def test_repeat_questions(spark):
     assert got == {1: (False, False), 2: (True, True), 3: (True, False), 4: (False, False)}
 
 
-def test_cache_hits_against_a_walk(spark):
-    """An answer lives 600 seconds from when it was stored; small Arrow batches make the memory cross them."""
-    import random
-    rng = random.Random(7)
-    rows, clock = [], 0
-    for i in range(3000):
-        clock += rng.choice([0, 1, 5, 60, 700 if rng.random() < 0.05 else 2])
-        text = "hot" if rng.random() < 0.4 else f"q{rng.randrange(20)}"
-        rows.append((i, NOW + timedelta(seconds=clock), rng.choice([text, text.upper(), f" {text}"]),
-                     "Error" if rng.random() < 0.1 else "Answered"))
+def _walk(rows, seconds=600):
     stored, want = {}, {}
-    for i, at, text, status in rows:
+    for i, at, text, status in sorted(rows, key=lambda row: (row[1], row[0])):
         if status != "Error":
-            key = text.strip().lower()
-            want[i] = key in stored and at < stored[key] + timedelta(seconds=600)
+            key = None if text is None else text.strip(" ").lower()
+            want[i] = key in stored and at < stored[key] + timedelta(seconds=seconds)
             if not want[i]:
                 stored[key] = at
+    return want
+
+
+@pytest.mark.parametrize("steps", [(0, 1, 5, 60, 2), (599, 600, 601, 1200), (1, 1, 1, 0), (7000, 300)])
+def test_cache_hits_against_a_walk(spark, steps):
+    """An answer lives 600 seconds from when it was stored: dense, sparse and exact steps, one text asked by many."""
+    rng, rows, clock = random.Random(7), [], 0
+    for i in range(3000):
+        clock += rng.choice([*steps, 700 if rng.random() < 0.05 else 2])
+        text = "hot" if rng.random() < 0.4 else f"q{rng.randrange(20)}"
+        rows.append((i, NOW + timedelta(seconds=clock), rng.choice([text, text.upper(), f" {text}", None]),
+                     "Error" if rng.random() < 0.1 else "Answered"))
+    want = _walk(rows)
     log = spark.createDataFrame(rows, "AskId long, AskedAt timestamp_ntz, Question string, Status string")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
-    try:
-        got = {r.AskId: r.CacheHit for r in adhoc.cache_hits(log).collect()}
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-    assert got == want and any(want.values())
+    got = answer_cache.cache_hits(log.repartition(5)).collect()
+    assert len(got) == len(want) and {r.AskId: r.CacheHit for r in got} == want
+
+
+def test_cache_hits_of_odd_logs(spark):
+    schema = "AskId long, AskedAt timestamp_ntz, Question string, Status string"
+    assert answer_cache.cache_hits(spark.createDataFrame([], schema)).isEmpty()
+    rows = [(1, None, "q", "Answered"), (2, NOW, None, "Answered"), (3, NOW, "", "Answered"),
+            (4, NOW, None, "Answered"), (5, NOW, "q", "Error")]
+    got = {r.AskId: r.CacheHit for r in answer_cache.cache_hits(spark.createDataFrame(rows, schema)).collect()}
+    assert got == {1: True, 2: False, 3: False, 4: True}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -35,6 +36,11 @@ def monthly_top_products(fact: DataFrame, dim_date: DataFrame, dim_product: Data
         dim_date.select("DateKey", "Year", "Month"), "DateKey")
     versions = months.groupBy("Year", "Month", "ProductKey").agg(F.sum("Quantity").alias("Quantity"),
                                                                  F.sum("LineTotal").alias("Revenue"))
+    return best_of_months(versions, dim_product, top)
+
+
+def best_of_months(versions: DataFrame, dim_product: DataFrame, top: int) -> DataFrame:
+    """The lists from one row per (month, product version)."""
     named = versions.join(dim_product.select("ProductKey", "ProductId", "Sku", "Name", "Category"), "ProductKey")
     monthly = (named.groupBy("Year", "Month", "ProductId", "Sku", F.col("Name").alias("ProductName"), "Category")
                .agg(F.sum("Quantity").alias("TotalQuantity"), F.sum("Revenue").alias("TotalRevenue")))
@@ -46,12 +52,19 @@ def monthly_top_products(fact: DataFrame, dim_date: DataFrame, dim_product: Data
 def customer_lifetime_value(fact: DataFrame, dim_date: DataFrame, dim_customer: DataFrame,
                             as_of: datetime) -> DataFrame:
     """Per customer over all its versions.  Lines fold into orders before the customer is looked up."""
-    orders = (fact.join(dim_date.select("DateKey", "Date"), "DateKey").groupBy("CustomerKey", "OrderId")
-              .agg(F.min("Date").alias("First"), F.max("Date").alias("Last"), F.sum("LineTotal").alias("Revenue")))
-    return (orders.join(dim_customer.select("CustomerKey", "CustomerId"), "CustomerKey").groupBy("CustomerId")
-            .agg(F.min("First").alias("FirstOrderDate"), F.max("Last").alias("LastOrderDate"),
-                 F.countDistinct("OrderId").alias("TotalOrders"), F.sum("Revenue").alias("TotalRevenue"))
-            .withColumn("AvgOrderValue", average(F.col("TotalRevenue"), F.col("TotalOrders")))
+    orders = order_values(fact, dim_date).join(dim_customer.select("CustomerKey", "CustomerId"), "CustomerKey")
+    return with_customer_ratios(orders.groupBy("CustomerId").agg(
+        F.min("First").alias("FirstOrderDate"), F.max("Last").alias("LastOrderDate"),
+        F.countDistinct("OrderId").alias("TotalOrders"), F.sum("Revenue").alias("TotalRevenue")), as_of)
+
+
+def order_values(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+    return (fact.join(dim_date.select("DateKey", "Date"), "DateKey").groupBy("CustomerKey", "OrderId")
+            .agg(F.min("Date").alias("First"), F.max("Date").alias("Last"), F.sum("LineTotal").alias("Revenue")))
+
+
+def with_customer_ratios(values: DataFrame, as_of: datetime) -> DataFrame:
+    return (values.withColumn("AvgOrderValue", average(F.col("TotalRevenue"), F.col("TotalOrders")))
             .withColumn("DaysSinceLastOrder", F.datediff(day(as_of.date()), F.col("LastOrderDate"))))
 
 
@@ -101,7 +114,13 @@ def product_inventory(fact: DataFrame, dim_product: DataFrame, products: DataFra
 
 def daily_sales_incremental(gold: DataFrame, new_rows: DataFrame, fact: DataFrame, dim_date: DataFrame,
                             dim_product: DataFrame) -> DataFrame:
-    """The daily table after a batch, recomputing only the days the batch touches.
+    """The daily table after a batch, recomputing only the days the batch touches."""
+    return recompute_days(gold, new_rows, fact, dim_date, dim_product, daily_sales_by_category)
+
+
+def recompute_days(table: DataFrame, new_rows: DataFrame, fact: DataFrame, dim_date: DataFrame, dim_product: DataFrame,
+                   build: Callable[[DataFrame, DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    """A table by Date after a batch: ``build`` makes the touched days anew, the others stay.
 
     ``new_rows`` and ``fact`` are the batch and the whole fact including it.  The touched days are at most the days
     of the calendar, so they are broadcast; on a fact table by month they also prune the months to read.
@@ -109,6 +128,6 @@ def daily_sales_incremental(gold: DataFrame, new_rows: DataFrame, fact: DataFram
     month = ["MonthKey"] if "MonthKey" in fact.columns and "MonthKey" in new_rows.columns else []
     touched = dim_date.join(new_rows.select("DateKey", *month).distinct(), "DateKey").select("Date", "DateKey", *month)
     wanted = F.broadcast(touched.drop("Date"))
-    redone = daily_sales_by_category(fact.join(wanted, ["DateKey", *month], "left_semi"), dim_date, dim_product)
+    redone = build(fact.join(wanted, ["DateKey", *month], "left_semi"), dim_date, dim_product)
     days = F.broadcast(touched.select("Date"))
-    return gold.join(days, "Date", "left_anti").select(redone.columns).unionByName(redone)
+    return table.join(days, "Date", "left_anti").select(redone.columns).unionByName(redone)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -11,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from cartwheel import schemas as S
 from cartwheel.functions.scalars import month_of, ts
-from cartwheel.operators import dims, etl, gold, quality
+from cartwheel.operators import dims, etl, gold, gold_state, quality
 from cartwheel.sources.warehouse import Staged, Warehouse, literal_rows
 
 RUN_LOG = T.StructType([
@@ -137,26 +139,38 @@ def refresh_gold(wh: Warehouse, source: Source, as_of: datetime, incremental: bo
     """Gold over the fact when it changed, and gold over the current orders and stock on every run.
 
     Each gold commit tells the last fact commit it covers, so a run that died between the two is made up for by the next
-    one.  With ``incremental`` the daily table recomputes only the days that facts committed since then touch.
+    one.  With ``incremental`` the facts committed since then are folded in: days they touch are made anew, their fold
+    per month and product is appended to ``gold_product_months``, and months and customers follow from that.  Without
+    it, or when the fact was replaced meanwhile, everything comes from the whole fact.
     """
     upto, covered = wh.last_commit("fact"), wh.covered("gold")
-    facts_changed = upto > covered
-    new_facts = wh.since("fact", covered) if incremental and facts_changed else None
     fact, days = wh.read("fact"), wh.read("dim_date")
     customer, product = wh.read("dim_customer"), wh.read("dim_product")
     frames = {"gold_mix": gold.sales_by_payment_method(source.orders),
               "gold_funnel": gold.order_funnel(source.orders)}
+    months, staged = wh.read("gold_product_months"), []
+    if fact is not None and (upto > covered or months is None):
+        new = wh.since("fact", covered) if incremental and months is not None else None
+        fold = gold_state.product_months(fact if new is None else new, days)
+        staged.append(wh.stage("gold_product_months", fold, "replace" if new is None else "append", "MonthKey"))
+        added = wh.open(staged[0])
+        months = added if new is None else months.unionByName(added)
+        if new is None:
+            frames |= {"gold_daily": gold.daily_sales_by_category(fact, days, product),
+                       "gold_orders": gold_state.order_mix(fact, days, product),
+                       "gold_monthly": gold_state.monthly_top_products(months, product),
+                       "gold_clv": gold.customer_lifetime_value(fact, days, customer, as_of)}
+        else:
+            frames |= {"gold_daily": gold.daily_sales_incremental(wh.read("gold_daily"), new, fact, days, product),
+                       "gold_orders": gold_state.order_mix_incremental(wh.read("gold_orders"), new, fact, days, product),
+                       "gold_monthly": gold_state.monthly_incremental(wh.read("gold_monthly"), months, added, product),
+                       "gold_clv": gold_state.lifetime_value_incremental(
+                           wh.read("gold_clv"), new, wh.read("fact", covered), days, customer, as_of)}
     if fact is not None:
-        frames["gold_inventory"] = gold.product_inventory(fact, product, source.products)
-    if fact is not None and facts_changed:
-        frames |= {"gold_daily": gold.daily_sales_by_category(fact, days, product),
-                   "gold_monthly": gold.monthly_top_products(fact, days, product),
-                   "gold_clv": gold.customer_lifetime_value(fact, days, customer, as_of)}
-        daily = wh.read("gold_daily")
-        if new_facts is not None and daily is not None:
-            frames["gold_daily"] = gold.daily_sales_incremental(daily, new_facts, fact, days, product)
+        frames["gold_inventory"] = gold.product_inventory(months, product, source.products)
     stamped = {name: frame.withColumn("RefreshedAt", ts(as_of)) for name, frame in frames.items()}
-    wh.commit(wh.stage_all(stamped, "replace"), f"gold-{uuid.uuid4().hex}", as_of, covers={"gold": upto})
+    staged += wh.stage_all(stamped, "replace")
+    wh.commit(staged, f"gold-{uuid.uuid4().hex}", as_of, covers={"gold": upto})
 
 
 STAR_TABLES = ("fact", "dim_customer", "dim_product", "dim_date", "gold_daily", "gold_inventory", "gold_mix")
@@ -183,21 +197,47 @@ def write_run_log(wh: Warehouse, started: datetime, took_ms: int, rows: int, mar
 def run_etl(wh: Warehouse, source: Source, as_of: datetime, with_quality: bool = True,
             incremental_gold: bool = False) -> BatchResult:
     """One batch run from the watermark: what arrived since the last run, then gold, quality and the run log."""
-    clock = time.monotonic()
-    refresh_dimensions(wh, source, as_of)
-    mark = wh.watermark(S.PIPELINE)
-    top = source.items.agg(F.max("OrderItemId")).first()[0] or 0
-    lines = etl.incremental_extract(source.items.where(F.col("OrderItemId") <= top), source.orders, mark)
-    # the mark is part of the token: a retry of the same range is the same batch
-    result = (load_batch(wh, lines, source, as_of, f"batch-{mark}-{top}", mark + 1, top) if top > mark
-              else BatchResult(None, 0, mark))
-    finish_run(wh, source, as_of, result, clock, with_quality, incremental_gold)
+    with logged_run(wh, as_of) as done:
+        refresh_dimensions(wh, source, as_of)
+        mark = wh.watermark(S.PIPELINE)
+        top = source.items.agg(F.max("OrderItemId")).first()[0] or 0
+        lines = etl.incremental_extract(source.items.where(F.col("OrderItemId") <= top), source.orders, mark)
+        # the mark is part of the token: a retry of the same range is the same batch
+        result = (load_batch(wh, lines, source, as_of, f"batch-{mark}-{top}", mark + 1, top) if top > mark
+                  else BatchResult(None, 0, mark))
+        done(result.rows, result.watermark)
+        finish_run(wh, source, as_of, with_quality, incremental_gold)
     return result
 
 
-def finish_run(wh: Warehouse, source: Source, as_of: datetime, result: BatchResult, clock: float,
-               with_quality: bool = True, incremental_gold: bool = False) -> None:
+@contextmanager
+def logged_run(wh: Warehouse, as_of: datetime) -> Iterator[Callable[[int, int], None]]:
+    """A row in the run log for what happens inside, also when it fails; the function given tells rows and watermark.
+
+    A run that fails after its batch was committed shows the rows it loaded.  The error itself goes on to the caller.
+    """
+    clock, told = time.monotonic(), [0, None]
+
+    def done(rows: int, mark: int) -> None:
+        told[:] = rows, mark
+
+    def write(error: str | None) -> None:
+        mark = wh.watermark(S.PIPELINE) if told[1] is None else told[1]
+        write_run_log(wh, as_of, int((time.monotonic() - clock) * 1000), told[0], mark, as_of, error)
+
+    try:
+        yield done
+    except Exception as error:
+        try:
+            write(f"{type(error).__name__}: {error}")
+        except Exception as second:  # the log may be what is broken: the first error is the one to tell
+            error.add_note(f"and the run log could not be written: {second}")
+        raise
+    write(None)
+
+
+def finish_run(wh: Warehouse, source: Source, as_of: datetime, with_quality: bool = True,
+               incremental_gold: bool = False) -> None:
     refresh_gold(wh, source, as_of, incremental_gold)
     if with_quality:
         run_quality(wh, as_of)
-    write_run_log(wh, as_of, int((time.monotonic() - clock) * 1000), result.rows, result.watermark, as_of)

@@ -543,6 +543,15 @@ QUERIES = {
     "gold_product_inventory": "select * from inventory",
     "gold_product_inventory_all_versions": "select * from inventory_all",
     "gold_daily_incremental": "select * from daily",
+    "gold_monthly_incremental": "select * from monthly",
+    "gold_clv_incremental": "select * from clv",
+    "gold_inventory_from_parts": "select * from inventory",
+    "gold_order_mix": """
+        select Date, Categories, count(*) as OrderCount
+        from (select d.Date, f.OrderId, string_agg(distinct p.Category, '|' order by p.Category) as Categories
+              from fact f join dim_date d using (DateKey) join dim_product p using (ProductKey)
+              group by d.Date, f.OrderId)
+        group by Date, Categories""",
     # ---- reports
     "report_sales_by_category": "select * from by_category",
     "report_sales_by_day": "select * from by_day",
@@ -551,6 +560,11 @@ QUERIES = {
                as TotalQuantity, sum(TotalRevenue) as TotalRevenue
         from monthly where make_date(Year, Month, 1) between date '1997-01-01' and date '1999-03-01'
         group by ProductId order by sum(TotalRevenue) desc, ProductId limit 10""",
+    "report_top_products_exact": """
+        select p.ProductId, max(p.Sku) as Sku, max(p.Name) as Name, cast(sum(f.Quantity) as bigint) as TotalQuantity,
+               sum(f.LineTotal) as TotalRevenue
+        from fact f join dim_product p using (ProductKey) where f.DateKey between 19970101 and 19990331
+        group by p.ProductId order by sum(f.LineTotal) desc, p.ProductId limit 10""",
     "report_payment_mix": "select * from mix",
     "report_order_funnel": "select * from funnel",
     "report_low_stock": "select * from inventory where LowStock order by CurrentStock, ProductId limit 50",
@@ -559,6 +573,12 @@ QUERIES = {
                count(*) as ActiveCategories from by_category""",
     "kpi_exact_orders": """
         select count(distinct OrderId) as OrderCount from fact where DateKey between 19970115 and 19990320""",
+    "kpi_orders_by_set": """
+        with rows as (select f.OrderId, p.Category from fact f join dim_product p using (ProductKey)
+                      where f.DateKey between 19970115 and 19990320)
+        select '' as Categories, count(distinct OrderId) as OrderCount from rows
+        union all select 'ECONOMY', count(distinct OrderId) from rows where Category = 'ECONOMY'
+        union all select 'ECONOMY|PROMO', count(distinct OrderId) from rows where Category in ('ECONOMY', 'PROMO')""",
     "chart_sales_by_day": """
         select Day, cast((cast(TotalRevenue * 100 as hugeint) + 50000000) // 100000000 as bigint) as RevenueMillions,
                OrderCount as Orders from by_day""",

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cartwheel import schemas as S
 from cartwheel.functions.scalars import compact_label, row_hash, ts, vnd_label
-from cartwheel.operators import acceptance, adhoc, answer_cache, dims, etl, feeds, gold, guard, lookups, orders, outbox
-from cartwheel.operators import payments, quality, validation
+from cartwheel.operators import acceptance, adhoc, answer_cache, dims, etl, feeds, gold, gold_state, guard, lookups
+from cartwheel.operators import orders, outbox, payments, quality, validation
 from cartwheel.plans import evaluation, registry_jobs, reports
 from cartwheel.session import tune
 from cartwheel.sources import readers
@@ -150,6 +150,44 @@ def _incremental_gold(r: Retail) -> DataFrame:
     return gold.daily_sales_incremental(old, new, r.fact, r.dim_date, r.dim_product)
 
 
+def _of_load(r: Retail, load: int) -> DataFrame:
+    return etl.silver_fact(r.resolved_lines.where(F.col("Load") == load), S.AS_OF)
+
+
+def _product_months(r: Retail) -> DataFrame:
+    """The parts that two loads leave behind."""
+    parts = [gold_state.product_months(_of_load(r, load), r.dim_date) for load in (1, 2)]
+    return parts[0].unionByName(parts[1])
+
+
+def _incremental_monthly(r: Retail) -> DataFrame:
+    old = gold.monthly_top_products(_of_load(r, 1), r.dim_date, r.dim_product)
+    added = gold_state.product_months(_of_load(r, 2), r.dim_date)
+    return gold_state.monthly_incremental(old, _product_months(r), added, r.dim_product)
+
+
+def _incremental_clv(r: Retail) -> DataFrame:
+    old = gold.customer_lifetime_value(_of_load(r, 1), r.dim_date, r.dim_customer, S.FIRST_LOAD)
+    return gold_state.lifetime_value_incremental(old, _of_load(r, 2), _of_load(r, 1), r.dim_date, r.dim_customer, S.AS_OF)
+
+
+def _order_mix(r: Retail) -> DataFrame:
+    """The mix of the first load brought up to date with the rows of the second."""
+    old = gold_state.order_mix(_of_load(r, 1), r.dim_date, r.dim_product)
+    return gold_state.order_mix_incremental(old, _of_load(r, 2), r.fact, r.dim_date, r.dim_product)
+
+
+#: category sets whose distinct orders are asked for; the empty one asks for all
+CATEGORY_SETS = ((), (CATEGORY,), (CATEGORY, "PROMO"))
+
+
+def _orders_by_set(r: Retail) -> DataFrame:
+    mix = gold_state.order_mix(r.fact, r.dim_date, r.dim_product)
+    rows = [reports.exact_orders_of(mix, START, END, names).withColumn("Categories", F.lit("|".join(names)))
+            for names in CATEGORY_SETS]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 def _asof(r: Retail) -> DataFrame:
     """Each line with the versions valid at the order's time and those current at load."""
     orders_ = dims.as_of_join(r.orders.select("OrderId", "CustomerId", "OrderDate"), "OrderDate",
@@ -250,15 +288,21 @@ FRAMES: dict[str, Callable[[Retail], DataFrame]] = {
     "gold_product_inventory": _inventory,
     "gold_product_inventory_all_versions": lambda r: _inventory(r, True),
     "gold_daily_incremental": _incremental_gold,
+    "gold_monthly_incremental": _incremental_monthly,
+    "gold_clv_incremental": _incremental_clv,
+    "gold_inventory_from_parts": lambda r: gold.product_inventory(_product_months(r), r.dim_product, r.products),
+    "gold_order_mix": lambda r: _order_mix(r).withColumn("Categories", F.array_join("Categories", "|")),
     # reports
     "report_sales_by_category": _by_category,
     "report_sales_by_day": _by_day,
     "report_top_products": lambda r: reports.top_products(_monthly(r), START, END),
+    "report_top_products_exact": lambda r: reports.top_products_exact(_product_months(r), r.dim_product, START, END),
     "report_payment_mix": lambda r: reports.payment_mix(_mix(r)),
     "report_order_funnel": lambda r: reports.funnel(gold.order_funnel(r.orders)),
     "report_low_stock": lambda r: reports.low_stock(_inventory(r)),
     "kpi_tiles": lambda r: reports.kpi_tiles(_by_category(r)),
     "kpi_exact_orders": lambda r: reports.exact_orders(r.fact, START, END),
+    "kpi_orders_by_set": _orders_by_set,
     "chart_sales_by_day": lambda r: reports.chart_by_day(_by_day(r)),
     "silver_sales_by_category": lambda r: reports.silver_sales_by_category(r.fact, r.dim_product, START, END),
     "oltp_sales_by_category_90d": lambda r: reports.oltp_sales_by_category(r.order_items, r.orders, r.products,

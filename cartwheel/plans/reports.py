@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cartwheel.functions.scalars import day, narrow, percent
+from cartwheel.operators.gold_state import touches
 
 
 def _range(gold_daily: DataFrame, start: date, end: date) -> DataFrame:
@@ -35,6 +37,19 @@ def top_products(gold_monthly: DataFrame, start: date, end: date, top: int = 10)
             .orderBy(F.desc("TotalRevenue"), "ProductId").limit(top))
 
 
+def top_products_exact(product_months: DataFrame, dim_product: DataFrame, start: date, end: date,
+                       top: int = 10) -> DataFrame:
+    """The same months over every product sold, also those that miss the monthly lists."""
+    low, high = (d.year * 100 + d.month for d in (start, end))
+    versions = (product_months.where(F.col("MonthKey").between(low, high)).groupBy("ProductKey")
+                .agg(F.sum("Quantity").alias("Quantity"), F.sum("LineTotal").alias("Revenue")))
+    named = versions.join(dim_product.select("ProductKey", "ProductId", "Sku", "Name"), "ProductKey")
+    return (named.groupBy("ProductId").agg(F.max("Sku").alias("Sku"), F.max("Name").alias("Name"),
+                                           F.sum("Quantity").alias("TotalQuantity"),
+                                           F.sum("Revenue").alias("TotalRevenue"))
+            .orderBy(F.desc("TotalRevenue"), "ProductId").limit(top))
+
+
 def payment_mix(gold_mix: DataFrame) -> DataFrame:
     return gold_mix.select("PaymentMethod", "MethodName", "OrderCount", "PaidOrderCount", "TotalRevenue",
                            "PaidRevenue").orderBy(F.desc("TotalRevenue"), "PaymentMethod")
@@ -67,6 +82,12 @@ def exact_orders(fact: DataFrame, start: date, end: date) -> DataFrame:
     return _fact_range(fact, start, end).agg(F.countDistinct("OrderId").alias("OrderCount"))
 
 
+def exact_orders_of(order_mix: DataFrame, start: date, end: date, categories: Sequence[str] = ()) -> DataFrame:
+    """Distinct orders of a day range that touch one of the categories, without a look at the fact."""
+    wanted = _range(order_mix, start, end).where(touches(categories))
+    return wanted.agg(F.coalesce(F.sum("OrderCount"), F.lit(0)).alias("OrderCount"))
+
+
 def chart_by_day(by_day: DataFrame) -> DataFrame:
     """Revenue in whole millions, halves up, and orders."""
     return by_day.select("Day", F.floor(narrow(F.col("TotalRevenue")) / 1000000 + F.lit("0.5").cast("decimal(2,1)"))

@@ -36,6 +36,8 @@ FIRST_LOAD = datetime(1995, 1, 1)
 SECOND_LOAD = datetime(1998, 7, 1)
 
 MONEY = T.DecimalType(18, 2)
+#: a sum of money, as Spark widens it
+WIDE_MONEY = T.DecimalType(28, 2)
 
 ORDER_ITEMS = T.StructType([
     T.StructField("OrderItemId", T.LongType()), T.StructField("OrderId", T.LongType()),

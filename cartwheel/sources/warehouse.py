@@ -146,14 +146,14 @@ class Warehouse:
     def open(self, staged: Staged) -> DataFrame:
         return self._open(staged.table, [staged.path])
 
-    def paths(self, table: str) -> list[str]:
+    def paths(self, table: str, upto: int | None = None) -> list[str]:
         folders: list[str] = []
         for row in self._log():
-            if row.TableName == table:
+            if row.TableName == table and (upto is None or row.CommitId <= upto):
                 folders = ([] if row.Mode == "replace" else folders) + ([row.Path] if row.Path else [])
         return folders
 
-    def read(self, table: str) -> DataFrame | None:
-        """The committed rows of a table, None while it has no folder."""
-        folders = self.paths(table)
+    def read(self, table: str, upto: int | None = None) -> DataFrame | None:
+        """The committed rows of a table (as of a commit), None while it has no folder."""
+        folders = self.paths(table, upto)
         return self._open(table, folders) if folders else None

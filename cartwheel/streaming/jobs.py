@@ -8,7 +8,6 @@ third of all events is combined before it is shuffled, as in the batch form.
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 from datetime import datetime
 
@@ -52,8 +51,7 @@ def run_etl_stream(wh: Warehouse, items_folder: str, source: etl_run.Source, as_
 
     Keyed on files and not on ids: a line that arrives late with a low id is still loaded.
     """
-    clock, loaded, mark = time.monotonic(), 0, 0
-    etl_run.refresh_dimensions(wh, source, as_of)
+    loaded, mark = 0, 0
 
     def handle(batch: DataFrame, number: int, name: str) -> None:
         nonlocal loaded, mark
@@ -66,8 +64,11 @@ def run_etl_stream(wh: Warehouse, items_folder: str, source: etl_run.Source, as_
         if check_batches and result.fact is not None:
             check_batch(wh, result.fact, as_of, number)
 
-    _drain(wh.spark, items_folder, S.ORDER_ITEMS, checkpoint, handle, files_per_batch)
-    etl_run.finish_run(wh, source, as_of, etl_run.BatchResult(None, loaded, mark), clock, with_quality)
+    with etl_run.logged_run(wh, as_of) as done:
+        etl_run.refresh_dimensions(wh, source, as_of)
+        _drain(wh.spark, items_folder, S.ORDER_ITEMS, checkpoint, handle, files_per_batch)
+        done(loaded, mark)
+        etl_run.finish_run(wh, source, as_of, with_quality, incremental_gold=True)
     return loaded
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cartwheel.functions.scalars import date_key, day, row_hash, ts
 
@@ -64,10 +64,12 @@ def scd2_apply(current: DataFrame, snapshot: DataFrame, dim: Scd2, as_of: dateti
     kept = (current.join(wanted, dim.key, "left").withColumn("_closes", closes)
             .withColumn("ValidTo", F.when(F.col("_closes"), ts(as_of)).otherwise(F.col("ValidTo")))
             .withColumn("IsCurrent", F.col("IsCurrent") & ~F.col("_closes")).select(dim.columns))
-    same = current.where("IsCurrent").select(dim.key, "RowHash")
-    last = current.groupBy(dim.key).agg(F.max("Version").alias("_last"))
-    fresh = (staged.join(same, [dim.key, "RowHash"], "left_anti").join(last, dim.key, "left")
-             .withColumn("Version", (F.coalesce("_last", F.lit(0)) + 1).cast("int")).drop("_last"))
+    # the highest version and the current hashes of a key from one pass; a key has one current version, as a rule
+    known = current.groupBy(dim.key).agg(F.max("Version").alias("_last"),
+                                         F.collect_set(F.when(F.col("IsCurrent"), F.col("RowHash"))).alias("_hashes"))
+    unchanged = F.coalesce(F.array_contains("_hashes", F.col("RowHash")), F.lit(False))
+    fresh = (staged.join(known, dim.key, "left").where(~unchanged)
+             .withColumn("Version", (F.coalesce("_last", F.lit(0)) + 1).cast("int")).drop("_last", "_hashes"))
     return kept.unionByName(_opened(fresh, dim, as_of))
 
 
@@ -102,6 +104,42 @@ def as_of_join(rows: DataFrame, moment: str, dimension: DataFrame, dim: Scd2) ->
     return rows.join(versions, valid, "left").drop("_key", "ValidFrom", "ValidTo")
 
 
+#: parts that the rows of one key and hour are dealt to
+AS_OF_PARTS = 8
+
+
+def as_of_carried(rows: DataFrame, moment: str, dimension: DataFrame, dim: Scd2, parts: int = AS_OF_PARTS) -> DataFrame:
+    """The same result as :func:`as_of_join` for keys with very many versions, where that join would try them all.
+
+    Rows and versions are put in one order of time, and each row takes the last version before it.  A key is cut by hour,
+    the rows of an hour are dealt to ``parts`` tasks that all hold its versions, and the last version of an hour is carried
+    to the hours after it through one small row each.  Null keys and moments find nothing.
+    """
+    at, far = F.col("_at"), F.lit("9999-12-31").cast("timestamp_ntz")
+    version = F.struct(F.col(dim.surrogate).alias("key"), F.col("ValidTo").alias("to"))
+    keep = F.struct(*[F.col(c) for c in rows.columns])
+    asked = rows.select(F.col(dim.key).alias("_key"), F.col(moment).cast("timestamp_ntz").alias("_at"), keep.alias("_row"),
+                        F.pmod(F.xxhash64(*[c for c, t in rows.dtypes if "map" not in t]), F.lit(parts)).alias("_part"))
+    held = dimension.where(F.col(dim.key).isNotNull() & F.col("ValidFrom").isNotNull()).select(
+        F.col(dim.key).alias("_key"), F.col("ValidFrom").alias("_at"), version.alias("_version"))
+    copies = held.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)).cast("array<bigint>")))
+    both = (asked.unionByName(copies, allowMissingColumns=True)
+            .withColumn("_hour", F.date_trunc("hour", at)))
+    ends = F.coalesce(F.col("_version.to"), far)
+    here = F.last("_version", ignorenulls=True).over(
+        Window.partitionBy("_key", "_hour", "_part").orderBy("_at", F.col("_row").isNotNull(), ends)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    hours = (both.groupBy("_key", "_hour").agg(F.max_by("_version", F.when(F.col("_version").isNotNull(), F.struct(at, ends)))
+                                               .alias("_last"))
+             .withColumn("_before", F.last("_last", ignorenulls=True).over(
+                 Window.partitionBy("_key").orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)))
+             .where("_before is not null").select("_key", "_hour", "_before"))
+    found = both.withColumn("_here", here).where("_row is not null").join(hours, ["_key", "_hour"], "left")
+    last = F.coalesce("_here", "_before")
+    valid = last["to"].isNull() | (at < last["to"])
+    return found.select("_row.*", F.when(valid, last["key"]).alias(dim.surrogate))
+
+
 def _calendar(days: DataFrame, first_day: str) -> DataFrame:
     d = F.col("Date")
     common = [date_key(d).alias("DateKey"), d, F.year(d).alias("Year"), F.quarter(d).alias("Quarter"),

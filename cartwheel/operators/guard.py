@@ -10,7 +10,7 @@ a built-in one that stays inside the query.  The cap is a limit on the result.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException, PySparkException
@@ -128,6 +128,13 @@ def _own_session(spark: SparkSession, views: Mapping[str, DataFrame]) -> SparkSe
     return own
 
 
+def _without_schema(text: str, schema: str, names: Iterable[str]) -> str:
+    """The text without the schema before the given names; literals, quoted names and comments stay as they are."""
+    kept = r"""\br'[^']*'|\br"[^"]*"|'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|--[^\n]*|/\*.*?\*/"""
+    name = rf"\b{re.escape(schema)}\.(?=(?:{'|'.join(map(re.escape, names))})\b)"
+    return re.sub(rf"({kept})|{name}", lambda m: m[1] or "", text, flags=re.IGNORECASE | re.DOTALL)
+
+
 def guarded_sql(views: Mapping[str, DataFrame], sql: str, cap: int = S.ROW_CAP, schema: str = "gold") -> Guarded:
     """Run one SELECT (Spark SQL) over ``views`` or raise :class:`Refused`.
 
@@ -136,7 +143,7 @@ def guarded_sql(views: Mapping[str, DataFrame], sql: str, cap: int = S.ROW_CAP,
     body = sql.strip().rstrip(";").strip()
     if not body:
         raise Refused(["Empty SQL."])
-    body = re.sub(rf"\b{schema}\.(?=({'|'.join(views)})\b)", "", body, flags=re.IGNORECASE)
+    body = _without_schema(body, schema, views)
     own = _own_session(next(iter(views.values())).sparkSession, views)
     query = f"SELECT * FROM (\n{body}\n)"
     try:

@@ -139,12 +139,12 @@ def related_products(products: DataFrame, size: int = 4) -> DataFrame:
 def address_book(addresses: DataFrame) -> DataFrame:
     """At most one default per customer: the newest claim wins, the others are demoted.
 
-    Default first, then newest, is a sort on (customer, IsDefault desc, AddressId desc).
+    Each customer's addresses come default first, then newest, inside a partition; customers in no order.
     """
     winner = (addresses.where("IsDefault").groupBy("CustomerId").agg(F.max("AddressId").alias("_winner")))
     return (addresses.join(winner, "CustomerId", "left")
             .withColumn("IsDefault", F.coalesce(F.col("AddressId") == F.col("_winner"), F.lit(False))).drop("_winner")
-            .orderBy("CustomerId", F.desc("IsDefault"), F.desc("AddressId")))
+            .sortWithinPartitions("CustomerId", F.desc("IsDefault"), F.desc("AddressId")))
 
 
 def products_unreferenced(products: DataFrame, items: DataFrame) -> DataFrame:

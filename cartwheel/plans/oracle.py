@@ -968,7 +968,15 @@ QUERIES = {
 
 
 QUERIES |= {
+    "fact_asof_carried": QUERIES["fact_asof_dims"],
     # ---- jobs
+    "feed_file_customers": """
+        select n as RowNo, case when RowNo % 19 = 2 then FullName || chr(10) || 'II' else FullName end as FullName, Email,
+               nullif(Phone, '') as Phone, nullif(City, '') as City
+        from (select *, row_number() over (order by RowNo) + 1 as n from cust_checked) where Error is null""",
+    "question_file": """
+        select cast(event_id as varchar) as id, cast(null as varchar) as lang, event_type as difficulty,
+               props as question, cast(null as varchar) as sql from events""",
     "stream_etl_fact": "select * from fact",
     "stream_settlement": "select * from settlement",
     "stream_outbox": f"""

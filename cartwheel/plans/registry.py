@@ -188,13 +188,13 @@ def _orders_by_set(r: Retail) -> DataFrame:
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
-def _asof(r: Retail) -> DataFrame:
-    """Each line with the versions valid at the order's time and those current at load."""
-    orders_ = dims.as_of_join(r.orders.select("OrderId", "CustomerId", "OrderDate"), "OrderDate",
+def _asof(r: Retail, find=dims.as_of_join) -> DataFrame:
+    """Each line with the versions valid at the order's time."""
+    orders_ = find(r.orders.select("OrderId", "CustomerId", "OrderDate"), "OrderDate",
                               r.dim_customer.withColumnRenamed("CustomerKey", "CustomerKeyAsOf"),
                               dims.Scd2("CustomerId", "CustomerKeyAsOf", ()))
     lines = r.order_items.select("OrderItemId", "OrderId", "ProductId").join(orders_, "OrderId")
-    return dims.as_of_join(lines, "OrderDate", r.dim_product.withColumnRenamed("ProductKey", "ProductKeyAsOf"),
+    return find(lines, "OrderDate", r.dim_product.withColumnRenamed("ProductKey", "ProductKeyAsOf"),
                            dims.Scd2("ProductId", "ProductKeyAsOf", ())).select(
         "OrderItemId", "OrderId", "CustomerKeyAsOf", "ProductKeyAsOf")
 
@@ -278,6 +278,7 @@ FRAMES: dict[str, Callable[[Retail], DataFrame]] = {
     "dim_date": lambda r: r.dim_date,
     "row_hash": lambda r: r.customers.select("CustomerId", row_hash(dims.CUSTOMER.tracked).alias("RowHash")),
     "fact_asof_dims": _asof,
+    "fact_asof_carried": lambda r: _asof(r, dims.as_of_carried),
     "scd2_history": _history,
     # gold
     "gold_daily_sales_by_category": _daily,

@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 
 from cartwheel import schemas as S
+from cartwheel.operators import feeds
 from cartwheel.plans import etl_run, maintenance
 from cartwheel.session import work_dir
+from cartwheel.sources import readers
 from cartwheel.sources.retail import Retail
 from cartwheel.sources.warehouse import Warehouse
 from cartwheel.streaming import jobs
@@ -85,7 +87,27 @@ def fact_compaction_stats(r: Retail) -> DataFrame:
     return both.select("RowsBefore", "RowsAfter", (F.col("a") <= F.col("b")).alias("FewerFiles"))
 
 
+def feed_file_customers(r: Retail) -> DataFrame:
+    """The customer feed as CSV files in row order, read back and loaded; some names hold a line break."""
+    path = work_dir(r.spark, "customer-feed")
+    broken = F.when((F.col("RowNo") % 19 == 2) & (F.trim("FullName") != ""), F.concat("FullName", F.lit("\nII")))
+    feed = r.customer_feed.withColumn("FullName", F.coalesce(broken, "FullName"))
+    keep = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    feed.repartitionByRange("RowNo").sortWithinPartitions("RowNo").drop("RowNo").write.options(**keep).csv(path)
+    loaded = readers.read_feed(r.spark, path, [c for c in feed.columns if c != "RowNo"])
+    return feeds.load_customers(loaded, r.known_emails).accepted
+
+
+def question_file(r: Retail) -> DataFrame:
+    """The asked texts as a line-JSON question set, read back with its declared schema."""
+    path = work_dir(r.spark, "questions")
+    r.table("events").select(F.col("event_id").cast("string").alias("id"), F.col("event_type").alias("difficulty"),
+                             F.col("props").alias("question")).write.json(path)
+    return readers.read_json_lines(r.spark, path, readers.QUESTIONS)
+
+
 FRAMES: dict[str, Callable[[Retail], DataFrame]] = {
     "stream_etl_fact": stream_etl_fact, "stream_dq": stream_dq, "stream_settlement": stream_settlement,
     "stream_outbox": stream_outbox, "run_log": run_log, "fact_compaction_stats": fact_compaction_stats,
+    "feed_file_customers": feed_file_customers, "question_file": question_file,
 }

@@ -9,14 +9,15 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 from cartwheel import schemas as S
 
 
-def read_feed(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+def read_feed(spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool = True) -> DataFrame:
     """A CSV feed as strings with its row numbers; the header is row 1.
 
-    Rows are numbered block by block: only one small row per file block is put in sequence, the rows themselves stay
+    Quoted cells may hold line breaks, which asks for one task a file; without ``multi_line`` large files are read in
+    blocks, and a line break always ends the row.  Rows are numbered block by block: only one small row per file block is put in sequence, the rows themselves stay
     where they were read.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    raw = spark.read.schema(schema).option("header", True).csv(path)
+    raw = spark.read.schema(schema).option("header", True).option("multiLine", multi_line).csv(path)
     placed = raw.select("*", F.col("_metadata.file_path").alias("_file"),
                         F.col("_metadata.file_block_start").alias("_block"),
                         F.monotonically_increasing_id().alias("_id"))

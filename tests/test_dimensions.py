@@ -65,6 +65,31 @@ def test_as_of_join_borders(spark):
     assert [r.CustomerKey for r in found] == [None, 1001, 1001, 1002, None]
 
 
+def test_carried_as_of_equals_the_join(spark):
+    """A key with very many versions, gaps, versions of no length, rows on a version's first moment, null keys."""
+    import random
+    from datetime import timedelta
+    rng, versions, start = random.Random(3), [], datetime(2023, 12, 1)
+    for key in (1, 2, 3):
+        at = start
+        for nr in range(2000 if key == 1 else 5):
+            until = at + timedelta(minutes=rng.choice([0, 1, 7, 90]))
+            versions.append((key, key * 10000 + nr, at, None if rng.random() < 0.001 and nr == 1999 else until))
+            at = until + timedelta(minutes=rng.choice([0, 0, 0, 30]))
+    rows = [(rng.choice([1, 1, 1, 2, 3, 4, None]), start + timedelta(minutes=rng.randrange(-500, 60000)), i % 50)
+            for i in range(1500)]
+    rows += [(key, at, 7) for key, _, at, _ in versions[:40]] * 2 + [(1, None, 8)]
+    asked = spark.createDataFrame(rows, "CustomerId long, At timestamp_ntz, Note int")
+    held = spark.createDataFrame(versions, "CustomerId long, CustomerKey long, ValidFrom timestamp_ntz, ValidTo timestamp_ntz")
+    want = dims.as_of_join(asked, "At", held, dims.CUSTOMER)
+    got = dims.as_of_carried(asked, "At", held, dims.CUSTOMER)
+    assert got.columns == want.columns and got.count() == len(rows)
+    assert got.exceptAll(want).isEmpty() and want.where("CustomerKey is not null").count() > 500
+    assert dims.as_of_carried(asked.limit(0), "At", held, dims.CUSTOMER).isEmpty()
+    alone = dims.as_of_carried(asked, "At", held.limit(0), dims.CUSTOMER)
+    assert alone.count() == len(rows) and alone.where("CustomerKey is not null").isEmpty()
+
+
 def test_hash_joins_with_a_plain_bar_and_has_a_wide_form(spark):
     rows = spark.createDataFrame([("a", "b|c"), ("a|b", "c")], "x string, y string")
     narrow = [r[0] for r in rows.select(row_hash(["x", "y"])).collect()]

@@ -67,6 +67,13 @@ def test_allowed(star, sql):
     assert guard.guarded_sql(star, sql).rows.count() > 0
 
 
+def test_schema_names_inside_literals_stay(star):
+    sql = """SELECT 'gold.DimProduct' AS a, 'it\\'s gold.DimProduct' AS b, count(*) AS n /* gold.DimProduct's */
+             FROM gold.DimProduct -- gold.DimProduct ' """
+    row = guard.guarded_sql(star, sql).rows.first()
+    assert (row.a, row.b) == ("gold.DimProduct", "it's gold.DimProduct") and row.n > 0
+
+
 def test_cap(star):
     capped = guard.guarded_sql(star, "SELECT OrderId FROM FactOrderItem")
     assert capped.rows.count() == 1000 and capped.truncated.first()[0]

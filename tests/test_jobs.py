@@ -186,12 +186,21 @@ def test_feed_reader_numbers_rows(spark):
     rows.write.option("header", True).csv(folder)
     spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
     try:
-        feed = readers.read_feed(spark, folder, ["OrderRef", "Sku"])
+        feed = readers.read_feed(spark, folder, ["OrderRef", "Sku"], multi_line=False)
         assert feed.rdd.getNumPartitions() > 1
         got = {r.RowNo: r.OrderRef for r in feed.collect()}
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert got == {i + 2: str(i) for i in range(500)}
+    assert {r.RowNo: r.OrderRef for r in readers.read_feed(spark, folder, ["OrderRef", "Sku"]).collect()} == got
+
+
+def test_feed_reader_keeps_line_breaks_in_cells(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('Ref,Sku\n1,"x\ny"\n2,\n3,"say ""hi"""\n')
+    (tmp_path / "b.csv").write_text('Ref,Sku\n4,"\n"\n5,z\n')
+    feed = readers.read_feed(spark, str(tmp_path), ["Ref", "Sku"]).collect()
+    assert sorted(r.RowNo for r in feed) == [2, 3, 4, 5, 6]
+    assert {r.Ref: r.Sku for r in feed}["1"] == "x\ny" and {r.Ref: r.RowNo for r in feed}["3"] == 4
 
 
 DOCUMENT = """{

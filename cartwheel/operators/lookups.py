@@ -10,12 +10,41 @@ from cartwheel.functions.scalars import contains_text, ts
 from cartwheel.operators.orders import next_states
 
 
+def _newest() -> list[Column]:
+    return [F.desc("OrderDate"), F.desc("OrderId")]
+
+
 def _page(rows: DataFrame, order: list, page: int, size: int, default: int, largest: int) -> DataFrame:
     page = max(page, 1)
     size = default if size <= 0 else min(size, largest)
     return rows.orderBy(*order).offset((page - 1) * size).limit(size)
 
 
+def deep_page(rows: DataFrame, order: list, levels: list[Column], newest_first: bool, first: int, size: int) -> DataFrame:
+    """The rows from place ``first`` (0-based) on, for pages so deep that a sorted prefix would be too much to hold.
+
+    Each level is a struct that never runs against ``order``, each finer than the one before.  Its groups are counted, and
+    only those that the page touches stay, at most ``size`` since none is empty.  So what is sorted in the end is the page
+    and the rest of its finest groups.  A row that many share costs its group, not the rows before it.
+    """
+    way = F.desc if newest_first else F.asc
+    for level in levels:
+        groups = rows.groupBy(level.alias("_level")).agg(F.count(F.lit(1)).alias("_rows"))
+        upto = F.sum("_rows").over(Window.orderBy(way("_level")).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        touched = (groups.withColumn("_upto", upto).withColumn("_before", F.col("_upto") - F.col("_rows"))
+                   .where((F.col("_upto") > first) & (F.col("_before") < first + size)))
+        skipped = touched.agg(F.min("_before")).first()[0]
+        if skipped is None:
+            return rows.limit(0)
+        rows = rows.join(F.broadcast(touched.select("_level")), level.eqNullSafe(F.col("_level")), "left_semi")
+        first -= skipped
+    return rows.orderBy(*order).offset(first).limit(size)
+
+
+#: order ids that one group of a deep page spans
+IDS_PER_GROUP = 65_536
+
+
 def matching_orders(orders: DataFrame, customers: DataFrame, status: int | None = None,
                     customer_id: int | None = None, date_from: datetime | None = None,
                     date_to: datetime | None = None, search: str = "") -> DataFrame:
@@ -34,7 +63,19 @@ def matching_orders(orders: DataFrame, customers: DataFrame, status: int | None
 
 def order_page(matching: DataFrame, items: DataFrame, page: int = 1, size: int = 20) -> DataFrame:
     """Newest first.  The page (200 orders at most) is cut first; lines are counted for those orders only."""
-    cut = _page(matching, [F.desc("OrderDate"), F.desc("OrderId")], page, size, 20, 200).select(
+    return _with_line_counts(_page(matching, _newest(), page, size, 20, 200), items)
+
+
+def order_page_deep(matching: DataFrame, items: DataFrame, page: int, size: int = 20) -> DataFrame:
+    """The same page, found by counts per day and then per id range of a day instead of by sorting all before it."""
+    size = 20 if size <= 0 else min(size, 200)
+    day = F.col("OrderDate").cast("date")
+    levels = [F.struct(day), F.struct(day, "OrderDate", F.floor(F.col("OrderId") / IDS_PER_GROUP))]
+    return _with_line_counts(deep_page(matching, _newest(), levels, True, (max(page, 1) - 1) * size, size), items)
+
+
+def _with_line_counts(page: DataFrame, items: DataFrame) -> DataFrame:
+    cut = page.select(
         "OrderId", "OrderNumber", "CustomerId", "CustomerName", "OrderDate", "Status", "PaymentStatus", "TotalAmount")
     # at most 200 keys by construction
     lines = (items.join(F.broadcast(cut.select("OrderId")), "OrderId", "left_semi")

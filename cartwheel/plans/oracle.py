@@ -615,6 +615,12 @@ QUERIES = {
         select OrderId, OrderNumber, CustomerId, FullName as CustomerName, OrderDate, Status, PaymentStatus,
                TotalAmount, (select count(*) from lineitem where l_orderkey = OrderId) as ItemCount
         from (select * {_MATCHING} order by OrderDate desc, OrderId desc limit 20 offset 20)""",
+    "order_list_deep": """
+        select OrderId, OrderNumber, CustomerId, FullName as CustomerName, OrderDate, Status, PaymentStatus,
+               TotalAmount, (select count(*) from lineitem where l_orderkey = OrderId) as ItemCount
+        from (select * from stg_orders o join stg_customers c using (CustomerId)
+              where o.Status = 4 and o.OrderDate >= timestamp '1996-01-01' and o.OrderDate <= timestamp '2000-12-31'
+              order by OrderDate desc, OrderId desc limit 20 offset 160)""",
     "product_search": """
         select * from stg_products where (lower(Sku) like '%ring%' or lower(Name) like '%ring%')
         and Category = 'ECONOMY' order by Name, ProductId limit 50""",

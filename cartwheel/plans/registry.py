@@ -331,6 +331,8 @@ FRAMES: dict[str, Callable[[Retail], DataFrame]] = {
     "etl_freshness": lambda r: quality.staleness(_watermark(r), S.AS_OF, S.STALE_MINUTES),
     # read models
     "order_list_page": lambda r: lookups.order_page(_matching_orders(r), r.order_items, page=2, size=20),
+    "order_list_deep": lambda r: lookups.order_page_deep(lookups.matching_orders(
+        r.orders, r.customers, status=S.DELIVERED, date_from="1996-01-01", date_to="2000-12-31"), r.order_items, 9, 20),
     "product_search": lambda r: lookups.product_page(lookups.matching_products(r.products, "RING", CATEGORY), 1, 50),
     "customer_search": lambda r: lookups.customer_page(lookups.matching_customers(r.customers, "nation_1"), 2, 50),
     "page_counts": lambda r: lookups.page_counts(_matching_orders(r), 20),

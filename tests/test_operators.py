@@ -462,6 +462,21 @@ def test_repeat_questions(spark):
     assert got == {1: (False, False), 2: (True, True), 3: (True, False), 4: (False, False)}
 
 
+def test_deep_pages_equal_sorted_pages(spark):
+    """Many orders on one day and moment, null dates, ids in several groups; past the end there is nothing."""
+    rng = random.Random(5)
+    moments = [None, NOW, NOW, NOW, NOW + timedelta(seconds=1), NOW - timedelta(days=3)]
+    rows = [(i * 9973, f"O{i}", 1, "N", rng.choice(moments + [NOW - timedelta(hours=rng.randrange(900))]), 1, 1, 5)
+            for i in range(400)]
+    heads = spark.createDataFrame(rows, "OrderId long, OrderNumber string, CustomerId long, CustomerName string, "
+                                        "OrderDate timestamp_ntz, Status int, PaymentStatus int, TotalAmount int")
+    items = spark.createDataFrame([(9973,), (9973,)], "OrderId long")
+    for page, size in ((1, 20), (4, 50), (8, 50), (20, 20), (21, 20), (134, 3)):
+        want = lookups.order_page(heads, items, page, size).orderBy("OrderId").collect()
+        assert lookups.order_page_deep(heads, items, page, size).orderBy("OrderId").collect() == want
+    assert not want[1:] and lookups.order_page_deep(heads, items, 10**6, 200).isEmpty()
+
+
 def _walk(rows, seconds=600):
     stored, want = {}, {}
     for i, at, text, status in sorted(rows, key=lambda row: (row[1], row[0])):

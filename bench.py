@@ -9,7 +9,7 @@ import json
 import os
 import statistics
 import time
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
@@ -55,6 +55,11 @@ def main() -> None:
     etl_run.run_etl(wh, source, S.AS_OF)
     queries["t1_full_load_batch"] = time.perf_counter() - start
 
+    # the first load also starts the process; the second shows the load alone
+    start = time.perf_counter()
+    etl_run.run_etl(Warehouse(spark, f"{base}/batch-again"), source, S.AS_OF)
+    queries["t1_full_load_batch_again"] = time.perf_counter() - start
+
     streamed = Warehouse(spark, f"{base}/stream")
     start = time.perf_counter()
     jobs.run_etl_stream(streamed, f"{base}/source/order_items", source, S.AS_OF, f"{base}/checkpoint",
@@ -63,6 +68,7 @@ def main() -> None:
 
     fact, product, days = wh.read("fact"), wh.read("dim_product"), wh.read("dim_date")
     daily, monthly, inventory = wh.read("gold_daily"), wh.read("gold_monthly"), wh.read("gold_inventory")
+    mix, months = wh.read("gold_orders"), wh.read("gold_product_months")
     whole = (date(1990, 1, 1), date(2010, 1, 1))
     queries["g1_daily_sales_by_category"] = timed(lambda: gold.daily_sales_by_category(fact, days, product))
     queries["g2_monthly_top_products"] = timed(lambda: gold.monthly_top_products(fact, days, product))
@@ -74,9 +80,13 @@ def main() -> None:
         lambda: reports.silver_sales_by_category(fact, product, START, END))
     queries["r10_silver_sales_by_category_all"] = timed(
         lambda: reports.silver_sales_by_category(fact, product, *whole))
+    queries["r10_silver_sales_by_category_90d"] = timed(
+        lambda: reports.silver_sales_by_category(fact, product, LAST_DAY - timedelta(days=90), LAST_DAY))
     queries["r11_source_sales_by_category_90d"] = timed(
         lambda: reports.oltp_sales_by_category(read["order_items"], read["orders"], read["products"], LAST_DAY))
     queries["r8_exact_orders"] = timed(lambda: reports.exact_orders(fact, START, END))
+    queries["r8_exact_orders_from_mix"] = timed(lambda: reports.exact_orders_of(mix, START, END))
+    queries["r3_top_products_exact"] = timed(lambda: reports.top_products_exact(months, product, START, END))
     facts = fact.agg(F.count(F.lit(1))).first()[0]
     print(json.dumps({"metric": "total of headline queries", "value": round(sum(queries.values()), 3), "unit": "sec",
                       "queries": {k: round(v, 4) for k, v in queries.items()}, "sf": os.path.basename(folder),

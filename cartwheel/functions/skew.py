@@ -7,7 +7,7 @@ through one small row per (key, chunk).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -43,16 +43,23 @@ def running_total(df: DataFrame, key: Sequence[str], order: Sequence[str], chunk
 
     ``chunk`` must not be null and must never fall when ``order`` rises.
     """
-    cut = df.withColumn("_chunk", chunk)
+    return running_totals(df, key, order, chunk, {out: F.col(value)})
+
+
+def running_totals(df: DataFrame, key: Sequence[str], order: Sequence[str], chunk: Column,
+                   values: Mapping[str, Column]) -> DataFrame:
+    """Several running sums, named by ``values``, from one sort and one exchange; same rule for ``chunk``."""
+    names = list(values)
+    cut = df.select("*", chunk.alias("_chunk"), *[value.alias(f"_v{i}") for i, value in enumerate(values.values())])
     part = [*key, "_chunk"]
-    before = (cut.groupBy(*part).agg(F.sum(value).alias("_sum"))
-              .withColumn("_before", F.coalesce(F.sum("_sum").over(
-                  Window.partitionBy(*key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-              .drop("_sum"))
-    inside = F.sum(value).over(Window.partitionBy(*part).orderBy(*order)
-                               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (_join_pieces(cut.withColumn("_inside", inside), before, part)
-            .select(*df.columns, (F.col("_before") + F.col("_inside")).alias(out)))
+    earlier = Window.partitionBy(*key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    before = (cut.groupBy(*part).agg(*[F.sum(f"_v{i}").alias(f"_sum{i}") for i in range(len(names))])
+              .select(*part, *[F.coalesce(F.sum(f"_sum{i}").over(earlier), F.lit(0)).alias(f"_before{i}")
+                               for i in range(len(names))]))
+    upto = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = cut.select("*", *[F.sum(f"_v{i}").over(upto).alias(f"_inside{i}") for i in range(len(names))])
+    return (_join_pieces(inside, before, part)
+            .select(*df.columns, *[(F.col(f"_before{i}") + F.col(f"_inside{i}")).alias(n) for i, n in enumerate(names)]))
 
 
 def previous_value(df: DataFrame, key: Sequence[str], order: Sequence[str], chunk: Column, value: str,

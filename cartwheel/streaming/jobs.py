@@ -17,6 +17,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from cartwheel import schemas as S
 from cartwheel.operators import etl, outbox, payments, quality
 from cartwheel.plans import etl_run
+from cartwheel.session import tune
 from cartwheel.sources.warehouse import Warehouse
 
 
@@ -30,6 +31,7 @@ def _drain(spark: SparkSession, folder: str, schema: T.StructType, checkpoint: s
     kept: list[str] = []
 
     def named(batch: DataFrame, number: int) -> None:
+        tune(batch.sparkSession)  # a stream runs in a session of its own, without adaptive execution
         if not kept:
             kept.append(spark.read.json(f"{checkpoint}/metadata").first()["id"])
         handle(batch, number, f"{kept[0]}-{number}")

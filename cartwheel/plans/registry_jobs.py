@@ -27,7 +27,8 @@ def _items(r: Retail) -> DataFrame:
     return written(r.spark, r.order_items.select(S.ORDER_ITEMS.fieldNames()), "order-items")
 
 
-def _items_of(r: Retail, items: DataFrame, load: int) -> DataFrame:
+def _items_of(r: Retail, load: int, items: DataFrame | None = None) -> DataFrame:
+    items = r.order_items if items is None else items
     wanted = r.orders_in_loads.where(F.col("Load") == load).select("OrderId")
     return items.join(wanted, "OrderId", "left_semi").select(S.ORDER_ITEMS.fieldNames())
 
@@ -37,7 +38,7 @@ def _stream(r: Retail, name: str, check: bool = False) -> Warehouse:
     base = work_dir(r.spark, name)
     wh, items = Warehouse(r.spark, f"{base}/tables"), _items(r)
     for load, as_of in LOADS:
-        _items_of(r, items, load).write.mode("append").parquet(f"{base}/items")
+        _items_of(r, load, items).write.mode("append").parquet(f"{base}/items")
         jobs.run_etl_stream(wh, f"{base}/items", _source(r, load), as_of, f"{base}/checkpoint", check_batches=check)
     return wh
 
@@ -73,7 +74,7 @@ def stream_outbox(r: Retail) -> DataFrame:
 def _batches(r: Retail, name: str) -> Warehouse:
     """Two batch runs from the watermark: the second finds the lines of the second drop only."""
     wh, items = Warehouse(r.spark, work_dir(r.spark, name)), _items(r)
-    etl_run.run_etl(wh, _source(r, 1, _items_of(r, items, 1)), S.FIRST_LOAD, with_quality=False)
+    etl_run.run_etl(wh, _source(r, 1, _items_of(r, 1, items)), S.FIRST_LOAD, with_quality=False)
     etl_run.run_etl(wh, _source(r, 2, items), S.SECOND_LOAD, with_quality=False)
     return wh
 

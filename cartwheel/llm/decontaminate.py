@@ -118,7 +118,7 @@ def _scan(rows: DataFrame, block: list[tuple[str, str | None]], n: int, keep_tex
 
     kinds = dict(rows.dtypes)
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in names[:-3]) + ", " + _FOUND
-    return rows.drop("n_words").mapInArrow(T.per_slice(work, "text"), schema)
+    return T.mapped(rows.drop("n_words"), T.per_slice(work, "text"), schema)
 
 
 def merged(spans: list[tuple[int, int]]) -> list[dict[str, int]]:

@@ -200,7 +200,7 @@ def _signed(docs: DataFrame, words: int, num: int, den: int, seed: int) -> DataF
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sigs))),
                  *(pa.array(odd[:, i]) for i in range(SKETCH)), pa.array(wide, pa.binary()), *(part.column(c) for c in more)],
                 ["id", "n", "fp", "fp2", "sigs", *_BITS, "wide", *more])
-    return docs.mapInArrow(run, _SCAN + "".join(f", {c} binary" for c in more))
+    return T.mapped(docs, run, _SCAN + "".join(f", {c} binary" for c in more))
 
 
 def _membership(slots: DataFrame) -> np.ndarray:
@@ -227,7 +227,7 @@ def _held(signed: DataFrame) -> DataFrame:
             row = pa.compute.list_parent_indices(part.column("sigs")).to_numpy()[keep]
             yield pa.RecordBatch.from_arrays([sig.filter(pa.array(keep)), *(part.column(c).take(pa.array(row))
                                                                             for c in ("fp", "n"))], ["sig", "fp", "n"])
-    near = signed.select("fp", "n", "sigs").where("size(sigs) > 0").mapInArrow(run, "sig long, fp long, n long")
+    near = T.mapped(signed.select("fp", "n", "sigs").where("size(sigs) > 0"), run, "sig long, fp long, n long")
     held = written(spark, near.join(shared, "sig").distinct(), "held")
     dropped(spark, shared)
     return held
@@ -260,7 +260,7 @@ def _sets(docs: DataFrame, signed: DataFrame, nodes: DataFrame, words: int, seed
                 rows.append((fp, x.tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in
                                               enumerate((pa.int64(), pa.binary()))], ["fp", "shingles"])
-    found = docs.withColumn("slot", _slot()).mapInArrow(run, _SETS)
+    found = T.mapped(docs.withColumn("slot", _slot()), run, _SETS)
     return found.join(nodes, "fp", "left_semi")
 
 
@@ -278,7 +278,7 @@ def _screened(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> Data
             near = [(den + num) * least_apart(x.as_py(), y.as_py()) <= (den - num) * n for x, y, n in
                     zip(part.column("awide"), part.column("bwide"), part.column("size").to_pylist())]
             yield part.filter(pa.array(near, pa.bool_())).select(["a", "b"])
-    return pairs.select("a", "b", F.expr("an + bn").alias("size"), "awide", "bwide").mapInArrow(run, "a long, b long")
+    return T.mapped(pairs.select("a", "b", F.expr("an + bn").alias("size"), "awide", "bwide"), run, "a long, b long")
 
 
 def _possible(num: int, den: int) -> str:
@@ -308,7 +308,7 @@ def _linked(docs: DataFrame, signed: DataFrame, pairs: DataFrame, used: list[Dat
                 inter = len(np.intersect1d(one, two, assume_unique=True))
                 keep.append(den * inter >= num * (len(one) + len(two) - inter))
             yield part.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
-    links = written(spark, both.mapInArrow(run, "a long, b long"), "links")
+    links = written(spark, T.mapped(both, run, "a long, b long"), "links")
     dropped(spark, pairs, full)
     return links
 

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import ctypes
 import gc
 import pickle
-import sys
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cartwheel.llm import text as T
 from cartwheel.llm.spread import written
 
 
@@ -65,21 +64,15 @@ def trained(rows: DataFrame, model: type):
         y, n = (table.column(c).to_numpy() for c in ("y", "n"))
         fitted = model(table.column("text").to_pylist(), y.astype(np.float32), weighted(y, n))
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fitted)], pa.binary())], ["model"])
-        give_back()
+        # the worker that has trained goes on to score
+        del parts, table, fitted
+        gc.collect()
     one = rows.repartition(1).sortWithinPartitions("y", "place", "text").select("y", "n", "text")
-    found = one.mapInArrow(run, "model binary").collect()
+    found = T.mapped(one, run, "model binary").collect()
     # no row, no batch
     return pickle.loads(found[0]["model"]) if found else model([], np.zeros(0, np.float32), np.zeros(0))
 
 
-def give_back() -> None:
-    """Hands freed memory back to the system (on Linux), since a worker that has trained goes on to score."""
-    gc.collect()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
-    if trim:
-        trim(0)
-
-
 def calibrate(raw: np.ndarray, y: np.ndarray, weight: np.ndarray, cut: float = 0.3,
               steps: int = 400) -> tuple[float, float]:
     """Scale and shift of a logistic curve over raw scores.

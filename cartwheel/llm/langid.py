@@ -157,4 +157,4 @@ def identify(docs: DataFrame, prototypes: Prototypes, id_col: str = "doc_id", te
         return pa.RecordBatch.from_arrays([part.column("id"), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                                           ["id", "lang_pred", "score"])
     schema = f"id {dict(rows.dtypes)['id']}, lang_pred string, score double"
-    return rows.mapInArrow(T.per_slice(work, "text"), schema).withColumnRenamed("id", id_col)
+    return T.mapped(rows, T.per_slice(work, "text"), schema).withColumnRenamed("id", id_col)

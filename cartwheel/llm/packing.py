@@ -232,7 +232,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id_col:
         if keep_ids:
             out.append(pa.array(kept, pa.list_(pa.int64())))
         return pa.RecordBatch.from_arrays(out, ["id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids)
-    return rows.mapInArrow(T.per_slice(work, "text"), _PIECES + ", ids array<long>" * keep_ids)
+    return T.mapped(rows, T.per_slice(work, "text"), _PIECES + ", ids array<long>" * keep_ids)
 
 
 class Plan:
@@ -288,4 +288,4 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id
                 [*(part.column(c) for c in names), *(pa.array([p[i] for p in placed], pa.int64()) for i in (0, 1))],
                 [*names, "sequence_id", "offset"])
     schema = _PIECES + ", ids array<long>" * keep_ids + ", sequence_id long, offset long"
-    return ranked.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return T.mapped(ranked, run, schema).withColumnRenamed("id", id_col)

@@ -186,4 +186,4 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least:
             [part.column("id"), pa.array(counts, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), runs),
              pa.array(kept, pa.binary()).cast(pa.string())], ["id", "n_words", "runs", "collapsed"])
     schema = f"id {dict(rows.dtypes)['id']}, n_words long, runs array<{RUN}>, collapsed string"
-    return rows.mapInArrow(T.per_slice(work, "text"), schema).withColumnRenamed("id", id_col)
+    return T.mapped(rows, T.per_slice(work, "text"), schema).withColumnRenamed("id", id_col)

@@ -147,7 +147,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                                            pa.array(found, _SPANS)], ["id", "base", "spans", "found"])
     schema = (f"id {dict(rows.dtypes)['id']}, base string, spans string, "
               "found array<struct<start: int, end: int, kind: string, base: boolean, score: double>>")
-    return rows.mapInArrow(T.per_slice(work, "text"), schema).withColumnRenamed("id", id_col)
+    return T.mapped(rows, T.per_slice(work, "text"), schema).withColumnRenamed("id", id_col)
 
 
 def redacted(text: str | None, found: list) -> str | None:

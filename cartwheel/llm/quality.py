@@ -175,4 +175,4 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         return pa.RecordBatch.from_arrays([part.column("id"), pa.array(shared.value.score(part.column("text")))],
                                           ["id", "score"])
     kind = dict(rows.dtypes)["id"]
-    return rows.mapInArrow(T.per_slice(work, "text"), f"id {kind}, score double").withColumnRenamed("id", id_col)
+    return T.mapped(rows, T.per_slice(work, "text"), f"id {kind}, score double").withColumnRenamed("id", id_col)

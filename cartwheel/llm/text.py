@@ -1,18 +1,24 @@
 """Columns of text as byte arrays: words, rolling hashes and bounded slices of Arrow batches.
 
 The functions work on whole texts.  Memory follows the longest single text: a batch is cut between rows into slices of
-about ``SLICE`` bytes before any array is built.
+about ``SLICE`` bytes before any array is built.  Rows reach a task in batches of about ``BATCH`` bytes, and what a task has
+freed goes back to the system when it ends, since its worker stays.
 """
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 SLICE = 1 << 20
+#: of rows on their way to a worker: the executor and the worker each hold a few of these
+BATCH = 4 << 20
 #: bytes hashed at a time, so that the arrays for it stay small
 CHUNK = 1 << 17
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -62,6 +68,30 @@ def per_slice(work: Callable[[pa.RecordBatch], pa.RecordBatch], text: str, size:
     return run
 
 
+def mapped(rows: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``rows.mapInArrow(run, schema)`` with bounded batches (a setting the session keeps); the worker keeps no freed memory."""
+    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
+    return rows.mapInArrow(lean(run), schema)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """The same function; when a task ends, the memory it has freed goes back to the system."""
+    def lean_run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return lean_run
+
+
+def give_back() -> None:
+    """Hands freed memory of Arrow and (on Linux) of the process back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
+    if trim:
+        trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
     x = x ^ (x >> np.uint64(30))

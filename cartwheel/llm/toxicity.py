@@ -308,5 +308,5 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         return pa.RecordBatch.from_arrays([*map(part.column, names), pa.array(shared.value.score(part.column("text")))],
                                           [*names, "score"])
     schema = f"id {dict(rows.dtypes)['id']}, " + "text string, " * keep_text + "score double"
-    found = rows.mapInArrow(T.per_slice(work, "text"), schema)
+    found = T.mapped(rows, T.per_slice(work, "text"), schema)
     return found.select(F.col("id").alias(id_col), *[F.col("text").alias(text_col)] * keep_text, "score")

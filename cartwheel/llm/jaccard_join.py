@@ -23,7 +23,8 @@ From signatures to components:
    holders found to be linked join one component.
 3. A signature whose holders all lie in one component is settled.  Of the others, holders in different components are
    compared in blocks: parity sketches (their differing bits never exceed the number of differing elements) discard pairs
-   that cannot link, and only the rest is emitted and compared exactly.  Nothing is capped, no link is lost.
+   that cannot link, and only the rest is emitted and compared exactly.  Nothing is capped, no link is lost.  The second turn with
+   pivots is left out where a holder meets no more than a block of others on average: comparing them costs less.
 4. Components come from repeated minimum propagation over the links, written to ``spark.checkpoint.dir`` each round.
 
 Exact comparison intersects whole sets of 64-bit shingle hashes.
@@ -170,6 +171,8 @@ def fingerprints(shingles: np.ndarray) -> tuple[int, int]:
 #: turns with pivots before the rest is compared in blocks
 ROUNDS = 2
 BLOCK = 512
+#: nodes that a task contracts at a time
+FOREST = 1 << 18
 _BITS = [f"s{i}" for i in range(SKETCH)]
 _SCAN = ("id long, n long, fp long, fp2 long, sigs array<long>, "
          + ", ".join(f"{c} long" for c in _BITS) + ", wide binary")
@@ -237,14 +240,12 @@ def _slot() -> Column:
     return F.pmod(F.xxhash64("id"), F.lit(BITS))
 
 
-def _sets(docs: DataFrame, signed: DataFrame, nodes: DataFrame, words: int, seed: int) -> DataFrame:
-    """The shingles of the given nodes, from a second scan of the texts.
+def _sets(docs: DataFrame, nodes: DataFrame, words: int, seed: int) -> DataFrame:
+    """The shingles of the given nodes (fp, id; any number of times), from a second scan of the texts.
 
     A bitmap of bounded size spares most other documents the trip; the join after it is exact.
     """
-    spark = docs.sparkSession
-    wanted = signed.join(nodes, "fp").groupBy("fp").agg(F.min("id").alias("id"))
-    bitmap = spark.sparkContext.broadcast(_membership(wanted.select(_slot().alias("b"))))
+    bitmap = docs.sparkSession.sparkContext.broadcast(_membership(nodes.select(_slot().alias("b"))))
 
     def run(batches):
         seen: set[int] = set()
@@ -265,20 +266,22 @@ def _sets(docs: DataFrame, signed: DataFrame, nodes: DataFrame, words: int, seed
 
 
 def _screened(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) that sizes and sketches allow to link: first the short sketches, then the wide ones."""
-    for side in "ab":
-        pairs = pairs.join(sketches.drop("wide").select(*[F.col(c).alias(side if c == "fp" else side + c)
-                                                          for c in ("fp", "n", *_BITS)]), side)
-    pairs = pairs.where(_possible(num, den)).select("a", "b", "an", "bn")
+    """The pairs (a, b) that sizes and sketches allow to link, with the ids that name the two.
+
+    Each side is looked up once: a wide sketch takes about an eighth of a byte to a quarter for an element.
+    """
     for side in "ab":
-        pairs = pairs.join(sketches.select(F.col("fp").alias(side), F.col("wide").alias(f"{side}wide")), side)
+        pairs = pairs.join(sketches.select(*[F.col(c).alias(side if c == "fp" else side + c) for c in sketches.columns]),
+                           side)
 
     def run(batches):
         for part in batches:
             near = [(den + num) * least_apart(x.as_py(), y.as_py()) <= (den - num) * n for x, y, n in
                     zip(part.column("awide"), part.column("bwide"), part.column("size").to_pylist())]
-            yield part.filter(pa.array(near, pa.bool_())).select(["a", "b"])
-    return T.mapped(pairs.select("a", "b", F.expr("an + bn").alias("size"), "awide", "bwide"), run, "a long, b long")
+            yield part.filter(pa.array(near, pa.bool_())).select(["a", "b", "aid", "bid"])
+    possible = pairs.where(_possible(num, den)).select("a", "b", "aid", "bid", F.expr("an + bn").alias("size"), "awide",
+                                                       "bwide")
+    return T.mapped(possible, run, "a long, b long, aid long, bid long")
 
 
 def _possible(num: int, den: int) -> str:
@@ -287,17 +290,17 @@ def _possible(num: int, den: int) -> str:
             f"and ({apart}) * {den + num} <= {den - num} * (an + bn)")
 
 
-def _linked(docs: DataFrame, signed: DataFrame, pairs: DataFrame, used: list[DataFrame], words: int, num: int, den: int,
+def _linked(docs: DataFrame, pairs: DataFrame, used: list[DataFrame], words: int, num: int, den: int,
             seed: int) -> DataFrame:
     """The pairs (a, b) whose whole sets reach the threshold, as a table; ``used`` goes once the pairs are written."""
     spark = docs.sparkSession
     pairs = written(spark, pairs, "pairs")
     dropped(spark, *used)
     if pairs.isEmpty():
-        return pairs
-    nodes = pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).distinct()
-    full = written(spark, _sets(docs, signed.select("id", "fp"), nodes, words, seed), "sets")
-    both = (pairs.join(full.select(F.col("fp").alias("a"), F.col("shingles").alias("x")), "a")
+        return pairs.select("a", "b")
+    nodes = pairs.selectExpr("a as fp", "aid as id").unionByName(pairs.selectExpr("b as fp", "bid as id"))
+    full = written(spark, _sets(docs, nodes, words, seed), "sets")
+    both = (pairs.select("a", "b").join(full.select(F.col("fp").alias("a"), F.col("shingles").alias("x")), "a")
             .join(full.select(F.col("fp").alias("b"), F.col("shingles").alias("y")), "b"))
 
     def run(batches):
@@ -313,40 +316,71 @@ def _linked(docs: DataFrame, signed: DataFrame, pairs: DataFrame, used: list[Dat
     return links
 
 
-def _starred(edges: DataFrame, small: bool) -> DataFrame:
-    """One star step on edges (u, v), u > v: around every node, its larger neighbours (or, in the small step, its
-    smaller ones and itself) move to the smallest of them all.  The table of the edges before is removed."""
-    spark = edges.sparkSession
-    around = edges if small else edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = written(spark, around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"),
-                                                   F.count(F.lit(1)).alias("copies")), "least")
-    moved = join_key(around, least, "u", "copies")
-    if small:
-        moved = moved.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    else:
-        moved = moved.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    own = least.where("m < u").select("u", F.col("m").alias("v"))
-    after = written(spark, moved.unionByName(own).where("u != v").distinct(), "edges")
-    dropped(spark, least, edges)
-    return after
+def _contracted(edges: DataFrame) -> DataFrame:
+    """Edges (u, v), u > v, that connect the same nodes, never more of them: a task ties what its own edges connect to the
+    smallest node of it.  A task holds at most about FOREST nodes and a batch at a time."""
+    def run(batches):
+        over: dict[int, int] = {}                    # a smaller node of the same component; roots have none
+
+        def top(x):
+            while (y := over.get(x)) is not None:
+                if (z := over.get(y)) is not None:
+                    over[x] = z
+                x = y
+            return x
+
+        def tied():
+            nodes = list(over)
+            return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([top(x) for x in nodes], pa.int64())],
+                                              ["u", "v"])
+        for part in batches:
+            for u, v in zip(part.column("u").to_pylist(), part.column("v").to_pylist()):
+                u, v = top(u), top(v)
+                if u != v:
+                    over[max(u, v)] = min(u, v)
+            if len(over) >= FOREST:
+                yield tied()
+                over.clear()
+        yield tied()
+    return T.mapped(edges, run, "u long, v long")
+
+
+def _smallest(around: DataFrame) -> DataFrame:
+    """Per node u of the edges the smallest and the largest neighbour v, and the edges that it has; a table."""
+    return written(around.sparkSession, around.groupBy("u").agg(F.min("v").alias("low"), F.max("v").alias("high"),
+                                                                F.count(F.lit(1)).alias("copies")), "least")
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(fp, root) for the nodes of the links (a, b) but the roots themselves: the smallest name each can reach.
+    """(fp, root) for the nodes of the links (a, b) but the roots themselves: the smallest name each can reach; a table.
 
-    Alternating large and small stars until every component is one star.  No node's neighbours are ever gathered.
+    Alternating large and small stars until every component is one star: around every node its larger neighbours move to
+    the smallest of all (which keeps everything connected: by induction every node stays tied to its smallest neighbour),
+    then its smaller ones and itself.  Edges never become more; what a task has of them is contracted before it is written.
+    No node's neighbours are ever gathered.
     """
-    edges = written(links.sparkSession, links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                    .where("u != v").distinct(), "edges")
+    spark = links.sparkSession
+    edges = written(spark, _contracted(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+                                       .where("u != v")), "edges")
     while True:
-        edges = _starred(_starred(edges, small=False), small=True)
-        tops = edges.select(F.col("v").alias("u")).distinct()
-        loose = edges.groupBy("u").count().where("count > 1").select("u").unionByName(edges.join(tops, "u", "left_semi")
-                                                                                     .select("u"))
-        if loose.isEmpty():
-            roots = written(edges.sparkSession, edges.select(F.col("u").alias("fp"), F.col("v").alias("root")), "roots")
-            dropped(edges.sparkSession, edges)
+        down = edges.select(F.col("v").alias("u"), F.col("u").alias("v"))
+        least = _smallest(edges.unionByName(down))
+        # a star: its centre has larger neighbours only, every other node just one
+        if least.where("low < u and low < high").isEmpty():
+            roots = written(spark, least.where("low < u").select(F.col("u").alias("fp"), F.col("low").alias("root")), "roots")
+            dropped(spark, least, edges)
             return roots
+        least_of = least.select("u", F.least("low", "u").alias("m"), "copies")
+        large = written(spark, _contracted(join_key(down, least_of, "u", "copies", narrow=True)
+                                           .select(F.col("v").alias("u"), F.col("m").alias("v"))), "edges")
+        dropped(spark, least, edges)
+        least = _smallest(large)
+        least_of = least.select("u", F.col("low").alias("m"), "copies")
+        moved = join_key(large, least_of, "u", "copies", narrow=True).where("v != m").select(F.col("v").alias("u"),
+                                                                                            F.col("m").alias("v"))
+        own = least_of.select("u", F.col("m").alias("v"))
+        edges = written(spark, _contracted(moved.unionByName(own)), "edges")
+        dropped(spark, least, large)
 
 
 def _near_roots(links: DataFrame) -> DataFrame:
@@ -357,23 +391,25 @@ def _near_roots(links: DataFrame) -> DataFrame:
                                                             F.count(F.lit(1)).alias("copies")), "near")
     top = one.select(F.col("a").alias("r"), F.col("r").alias("root"))
     heads = written(links.sparkSession, one.groupBy("r").agg(F.count(F.lit(1)).alias("copies")).join(top, "r"), "heads")
-    roots = written(links.sparkSession, join_key(one.select("a", "r"), heads, "r", "copies")
+    roots = written(links.sparkSession, join_key(one.select("a", "r"), heads, "r", "copies", narrow=True)
                     .select(F.col("a").alias("fp"), "root"), "roots")
     dropped(links.sparkSession, one, heads)
     return roots
 
 
-def _mixed(held: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """The holders, with their component, of signatures whose holders lie in more than one."""
+def _mixed(held: DataFrame, roots: DataFrame | None) -> tuple[DataFrame, float]:
+    """The holders, with their component, of signatures whose holders lie in more than one; how many holders of a
+    signature one of them meets on average (infinite where no components are known yet)."""
     if roots is None:
-        return held.withColumn("root", F.col("fp"))      # no table of its own
+        return held.withColumn("root", F.col("fp")), float("inf")      # no table of its own
     spark = held.sparkSession
     named = written(spark, held.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "named")
     per = named.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("copies"))
     per = written(spark, per.where("x < y").select("sig", "copies"), "open")
-    mixed = written(spark, join_key(named, per, "sig", "copies").drop("copies"), "mixed")
+    mixed = written(spark, join_key(named, per, "sig", "copies", narrow=True).drop("copies"), "mixed")
+    met = per.agg(F.sum(F.col("copies").cast("double") * F.col("copies")) / F.sum("copies")).first()[0] or 0.0
     dropped(spark, named, per)
-    return mixed
+    return mixed, met
 
 
 def _to_pivots(holders: DataFrame, turn: int, used: list[DataFrame]) -> DataFrame:
@@ -383,14 +419,13 @@ def _to_pivots(holders: DataFrame, turn: int, used: list[DataFrame]) -> DataFram
     that the pairs are made from are added to ``used``.
     """
     order = F.lit((0x2545F4914F6CDD1D * turn) & (2 ** 63 - 1)).cast("long")
+    place = F.col("fp").bitwiseXOR(order)
     pivot = written(holders.sparkSession, holders.groupBy("sig").agg(
-        F.min(F.col("fp").bitwiseXOR(order)).bitwiseXOR(order).alias("b"), F.count(F.lit(1)).alias("copies")), "pivots")
+        F.min(place).bitwiseXOR(order).alias("b"), F.min_by("root", place).alias("broot"),
+        F.count(F.lit(1)).alias("copies")), "pivots")
     used.append(pivot)
-    pairs = join_key(holders, pivot, "sig", "copies").where("fp != b").select(F.col("fp").alias("a"), "b", "root")
-    if not turn:
-        return pairs.select("a", "b").distinct()
-    other = holders.select(F.col("fp").alias("b"), F.col("root").alias("broot")).distinct()
-    return pairs.distinct().join(other, "b").where("root != broot").select("a", "b")
+    apart = join_key(holders, pivot, "sig", "copies", narrow=True).where("root != broot")
+    return apart.select(F.col("fp").alias("a"), "b").distinct()
 
 
 def _in_blocks(holders: DataFrame, sketches: DataFrame, num: int, den: int, used: list[DataFrame]) -> DataFrame:
@@ -401,9 +436,9 @@ def _in_blocks(holders: DataFrame, sketches: DataFrame, num: int, den: int, used
     """
     spark = holders.sparkSession
     blocks = written(spark, holders.groupBy("sig").agg(F.count(F.lit(1)).alias("copies")), "blocks")
-    rows = join_key(holders, blocks, "sig", "copies").withColumn("blocks", F.ceil(F.col("copies") / BLOCK))
+    rows = join_key(holders, blocks, "sig", "copies", narrow=True).withColumn("blocks", F.ceil(F.col("copies") / BLOCK))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")))
-    rows = rows.join(sketches.drop("n", "wide"), "fp")
+    rows = rows.join(sketches.select("fp", *_BITS), "fp")
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = written(spark, rows.select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                                       "own", "fp", "n", "root", *_BITS), "blocked")
@@ -453,12 +488,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         named = written(spark, named.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
         dropped(spark, nodes, roots)
         top = named.groupBy("root").agg(F.min("id").alias("component"), F.count(F.lit(1)).alias("weight"))
-        named = join_key(named, written(spark, top, "components"), "root", "weight")
+        named = join_key(named, written(spark, top, "components"), "root", "weight", narrow=True)
     else:
         named = named.withColumn("component", F.col("id")).withColumn("root", F.col("fp"))
     named = written(spark, named.select("fp", "component", "copies", F.col("root").alias("group")), "named")
     rows = signed.select("id", "n", "fp", *more[1:])
-    with_words = join_key(rows.where("n > 0"), named, "fp", "copies")
+    with_words = join_key(rows.where("n > 0"), named, "fp", "copies", narrow=True)
     without = rows.where("n = 0").withColumn("component", F.col("id")).withColumn("copies", F.lit(1).cast("long")).withColumn(
         "group", F.lit(None).cast("long"))
     return with_words.unionByName(without).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component",
@@ -477,22 +512,24 @@ def _search(docs: DataFrame, signed: DataFrame, held: DataFrame, words: int, num
     if held.isEmpty():
         return None
     sketches = written(spark, signed.where("n > 0").join(held.select("fp").distinct(), "fp", "left_semi").groupBy("fp")
-                       .agg(F.min("n").alias("n"), *[F.min(c).alias(c) for c in _BITS], F.min("wide").alias("wide")),
+                       .agg(F.min("n").alias("n"), F.min("id").alias("id"), *[F.min(c).alias(c) for c in _BITS], F.min("wide").alias("wide")),
                        "sketches")
     links = roots = None
     for turn in range(ROUNDS + 1):
-        mixed = _mixed(held, roots)
+        mixed, met = _mixed(held, roots)
         used = [mixed]
-        pairs = (_to_pivots(mixed, turn, used) if turn < ROUNDS else _in_blocks(mixed, sketches, num, den, used))
-        found = _linked(docs, signed, _screened(pairs, sketches, num, den), used, words, num, den, seed)
-        if turn == ROUNDS:
+        # all holders are compared after the last turn, and before it where one meets no more others than a block holds
+        last = turn == ROUNDS or met <= BLOCK
+        pairs = _in_blocks(mixed, sketches, num, den, used) if last else _to_pivots(mixed, turn, used)
+        found = _linked(docs, _screened(pairs, sketches, num, den), used, words, num, den, seed)
+        if last:
             break
         links = found if links is None else links.unionByName(found)
         # before the blocks the components are followed to their ends, so that settled signatures emit nothing
         before, roots = roots, _near_roots(links) if turn < ROUNDS - 1 else components(links)
         dropped(spark, before)
-    if not found.isEmpty():
-        known = roots.select(F.col("fp").alias("a"), F.col("root").alias("b"))
+    if turn < ROUNDS or not found.isEmpty():
+        known = links if turn < ROUNDS else roots.select(F.col("fp").alias("a"), F.col("root").alias("b"))
         before, roots = roots, components(known.unionByName(found))
         dropped(spark, before)
     dropped(spark, held, sketches)

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from cartwheel.llm import decontaminate, exact_dedup, jaccard_join as J
+from cartwheel.llm import decontaminate, exact_dedup, jaccard_join as J, spread
 
 
 def lowered(text):
@@ -258,3 +258,69 @@ def test_decontamination_removes_documents_or_spans(spark, frame):
     cut = decontaminate.clean(docs, bench, "spans")
     assert cut.columns == docs.columns
     assert {r["doc_id"]: r["text"] for r in cut.collect()} == {1: "start  end", 2: "alpha beta gamma", 3: None}
+
+
+def test_components_of_chains_cliques_and_stars_however_little_a_task_contracts(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    pairs = [(i, i + 1) for i in range(40)] + [(100 + i, 100 + j) for i in range(12) for j in range(i)]
+    pairs += [(200, 201 + i) for i in range(30)] + [(int(a), int(b)) for a, b in rng.integers(300, 420, (90, 2))]
+    pairs += [(7, 7)] + pairs[:50]
+    top = {x: x for p in pairs for x in p}
+    for _ in top:
+        for a, b in pairs:
+            top[a] = top[b] = min(top[a], top[b])
+    want = {x: r for x, r in top.items() if x != r}
+    for forest in (1, J.FOREST):
+        monkeypatch.setattr(J, "FOREST", forest)
+        links = spark.createDataFrame(pairs, "a long, b long").repartition(5)
+        got = [tuple(r) for r in J.components(links).select("fp", "root").collect()]
+        assert len(got) == len(want) and dict(got) == want
+
+
+def tables_written(spark, monkeypatch, rows, frame, words=3, num=80):
+    """The components of the rows, and the names of the tables that the search writes."""
+    names, plain = [], J.written
+
+    def noted(spark, frame, name):
+        names.append(name)
+        return plain(spark, frame, name)
+    monkeypatch.setattr(J, "written", noted)
+    got = J.jaccard_components(frame(rows), words=words, num=num, den=100).collect()
+    return Counter((r["doc_id"], r["n_shingles"], r["component"]) for r in got), names
+
+
+def test_search_takes_few_tables_and_loses_nothing(spark, frame, monkeypatch):
+    rows = variants(5)
+    got, names = tables_written(spark, monkeypatch, rows, frame)
+    assert got == brute_components(rows, 3, 80, 100)
+    # one turn with pivots, the blocks, and components once
+    assert names.count("pivots") == 1 and names.count("blocked") == 1 and names.count("roots") == 2
+    assert names.count("edges") <= 5
+
+
+def test_holders_that_meet_many_others_take_the_second_turn(spark, frame, monkeypatch):
+    rows = variants(5)
+    monkeypatch.setattr(J, "BLOCK", 1)
+    got, names = tables_written(spark, monkeypatch, rows, frame)
+    assert got == brute_components(rows, 3, 80, 100)
+    assert names.count("pivots") == 2
+
+
+def test_a_screened_pair_costs_two_lookups(spark):
+    sketches = spark.createDataFrame([(i, 3, i, *[0] * J.SKETCH, bytearray(64)) for i in range(4)],
+                                     "fp long, n long, id long, " + ", ".join(f"{c} long" for c in J._BITS) + ", wide binary")
+    pairs = spark.createDataFrame([(0, 1), (2, 3)], "a long, b long")
+    found = J._screened(pairs, sketches, 80, 100)
+    assert sorted(map(tuple, found.select("a", "b", "aid", "bid").collect())) == [(0, 1, 0, 1), (2, 3, 2, 3)]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 2
+
+
+def test_few_keys_are_joined_without_a_shuffle_of_the_rows(spark, monkeypatch):
+    rows = spark.createDataFrame([(i % 7, i) for i in range(50)] + [(None, 1), (99, 1)], "key long, i long")
+    per_key = rows.groupBy("key").agg(F.count(F.lit(1)).alias("copies")).where("key < 90")
+    want = Counter(map(tuple, spread.join_key(rows, per_key, "key", "copies").collect()))
+    few = spread.join_key(rows, per_key, "key", "copies", narrow=True)
+    assert Counter(map(tuple, few.collect())) == want and sum(want.values()) == 50
+    assert few._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    monkeypatch.setattr(spread, "FEW_KEYS", 3)
+    assert Counter(map(tuple, spread.join_key(rows, per_key, "key", "copies", narrow=True).collect())) == want

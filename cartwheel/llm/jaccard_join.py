@@ -383,20 +383,6 @@ def components(links: DataFrame) -> DataFrame:
         dropped(spark, least, large)
 
 
-def _near_roots(links: DataFrame) -> DataFrame:
-    """A cheap finer split than the components, enough to skip settled signatures: the smallest direct neighbour, and
-    the smallest of that one; a table."""
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    one = written(links.sparkSession, both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("r"),
-                                                            F.count(F.lit(1)).alias("copies")), "near")
-    top = one.select(F.col("a").alias("r"), F.col("r").alias("root"))
-    heads = written(links.sparkSession, one.groupBy("r").agg(F.count(F.lit(1)).alias("copies")).join(top, "r"), "heads")
-    roots = written(links.sparkSession, join_key(one.select("a", "r"), heads, "r", "copies", narrow=True)
-                    .select(F.col("a").alias("fp"), "root"), "roots")
-    dropped(links.sparkSession, one, heads)
-    return roots
-
-
 def _mixed(held: DataFrame, roots: DataFrame | None) -> tuple[DataFrame, float]:
     """The holders, with their component, of signatures whose holders lie in more than one; how many holders of a
     signature one of them meets on average (infinite where no components are known yet)."""
@@ -514,7 +500,7 @@ def _search(docs: DataFrame, signed: DataFrame, held: DataFrame, words: int, num
     sketches = written(spark, signed.where("n > 0").join(held.select("fp").distinct(), "fp", "left_semi").groupBy("fp")
                        .agg(F.min("n").alias("n"), F.min("id").alias("id"), *[F.min(c).alias(c) for c in _BITS], F.min("wide").alias("wide")),
                        "sketches")
-    links = roots = None
+    roots = None
     for turn in range(ROUNDS + 1):
         mixed, met = _mixed(held, roots)
         used = [mixed]
@@ -522,15 +508,12 @@ def _search(docs: DataFrame, signed: DataFrame, held: DataFrame, words: int, num
         last = turn == ROUNDS or met <= BLOCK
         pairs = _in_blocks(mixed, sketches, num, den, used) if last else _to_pivots(mixed, turn, used)
         found = _linked(docs, _screened(pairs, sketches, num, den), used, words, num, den, seed)
+        # the components are followed to their ends, so that in blocks no pair within a large group is emitted
+        if roots is None or not found.isEmpty():
+            known = found if roots is None else found.unionByName(roots.selectExpr("fp as a", "root as b"))
+            before, roots = roots, components(known)
+            dropped(spark, before)
         if last:
             break
-        links = found if links is None else links.unionByName(found)
-        # before the blocks the components are followed to their ends, so that settled signatures emit nothing
-        before, roots = roots, _near_roots(links) if turn < ROUNDS - 1 else components(links)
-        dropped(spark, before)
-    if turn < ROUNDS or not found.isEmpty():
-        known = links if turn < ROUNDS else roots.select(F.col("fp").alias("a"), F.col("root").alias("b"))
-        before, roots = roots, components(known.unionByName(found))
-        dropped(spark, before)
     dropped(spark, held, sketches)
     return roots

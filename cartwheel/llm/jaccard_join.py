@@ -21,9 +21,11 @@ From signatures to components:
 2. Signatures given more than once are kept: their count is combined before its shuffle, and a map of fixed size keeps
    most other rows from moving; the join after it is exact.  In rounds, every holder is compared with one pivot of each signature;
    holders found to be linked join one component.
-3. A signature whose holders all lie in one component is settled.  Of the others, holders in different components are
-   compared in blocks: parity sketches (their differing bits never exceed the number of differing elements) discard pairs
-   that cannot link, and only the rest is emitted and compared exactly.  Nothing is capped, no link is lost.  The second turn with
+3. A signature whose holders all lie in one component is settled, and one stands for all that have the same holders.  Of
+   the others, holders in different components are compared in blocks: parity sketches (their differing bits never exceed
+   the number of differing elements) discard pairs that cannot link, and only the rest is emitted and compared exactly.
+   Where a signature has many holders the sketches are as wide as the sets are large; a pair that shares many signatures
+   is emitted at the first of them, and seldom at others.  Nothing is capped, no link is lost.  The second turn with
    pivots is left out where a holder meets no more than a block of others on average: comparing them costs less.
 4. Components come from repeated minimum propagation over the links, written to ``spark.checkpoint.dir`` each round.
 
@@ -39,7 +41,7 @@ from math import ceil, comb, erf, exp, sqrt
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cartwheel.llm import text as T
 from cartwheel.llm.spread import dropped, join_key, written
@@ -149,11 +151,11 @@ def sketch(shingles: np.ndarray, bits: int = 64 * SKETCH) -> np.ndarray:
 
 
 def wide_sketch(shingles: np.ndarray) -> bytes:
-    """A sketch with at least as many slots as there are elements."""
-    return sketch(shingles, max(64 * SKETCH, 1 << (len(shingles) - 1).bit_length())).tobytes()
+    """A sketch with at least twice as many slots as there are elements."""
+    return sketch(shingles, max(64 * SKETCH, 1 << (2 * len(shingles) - 1).bit_length())).tobytes()
 
 
-def least_apart(one: bytes, two: bytes) -> int:
+def least_apart(one: bytes | np.ndarray, two: bytes | np.ndarray) -> int:
     """At least so many elements are in one of two sets only; the longer sketch is folded to the shorter."""
     a, b = sorted((np.frombuffer(x, np.uint8) for x in (one, two)), key=len)
     b = np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)
@@ -171,11 +173,13 @@ def fingerprints(shingles: np.ndarray) -> tuple[int, int]:
 #: turns with pivots before the rest is compared in blocks
 ROUNDS = 2
 BLOCK = 512
+#: holders from which on pairs of a signature are told apart by wide sketches too, and signatures that a pair looks back on
+MANY, RECENT = 4, 8
 #: nodes that a task contracts at a time
 FOREST = 1 << 18
 _BITS = [f"s{i}" for i in range(SKETCH)]
 _SCAN = ("id long, n long, fp long, fp2 long, sigs array<long>, "
-         + ", ".join(f"{c} long" for c in _BITS) + ", wide binary")
+         + ", ".join(f"{c} long" for c in _BITS) + ", wide array<long>")
 _SETS = "fp long, shingles binary"
 
 
@@ -194,14 +198,15 @@ def _signed(docs: DataFrame, words: int, num: int, den: int, seed: int) -> DataF
                 if fresh:
                     seen.add(a)
                 n.append(len(x)), one.append(a), two.append(b), odd.append(sketch(x).view(np.int64))
-                wide.append(wide_sketch(x) if fresh else None)
+                wide.append(np.frombuffer(wide_sketch(x), np.int64) if fresh else None)
                 sigs.append(signatures(x, num, den).view(np.int64) if fresh else np.zeros(0, np.int64))
             ends = np.cumsum([0, *map(len, sigs)]).astype(np.int32)
             odd = np.array(odd, np.int64).reshape(-1, SKETCH)
             yield pa.RecordBatch.from_arrays(
                 [part.column("id"), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sigs))),
-                 *(pa.array(odd[:, i]) for i in range(SKETCH)), pa.array(wide, pa.binary()), *(part.column(c) for c in more)],
+                 *(pa.array(odd[:, i]) for i in range(SKETCH)), pa.array(wide, pa.list_(pa.int64())),
+                 *(part.column(c) for c in more)],
                 ["id", "n", "fp", "fp2", "sigs", *_BITS, "wide", *more])
     return T.mapped(docs, run, _SCAN + "".join(f", {c} binary" for c in more))
 
@@ -276,8 +281,8 @@ def _screened(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> Data
 
     def run(batches):
         for part in batches:
-            near = [(den + num) * least_apart(x.as_py(), y.as_py()) <= (den - num) * n for x, y, n in
-                    zip(part.column("awide"), part.column("bwide"), part.column("size").to_pylist())]
+            near = [(den + num) * least_apart(x.values.to_numpy(), y.values.to_numpy()) <= (den - num) * n
+                    for x, y, n in zip(part.column("awide"), part.column("bwide"), part.column("size").to_pylist())]
             yield part.filter(pa.array(near, pa.bool_())).select(["a", "b", "aid", "bid"])
     possible = pairs.where(_possible(num, den)).select("a", "b", "aid", "bid", F.expr("an + bn").alias("size"), "awide",
                                                        "bwide")
@@ -290,6 +295,16 @@ def _possible(num: int, den: int) -> str:
             f"and ({apart}) * {den + num} <= {den - num} * (an + bn)")
 
 
+def _possible_by_wide(num: int, den: int) -> str:
+    """The same by wide sketches (awide, bwide); one of twice the length is folded.  True where there is none, or a longer one."""
+    def folded(x, y):
+        return (f"if(size({x}) = 2 * size({y}), zip_with(slice({x}, 1, size({y})), slice({x}, size({y}) + 1, size({y})), "
+                f"(p, q) -> p ^ q), {x})")
+    apart = (f"aggregate(zip_with({folded('awide', 'bwide')}, {folded('bwide', 'awide')}, (p, q) -> bit_count(p ^ q)), 0, "
+             "(s, c) -> s + c)")
+    return f"coalesce({apart} * {den + num} <= {den - num} * (an + bn), true)"
+
+
 def _linked(docs: DataFrame, pairs: DataFrame, used: list[DataFrame], words: int, num: int, den: int,
             seed: int) -> DataFrame:
     """The pairs (a, b) whose whole sets reach the threshold, as a table; ``used`` goes once the pairs are written."""
@@ -384,17 +399,20 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _mixed(held: DataFrame, roots: DataFrame | None) -> tuple[DataFrame, float]:
-    """The holders, with their component, of signatures whose holders lie in more than one; how many holders of a
-    signature one of them meets on average (infinite where no components are known yet)."""
+    """The holders, with their component, of signatures whose holders lie in more than one (of signatures that have the same
+    holders, one); how many holders of a signature one of them meets on average (infinite where no components are known yet)."""
     if roots is None:
         return held.withColumn("root", F.col("fp")), float("inf")      # no table of its own
     spark = held.sparkSession
     named = written(spark, held.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "named")
-    per = named.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("copies"))
-    per = written(spark, per.where("x < y").select("sig", "copies"), "open")
-    mixed = written(spark, join_key(named, per, "sig", "copies", narrow=True).drop("copies"), "mixed")
+    who = [F.bit_xor(F.xxhash64("fp", F.lit(i))).alias(f"who{i}") for i in range(2)]
+    per = named.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("copies"), *who)
+    per = written(spark, per.where("x < y").select("sig", "copies", "who0", "who1"), "open")
     met = per.agg(F.sum(F.col("copies").cast("double") * F.col("copies")) / F.sum("copies")).first()[0] or 0.0
-    dropped(spark, named, per)
+    # signatures of the same holders, told by 128 bits and their number, give the same pairs
+    one = written(spark, per.groupBy("who0", "who1", "copies").agg(F.min("sig").alias("sig")).select("sig", "copies"), "one")
+    mixed = written(spark, join_key(named, one, "sig", "copies", narrow=True).drop("copies"), "mixed")
+    dropped(spark, named, per, one)
     return mixed, met
 
 
@@ -424,17 +442,30 @@ def _in_blocks(holders: DataFrame, sketches: DataFrame, num: int, den: int, used
     blocks = written(spark, holders.groupBy("sig").agg(F.count(F.lit(1)).alias("copies")), "blocks")
     rows = join_key(holders, blocks, "sig", "copies", narrow=True).withColumn("blocks", F.ceil(F.col("copies") / BLOCK))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")))
-    rows = rows.join(sketches.select("fp", *_BITS), "fp")
+    rows = rows.join(sketches.select("fp", "wide", *_BITS), "fp")
+    rows = rows.withColumn("wide", F.when(F.col("copies") > MANY, F.col("wide")))
+    before = Window.partitionBy("fp").orderBy("sig").rowsBetween(-RECENT, -1)
+    rows = rows.withColumn("recent", F.collect_list("sig").over(before))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = written(spark, rows.select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                                      "own", "fp", "n", "root", *_BITS), "blocked")
+                                      "own", "fp", "n", "root", "recent", "wide", *_BITS), "blocked")
     dropped(spark, blocks)
     used.append(rows)
+    return _meetings(rows, num, den).distinct()
+
+
+def _meetings(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) of the blocks, at the first signature that a and b share and seldom at another.
+
+    A pair is passed over where both have signed the same just before: among the RECENT signatures that precede this one in
+    their own order, which is that of the numbers.  None precedes the first that they share, so there it is emitted.
+    """
     a, b = (rows.select("sig", "i", "j", *[F.col(c).alias(side + c) for c in rows.columns[3:]]).alias(side)
             for side in "ab")
-    test = f"aroot != broot and afp < bfp and (a.i = a.j or aown != bown) and {_possible(num, den)}"
+    test = (f"aroot != broot and afp < bfp and (a.i = a.j or aown != bown) and {_possible(num, den)} "
+            f"and not arrays_overlap(arecent, brecent) and {_possible_by_wide(num, den)}")
     on = (F.col("a.sig") == F.col("b.sig")) & (F.col("a.i") == F.col("b.i")) & (F.col("a.j") == F.col("b.j"))
-    return a.join(b, on & F.expr(test)).select(F.col("afp").alias("a"), F.col("bfp").alias("b")).distinct()
+    return a.join(b, on & F.expr(test)).select(F.col("afp").alias("a"), F.col("bfp").alias("b"))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,

@@ -113,6 +113,61 @@ def test_few_signatures_are_empty_and_no_similar_sets_are_lost():
         assert linked >= 30 and chance < len(sets) ** 2 * 0.004, (linked, chance, len(sets))
 
 
+def test_pairs_of_a_large_group_that_do_not_link_are_seldom_emitted(frame, monkeypatch):
+    rng = random.Random(4)
+    rows = []
+    for d in range(60):                          # 1770 pairs just below the threshold that share many signatures
+        words = [f"w{i}" for i in range(600)]
+        for at in rng.sample(range(600), 8):
+            words[at] = f"x{d}.{at}"
+        rows.append((d, " ".join(words)))
+    emitted, meetings = [], J._meetings
+    monkeypatch.setattr(J, "_meetings", lambda *a: emitted.append(meetings(*a).count()) or meetings(*a))
+    got = J.jaccard_components(frame(rows), words=5, num=80, den=100).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component"]) for r in got) == brute_components(rows, 5, 80, 100)
+    assert emitted and sum(emitted) < 900, emitted
+
+
+def test_of_signatures_with_the_same_holders_one_is_compared(spark):
+    given = {10: (1, 2, 3), 11: (1, 2, 3), 12: (1, 2), 13: (3, 2, 1), 14: (2, 3), 15: (4, 5)}
+    held = spark.createDataFrame([(s, fp, 9) for s, fps in given.items() for fp in fps], "sig long, fp long, n long")
+    mixed, met = J._mixed(held, spark.createDataFrame([(5, 4)], "fp long, root long"))
+    assert sorted((r["sig"], r["fp"]) for r in mixed.collect()) == [(s, fp) for s in (10, 12, 14) for fp in sorted(given[s])]
+    assert met == (3 * 9 + 2 * 4) / 13
+
+
+def test_a_pair_is_met_where_it_first_shares_a_signature(spark, monkeypatch):
+    monkeypatch.setattr(J, "RECENT", 2)
+    rng = random.Random(2)
+    for density in (0.1, 0.9):
+        signed = {fp: [s for s in range(40) if rng.random() < density] or [0] for fp in range(1, 25)}
+        holders = spark.createDataFrame([(s, fp, 9, fp) for fp, sigs in signed.items() for s in sigs],
+                                        "sig long, fp long, n long, root long")
+        sketches = spark.createDataFrame([(fp, 9, fp, *[0] * J.SKETCH, [0] * J.SKETCH) for fp in signed],
+                                         "fp long, n long, id long, " + ", ".join(f"{c} long" for c in J._BITS) + ", wide array<long>")
+        want = {(a, b) for a in signed for b in signed if a < b and set(signed[a]) & set(signed[b])}
+        assert sorted((*r,) for r in J._in_blocks(holders, sketches, 80, 100, []).collect()) == sorted(want)
+
+
+def test_wide_sketches_in_sql_tell_what_they_tell_in_tasks(spark):
+    rng = np.random.default_rng(3)
+    rows, want = [], []
+    for n, m in ((400, 420), (1000, 1040), (1100, 1000), (1020, 1030), (30, 5000), (2000, 2060)):
+        a = rng.integers(0, 2 ** 63, max(n, m)).astype(np.uint64)
+        for apart in (0.05, 0.1, 0.2, 0.6):
+            one, two = np.unique(a[:n]), np.unique(np.concatenate([a[int(m * apart):m],
+                                                                   rng.integers(0, 2 ** 63, int(m * apart)).astype(np.uint64)]))
+            x, y = J.wide_sketch(one), J.wide_sketch(two)
+            rows.append((len(want), *(np.frombuffer(w, np.int64).tolist() for w in (x, y)), len(one), len(two)))
+            ratio = max(len(x), len(y)) // min(len(x), len(y))
+            want.append(ratio > 2 or 180 * J.least_apart(x, y) <= 20 * (len(one) + len(two)))
+    rows.append((len(want), None, rows[0][2], 400, 420))
+    want.append(True)
+    got = spark.createDataFrame(rows, "at int, awide array<long>, bwide array<long>, an long, bn long").selectExpr(
+        "at", J._possible_by_wide(80, 100) + " AS possible").collect()
+    assert [r["possible"] for r in sorted(got)] == want and set(want) == {True, False}
+
+
 def test_sketches_never_tell_too_much():
     rng = np.random.default_rng(6)
     for n, m in ((1, 1), (5, 700), (600, 500), (3000, 2900), (4096, 4097)):

@@ -279,9 +279,12 @@ def _screened(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> Data
         pairs = pairs.join(sketches.select(*[F.col(c).alias(side if c == "fp" else side + c) for c in sketches.columns]),
                            side)
 
+    def raw(x):                                      # binary or longs
+        return x.as_buffer() if isinstance(x, pa.BinaryScalar) else x.values.to_numpy()
+
     def run(batches):
         for part in batches:
-            near = [(den + num) * least_apart(x.values.to_numpy(), y.values.to_numpy()) <= (den - num) * n
+            near = [(den + num) * least_apart(raw(x), raw(y)) <= (den - num) * n
                     for x, y, n in zip(part.column("awide"), part.column("bwide"), part.column("size").to_pylist())]
             yield part.filter(pa.array(near, pa.bool_())).select(["a", "b", "aid", "bid"])
     possible = pairs.where(_possible(num, den)).select("a", "b", "aid", "bid", F.expr("an + bn").alias("size"), "awide",

@@ -10,6 +10,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cartwheel.functions.scalars import ts
+from cartwheel.session import tidied
 
 Tables = Mapping[str, DataFrame]
 
@@ -155,13 +156,14 @@ def run_suite(tables: Tables, tests: Sequence[DqTest], as_of: datetime) -> DataF
     An error inside a test, in planning (a missing table or column) or at run time (a division by zero), is that test's
     failure with the error's message; the others go on.
     """
-    anchor = next(iter(tables.values()))
+    spark = next(iter(tables.values())).sparkSession
     found: dict[str, tuple[int | None, str | None]] = {}
-    for name in dict.fromkeys(t.table for t in tests if t.table):
-        found |= _measured(tables, name, [t for t in tests if t.table == name], as_of)
-    found |= {t.name: _framed(tables, t) for t in tests if t.frame}
+    with tidied(spark):
+        for name in dict.fromkeys(t.table for t in tests if t.table):
+            found |= _measured(tables, name, [t for t in tests if t.table == name], as_of)
+        found |= {t.name: _framed(tables, t) for t in tests if t.frame}
     order = [t for t in tests if t.table] + [t for t in tests if t.frame]
-    return anchor.sparkSession.range(1).select(F.inline(F.array(*[_told(t, *found[t.name], as_of) for t in order])))
+    return spark.range(1).select(F.inline(F.array(*[_told(t, *found[t.name], as_of) for t in order])))
 
 
 def summary(results: DataFrame) -> DataFrame:

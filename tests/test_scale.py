@@ -1,14 +1,16 @@
 """What keeps driver, disk and task memory bounded when tables grow."""
 
+import time
 import uuid
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from cartwheel import session
-from cartwheel.operators import acceptance
-from cartwheel.plans import registry_jobs
+from cartwheel.operators import acceptance, quality
+from cartwheel.plans import registry, registry_jobs
 
 
 @pytest.fixture
@@ -52,3 +54,50 @@ def test_jobs_number_the_lines_once(retail):
     items = registry_jobs._items(retail)
     assert "Window" not in items._jdf.queryExecution().sparkPlan().toString()
     assert items.count() == retail.order_items.count()
+
+
+def _shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {path for folder in folders for path in Path(folder.toString()).rglob("shuffle_*")}
+
+
+def _left(spark, before):
+    """Shuffle files that are still there a while after; Spark deletes them in a thread of its own."""
+    for _ in range(50):
+        if not (left := _shuffle_files(spark) - before):
+            break
+        time.sleep(0.2)
+    return left
+
+
+def test_the_suite_computes_its_tables_once_and_drops_them(tuned, retail, tmp_path, monkeypatch):
+    seen, real = {}, quality.run_suite
+    monkeypatch.setattr(session, "work_dir", lambda _, name: f"{tmp_path}/{name}-{uuid.uuid4().hex}")
+    monkeypatch.setattr(quality, "run_suite", lambda tables, *rest: seen.update(
+        {name: table._jdf.queryExecution().sparkPlan().toString() for name, table in tables.items()}) or real(tables, *rest))
+    told = {row.TestName: row.ActualValue for row in registry._suite(retail).collect()}
+    for name in ("fact", "dim_customer"):
+        assert "Join" not in seen[name] and "Window" not in seen[name]
+    assert told["fact_row_count_nonzero"] == str(retail.faulty_star["fact"].count())
+    assert not list(tmp_path.iterdir())
+
+
+def test_an_error_in_a_column_fails_only_the_tests_that_read_it(tuned, retail, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "work_dir", lambda _, name: f"{tmp_path}/{name}-{uuid.uuid4().hex}")
+    wrong = F.when(F.col("OrderItemId") % 2 == 0, F.raise_error(F.lit("no price"))).otherwise(F.col("UnitPrice"))
+    star = retail.faulty_star | {"fact": retail.faulty_star["fact"].withColumn("UnitPrice", wrong.cast("decimal(18,2)"))}
+    monkeypatch.setitem(retail.__dict__, "faulty_star", star)
+    told = {row.TestName: row.Message for row in registry._suite(retail).collect()}
+    [(name, message)] = [(name, message) for name, message in told.items() if message]
+    assert name == "fact_unitprice_lineTotal_consistency" and "no price" in message
+
+
+def test_a_suite_leaves_no_shuffle_files(tuned):
+    fact = tuned.range(20_000).selectExpr("id % 15000 OrderItemId", "id % 7000 CustomerKey")
+    tests = [t for t in quality.suite() if t.name in ("fact_no_duplicate_orderitemid", "fact_customerkey_resolves")]
+    before = _shuffle_files(tuned)
+    rows = quality.run_suite({"fact": fact, "dim_customer": tuned.range(6999).withColumnRenamed("id", "CustomerKey")},
+                             tests, datetime(2000, 1, 1)).collect()
+    assert sorted(r.ActualValue for r in rows) == ["2", "5000"]
+    assert not _left(tuned, before)
+    assert tuned.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"

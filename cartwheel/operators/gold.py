@@ -40,13 +40,24 @@ def monthly_top_products(fact: DataFrame, dim_date: DataFrame, dim_product: Data
 
 
 def best_of_months(versions: DataFrame, dim_product: DataFrame, top: int) -> DataFrame:
-    """The lists from one row per (month, product version)."""
-    named = versions.join(dim_product.select("ProductKey", "ProductId", "Sku", "Name", "Category"), "ProductKey")
-    monthly = (named.groupBy("Year", "Month", "ProductId", "Sku", F.col("Name").alias("ProductName"), "Category")
+    """The lists from rows per (month, product version), which may come in parts.
+
+    A product is listed once for every sku, name and category it had in a month.  These are numbered within the product,
+    so that numbers are shuffled with the months, and the texts are looked up for the rows of the lists only.
+    """
+    texts = F.dense_rank().over(Window.partitionBy("ProductId").orderBy("Name", "Sku", "Category"))
+    known = dim_product.select("ProductKey", "ProductId", "Sku", F.col("Name").alias("ProductName"), "Category",
+                               texts.alias("_texts"))
+    monthly = (versions.join(known.select("ProductKey", "ProductId", "_texts"), "ProductKey")
+               .groupBy("Year", "Month", "ProductId", "_texts")
                .agg(F.sum("Quantity").alias("TotalQuantity"), F.sum("Revenue").alias("TotalRevenue")))
-    rank = F.row_number().over(Window.partitionBy("Year", "Month")
-                               .orderBy(F.desc("TotalRevenue"), "ProductId", "ProductName"))
-    return monthly.withColumn("RankInMonth", rank).where(F.col("RankInMonth") <= top)
+    rank = F.row_number().over(Window.partitionBy("Year", "Month").orderBy(F.desc("TotalRevenue"), "ProductId", "_texts"))
+    best = F.broadcast(monthly.withColumn("RankInMonth", rank).where(F.col("RankInMonth") <= top)).alias("b")
+    same = F.col("b.ProductId").eqNullSafe(F.col("k.ProductId")) & (F.col("b._texts") == F.col("k._texts"))
+    # versions of a product may share their texts; a list has one row a rank
+    return (known.alias("k").join(best, same).dropDuplicates(["Year", "Month", "RankInMonth"])
+            .select("Year", "Month", "k.ProductId", "Sku", "ProductName", "Category", "TotalQuantity", "TotalRevenue",
+                    "RankInMonth"))
 
 
 def customer_lifetime_value(fact: DataFrame, dim_date: DataFrame, dim_customer: DataFrame,

@@ -30,11 +30,10 @@ def product_months(rows: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 def monthly_top_products(state: DataFrame, dim_product: DataFrame, top: int = S.TOP_PER_MONTH) -> DataFrame:
     """The published monthly lists from the parts of the state."""
-    versions = (state.groupBy("MonthKey", "ProductKey")
-                .agg(F.sum("Quantity").alias("Quantity"), F.sum("LineTotal").cast(S.WIDE_MONEY).alias("Revenue"))
-                .select(F.floor(F.col("MonthKey") / 100).cast("int").alias("Year"),
-                        (F.col("MonthKey") % 100).cast("int").alias("Month"), "ProductKey", "Quantity", "Revenue"))
-    return gold.best_of_months(versions, dim_product, top)
+    parts = state.select(F.floor(F.col("MonthKey") / 100).cast("int").alias("Year"),
+                         (F.col("MonthKey") % 100).cast("int").alias("Month"), "ProductKey", "Quantity",
+                         F.col("LineTotal").cast(S.WIDE_MONEY).alias("Revenue"))
+    return gold.best_of_months(parts, dim_product, top)
 
 
 def monthly_incremental(monthly: DataFrame, state: DataFrame, added: DataFrame, dim_product: DataFrame,

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from cartwheel import schemas as S
 from cartwheel.operators import feeds
 from cartwheel.plans import etl_run, maintenance
-from cartwheel.session import work_dir, written
+from cartwheel.session import dropped, released, work_dir, written
 from cartwheel.sources import readers
 from cartwheel.sources.retail import Retail
 from cartwheel.sources.warehouse import Warehouse
@@ -24,7 +24,9 @@ def _source(r: Retail, load: int, items: DataFrame | None = None) -> etl_run.Sou
 
 def _items(r: Retail) -> DataFrame:
     """The numbered order lines as a table: numbering takes a sort of all lines, and a job reads them several times."""
-    return written(r.spark, r.order_items.select(S.ORDER_ITEMS.fieldNames()), "order-items")
+    items = written(r.spark, r.order_items.select(S.ORDER_ITEMS.fieldNames()), "order-items")
+    released(r.spark)
+    return items
 
 
 def _items_of(r: Retail, load: int, items: DataFrame | None = None) -> DataFrame:
@@ -39,6 +41,9 @@ def _stream(r: Retail, name: str, check: bool = False) -> Warehouse:
     wh, items = Warehouse(r.spark, f"{base}/tables"), _items(r)
     for load, as_of in LOADS:
         _items_of(r, load, items).write.mode("append").parquet(f"{base}/items")
+        released(r.spark)
+        if load == LOADS[-1][0]:  # all lines have arrived in the folder of the stream
+            dropped(r.spark, items)
         jobs.run_etl_stream(wh, f"{base}/items", _source(r, load), as_of, f"{base}/checkpoint", check_batches=check)
     return wh
 
@@ -76,6 +81,7 @@ def _batches(r: Retail, name: str) -> Warehouse:
     wh, items = Warehouse(r.spark, work_dir(r.spark, name)), _items(r)
     etl_run.run_etl(wh, _source(r, 1, _items_of(r, 1, items)), S.FIRST_LOAD, with_quality=False)
     etl_run.run_etl(wh, _source(r, 2, items), S.SECOND_LOAD, with_quality=False)
+    dropped(r.spark, items)
     return wh
 
 

@@ -11,13 +11,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from cartwheel.session import released
+
 COMMITS = T.StructType([
     T.StructField("CommitId", T.LongType()), T.StructField("Token", T.StringType()),
     T.StructField("TableName", T.StringType()), T.StructField("Mode", T.StringType()),
@@ -126,12 +127,12 @@ class Warehouse:
             even.write.partitionBy(partition).parquet(path)
         else:
             (frame.hint("rebalance") if mode == "replace" else frame).write.parquet(path)
+        released(self.spark)
         return Staged(table, mode, path)
 
     def stage_all(self, frames: dict[str, DataFrame], mode: str = "append") -> list[Staged]:
-        """Write independent frames side by side, so that the last tasks of one leave no cores idle."""
-        with ThreadPoolExecutor(len(frames)) as pool:
-            return list(pool.map(lambda item: self.stage(*item, mode), frames.items()))
+        """Write frames one after the other: side by side, the shuffle files of all would be on disk at once."""
+        return [self.stage(table, frame, mode) for table, frame in frames.items()]
 
     def _open(self, table: str, folders: list[str]) -> DataFrame:
         """Folders never change once written, so their listing is kept for as long as this object lives."""

@@ -9,8 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartwheel import session
-from cartwheel.operators import acceptance, quality
-from cartwheel.plans import registry, registry_jobs
+from cartwheel.operators import acceptance, gold, quality
+from cartwheel.plans import etl_run, registry, registry_jobs
+from cartwheel.sources.warehouse import Warehouse
+from cartwheel.streaming import jobs
 
 
 @pytest.fixture
@@ -101,3 +103,70 @@ def test_a_suite_leaves_no_shuffle_files(tuned):
     assert sorted(r.ActualValue for r in rows) == ["2", "5000"]
     assert not _left(tuned, before)
     assert tuned.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_staged_tables_leave_no_shuffle_files(tuned, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "RELEASE_EVERY", 0)
+    wh, before = Warehouse(tuned, str(tmp_path)), _shuffle_files(tuned)
+    counts = tuned.range(20_000).selectExpr("id % 7000 k").groupBy("k").count()
+    wh.stage("plain", counts)
+    assert not _left(tuned, before)
+    wh.stage_all({"even": counts, "other": counts}, "replace")
+    assert not _left(tuned, before)
+
+
+def test_tables_are_staged_one_after_the_other(tuned, tmp_path, monkeypatch):
+    wh, open_, most = Warehouse(tuned, str(tmp_path)), [], []
+
+    def stage(table, frame, mode):
+        open_.append(table)
+        most.append(len(open_))
+        time.sleep(0.1)
+        open_.remove(table)
+
+    monkeypatch.setattr(wh, "stage", stage)
+    wh.stage_all(dict.fromkeys("abc"), "replace")
+    assert most == [1, 1, 1]
+
+
+def test_monthly_lists_shuffle_no_texts_and_keep_texts_apart(tuned):
+    keys = [(1001, 1, "a", "Pen", None), (1002, 1, "a", "Pen", None), (1003, 1, "b", "Pen", None), (1004, 1, "a", "Ink", "X"),
+            (2001, 2, "c", "Cup", "Y"), (2002, 2, "c", "Cup", "Y"), (-1, None, "n", "None", "Z")]
+    product = tuned.createDataFrame(keys, "ProductKey long, ProductId long, Sku string, Name string, Category string")
+    rows = [(key, 1, revenue) for key, revenue in ((1001, 2), (1002, 3), (1003, 5), (1004, 5), (2001, 4), (2002, 4), (2002, 1),
+                                                   (-1, 1), (None, 99), (7, 99))]
+    versions = tuned.createDataFrame(rows, "ProductKey long, Quantity long, Revenue long").selectExpr(
+        "2024 Year", "1 Month", "ProductKey", "Quantity", "cast(Revenue as decimal(28,2)) Revenue")
+    best = gold.best_of_months(versions, product, 6)
+    got = [(r.RankInMonth, r.ProductId, r.Sku, r.ProductName, r.Category, r.TotalQuantity, int(r.TotalRevenue))
+           for r in best.orderBy("RankInMonth").collect()]
+    assert got == [(1, 2, "c", "Cup", "Y", 3, 9), (2, 1, "a", "Ink", "X", 1, 5), (3, 1, "a", "Pen", None, 2, 5),
+                   (4, 1, "b", "Pen", None, 1, 5), (5, None, "n", "None", "Z", 1, 1)]
+    dealt = [line for line in best._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning" in line]
+    assert dealt and not any("Sku" in line or "Name" in line or "Category" in line for line in dealt)
+
+
+@pytest.fixture
+def lines_left(retail, tmp_path, monkeypatch):
+    """How many tables of numbered lines there are when a load runs; the loads themselves are left out."""
+    seen = []
+    for module in (session, registry_jobs):
+        monkeypatch.setattr(module, "work_dir", lambda _, name: f"{tmp_path}/{name}-{uuid.uuid4().hex}")
+
+    def told(*args, **more):
+        seen.append(len(list(tmp_path.glob("order-items-*"))))
+
+    monkeypatch.setattr(jobs, "run_etl_stream", told)
+    monkeypatch.setattr(etl_run, "run_etl", told)
+    return lambda: (seen, len(list(tmp_path.glob("order-items-*"))))
+
+
+def test_a_stream_keeps_its_lines_once(tuned, retail, lines_left, tmp_path):
+    registry_jobs._stream(retail, "stream")
+    assert lines_left() == ([1, 0], 0)
+    assert tuned.read.parquet(f"{next(tmp_path.glob('stream-*'))}/items").count() == retail.order_items.count()
+
+
+def test_batches_drop_the_numbered_lines(tuned, retail, lines_left):
+    registry_jobs._batches(retail, "batches")
+    assert lines_left() == ([1, 1], 0)
